@@ -15,6 +15,7 @@ from emberlog.operators.catalogue import DEFAULT_TIME_FIELD, TIME_FIELDS, INDEX_
 from emberlog.operators.dsl import Body, compile_query
 from emberlog.operators.search import search_predicate
 from emberlog.operators.views import View, view_named
+from emberlog.sources.indices import prune_by_date
 
 
 def time_field_of(df: DataFrame) -> str:
@@ -33,7 +34,8 @@ def time_field_of(df: DataFrame) -> str:
 class LogTable:
     """Steps return a new LogTable; `df` is the lazy result so far.
 
-    `tie_break` names fields that make the time order unique.
+    `tie_break` names fields that make the time order unique; `date_partition` names
+    the date column the table is partitioned by, if any.
     """
 
     df: DataFrame
@@ -43,6 +45,7 @@ class LogTable:
     now: datetime | None = None
     relations: Mapping[str, Relation] = field(default_factory=dict)
     entities: Mapping[str, list[str]] | None = None
+    date_partition: str | None = None
     body: Body | None = None
 
     def __post_init__(self):
@@ -73,7 +76,11 @@ class LogTable:
         return table
 
     def between(self, frm=None, to=None) -> LogTable:
-        return self._where(filters.time_range(self.fields, self.time_field, frm, to))
+        """Rows of a time range, both ends included; whole date partitions are pruned first."""
+        table = self
+        if self.date_partition:
+            table = replace(self, df=prune_by_date(self.df, frm, to, self.now, self.date_partition))
+        return table._where(filters.time_range(self.fields, self.time_field, frm, to))
 
     def entity_fields(self) -> Mapping[str, list[str]]:
         return self.entities if self.entities is not None else filters.entity_mapping(self.df)
@@ -82,6 +89,10 @@ class LogTable:
         """namespace, pod, deployment, container, service, operation."""
         return self._where(filters.entity_filters(self.fields, self.entity_fields(), wanted))
 
+    def lookalikes(self, **wanted: str) -> dict[str, list[str]]:
+        """Entities asked for that no field can hold, with fields that look alike."""
+        return filters.unmapped_entities(filters.leaf_names(self.df.schema), self.entity_fields(), wanted)
+
     # ------------------------------------------------------- order and limits
 
     def order(self) -> list[Column]:
@@ -128,7 +139,12 @@ class LogTable:
         return aggregations.aggregate(self.df, wanted, self.fields)
 
     def export(self, fields: str | None = None, limit: int | None = None) -> DataFrame:
-        """Newest rows, reshaped: readable time, canonical entities, selected fields."""
+        """Newest rows, reshaped: readable time, canonical entities, selected fields.
+
+        Without `fields`, the `_source` list of the request is used if it has one.
+        """
+        if fields is None and self.body and self.body.source:
+            fields = ",".join(self.body.source)
         table = self.top(limit)
         table = replace(table, df=reshape.millis_to_timestamp(table.df))
         return table.select(fields).df if fields else table.canonical().df

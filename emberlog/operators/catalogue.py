@@ -119,19 +119,25 @@ def json_fields(doc: Column, depth: int = 4) -> Column:
     return F.concat(*levels)
 
 
-def json_type(value: Column) -> Column:
-    """Index type of a JSON value, by value alone."""
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
-    return (
-        F.when(kind == "STRING", F.when(_prose(text), "text").otherwise("keyword"))
-        .when(kind == "BIGINT", "long")
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "double")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(kind.startswith("OBJECT"), "object")
-        .when(kind.isin("TIMESTAMP", "TIMESTAMP_NTZ", "DATE"), "date")
-        .otherwise("keyword")
-    )
+def value_kind(value: Column) -> Column:
+    """What a JSON value is: STRING, BIGINT, DECIMAL, OBJECT, ..., and PROSE for long text."""
+    kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z_]+", 0)
+    return F.when(kind != "STRING", kind).when(_prose(F.try_variant_get(value, "$", "string")), "PROSE").otherwise(kind)
+
+
+# JSON value kind -> index type; anything else is a keyword.
+TYPE_OF_KIND = {
+    "PROSE": "text", "STRING": "keyword", "BIGINT": "long", "DECIMAL": "double", "DOUBLE": "double",
+    "FLOAT": "double", "BOOLEAN": "boolean", "OBJECT": "object", "TIMESTAMP": "date", "TIMESTAMP_NTZ": "date",
+    "DATE": "date",
+}
+
+
+def _type_of_kind(kind: Column) -> Column:
+    result = F
+    for name, index_type in TYPE_OF_KIND.items():
+        result = result.when(kind == name, F.lit(index_type))
+    return result.otherwise("keyword")
 
 
 def _prose(text: Column) -> Column:
@@ -158,28 +164,32 @@ def name_rule(field: Column) -> Column:
     )
 
 
+def _field_types(entries: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """One type per `keys` and field from (keys, field, value) rows.
+
+    Rows are first counted down to the kinds seen per field, on the map side, so the
+    exchanges carry a few rows per field whatever the number of documents.
+    """
+    seen = entries.select(*keys, "field", value_kind(F.col("value")).alias("kind")).groupBy(*keys, "field", "kind").count()
+    typed = seen.withColumn("type", F.when(F.col("kind") != "VOID", _type_of_kind(F.col("kind"))))
+    return typed.groupBy(*keys, "field").agg(F.coalesce(_widest(F.col("type")), F.lit("keyword")).alias("type"))
+
+
+def _with_name_rules(typed: DataFrame, strict: bool) -> DataFrame:
+    kind = F.col("type") if strict else F.coalesce(name_rule(F.col("field")), F.col("type"))
+    millis = (kind == "date") & (F.col("field") == "startTimeMillis")
+    return typed.withColumns({"type": kind, "format": F.when(millis, "epoch_millis")})
+
+
 def infer_mapping(docs: DataFrame, doc: str = "doc", keys: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """Index types of the top-level fields of JSON documents (variants), over all rows.
 
     One row per field and per `keys`; `strict` ignores the rules on field names.
-    Exploded entries are combined on the map side, so the exchange carries one row per
-    field and task.
     """
-    entries = docs.select(*keys, F.explode(_members(quoted(doc))).alias("entry"))
-    typed = entries.select(
-        *keys, F.col("entry.key").alias("field"), json_type(F.col("entry.value")).alias("kind"),
-        F.is_variant_null(F.col("entry.value")).alias("empty"),
-    ).where(~F.col("field").isin(*BOOKKEEPING))
-    kinds = typed.groupBy(*keys, "field").agg(
-        F.coalesce(_widest(F.when(~F.col("empty"), F.col("kind"))), F.lit("keyword")).alias("kind")
-    )
-    kind = F.col("kind") if strict else F.coalesce(name_rule(F.col("field")), F.col("kind"))
-    return kinds.select(
-        *keys,
-        "field",
-        kind.alias("type"),
-        F.when((kind == "date") & (F.col("field") == "startTimeMillis"), "epoch_millis").alias("format"),
-    )
+    members = docs.select(*keys, F.explode(_members(quoted(doc))).alias("entry"))
+    entries = members.select(*keys, F.col("entry.key").alias("field"), F.col("entry.value").alias("value"))
+    kept = entries.where(~F.col("field").isin(*BOOKKEEPING))
+    return _with_name_rules(_field_types(kept, keys), strict)
 
 
 def infer_table_mapping(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -192,17 +202,11 @@ def infer_table_mapping(df: DataFrame, strict: bool = False) -> DataFrame:
     rows = F.array(*[
         F.struct(
             F.lit(n).alias("field"),
-            (F.when(quoted(n), "text").otherwise("keyword") if n in strings else F.lit(_index_type(types[n]))).alias("kind"),
+            (F.when(quoted(n), "text").otherwise("keyword") if n in strings else F.lit(_index_type(types[n]))).alias("type"),
         )
         for n in names
     ])
-    listed = prose.select(F.inline(rows))
-    kind = F.col("kind") if strict else F.coalesce(name_rule(F.col("field")), F.col("kind"))
-    return listed.select(
-        "field",
-        kind.alias("type"),
-        F.when((kind == "date") & (F.col("field") == "startTimeMillis"), "epoch_millis").alias("format"),
-    )
+    return _with_name_rules(prose.select(F.inline(rows)), strict)
 
 
 def _index_type(dtype: T.DataType) -> str:
@@ -215,11 +219,10 @@ def _index_type(dtype: T.DataType) -> str:
 
 def catalogue_of_documents(docs: DataFrame, doc: str = "doc", index: str = "_index", depth: int = 4) -> DataFrame:
     """Catalogue of schemaless documents: every dotted name found in any document."""
-    entries = docs.select(quoted(index).alias("index"), F.explode(json_fields(quoted(doc), depth)).alias("entry"))
-    found = entries.select("index", F.col("entry.key").alias("field"), json_type(F.col("entry.value")).alias("kind"))
-    fields = found.groupBy("index", "field").agg(_widest(F.col("kind")).alias("type"))
+    members = docs.select(quoted(index).alias("index"), F.explode(json_fields(quoted(doc), depth)).alias("entry"))
+    entries = members.select("index", F.col("entry.key").alias("field"), F.col("entry.value").alias("value"))
     pos = F.row_number().over(Window.partitionBy("index").orderBy("field")) - 1
-    return fields.select("index", "field", "type", pos.alias("pos"))
+    return _field_types(entries, ("index",)).select("index", "field", "type", pos.alias("pos"))
 
 
 # ------------------------------------------------------------- index profiles

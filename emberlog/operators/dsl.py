@@ -98,7 +98,15 @@ def _scored_match(fields: Fields, name: str, value, operator: str = "or", boost:
 
 def _match(fields: Fields, body: dict) -> Hit:
     name, value, options = _one_field("match", body, "query")
-    return _scored_match(fields, name, value, options.get("operator", "or"), float(options.get("boost", 1.0)))
+    unknown = set(options) - {"operator", "boost", "minimum_should_match", "_name"}
+    if unknown:
+        raise QueryError(f"unsupported match option {sorted(unknown)}")
+    hit = _scored_match(fields, name, value, options.get("operator", "or"), float(options.get("boost", 1.0)))
+    field, words = fields.find(name), list(dict.fromkeys(P.analyze(value)))
+    wanted = _minimum(options.get("minimum_should_match"), len(words), 1)
+    if field is not None and field.text and wanted > 1:
+        return Hit(P.match_count(field, value) >= wanted, hit.score)
+    return hit
 
 
 def _match_all(fields: Fields, body: dict) -> Hit:
@@ -185,7 +193,7 @@ def _terms(fields: Fields, body: dict) -> Hit:
         # A long list held as a one-column table: a semi join Spark sizes for itself.
         if field is None:
             return Hit(P.never(), _boost(body))
-        listed = values.toDF("__listed")
+        listed = values.toDF("__listed").distinct()
         return Hit(listed.where(F.col("__listed") == field.column.outer()).exists(), _boost(body))
     return Hit(P.terms(field, values, fields.now), _boost(body))
 
@@ -243,7 +251,7 @@ def _minimum(setting, count: int, default: int) -> int:
     if text.endswith("%"):
         share = int(text[:-1])
         return count * share // 100 if share >= 0 else count - count * -share // 100
-    return int(text) if int(text) >= 0 else count + int(text)
+    return int(text) if int(text) >= 0 else max(count + int(text), 0)
 
 
 def _bool(fields: Fields, body: dict) -> Hit:

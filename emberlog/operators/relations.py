@@ -74,8 +74,8 @@ def more_like_this(
     )
     wanted = ranked.agg(F.collect_list("term").alias("terms")).scalar()
     shared = F.size(F.array_intersect(P.tokens(text), wanted))
-    needed = F.floor(F.size(wanted) * F.lit(float(minimum_should_match)))
-    return df.where(~key.isin(list(like)) & (shared > 0) & (shared >= needed))
+    needed = F.greatest(F.lit(1), F.floor(F.size(wanted) * F.lit(float(minimum_should_match))))
+    return df.where(~key.isin(list(like)) & (shared >= needed))
 
 
 def fan_out(df: DataFrame, indices: Sequence[str] | DataFrame) -> DataFrame:

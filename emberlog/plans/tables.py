@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -17,13 +17,7 @@ from emberlog.streaming import search as streams
 
 def _folder(spark, name: str) -> str:
     """A new folder that every executor can reach."""
-    base = shared_dir(spark)
-    if "://" in base or base.startswith("file:"):
-        return f"{base}/{name}-{spark.sparkContext.applicationId}-{next(_COUNTER)}"
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base) + "/out"
-
-
-_COUNTER = iter(range(1_000_000_000))
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT event_id, event_type, user_id FROM events")
@@ -159,9 +153,11 @@ def import_bundle(spark, d):
 def import_array(spark, d):
     """Documents in JSON arrays of a thousand, written and read back."""
     events = table(spark, d, "events")
-    batches = events.groupBy(F.floor(F.col("event_id") / 1000)).agg(
-        F.collect_list(F.struct("event_id", "event_type", "value")).alias("docs")
-    )
+    # Row numbers within a task, so no array can grow past a thousand whatever the ids are.
+    batch = F.floor(F.monotonically_increasing_id() / 1000)
+    batches = events.select(batch.alias("batch"), F.struct("event_id", "event_type", "value").alias("doc")).groupBy(
+        "batch"
+    ).agg(F.collect_list("doc").alias("docs"))
     path = _folder(spark, "array")
     batches.select(F.to_json("docs").alias("value")).write.text(path)
     return importer.read_documents(spark, path).select("event_id", "event_type", "value")

@@ -17,6 +17,8 @@ def get_session(app: str = "emberlog", master: str | None = None, **conf: str) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Recording the Python call site of every column costs more than building it.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
@@ -28,4 +30,4 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can write to: `spark.checkpoint.dir` where the cluster
     names one, a new temporary folder otherwise (local tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="emberlog-")
+    return (configured or tempfile.mkdtemp(prefix="emberlog-")).rstrip("/")

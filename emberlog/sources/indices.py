@@ -7,6 +7,7 @@ then become partition filters.
 from __future__ import annotations
 
 import fnmatch
+import re
 from collections.abc import Mapping
 from functools import reduce
 
@@ -49,6 +50,14 @@ def scan_pattern(tables: Mapping[str, DataFrame], pattern: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def scan_folders(spark: SparkSession, root: str, pattern: str, file_format: str = "parquet") -> DataFrame:
+    """Indices kept as folders under `root`: one scan over all folders a pattern names."""
+    escaped = re.sub(r"([\[\]{}?\\])", r"\\\1", pattern)
+    df = spark.read.format(file_format).option("mergeSchema", True).load(f"{root}/{escaped}")
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return df.withColumn("_index", F.url_decode(folder))
+
+
 def index_matches(index: Column, pattern: str) -> Column:
     """`_index` against a pattern; a trailing `*` is a prefix test the scan can prune by."""
     if "*" not in pattern:
