@@ -79,6 +79,19 @@ def schema_rows(schema: T.StructType, text_fields=(), prefix: str = "") -> list[
     return rows
 
 
+def mapping_of(schema: T.StructType, text_fields=(), prefix: str = "") -> dict:
+    """The index mapping of a table, as it is stored in a sample bundle."""
+    kinds = dict(schema_rows(schema, text_fields, prefix))
+    properties = {}
+    for member in schema.fields:
+        name, dtype = prefix + member.name, member.dataType
+        inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+        properties[member.name] = {"type": kinds[name]}
+        if isinstance(inner, T.StructType):
+            properties[member.name].update(mapping_of(inner, text_fields, f"{name}."))
+    return {"properties": properties}
+
+
 def catalogue_of_tables(tables: dict[str, DataFrame], text_fields=()) -> DataFrame:
     """Catalogue rows of tables whose schema is known; no table is read."""
     rows = [
@@ -228,25 +241,24 @@ def catalogue_of_documents(docs: DataFrame, doc: str = "doc", index: str = "_ind
 # ------------------------------------------------------------- index profiles
 
 
-def detect_kind(catalogue: DataFrame) -> DataFrame:
-    """kubernetes, jaeger or generic, per index."""
+def _held(names: tuple[str, ...]) -> Column:
+    """How many of `names` an index has among its fields, whatever the case."""
     lowered = F.lower("field")
+    counted = F.lit(0)
+    for name in names:
+        counted = counted + F.coalesce(F.bool_or(lowered == name), F.lit(False)).cast("int")
+    return counted
 
-    def held(names):
-        return F.count_distinct(F.when(lowered.isin(*names), lowered))
 
-    counted = catalogue.groupBy("index").agg(
-        held(KUBERNETES_FIELDS).alias("k8s"), held(JAEGER_FIELDS).alias("trace")
-    )
+def _kind_of_index() -> Column:
     index = F.lower("index")
-    kind = (
+    return (
         F.when(_any(index.contains(n) for n in KUBERNETES_NAMES), "kubernetes")
-        .when(F.col("k8s") >= KUBERNETES_FIELDS_NEEDED, "kubernetes")
+        .when(F.col("k8s_fields") >= KUBERNETES_FIELDS_NEEDED, "kubernetes")
         .when(_any(index.contains(n) for n in JAEGER_NAMES), "jaeger")
-        .when(F.col("trace") >= JAEGER_FIELDS_NEEDED, "jaeger")
+        .when(F.col("trace_fields") >= JAEGER_FIELDS_NEEDED, "jaeger")
         .otherwise("generic")
     )
-    return counted.select("index", kind.alias("kind"))
 
 
 def _time_rank(kind: str) -> Column:
@@ -257,26 +269,35 @@ def _time_rank(kind: str) -> Column:
     return F.when((listed > 0) & usable, listed).when(F.col("type") == "date", F.lit(1000) + F.col("pos"))
 
 
-def time_column(catalogue: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
-    """The time field per index, and whether the index really has it."""
-    ranks = {kind: _time_rank(kind) for kind in TIME_FIELDS}
-    best = catalogue.groupBy("index").agg(
-        *[F.min_by("field", rank).alias(f"best_{kind}") for kind, rank in ranks.items()]
-    )
-    known = best.join(kinds if kinds is not None else detect_kind(catalogue), "index")
+def inspect_indices(catalogue: DataFrame) -> DataFrame:
+    """Kind, time field, whether the index really has it, and number of fields, per index.
+
+    Everything comes out of one grouping; the best time field is kept for every kind
+    and the kind picks among them afterwards.
+    """
+    seen = catalogue.groupBy("index").agg(
+        _held(KUBERNETES_FIELDS).alias("k8s_fields"),
+        _held(JAEGER_FIELDS).alias("trace_fields"),
+        F.count_distinct("field").alias("field_count"),
+        *[F.min_by("field", _time_rank(kind)).alias(f"best_{kind}") for kind in TIME_FIELDS],
+    ).withColumn("kind", _kind_of_index())
     found, default = F, F
     for kind in TIME_FIELDS:
         found = found.when(F.col("kind") == kind, F.col(f"best_{kind}"))
         default = default.when(F.col("kind") == kind, F.lit(DEFAULT_TIME_FIELD[kind]))
-    return known.select(
-        "index", "kind", F.coalesce(found, default).alias("time_field"), found.isNotNull().alias("has_date")
+    return seen.select(
+        "index", "kind", F.coalesce(found, default).alias("time_field"), found.isNotNull().alias("has_date"), "field_count"
     )
 
 
-def inspect_indices(catalogue: DataFrame) -> DataFrame:
-    """Kind, time field, date flag and number of fields, per index."""
-    counts = catalogue.groupBy("index").agg(F.count_distinct("field").alias("field_count"))
-    return time_column(catalogue).join(counts, "index")
+def detect_kind(catalogue: DataFrame) -> DataFrame:
+    """kubernetes, jaeger or generic, per index."""
+    return inspect_indices(catalogue).select("index", "kind")
+
+
+def time_column(catalogue: DataFrame) -> DataFrame:
+    """The time field per index, and whether the index really has it."""
+    return inspect_indices(catalogue).select("index", "kind", "time_field", "has_date")
 
 
 def index_health(catalogue: DataFrame) -> DataFrame:

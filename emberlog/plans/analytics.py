@@ -204,14 +204,14 @@ def sort_custom(spark, d):
 SELECT _index, id FROM (
   SELECT 'events' AS _index, event_id AS id, ts AS "time", value FROM events
   UNION ALL SELECT 'orders', o_orderkey, o_orderdate, NULL FROM orders)
-ORDER BY value DESC NULLS LAST, "time" DESC NULLS LAST, _index, id LIMIT 300
+ORDER BY value DESC NULLS LAST, "time" DESC NULLS LAST, _index, id LIMIT 500
 """)
 def sort_unmapped(spark, d):
     events = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("time"), "value")
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("time"))
     both = indices.scan_pattern({"events": events, "orders": orders}, "*")
     spec = [{"startTimeMillis": {"order": "desc", "unmapped_type": "boolean"}}, {"value": "desc"}, {"time": "desc"}, "_index", "id"]
-    return both.orderBy(*ordering.sort_columns(Fields.of(both), spec)).limit(300).select("_index", "id")
+    return both.orderBy(*ordering.sort_columns(Fields.of(both), spec)).limit(ordering.DEFAULT_LIMIT).select("_index", "id")
 
 
 @query("SELECT event_id, ts, value FROM events ORDER BY ts DESC NULLS LAST, event_id LIMIT 500")

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from emberlog.operators.ordering import newest_per_index
 from emberlog.operators.relations import fan_out
 from emberlog.plans.adapters import INDEX_PREFIX, NOW, SQL_EVENTS_LOG, events_log, sql_case
 from emberlog.plans.registry import query, table
@@ -129,16 +128,9 @@ QUALIFY row_number() OVER (PARTITION BY _index ORDER BY "@timestamp" DESC NULLS
 @query(_SAMPLE_SQL)
 def import_bundle(spark, d):
     """A bundle with the newest five documents of every index, written and read back."""
-    log = events_log(spark, d).select("_index", "@timestamp", "id", "event_type", "value")
-    sample = newest_per_index(log, "@timestamp", 5, ["id"])
-    document = F.struct("id", "event_type", "value", F.lit("x").alias("uid"))
-    per_index = sample.groupBy("_index").agg(F.collect_list(document).alias("documents"))
-    definition = F.struct(
-        F.col("_index").alias("name"), "documents", F.size("documents").cast("bigint").alias("count")
-    )
-    line = F.to_json(F.struct(F.create_map("_index", definition).alias("indices")))
+    log = events_log(spark, d).select("_index", "@timestamp", "id", "event_type", "value", F.lit("x").alias("uid"))
     path = _folder(spark, "bundle")
-    per_index.select(line.alias("value")).write.text(path)
+    sinks.write_bundle(log, path, "@timestamp", 5, ["id"])
     documents = importer.bundle_documents(importer.read_bundle(spark, path, whole_file=False))
     doc = importer.clean_document(F.col("doc"))
     return documents.select(

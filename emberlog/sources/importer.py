@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.operators.catalogue import clean_properties, clean_settings
-from emberlog.operators.relations import fan_out
+from emberlog.operators.catalogue import clean_properties, clean_settings, infer_mapping
 from emberlog.operators.reshape import BOOKKEEPING
 
 _INDEX = (
@@ -64,10 +63,6 @@ def read_documents(spark: SparkSession, path: str, array: bool = False) -> DataF
     return spark.read.option("multiLine", array).json(path)
 
 
-def import_data(data: DataFrame, indices) -> DataFrame:
-    return fan_out(data, indices)
-
-
 def clean_document(doc: Column) -> Column:
     """A document (variant) without bookkeeping attributes, its JSON texts parsed."""
     members = F.map_filter(F.try_variant_get(doc, "$", "map<string,variant>"), lambda k, _: ~k.isin(*BOOKKEEPING))
@@ -92,3 +87,32 @@ def with_file_index(df: DataFrame, day: str) -> DataFrame:
     return df.withColumn("_index", index_name_from_file(F.input_file_name(), day))
 
 
+
+
+def documents_of(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """Cleaned documents of a file and the index each belongs to: `_index`, `doc`.
+
+    A bundle brings its indices, and its top-level data goes to all of them; any other
+    file holds plain documents for the index named after the file.
+    """
+    bundles = read_bundle(spark, path)
+    if not bundles.isEmpty():
+        found = bundle_documents(bundles).unionByName(bundle_data(bundles))
+    else:
+        text = spark.read.option("wholetext", True).text(path)
+        listed = F.from_json("value", "array<variant>")
+        found = text.select(index_name_from_file(F.input_file_name(), day).alias("_index"), F.explode(listed).alias("doc"))
+    return found.select("_index", clean_document(F.col("doc")).alias("doc"))
+
+
+def import_file(spark: SparkSession, path: str, root: str, day: str, force: bool = False) -> DataFrame:
+    """Loads a file into its indices under `root`; returns the inferred mapping per index.
+
+    Documents are kept as JSON Lines, one partition per index.  `force` replaces the
+    indices of the file and leaves all others alone.
+    """
+    documents = documents_of(spark, path, day)
+    lines = documents.select("_index", F.to_json("doc").alias("value")).hint("rebalance", "_index")
+    writer = lines.write.mode("overwrite" if force else "append").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_index").text(root)
+    return infer_mapping(documents, keys=("_index",))

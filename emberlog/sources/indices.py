@@ -53,9 +53,13 @@ def scan_pattern(tables: Mapping[str, DataFrame], pattern: str) -> DataFrame:
 def scan_folders(spark: SparkSession, root: str, pattern: str, file_format: str = "parquet") -> DataFrame:
     """Indices kept as folders under `root`: one scan over all folders a pattern names."""
     escaped = re.sub(r"([\[\]{}?\\])", r"\\\1", pattern)
-    df = spark.read.format(file_format).option("mergeSchema", True).load(f"{root}/{escaped}")
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return df.withColumn("_index", F.url_decode(folder))
+    df = spark.read.format(file_format).option("mergeSchema", True).load(f"{root.rstrip('/')}/{escaped}")
+    # Paths are compared without scheme and host, which only one side may have.
+    host = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    depth = len([part for part in re.sub(host, "", root).split("/") if part])
+    path = F.regexp_replace(F.col("_metadata.file_path"), host, "")
+    folder = F.element_at(F.filter(F.split(path, "/"), lambda part: part != ""), depth + 1)
+    return df.withColumn("_index", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
 
 
 def index_matches(index: Column, pattern: str) -> Column:

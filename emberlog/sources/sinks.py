@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from emberlog.functions.fields import Fields, quoted
+from emberlog.operators.catalogue import mapping_of
+from emberlog.operators.ordering import DEFAULT_SAMPLE, newest_per_index, sample_with_total
+from emberlog.operators.reshape import flatten
 
-from emberlog.functions.fields import Fields
-from emberlog.operators.ordering import DEFAULT_SAMPLE, newest_per_index
+# Fixed value: the most documents one plain search returns.
+LARGEST_BUNDLE_SAMPLE = 10_000
 
 # Text files keep microseconds; pass the same options when reading them back.
 TEXT_TIMES = {
@@ -21,11 +30,25 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**TEXT_TIMES).option("header", True).option("escape", '"').csv(path)
+    """Header and rows; struct members become columns, arrays and maps JSON text."""
+    flat = flatten(df)
+    nested = (T.ArrayType, T.MapType, T.VariantType)
+    columns = [
+        F.to_json(quoted(f.name)).alias(f.name) if isinstance(f.dataType, nested) else quoted(f.name)
+        for f in flat.schema.fields
+    ]
+    writer = flat.select(*columns).write.mode(mode).options(**TEXT_TIMES)
+    writer.option("header", True).option("escape", '"').csv(path)
+
 
+def write_index(df: DataFrame, path: str, force: bool = False, partition_by: Sequence[str] = ()) -> None:
+    """Appends documents to an index; `force` replaces what is there.
 
-def write_index(df: DataFrame, path: str, force: bool = False, partition_by: list[str] | None = None) -> None:
-    """Appends documents to an index; `force` replaces what is there."""
+    Partitioned writes are rebalanced first: files per partition follow its size, and a
+    partition that holds most rows is split over many tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[quoted(name) for name in partition_by])
     writer = df.write.mode("overwrite" if force else "append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -33,13 +56,43 @@ def write_index(df: DataFrame, path: str, force: bool = False, partition_by: lis
 
 
 def write_sample(
-    df: DataFrame, path: str, time_field: str, limit: int = DEFAULT_SAMPLE, tie_break=(), index: str = "_index"
+    df: DataFrame, path: str, time_field: str, limit: int = DEFAULT_SAMPLE, tie_break=(), index: str = "_index",
+    metadata: Mapping[str, str] | None = None,
 ) -> None:
-    """A sample bundle: documents per index as JSON Lines, and one metadata row per index."""
+    """A sample of any size: documents per index as JSON Lines, and one metadata row per index."""
     key = Fields.of(df).find(index).column
     sample = newest_per_index(df, time_field, limit, tie_break, index)
     sample.write.options(**TEXT_TIMES).partitionBy(index).json(f"{path}/documents")
-    metadata = df.groupBy(key.alias("name")).agg(F.count(F.lit(1)).alias("count"))
-    metadata.withColumn("sample_size", F.lit(limit)).withColumn("exported_at", F.current_timestamp()).write.json(
-        f"{path}/metadata"
+    totals = df.groupBy(key.alias("name")).agg(F.count(F.lit(1)).alias("count"))
+    described = {"sample_size": F.lit(limit), "exported_at": F.current_timestamp()}
+    described.update({name: F.lit(value) for name, value in (metadata or {}).items()})
+    totals.withColumns(described).write.options(**TEXT_TIMES).json(f"{path}/metadata")
+
+
+def write_bundle(
+    df: DataFrame, path: str, time_field: str, limit: int = DEFAULT_SAMPLE, tie_break=(), index: str = "_index",
+    metadata: Mapping[str, str] | None = None, text_fields: Sequence[str] = (),
+) -> None:
+    """A sample as bundle lines, one line per index with its mapping, documents and row count.
+
+    A line holds all documents of its sample, so the sample size is limited; larger
+    samples go through `write_sample`.
+    """
+    if limit > LARGEST_BUNDLE_SAMPLE:
+        raise ValueError(f"a bundle holds at most {LARGEST_BUNDLE_SAMPLE} documents per index, asked for {limit}")
+    sample = sample_with_total(df, time_field, limit, tie_break, index, total="__total")
+    key = Fields.of(sample).find(index).column
+    content = [quoted(name) for name in df.columns if name != index]
+    per_index = sample.groupBy(key.alias("name")).agg(
+        F.collect_list(F.struct(*content)).alias("documents"), F.max("__total").alias("count")
+    )
+    kept = T.StructType([f for f in df.schema.fields if f.name != index])
+    mapping = F.parse_json(F.lit(json.dumps(mapping_of(kept, text_fields))))
+    described = {"sample_size": F.lit(limit), "exported_at": F.current_timestamp()}
+    described.update({name: F.lit(value) for name, value in (metadata or {}).items()})
+    definition = F.struct("name", F.struct().alias("settings"), mapping.alias("mappings"), "documents", "count")
+    line = F.struct(
+        F.struct(*[column.alias(name) for name, column in described.items()]).alias("metadata"),
+        F.create_map("name", definition).alias("indices"),
     )
+    per_index.select(F.to_json(line, dict(TEXT_TIMES)).alias("value")).write.text(path)

@@ -149,3 +149,56 @@ def test_index_is_appended_to_unless_forced(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
     sinks.write_index(df, path, force=True)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_import_of_files_into_indices(spark, tmp_path):
+    root = str(tmp_path / "indices")
+    (tmp_path / "Old_Traces.json").write_text('[{"id": 1, "version": 3}, {"id": 2, "note": "two words"}]')
+    mapping = importer.import_file(spark, str(tmp_path / "Old_Traces.json"), root, "2024-01-31")
+    assert {(r._index, r.field, r.type) for r in mapping.collect()} == {
+        ("old-traces-2024-01-31", "id", "keyword"), ("old-traces-2024-01-31", "note", "text"),
+    }
+    bundle = {"indices": {"a": {"documents": [{"x": 1}]}, "b": {"documents": []}}, "data": [{"x": 2}]}
+    (tmp_path / "bundle.json").write_text(json.dumps(bundle))
+    for force, expected in ((False, 3), (False, 6), (True, 3)):
+        importer.import_file(spark, str(tmp_path / "bundle.json"), root, "2024-01-31", force)
+        stored = spark.read.json(root)
+        assert stored.where("_index IN ('a', 'b')").count() == expected
+        assert stored.where("_index = 'old-traces-2024-01-31'").count() == 2
+
+
+def test_bundle_round_trip(spark, tmp_path):
+    df = spark.sql(
+        "SELECT concat('i', id % 2) AS _index, id, named_struct('k', id) AS obj,"
+        " timestamp_ntz'2024-01-01 00:00:00.123456' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts FROM range(9)"
+    )
+    sinks.write_bundle(df, str(tmp_path / "b"), "ts", 2, ["id"], metadata={"pattern": "i*"})
+    bundles = importer.read_bundle(spark, str(tmp_path / "b"), whole_file=False)
+    totals = {r["_index"]: r["count"] for r in importer.bundle_indices(bundles).collect()}
+    assert totals == {"i0": 5, "i1": 4}
+    first = json.loads(bundles.select(F.to_json("metadata").alias("m")).first().m)
+    assert first["pattern"] == "i*" and first["sample_size"] == 2
+    mapping = json.loads(bundles.select(F.to_json(F.map_values("indices")[0]["mappings"]).alias("m")).first().m)
+    assert mapping["properties"]["obj"] == {"type": "object", "properties": {"k": {"type": "long"}}}
+    doc = F.col("doc")
+    got = importer.bundle_documents(bundles).select(
+        "_index", F.try_variant_get(doc, "$.id", "int").alias("id"), F.try_variant_get(doc, "$.ts", "string").alias("ts")
+    )
+    assert sorted((r._index, r.id) for r in got.collect()) == [("i0", 6), ("i0", 8), ("i1", 5), ("i1", 7)]
+    assert got.where("id = 8").first().ts == "2024-01-01T00:00:08.123456"
+
+
+def test_csv_of_nested_rows(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS id, named_struct('b', 'x') AS a, array(1, 2) AS l, map('k', 'v') AS m")
+    sinks.write_csv(df, str(tmp_path / "c"))
+    row = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "c")).first()
+    assert row.asDict() == {"id": "1", "a.b": "x", "l": "[1,2]", "m": '{"k":"v"}'}
+
+
+def test_partitioned_index_is_rebalanced(spark, tmp_path):
+    df = spark.range(1000).withColumn("_index", F.when(F.col("id") < 900, "hot").otherwise("cold")).repartition(8)
+    sinks.write_index(df, str(tmp_path / "i"), partition_by=["_index"])
+    stored = spark.read.parquet(str(tmp_path / "i"))
+    assert stored.count() == 1000
+    files = list((tmp_path / "i").glob("_index=*/*.parquet"))
+    assert len(files) <= 4
