@@ -46,14 +46,15 @@ def more_like_this(
     """Rows that share enough of the most telling terms of the rows called `like`.
 
     Terms are ranked by frequency in the seed rows times log(rows / rows with the term).
-    Only the seed vocabulary and then `max_query_terms` words travel to the tasks, as
-    one-row subqueries; the table itself is never shuffled.
+    The ranking runs at once and brings at most `max_query_terms` words to the driver;
+    the search for similar rows is then a plain filter.  The table is never shuffled,
+    only its counts for the words of the seed rows are.
     """
     fields = Fields.of(df)
     text, key = fields.find(field).column, fields.find(id_field).column
-    seeds = df.where(key.isin(list(like)))
     seed_terms = (
-        seeds.select(F.explode(P.tokens(text)).alias("term"))
+        df.where(key.isin(list(like)))
+        .select(F.explode(P.tokens(text)).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("freq"))
         .where(F.col("freq") >= min_term_freq)
@@ -72,9 +73,11 @@ def more_like_this(
         .orderBy(F.col("weight").desc(), F.col("term"))
         .limit(max_query_terms)
     )
-    wanted = ranked.agg(F.collect_list("term").alias("terms")).scalar()
-    shared = F.size(F.array_intersect(P.tokens(text), wanted))
-    needed = F.greatest(F.lit(1), F.floor(F.size(wanted) * F.lit(float(minimum_should_match))))
+    wanted = [row.term for row in ranked.select("term").collect()]
+    if not wanted:
+        return df.where(P.never())
+    needed = max(1, int(len(wanted) * minimum_should_match))
+    shared = F.size(F.array_intersect(P.tokens(text), F.array(*[F.lit(word) for word in wanted])))
     return df.where(~key.isin(list(like)) & (shared >= needed))
 
 
