@@ -106,6 +106,8 @@ class LogTable:
     def top(self, limit: int | None = None) -> LogTable:
         if limit is None:
             limit = self.body.size if self.body and self.body.size is not None else ordering.DEFAULT_LIMIT
+        if limit > ordering.LARGEST_MERGE and not (self.body and self.body.sort):
+            return replace(self, df=ordering.newest_bulk(self.df, self.time_field, limit, self.tie_break))
         return replace(self, df=self.df.orderBy(*self.order()).limit(limit))
 
     def sample(self, limit: int = ordering.DEFAULT_SAMPLE, index: str = "_index", with_total: bool = False) -> LogTable:

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberlog.functions.fields import Fields
+from emberlog.operators import predicates as P
 
 DEFAULT_LIMIT = 500
 DEFAULT_SAMPLE = 100
+# Up to here the newest rows of all tasks are merged in one task, beyond it see `newest_bulk`.
+LARGEST_MERGE = 1_000_000
 SALTS = 64
 
 
@@ -54,6 +59,57 @@ def newest(df: DataFrame, time_field: str, limit: int = DEFAULT_LIMIT, tie_break
     return df.orderBy(*newest_first(Fields.of(df), time_field, tie_break)).limit(limit)
 
 
+def newest_bulk(df: DataFrame, time_field: str, limit: int, tie_break: Iterable[str] = ()) -> DataFrame:
+    """Exactly the newest `limit` rows for limits too large to merge in one task.
+
+    Two counts over the time column alone find the second the limit falls in.  Rows after
+    that second all belong to the result and need only the final distributed sort; rows
+    of that second, and rows without a time, are cut as in `newest`.
+    """
+    fields = Fields.of(df)
+    tie_break = list(tie_break)
+    field = fields.find(time_field)
+    if field.epoch_millis and isinstance(field.dtype, T.IntegralType):
+        seconds = F.floor(field.column / 1000)
+    else:
+        seconds = F.unix_seconds(field.column.cast("timestamp"))
+    timed = df.where(field.column.isNotNull())
+
+    # At most one row per day, then one per second of a day, reach the driver.
+    day, left = _bucket_of_row(timed, F.floor(seconds / _DAY), limit)
+    if day is None:
+        untimed = df.where(field.column.isNull())
+        found = timed.unionByName(newest(untimed, time_field, left, tie_break)) if left else timed
+    else:
+        of_day = timed.where(P.compare(field, "gte", _instant(day * _DAY)) & P.compare(field, "lt", _instant((day + 1) * _DAY)))
+        second, left = _bucket_of_row(of_day, seconds, left)
+        after = P.compare(field, "gte", _instant(second + 1))
+        within = P.compare(field, "gte", _instant(second)) & ~after
+        found = timed.where(after).unionByName(newest(timed.where(within), time_field, left, tie_break))
+    return found.orderBy(*newest_first(fields, time_field, tie_break))
+
+
+_DAY = 86_400
+
+
+def _instant(epoch_seconds: int) -> datetime:
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=epoch_seconds)
+
+
+def _bucket_of_row(df: DataFrame, bucket: Column, limit: int) -> tuple[int | None, int]:
+    """The bucket that holds the `limit`-th newest row, and how many of its rows are wanted.
+
+    None with the number of rows still missing where there are not that many rows.
+    """
+    left = limit
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("bucket").desc())
+    for row in counts.collect():
+        if row.n >= left:
+            return row.bucket, left
+        left -= row.n
+    return None, left
+
+
 def newest_per_index(
     df: DataFrame,
     time_field: str,

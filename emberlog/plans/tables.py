@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from emberlog.operators.ordering import newest_bulk
 from emberlog.operators.relations import fan_out
 from emberlog.plans.adapters import INDEX_PREFIX, NOW, SQL_EVENTS_LOG, events_log, sql_case
 from emberlog.plans.registry import query, table
@@ -118,6 +119,16 @@ def scan_limit_large(spark, d):
     return lines.orderBy(F.col("l_shipdate").desc_nulls_last(), *keys).limit(50_000)
 
 
+@query("""
+SELECT event_id, ts, event_type FROM events ORDER BY ts DESC NULLS LAST, event_id
+LIMIT (SELECT count(*) * 2 // 3 FROM events)
+""")
+def scan_limit_bulk(spark, d):
+    """Two thirds of all rows as one export, without a merge in one task."""
+    events = table(spark, d, "events").select("event_id", "ts", "event_type")
+    return newest_bulk(events, "ts", events.count() * 2 // 3, ["event_id"])
+
+
 _SAMPLE_SQL = """
 WITH {events_log}
 SELECT _index, id, event_type, value FROM events_log

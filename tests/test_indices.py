@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberlog import LogTable
-from emberlog.operators.ordering import newest_per_index, sample_with_total
+from emberlog.operators.ordering import newest_bulk, newest_per_index, sample_with_total
 from emberlog.sources import indices
 
 NOW = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -102,3 +102,18 @@ def test_pruned_scan_equals_full_scan_with_filter(spark, tmp_path):
     assert sorted(r.id for r in plain.collect()) == sorted(r.id for r in pruned.collect())
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(isnull(index_date" in plan and "2024-01-05" in plan
+
+
+@pytest.mark.parametrize("limit", [1, 25, 700, 5000, 5990, 6000, 9000])
+def test_bulk_limit_matches_brute_force(spark, limit):
+    data, df = _skewed(spark)
+    data.sort(key=lambda r: (r[2] is None, -(r[2] or datetime(1970, 1, 1)).timestamp(), r[1]))
+    got = [r.id for r in newest_bulk(df, "ts", limit, ["id"]).select("id").collect()]
+    assert got == [row[1] for row in data[:limit]]
+
+
+def test_bulk_limit_on_epoch_millis(spark):
+    df = spark.range(1000).select("id", (F.lit(1704067200000) + F.col("id") * 137).alias("startTimeMillis"))
+    assert [r.id for r in newest_bulk(df, "startTimeMillis", 600).select("id").collect()] == list(range(999, 399, -1))
+    table = LogTable(df)
+    assert table.top(1_500_000).df.count() == 1000
