@@ -70,8 +70,8 @@ def _selected(spark: SparkSession, args) -> LogTable:
     table = LogTable(df, args.time_field, text_fields, _names(args.tie_break))
     table = table.between(args.frm, args.to)
     wanted = {entity: getattr(args, entity) for entity in ENTITIES if getattr(args, entity)}
-    for entity, alike in table.lookalikes(**wanted).items():
-        print(f"warning: no field for {entity}; similar fields: {', '.join(alike) or 'none'}", file=sys.stderr)
+    for line in table.warnings(**wanted):
+        print(f"warning: {line}", file=sys.stderr)
     return table.where_entity(**wanted)
 
 

@@ -89,9 +89,9 @@ class LogTable:
         """namespace, pod, deployment, container, service, operation."""
         return self._where(filters.entity_filters(self.fields, self.entity_fields(), wanted))
 
-    def lookalikes(self, **wanted: str) -> dict[str, list[str]]:
-        """Entities asked for that no field can hold, with fields that look alike."""
-        return filters.unmapped_entities(filters.leaf_names(self.df.schema), self.entity_fields(), wanted)
+    def warnings(self, **wanted: str) -> list[str]:
+        """What `where_entity` would not apply, with fields that look alike."""
+        return filters.filter_warnings(filters.leaf_names(self.df.schema), self.entity_fields(), wanted)
 
     # ------------------------------------------------------- order and limits
 

@@ -93,3 +93,18 @@ def unmapped_entities(names: Iterable[str], mapping: Mapping[str, list[str]], wa
             words = LOOKALIKE_WORDS[entity]
             lookalikes[entity] = sorted(n for n in set(names) if any(w in n.lower() for w in words))[:5]
     return lookalikes
+
+
+def filter_warnings(
+    names: Iterable[str], mapping: Mapping[str, list[str]], wanted: Mapping[str, str], kind: str = "generic"
+) -> list[str]:
+    """One line per entity filter that cannot be applied."""
+    lines = []
+    for entity, alike in unmapped_entities(names, mapping, wanted).items():
+        origin = "OTEL" if entity in ("service", "operation") else "Kubernetes"
+        line = (
+            f"{origin} {entity} filter '{wanted[entity]}' cannot be applied"
+            f" - no suitable {entity} field found in {kind} logs"
+        )
+        lines.append(line + (f". Available similar fields: {', '.join(alike)}" if alike else ""))
+    return lines

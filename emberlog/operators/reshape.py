@@ -53,15 +53,26 @@ def pick_names(names: Sequence[str], patterns: Sequence[str]) -> list[str]:
 def select_fields(df: DataFrame, patterns: Sequence[str], aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Selected fields in the order asked for, renamed where an alias is given.
 
-    Names are columns of `df` or dotted paths into its structs; unknown names are left out.
+    A name is a column of `df` or a path into its structs, maps and variants; globs and
+    `!` work on columns and struct members.  Unknown names are left out.
     """
     aliases = aliases or {}
     fields = Fields.of(df)
-    paths = [n for n in leaf_names(df.schema) if n in patterns]
-    chosen = pick_names(list(dict.fromkeys(df.columns + paths)), patterns)
+    known = dict.fromkeys(df.columns + [n for n in leaf_names(df.schema) if n in patterns])
+    known.update(dict.fromkeys(n for n in patterns if n[:1] != "!" and fields.find(n) is not None))
+    chosen = pick_names(list(known), patterns)
     return df.select(*[fields.find(n).column.alias(aliases.get(n, n)) for n in chosen])
 
 
+def expand_labels(df: DataFrame, labels: str, names: Sequence[str]) -> DataFrame:
+    """Keys of a label map as columns of their own; a column the row already has wins."""
+    own = {name: quoted(name) for name in df.columns if name != labels}
+    for name in names:
+        label = F.try_element_at(quoted(labels), F.lit(name))
+        own[name] = F.coalesce(own[name], label) if name in own else label
+    return df.select(*[column.alias(name) for name, column in own.items()])
+
+
 def flatten(df: DataFrame) -> DataFrame:
     """Struct members as columns with dotted names; arrays and maps stay whole."""
     fields = Fields.of(df)

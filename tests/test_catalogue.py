@@ -94,6 +94,19 @@ def test_lookalikes(spark):
     assert found[("a", "container")] == ["k8s"] and found[("a", "pod")] == []
     assert ("b", "deployment") not in found
     names = ["app_b", "x", "app_a"]
+    lines = filters.filter_warnings(
+        ["kubernetes.namespace", "kubernetes_pod_name", "some_service_field"],
+        {"namespace": ["kubernetes.namespace"]},
+        {"namespace": "n", "pod": "api-pod", "service": "s", "container": "c"}, "kubernetes",
+    )
+    assert lines == [
+        "Kubernetes pod filter 'api-pod' cannot be applied - no suitable pod field found in kubernetes logs."
+        " Available similar fields: kubernetes_pod_name",
+        "Kubernetes container filter 'c' cannot be applied - no suitable container field found in kubernetes logs."
+        " Available similar fields: kubernetes.namespace, kubernetes_pod_name",
+        "OTEL service filter 's' cannot be applied - no suitable service field found in kubernetes logs."
+        " Available similar fields: some_service_field",
+    ]
     assert filters.unmapped_entities(names, {}, {"deployment": "d"}) == {"deployment": ["app_a", "app_b"]}
 
 

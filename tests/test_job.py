@@ -39,7 +39,7 @@ def test_export_of_a_body_with_limit_and_view(spark, root, tmp_path, capsys):
     got = spark.read.json(str(tmp_path / "out"))
     assert got.count() == 4 and {r.level for r in got.collect()} == {"INFO"}
     assert got.agg({"timestamp": "max"}).first()[0] == "2024-01-03 09:00:00"
-    assert "no field for pod" in capsys.readouterr().err
+    assert "Kubernetes pod filter 'x' cannot be applied" in capsys.readouterr().err
 
 
 def test_export_of_aggregations(spark, root, tmp_path):

@@ -86,7 +86,9 @@ def test_export_chain(spark):
     sourced = table.search({"query": {"match_all": {}}, "_source": ["id"], "size": 1})
     assert [tuple(r) for r in sourced.export().collect()] == [(2,)]
     assert [r.id for r in table.between("2024-01-01T00:30:00Z").df.collect()] == [2]
-    assert table.lookalikes(pod="x", service="y") == {"pod": []}
+    assert table.warnings(pod="x", service="y") == [
+        "Kubernetes pod filter 'x' cannot be applied - no suitable pod field found in generic logs"
+    ]
 
 
 def test_query_and_time_range_stay_apart(spark):
@@ -202,3 +204,15 @@ def test_partitioned_index_is_rebalanced(spark, tmp_path):
     assert stored.count() == 1000
     files = list((tmp_path / "i").glob("_index=*/*.parquet"))
     assert len(files) <= 4
+
+
+def test_records_with_a_label_map(spark):
+    labels = {"kubernetes.namespace": "production", "some-very-long-field": "value1", "message": "label"}
+    df = spark.createDataFrame([("test1", "Test message", labels)], "id string, message string, Labels map<string,string>")
+    got = reshape.select_fields(df, ["Labels.some-very-long-field", "message"], {"Labels.some-very-long-field": "short"})
+    assert got.first().asDict() == {"short": "value1", "message": "Test message"}
+    wide = reshape.expand_labels(df, "Labels", ["kubernetes.namespace", "message", "absent"])
+    assert wide.first().asDict() == {
+        "id": "test1", "message": "Test message", "kubernetes.namespace": "production", "absent": None,
+    }
+    assert [r.id for r in LogTable(wide, "ts").where_entity(namespace="production").df.collect()] == ["test1"]
