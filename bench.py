@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 import time
 from pathlib import Path
@@ -56,7 +57,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 4),
         "unit": "sec",
         "queries": seconds,
-        "sf": Path(sf_dir).name.removeprefix("sf"),
+        "sf": float(re.sub(r"[^0-9.]", "", Path(sf_dir).name) or 0),
     }
     spark.stop()
     print(json.dumps(result), flush=True)
