@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlog.functions.fields import Fields
+from emberlog.functions.fields import Fields, quoted
 from emberlog.operators import predicates as P
 from emberlog.operators.dsl import QueryError, compile_query
 
@@ -47,9 +47,11 @@ def _column(fields: Fields, body: dict) -> Column:
 # ----------------------------------------------------------------- metrics
 
 
-def metric_columns(fields: Fields, name: str, kind: str, body: dict) -> list[Column]:
-    """The output columns of one metric, named after the metric."""
+def metric_columns(fields: Fields, name: str, kind: str, body: dict, guard: Column | None = None) -> list[Column]:
+    """The output columns of one metric, named after the metric, over the rows `guard` lets in."""
     value = _column(fields, body)
+    if guard is not None:
+        value = F.when(guard, value)
     one = {
         "avg": lambda: F.avg(value),
         "sum": lambda: F.sum(value),
@@ -86,6 +88,13 @@ _METRICS = {"avg", "sum", "min", "max", "value_count", "cardinality", "stats", "
 # ----------------------------------------------------------------- buckets
 
 
+def _key(name: str) -> Column:
+    """The bucket key of a level on the rows, apart from any field of the same name."""
+    return quoted(f"__{name}")
+
+
+def _keys(names: list[str]) -> list[Column]:
+    return [_key(name).alias(name) for name in names]
 
 
 def _range_label(bounds: dict) -> str:
@@ -100,8 +109,6 @@ def _bucket_key(fields: Fields, kind: str, body: dict) -> Column:
         return F.floor((_column(fields, body) - F.lit(offset)) / F.lit(step)) * F.lit(step) + F.lit(offset)
     if kind == "date_histogram":
         return _time_bucket(fields, body)
-    if kind == "filter":
-        return F.when(compile_query(fields, body).matches, F.lit(True))
     raise QueryError(f"unknown aggregation {kind!r}")
 
 
@@ -120,42 +127,47 @@ def _time_bucket(fields: Fields, body: dict) -> Column:
     return bucket.cast("timestamp_ntz") if isinstance(field.dtype, T.TimestampNTZType) else bucket
 
 
-def _overlapping(fields: Fields, kind: str, body: dict) -> Column:
-    """Labels of every bucket a row falls in, for kinds whose buckets may overlap."""
-    if kind == "range":
-        field = fields.find(body["field"])
-        named = [
-            (
-                _range_label(r),
-                P.range_of(
-                    field, {op: r[end] for end, op in (("from", "gte"), ("to", "lt")) if r.get(end) is not None}
-                )
-                & field.column.isNotNull(),
-            )
-            for r in body["ranges"]
-        ]
-    else:
+def _labelled(fields: Fields, kind: str, body: dict) -> list[tuple[object, Column]]:
+    """Label and condition of every bucket, for kinds that list their buckets."""
+    if kind == "filter":
+        return [(True, compile_query(fields, body).matches)]
+    if kind == "filters":
         given = body["filters"]
         listed = given.items() if isinstance(given, dict) else ((str(i), q) for i, q in enumerate(given))
-        named = [(label, compile_query(fields, q).matches) for label, q in listed]
-    labels = F.array(*[F.when(holds, F.lit(label)) for label, holds in named])
-    return F.filter(labels, lambda label: label.isNotNull())
+        return [(label, compile_query(fields, q).matches) for label, q in listed]
+    field = fields.find(body["field"])
+    if field is None:
+        raise QueryError(f"no field {body['field']!r}")
+    ends = (("from", "gte"), ("to", "lt"))
+    return [
+        (
+            _range_label(bounds),
+            P.range_of(field, {op: bounds[end] for end, op in ends if bounds.get(end) is not None}, fields.now)
+            & field.column.isNotNull(),
+        )
+        for bounds in body["ranges"]
+    ]
 
 
-_BUCKETS = {"terms", "histogram", "date_histogram", "filter", "range", "filters"}
+_LISTED = {"range", "filters", "filter"}
+_BUCKETS = {"terms", "histogram", "date_histogram"} | _LISTED
 
 
 def aggregate(df: DataFrame, aggs: dict, fields: Fields | None = None) -> dict[str, DataFrame]:
-    """One DataFrame per bucket aggregation, plus one named `metrics` for all plain
-    metrics, which share a single pass."""
+    """One DataFrame per bucket aggregation, plus `metrics` for all plain metrics together.
+
+    Buckets within buckets are named by their path, `outer>inner`, and have the keys of
+    every level as columns.
+    """
     fields = fields or Fields.of(df)
-    frames, metrics = {}, []
+    frames: dict[str, DataFrame] = {}
+    metrics = []
     for name, spec in aggs.items():
         kind, body = _kind(spec)
         if kind in _METRICS:
             metrics.extend(metric_columns(fields, name, kind, body))
         elif kind in _BUCKETS:
-            frames[name] = _buckets(df, fields, name, spec)
+            _buckets(df, fields, [], None, name, spec, frames)
         else:
             raise QueryError(f"unknown aggregation {kind!r}")
     if metrics:
@@ -163,82 +175,92 @@ def aggregate(df: DataFrame, aggs: dict, fields: Fields | None = None) -> dict[s
     return frames
 
 
-def _buckets(df: DataFrame, fields: Fields, name: str, spec: dict) -> DataFrame:
-    """A bucket aggregation with its metrics, and at most one bucket level below it."""
+def _buckets(
+    rows: DataFrame, fields: Fields, outer: list[str], kept: DataFrame | None, name: str, spec: dict, frames: dict
+) -> None:
+    """Adds the frame of one bucket aggregation and of those below it.
+
+    `outer` names the levels above, whose keys `rows` has as columns; `kept` holds
+    the buckets of the level above where that level was cut to size.
+    """
     kind, body = _kind(spec)
-    inner = {n: s for n, s in _sub(spec).items() if _kind(s)[0] in _BUCKETS}
-    metrics = {n: s for n, s in _sub(spec).items() if n not in inner}
-    if len(inner) > 1:
-        raise QueryError("ask for sibling sub-buckets in separate aggregations")
-    rows, keys = df, {name: (kind, body)}
-    for child, child_spec in inner.items():
-        if any(_kind(s)[0] in _BUCKETS for s in _sub(child_spec).values()):
-            raise QueryError("buckets nest two levels deep")
-        keys[child] = _kind(child_spec)
-        metrics = {**metrics, **_sub(child_spec)}
-    for key, (key_kind, key_body) in keys.items():
-        if key_kind in ("range", "filters"):
-            rows = rows.withColumn(f"__{key}", F.explode(_overlapping(fields, key_kind, key_body)))
-        elif key_kind == "terms" and isinstance(fields.find(key_body["field"]).dtype, T.ArrayType):
-            rows = rows.withColumn(f"__{key}", F.explode(F.array_distinct(_column(fields, key_body))))
-        else:
-            rows = rows.withColumn(f"__{key}", _bucket_key(fields, key_kind, key_body))
-        rows = rows.where(F.col(f"__{key}").isNotNull())
-    grouped = rows.groupBy(*[F.col(f"__{key}").alias(key) for key in keys])
-    wanted = [F.count(F.lit(1)).alias("doc_count")]
-    for metric, metric_spec in metrics.items():
-        metric_kind, metric_body = _kind(metric_spec)
-        wanted.extend(metric_columns(fields, metric, metric_kind, metric_body))
-    counted = grouped.agg(*wanted)
-    if len(keys) == 1:
-        return _ordered(counted, name, kind, body)
-    return _ordered_within(counted, keys)
-
-
-def _ordered(counted: DataFrame, name: str, kind: str, body: dict) -> DataFrame:
-    if kind != "terms":
-        return counted.orderBy(F.col(name))
-    return counted.orderBy(*_terms_order(name, body)).limit(int(body.get("size", DEFAULT_BUCKETS)))
+    below = {n: s for n, s in _sub(spec).items() if _kind(s)[0] in _BUCKETS}
+    metrics = {n: s for n, s in _sub(spec).items() if n not in below}
+    counted = (_listed if kind in _LISTED else _grouped)(rows, fields, outer, name, kind, body, metrics)
+    if kept is not None:
+        counted = counted.join(kept.select(*[quoted(k) for k in outer]), outer, "left_semi")
+    if int(body.get("min_doc_count", 1)) > 1:
+        counted = counted.where(F.col("doc_count") >= int(body["min_doc_count"]))
+    cut = _cut(counted, outer, name, kind, body)
+    frames[">".join([*outer, name])] = cut
+    if not below:
+        return
+    if kind in _LISTED:
+        labels = F.array(*[F.when(holds, F.lit(label)) for label, holds in _labelled(fields, kind, body)])
+        keyed = rows.withColumn(f"__{name}", F.explode(F.array_compact(labels)))
+    else:
+        keyed = _with_key(rows, fields, name, kind, body)
+    cut_above = kind == "terms" or kept is not None or int(body.get("min_doc_count", 1)) > 1
+    for inner, inner_spec in below.items():
+        _buckets(keyed, fields, [*outer, name], cut if cut_above else None, inner, inner_spec, frames)
 
 
-def _terms_order(name: str, body: dict, count: str = "doc_count") -> list[Column]:
-    """Largest bucket first and equal ones by key, unless `order` says otherwise."""
-    order = body.get("order", {"_count": "desc"})
-    keys = []
-    for by, direction in (order.items() if isinstance(order, dict) else [p for o in order for p in o.items()]):
-        column = F.col(count) if by == "_count" else F.col(name) if by == "_key" else F.col(by)
-        keys.append(column.desc() if direction == "desc" else column.asc())
-    return keys + [F.col(name).asc()]
+def _with_key(rows: DataFrame, fields: Fields, name: str, kind: str, body: dict) -> DataFrame:
+    key = _bucket_key(fields, kind, body)
+    found = fields.find(body["field"])
+    if kind == "terms" and found is not None and isinstance(found.dtype, T.ArrayType):
+        key = F.explode(F.array_distinct(key))
+    return rows.withColumn(f"__{name}", key).where(_key(name).isNotNull())
+
+
+def _metrics_of(fields: Fields, metrics: dict, guard: Column | None = None) -> list[Column]:
+    wanted = []
+    for name, spec in metrics.items():
+        kind, body = _kind(spec)
+        wanted.extend(metric_columns(fields, name, kind, body, guard))
+    return wanted
+
+
+def _grouped(rows, fields, outer, name, kind, body, metrics) -> DataFrame:
+    keyed = _with_key(rows, fields, name, kind, body)
+    counts = F.count(F.lit(1)).alias("doc_count")
+    return keyed.groupBy(*_keys([*outer, name])).agg(counts, *_metrics_of(fields, metrics))
 
 
-def _ordered_within(counted: DataFrame, keys: dict) -> DataFrame:
-    """Outer buckets cut to size by their total, inner ones by rank within the outer.
+def _listed(rows, fields, outer, name, kind, body, metrics) -> DataFrame:
+    """Buckets that are listed in the request: one conditional aggregate each, so rows are
+    neither copied nor shuffled by bucket, and empty buckets count zero."""
+    wanted, shown = [], []
+    for i, (label, holds) in enumerate(_labelled(fields, kind, body)):
+        columns = [F.count_if(holds).alias("doc_count"), *_metrics_of(fields, metrics, holds)]
+        wanted.append(F.struct(*columns).alias(f"__{i}"))
+        shown.append(F.struct(F.lit(label).alias(name), F.col(f"__{i}.*")))
+    return rows.groupBy(*_keys(outer)).agg(*wanted).select(*[quoted(k) for k in outer], F.inline(F.array(*shown)))
 
-    Windows here run over finished buckets, one row per key pair, never over rows.
+
+def _cut(counted: DataFrame, outer: list[str], name: str, kind: str, body: dict) -> DataFrame:
+    """Buckets in order; `terms` keep the first `size`, within each bucket of the level above.
+
+    The window runs over finished buckets, never over rows.
     """
-    (outer, (outer_kind, outer_body)), (inner, (inner_kind, inner_body)) = keys.items()
-    out = counted
-    if outer_kind == "terms":
-        totals = (
-            counted.groupBy(F.col(outer).alias("__outer"))
-            .agg(F.sum("doc_count").alias("__total"))
-            .orderBy(*_terms_order("__outer", {**outer_body, "order": _outer_order(outer_body)}, "__total"))
-            .limit(int(outer_body.get("size", DEFAULT_BUCKETS)))
-        )
-        out = out.join(totals.drop("__total"), F.col(outer) == F.col("__outer"), "left_semi")
-    if inner_kind == "terms":
-        rank = F.row_number().over(Window.partitionBy(outer).orderBy(*_terms_order(inner, inner_body)))
-        out = out.withColumn("__rank", rank).where(
-            F.col("__rank") <= int(inner_body.get("size", DEFAULT_BUCKETS))
-        ).drop("__rank")
-    return out
+    if kind != "terms":
+        return counted if kind in _LISTED else counted.orderBy(*[quoted(k) for k in [*outer, name]])
+    size = int(body.get("size", DEFAULT_BUCKETS))
+    order = _terms_order(name, body)
+    if not outer:
+        return counted.orderBy(*order).limit(size)
+    rank = F.row_number().over(Window.partitionBy(*[quoted(k) for k in outer]).orderBy(*order))
+    return counted.withColumn("__rank", rank).where(F.col("__rank") <= size).drop("__rank")
 
 
-def _outer_order(body: dict) -> dict:
+def _terms_order(name: str, body: dict) -> list[Column]:
+    """Largest bucket first and equal ones by key, unless `order` says otherwise."""
     order = body.get("order", {"_count": "desc"})
-    if set(order) - {"_count", "_key"}:
-        raise QueryError("outer terms of a nested aggregation order by _count or _key")
-    return order
+    keys = []
+    for by, direction in (order.items() if isinstance(order, dict) else [p for o in order for p in o.items()]):
+        column = F.col("doc_count") if by == "_count" else quoted(name) if by == "_key" else quoted(by)
+        keys.append(column.desc() if direction == "desc" else column.asc())
+    return keys + [quoted(name).asc()]
 
 
 def total_hits(df: DataFrame) -> DataFrame:

@@ -177,7 +177,7 @@ def agg_sub_terms(spark, d):
         "terms": {"field": "o_orderpriority", "size": 3},
         "aggs": {"status": {"terms": {"field": "o_orderstatus", "size": 2}, "aggs": {"price": {"avg": {"field": "o_totalprice"}}}}},
     }}
-    found = aggregations.aggregate(table(spark, d, "orders"), aggs)["priority"]
+    found = aggregations.aggregate(table(spark, d, "orders"), aggs)["priority>status"]
     return found.withColumn("price", F.round("price", 4))
 
 
