@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from datetime import datetime, timezone
 from pathlib import Path
@@ -19,8 +20,10 @@ if __package__ in (None, ""):
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from emberlog.logtable import LogTable  # noqa: E402
+from emberlog.operators.catalogue import kind_of  # noqa: E402
 from emberlog.operators.filters import ENTITIES  # noqa: E402
 from emberlog.operators.ordering import DEFAULT_SAMPLE  # noqa: E402
+from emberlog.operators.views import View  # noqa: E402
 from emberlog.session import get_session  # noqa: E402
 from emberlog.sources import importer, indices, sinks  # noqa: E402
 
@@ -47,6 +50,8 @@ def _arguments() -> argparse.ArgumentParser:
             step.add_argument("--fields")
             step.add_argument("--view")
             step.add_argument("--preset")
+            step.add_argument("--view-file", help="JSON list of view columns")
+            step.add_argument("--auto-detect", action="store_true", help="view by the kind of index")
             step.add_argument("--limit", type=int)
             step.add_argument("--format", choices=("json", "csv"), default="json")
         else:
@@ -67,7 +72,7 @@ def _selected(spark: SparkSession, args) -> LogTable:
     """The rows of the indices asked for, cut by time and entities."""
     df = indices.scan_folders(spark, args.root, args.index, args.input_format)
     text_fields = _names(args.text_fields)
-    table = LogTable(df, args.time_field, text_fields, _names(args.tie_break))
+    table = LogTable(df, args.time_field, text_fields, _names(args.tie_break), name=args.index)
     table = table.between(args.frm, args.to)
     wanted = {entity: getattr(args, entity) for entity in ENTITIES if getattr(args, entity)}
     for line in table.warnings(**wanted):
@@ -84,8 +89,13 @@ def export(spark: SparkSession, args) -> None:
         for name, frame in table.aggregate().items():
             _write(frame, f"{args.output}/{name}", args.format)
         return
-    if args.view or args.preset:
-        shown = table.top(args.limit).view(args.view or args.preset, preset=bool(args.preset))
+    view = args.view or args.preset
+    if args.view_file:
+        view = View.of(json.loads(Path(args.view_file).read_text()))
+    detected = args.auto_detect and kind_of((), args.index) != "generic"
+    if view or detected:
+        newest = table.top(args.limit)
+        shown = newest.view(view, preset=bool(args.preset)) if view else newest.auto_view()
         _write(shown.select(args.fields).df if args.fields else shown.df, args.output, args.format)
         return
     _write(table.export(args.fields, args.limit), args.output, args.format)

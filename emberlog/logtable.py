@@ -11,31 +11,32 @@ from pyspark.sql import functions as F
 
 from emberlog.functions.fields import Fields, Relation
 from emberlog.operators import aggregations, filters, ordering, reshape
-from emberlog.operators.catalogue import DEFAULT_TIME_FIELD, TIME_FIELDS, INDEX_TYPES
-from emberlog.operators.dsl import Body, compile_query
+from emberlog.operators.catalogue import DEFAULT_TIME_FIELD, INDEX_TYPES, TIME_FIELDS, kind_of
+from emberlog.operators.dsl import Body, QueryError, compile_query
+from emberlog.operators.relations import more_like_this as similar_rows
+from emberlog.operators.relations import percolate as percolate_rows
 from emberlog.operators.search import search_predicate
 from emberlog.operators.views import View, view_named
 from emberlog.sources.indices import prune_by_date
 
 
-def time_field_of(df: DataFrame) -> str:
-    """The first usable time column, by the names each kind of log uses, else any date."""
+def time_field_of(df: DataFrame, kind: str = "generic") -> str:
+    """The first time column of the kind's list that `df` has, else its first date column."""
     fields = Fields.of(df)
-    candidates = dict.fromkeys(name for names in TIME_FIELDS.values() for name in names)
-    for name in candidates:
+    own = [f.name for f in df.schema.fields]
+    for name in dict.fromkeys([*TIME_FIELDS[kind], *own]):
         found = fields.find(name)
         if found is not None and (found.epoch_millis or INDEX_TYPES.get(type(found.dtype)) == "date"):
             return name
-    dates = [f.name for f in df.schema.fields if INDEX_TYPES.get(type(f.dataType)) == "date"]
-    return dates[0] if dates else DEFAULT_TIME_FIELD["generic"]
+    return DEFAULT_TIME_FIELD[kind]
 
 
 @dataclass(frozen=True)
 class LogTable:
     """Steps return a new LogTable; `df` is the lazy result so far.
 
-    `tie_break` names fields that make the time order unique; `date_partition` names
-    the date column the table is partitioned by, if any.
+    `tie_break` names fields that make the time order unique, `date_partition` the date
+    column the table is partitioned by, if any, and `name` the index or pattern it is.
     """
 
     df: DataFrame
@@ -46,11 +47,17 @@ class LogTable:
     relations: Mapping[str, Relation] = field(default_factory=dict)
     entities: Mapping[str, list[str]] | None = None
     date_partition: str | None = None
+    name: str = ""
     body: Body | None = None
 
     def __post_init__(self):
         if self.time_field is None:
-            object.__setattr__(self, "time_field", time_field_of(self.df))
+            object.__setattr__(self, "time_field", time_field_of(self.df, self.kind))
+
+    @property
+    def kind(self) -> str:
+        """kubernetes, jaeger or generic."""
+        return kind_of(filters.leaf_names(self.df.schema), self.name)
 
     @property
     def fields(self) -> Fields:
@@ -67,7 +74,9 @@ class LogTable:
             return self._where(search_predicate(self.fields, query))
         body = Body.of(query)
         table = replace(self, body=body)
-        if body.query is not None:
+        if body.query is not None and "more_like_this" in body.query:
+            table = replace(table, df=self._more_like_this(body.query["more_like_this"]))
+        elif body.query is not None:
             hit = compile_query(self.fields, body.query)
             matched = self.df.where(hit.matches)
             if with_score or any("_score" in (s if isinstance(s, dict) else [s]) for s in body.sort or []):
@@ -75,6 +84,27 @@ class LogTable:
             table = replace(table, df=matched)
         return table
 
+    def _more_like_this(self, clause: dict) -> DataFrame:
+        """The clause as a whole query; rows are named by the first tie-break field."""
+        like = clause["like"] if isinstance(clause["like"], list) else [clause["like"]]
+        (name,) = clause.get("fields") or self.text_fields
+        settings = ("max_query_terms", "min_term_freq", "min_doc_freq")
+        share = str(clause.get("minimum_should_match", "30%"))
+        if not share.endswith("%"):
+            raise QueryError("more_like_this takes minimum_should_match as a percentage")
+        return similar_rows(
+            self.df, name,
+            like=[item["_id"] for item in like if isinstance(item, dict)],
+            like_text=[item for item in like if isinstance(item, str)],
+            id_field=self.tie_break[0],
+            minimum_should_match=int(share[:-1]) / 100,
+            **{key: int(clause[key]) for key in settings if key in clause},
+        )
+
+    def percolate(self, queries: Mapping[str, dict], label: str = "query_id") -> LogTable:
+        """Every row once per stored query it matches."""
+        return replace(self, df=percolate_rows(self.df, queries, self.fields, label))
+
     def between(self, frm=None, to=None) -> LogTable:
         """Rows of a time range, both ends included; whole date partitions are pruned first."""
         table = self
@@ -91,7 +121,8 @@ class LogTable:
 
     def warnings(self, **wanted: str) -> list[str]:
         """What `where_entity` would not apply, with fields that look alike."""
-        return filters.filter_warnings(filters.leaf_names(self.df.schema), self.entity_fields(), wanted)
+        names = filters.leaf_names(self.df.schema)
+        return filters.filter_warnings(names, self.entity_fields(), wanted, self.kind)
 
     # ------------------------------------------------------- order and limits
 
@@ -133,6 +164,11 @@ class LogTable:
         chosen = view if isinstance(view, View) else view_named(view, preset)
         return replace(self, df=reshape.apply_view(self.df, chosen, colors))
 
+    def auto_view(self, colors: bool = False) -> LogTable:
+        """The preset for the kind the table's name tells; other tables stay as they are."""
+        kind = kind_of((), self.name)
+        return self if kind == "generic" else self.view(kind, preset=True, colors=colors)
+
     def aggregate(self, aggs: dict | None = None) -> dict[str, DataFrame]:
         """The given aggregations, or those of the request searched for."""
         wanted = aggs or (self.body.aggs if self.body else None)

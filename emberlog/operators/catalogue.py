@@ -241,6 +241,17 @@ def catalogue_of_documents(docs: DataFrame, doc: str = "doc", index: str = "_ind
 # ------------------------------------------------------------- index profiles
 
 
+def kind_of(names, index: str = "") -> str:
+    """The kind of one index, from its name and field names."""
+    lowered = {name.lower() for name in names}
+    index = index.lower()
+    if any(n in index for n in KUBERNETES_NAMES) or len(lowered & {*KUBERNETES_FIELDS}) >= KUBERNETES_FIELDS_NEEDED:
+        return "kubernetes"
+    if any(n in index for n in JAEGER_NAMES) or len(lowered & {*JAEGER_FIELDS}) >= JAEGER_FIELDS_NEEDED:
+        return "jaeger"
+    return "generic"
+
+
 def _held(names: tuple[str, ...]) -> Column:
     """How many of `names` an index has among its fields, whatever the case."""
     lowered = F.lower("field")

@@ -42,8 +42,9 @@ def more_like_this(
     min_term_freq: int = 2,
     min_doc_freq: int = 5,
     minimum_should_match: float = 0.3,
+    like_text: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows that share enough of the most telling terms of the rows called `like`.
+    """Rows that share enough of the most telling terms of the rows called `like` and of `like_text`.
 
     Terms are ranked by frequency in the seed rows times log(rows / rows with the term).
     The ranking runs at once and brings at most `max_query_terms` words to the driver;
@@ -52,9 +53,11 @@ def more_like_this(
     """
     fields = Fields.of(df)
     text, key = fields.find(field).column, fields.find(id_field).column
+    seeds = df.where(key.isin(list(like))).select(text.alias("text"))
+    for given in like_text:
+        seeds = seeds.unionByName(df.sparkSession.range(1).select(F.lit(given).alias("text")))
     seed_terms = (
-        df.where(key.isin(list(like)))
-        .select(F.explode(P.tokens(text)).alias("term"))
+        seeds.select(F.explode(P.tokens(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("freq"))
         .where(F.col("freq") >= min_term_freq)

@@ -24,8 +24,11 @@ class View:
 
     @classmethod
     def of(cls, columns: list[dict]) -> View:
-        """A view of one's own, from plain dicts with the keys of `ViewColumn`."""
-        return cls(tuple(ViewColumn(**c) for c in columns))
+        """A view of one's own, from dicts: name and, if wanted, type, label, date_format, color_options."""
+        known = ("name", "type", "label", "date_format")
+        return cls(tuple(
+            ViewColumn(**{k: c[k] for k in known if k in c}, colors=c.get("color_options", {})) for c in columns
+        ))
 
     def names(self) -> list[str]:
         return [c.name for c in self.columns]

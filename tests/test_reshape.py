@@ -69,7 +69,7 @@ def test_views(spark):
     assert (got.pid, got.hostname, got.message, got.tag) == (7, "x", None, None)
     bad = spark.createDataFrame([("seven",)], "pid string")
     assert reshape.apply_view(bad, view_named("syslog")).first().pid is None
-    own = View.of([{"name": "level", "colors": {"red": "BAD"}}])
+    own = View.of([{"name": "level", "style": "bold", "color_options": {"red": "BAD"}}])
     assert tuple(reshape.apply_view(spark.sql("SELECT 'bad' AS level"), own, colors=True).first()) == ("bad", "red")
 
 
