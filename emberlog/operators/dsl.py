@@ -205,7 +205,8 @@ def _range(fields: Fields, body: dict) -> Hit:
     for old, new in (("from", "gte"), ("to", "lte")):
         if bounds.get(old) is not None:
             known.setdefault(new, bounds[old])
-    return Hit(P.range_of(fields.find(name), known, fields.now), _boost({**bounds, **body}))
+    field = fields.find(name)
+    return Hit(P.range_of(field, known, fields.now) if known else P.exists(field), _boost({**bounds, **body}))
 
 
 def _exists(fields: Fields, body: dict) -> Hit:

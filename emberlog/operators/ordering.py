@@ -81,7 +81,7 @@ def newest_bulk(df: DataFrame, time_field: str, limit: int, tie_break: Iterable[
         untimed = df.where(field.column.isNull())
         found = timed.unionByName(newest(untimed, time_field, left, tie_break)) if left else timed
     else:
-        of_day = timed.where(P.compare(field, "gte", _instant(day * _DAY)) & P.compare(field, "lt", _instant((day + 1) * _DAY)))
+        of_day = timed.where(P.range_of(field, {"gte": _instant(day * _DAY), "lt": _instant((day + 1) * _DAY)}))
         second, left = _bucket_of_row(of_day, seconds, left)
         after = P.compare(field, "gte", _instant(second + 1))
         within = P.compare(field, "gte", _instant(second)) & ~after

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -133,7 +134,8 @@ def terms(field: Field | None, values: Iterable, now=None) -> Column:
 
     def test(column, dtype):
         if isinstance(dtype, T.VariantType):
-            return any_of(_plain(column, dtype, v)[0] == _literal(v, _plain(column, dtype, v)[1]) for v in listed)
+            typed = [(v, *_plain(column, dtype, v)) for v in listed]
+            return any_of(plain == _literal(v, target, now) for v, plain, target in typed)
         return column.isin(*[_literal(v, dtype, now) for v in listed])
 
     return _each(field, test)
@@ -206,12 +208,12 @@ def _compare_date(column: Column, op: str, bound, now) -> Column:
 
 
 def range_of(field: Field | None, bounds: dict, now=None) -> Column:
-    sides = [compare(field, op, bounds[op], now) for op in _COMPARE if bounds.get(op) is not None]
-    if field is not None and isinstance(field.dtype, T.ArrayType) and len(sides) > 1:
-        # Both sides must hold for the same element.
-        element = Field(field.name, F.col("x"), field.element_type, field.text, field.epoch_millis)
-        return F.exists(field.column, lambda x: range_of(Field(**{**element.__dict__, "column": x}), bounds, now))
-    return all_of(sides)
+    """All given sides of a range, on one and the same element where the field is an array."""
+    sides = {op: bounds[op] for op in _COMPARE if bounds.get(op) is not None}
+    if sides and field is not None and isinstance(field.dtype, T.ArrayType):
+        element = field.element_type
+        return F.exists(field.column, lambda x: range_of(replace(field, column=x, dtype=element), sides, now))
+    return all_of(compare(field, op, bound, now) for op, bound in sides.items())
 
 
 # ------------------------------------------------------------ string patterns
@@ -306,7 +308,12 @@ def has_phrase(column: Column, words: list[str], last_is_prefix: bool = False) -
     lowered = F.lower(column)
     between = r"[^\p{L}\p{N}_]+"
     adjacent = lowered.rlike(_bounded(between.join(words), open_end=last_is_prefix))
-    return all_of([lowered.contains(w) for w in dict.fromkeys(words)] + [adjacent])
+    return all_of([lowered.contains(w) for w in _longest_first(words)] + [adjacent])
+
+
+def _longest_first(words: Iterable[str]) -> list[str]:
+    """Long words are rare, so testing them first settles most rows at once."""
+    return sorted(dict.fromkeys(words), key=len, reverse=True)
 
 
 def _bounded(body: str, open_end: bool = False) -> str:
@@ -325,7 +332,7 @@ def match(field: Field | None, value, operator: str = "or", now=None) -> Column:
     def test(column, dtype):
         column = _string(column, dtype)
         if operator.lower() == "and":
-            return all_of(has_token(column, [word]) for word in dict.fromkeys(words))
+            return all_of(has_token(column, [word]) for word in _longest_first(words))
         return has_token(column, words)
 
     return _each(field, test)

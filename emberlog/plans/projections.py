@@ -195,6 +195,30 @@ def view_kubernetes(spark, d):
     return reshape.apply_view(adapted, view_named("kubernetes"))
 
 
+@query(f"""
+WITH {SQL_EVENTS_LOG}
+SELECT strftime("@timestamp", '%Y-%m-%d %H:%M:%S') AS "@timestamp", "kubernetes.namespace",
+       'pod-' || CAST(user_id AS VARCHAR) AS "kubernetes.pod.name", service AS "kubernetes.container.name",
+       "props@json" AS message, level, CAST(NULL AS VARCHAR) AS "kubernetes.node.name",
+       event_type AS "kubernetes.deployment.name", CAST(NULL AS VARCHAR) AS "cloud.provider", 'eu' AS "cloud.region",
+       CAST(NULL AS VARCHAR) AS "agent.type",
+       CASE level WHEN 'ERROR' THEN 'red' WHEN 'WARN' THEN 'yellow' WHEN 'INFO' THEN 'green' ELSE 'blue' END AS level_color
+FROM events_log
+""")
+def view_kubernetes_preset(spark, d):
+    named = [
+        F.struct(F.concat(F.lit("pod-"), F.col("user_id")).alias("name")).alias("pod"),
+        F.struct(F.col("service").alias("name")).alias("container"),
+        F.struct(F.col("event_type").alias("name")).alias("deployment"),
+        F.col("`kubernetes.namespace`").alias("namespace"),
+    ]
+    adapted = events_log(spark, d).select(
+        "`@timestamp`", F.struct(*named).alias("kubernetes"), F.col("`props@json`").alias("message"), "level",
+        F.struct(F.lit("eu").alias("region")).alias("cloud"),
+    )
+    return reshape.apply_view(adapted, view_named("k8s", preset=True), colors=True)
+
+
 @query(f"""
 WITH {SQL_EVENTS_MILLIS}
 SELECT strftime(make_timestamp("startTimeMillis" * 1000), '%H:%M:%S.%g') AS "startTimeMillis",

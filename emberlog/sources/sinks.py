@@ -55,6 +55,18 @@ def write_index(df: DataFrame, path: str, force: bool = False, partition_by: Seq
     writer.parquet(path)
 
 
+def write_related(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A parent or child table bucketed by the key it is related by.
+
+    With both sides in the same number of buckets, `has_child` and `has_parent` join
+    bucket by bucket and nothing is shuffled.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
 def write_sample(
     df: DataFrame, path: str, time_field: str, limit: int = DEFAULT_SAMPLE, tie_break=(), index: str = "_index",
     metadata: Mapping[str, str] | None = None,

@@ -55,3 +55,25 @@ def test_no_python_and_no_product(spark, sf_dir, name):
     shown = plan(QUERIES[name](spark, sf_dir))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert banned not in shown
+
+
+def test_bucketed_relations_are_not_shuffled(spark, sf_dir, tmp_path):
+    from emberlog.functions.fields import Fields, Relation
+    from emberlog.operators.dsl import compile_query
+    from emberlog.sources import sinks
+
+    sinks.write_related(table(spark, sf_dir, "orders"), "rel_orders", "o_orderkey", 4, str(tmp_path / "o"))
+    sinks.write_related(table(spark, sf_dir, "lineitem"), "rel_lines", "l_orderkey", 4, str(tmp_path / "l"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = spark.table("rel_orders")
+        relation = Relation(spark.table("rel_lines"), here="o_orderkey", there="l_orderkey")
+        clause = {"has_child": {"type": "line", "query": {"range": {"l_quantity": {"gt": 48}}}}}
+        found = orders.where(compile_query(Fields.of(orders, relations={"line": relation}), clause).matches)
+        assert "Exchange" not in plan(found) and "LeftSemi" in plan(found)
+        expected = table(spark, sf_dir, "lineitem").where("l_quantity > 48").select("l_orderkey").distinct().count()
+        assert found.count() <= expected and found.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE rel_orders")
+        spark.sql("DROP TABLE rel_lines")
