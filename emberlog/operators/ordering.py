@@ -9,14 +9,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlog.functions.fields import Fields
+from emberlog.functions.fields import Field, Fields, quoted
 from emberlog.operators import predicates as P
 
 DEFAULT_LIMIT = 500
 DEFAULT_SAMPLE = 100
 # Up to here the newest rows of all tasks are merged in one task, beyond it see `newest_bulk`.
 LARGEST_MERGE = 1_000_000
-SALTS = 64
+# Fewest slices an index is ranked in, and most indices whose cut is sent to the tasks.
+SLICES = 64
+LARGEST_CUT_LIST = 100_000
 
 
 def newest_first(fields: Fields, time_field: str, tie_break: Iterable[str] = ()) -> list[Column]:
@@ -69,10 +71,7 @@ def newest_bulk(df: DataFrame, time_field: str, limit: int, tie_break: Iterable[
     fields = Fields.of(df)
     tie_break = list(tie_break)
     field = fields.find(time_field)
-    if field.epoch_millis and isinstance(field.dtype, T.IntegralType):
-        seconds = F.floor(field.column / 1000)
-    else:
-        seconds = F.unix_seconds(field.column.cast("timestamp"))
+    seconds = _epoch_seconds(field)
     timed = df.where(field.column.isNotNull())
 
     # At most one row per day, then one per second of a day, reach the driver.
@@ -92,6 +91,12 @@ def newest_bulk(df: DataFrame, time_field: str, limit: int, tie_break: Iterable[
 _DAY = 86_400
 
 
+def _epoch_seconds(field: Field) -> Column:
+    if field.epoch_millis and isinstance(field.dtype, T.IntegralType):
+        return F.floor(field.column / 1000)
+    return F.unix_seconds(field.column.cast("timestamp"))
+
+
 def _instant(epoch_seconds: int) -> datetime:
     return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=epoch_seconds)
 
@@ -116,24 +121,67 @@ def newest_per_index(
     limit: int = DEFAULT_SAMPLE,
     tie_break: Iterable[str] = (),
     index: str = "_index",
-    salts: int = SALTS,
+    slices: int | None = None,
 ) -> DataFrame:
     """The newest `limit` rows of every index, in one job.
 
     One index may hold most rows, so ranking runs twice: first per index and input
-    slice, which spreads a hot index over up to `salts` tasks, then per index over
-    the few rows left.  Before each exchange Spark already cuts to `limit` per key.
+    slice, which spreads a hot index over all tasks, then per index over the few rows
+    left.  Before each exchange Spark already cuts to `limit` per key; limits too large
+    for that are cut by time first.
     """
     fields = Fields.of(df)
     order = newest_first(fields, time_field, tie_break)
     key = fields.find(index).column
-    sliced = df.withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    conf = df.sparkSession.conf
+    slices = slices or max(SLICES, int(conf.get("spark.sql.shuffle.partitions")))
+    rows = df
+    if limit > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        rows = _cut_by_time(df, key, fields.find(time_field), limit)
+    sliced = rows.withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
     for keys in ([key, F.col("__slice")], [key]):
         ranked = sliced.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
         sliced = ranked.where(F.col("__rank") <= limit).drop("__rank")
     return sliced.drop("__slice")
 
 
+# Rows without a time come after all others.
+_NO_TIME = -(1 << 60)
+
+
+def _cut_by_time(df: DataFrame, key: Column, field: Field, limit: int) -> DataFrame:
+    """Without rows of an index that are older than its `limit`-th newest row, to the second.
+
+    The cut of every index is found from counts per hour, then per second of the hour it
+    falls in.  Both lists have one row per index, which is checked before they are sent
+    to the tasks; with more indices than that, rows stay uncut and are only ranked.
+    """
+    spark = df.sparkSession
+    second = F.coalesce(_epoch_seconds(field), F.lit(_NO_TIME))
+    timed = df.withColumns({"__key": key, "__second": second, "__hour": F.floor(second / 3600)})
+
+    def cuts(rows: DataFrame, bucket: str, wanted: Column, carry: list[Column]) -> DataFrame | None:
+        counts = rows.groupBy("__key", bucket, *carry).agg(F.count(F.lit(1)).alias("__n"))
+        newer = F.sum("__n").over(Window.partitionBy("__key").orderBy(F.col(bucket).desc())) - F.col("__n")
+        reached = counts.withColumn("__newer", newer).where(F.col("__newer") < wanted)
+        cut = reached.groupBy("__key").agg(
+            F.min(bucket).alias("cut"), (F.lit(limit) - F.max("__newer")).alias("left")
+        )
+        found = cut.limit(LARGEST_CUT_LIST + 1).collect()
+        if len(found) > LARGEST_CUT_LIST:
+            return None
+        return F.broadcast(spark.createDataFrame(found, cut.schema).withColumnRenamed("__key", "__cut_key"))
+
+    same = F.col("__key").eqNullSafe(F.col("__cut_key"))
+    hours = cuts(timed, "__hour", F.lit(limit), [])
+    if hours is None:
+        return df
+    in_hour = timed.join(hours, same & (F.col("__hour") == F.col("cut")))
+    seconds = cuts(in_hour, "__second", F.col("left"), [F.col("left")])
+    kept = timed.join(seconds, same & (F.col("__second") >= F.col("cut")))
+    return kept.select(*[quoted(name) for name in df.columns])
+
+
 def sample_with_total(
     df: DataFrame,
     time_field: str,

@@ -78,20 +78,32 @@ def _skewed(spark, rows=6000):
     return data, spark.createDataFrame(data, "_index string, id int, ts timestamp_ntz").repartition(7)
 
 
-def test_sample_of_a_hot_index_matches_brute_force(spark):
-    data, df = _skewed(spark)
+def _newest_of_each(data, limit):
     expected = set()
     for name in {row[0] for row in data}:
         mine = [row for row in data if row[0] == name]
         mine.sort(key=lambda r: (r[2] is None, -(r[2] or datetime(1970, 1, 1)).timestamp(), r[1]))
-        expected.update((name, row[1]) for row in mine[:25])
-    for salts in (1, 3, 64):
-        got = newest_per_index(df, "ts", 25, ["id"], salts=salts)
-        assert {(r._index, r.id) for r in got.collect()} == expected
+        expected.update((name, row[1]) for row in mine[:limit])
+    return expected
+
+
+def test_sample_of_a_hot_index_matches_brute_force(spark):
+    data, df = _skewed(spark)
+    for slices in (1, 3, None):
+        got = newest_per_index(df, "ts", 25, ["id"], slices=slices)
+        assert {(r._index, r.id) for r in got.collect()} == _newest_of_each(data, 25)
     totals = {(r._index, r.total) for r in sample_with_total(df, "ts", 25, ["id"]).collect()}
     assert totals == {(n, sum(1 for r in data if r[0] == n)) for n in {r[0] for r in data}}
 
 
+@pytest.mark.parametrize("limit", [1001, 4150, 9000])
+def test_sample_too_large_for_a_cut_before_the_exchange(spark, limit):
+    data, df = _skewed(spark)
+    got = newest_per_index(df, "ts", limit, ["id"])
+    assert got.columns == df.columns
+    assert {(r._index, r.id) for r in got.collect()} == _newest_of_each(data, limit)
+
+
 def test_pruned_scan_equals_full_scan_with_filter(spark, tmp_path):
     _, df = _skewed(spark)
     path = str(tmp_path / "t")
