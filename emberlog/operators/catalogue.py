@@ -112,24 +112,26 @@ def _members(value: Column) -> Column:
     return F.coalesce(entries, F.array().cast("array<struct<key:string,value:variant>>"))
 
 
-def json_fields(doc: Column, depth: int = 4) -> Column:
-    """Dotted names and values of a JSON document (variant), objects before their members."""
-    level = _members(doc)
-    levels = [level]
+def json_fields(docs: DataFrame, doc: str, keys: tuple[Column, ...] = (), depth: int = 4) -> DataFrame:
+    """Dotted names and values found in JSON documents (variants), objects before their members.
+
+    Every level is one more explode, which stays inside generated code: a row keeps
+    itself and, if it is new at this level, brings its members along.
+    """
+    rows = docs.select(*keys, F.explode(_members(quoted(doc))).alias("entry"))
+    names = rows.columns[:-1]
+    rows = rows.select(*map(quoted, names), F.col("entry.key").alias("field"), F.col("entry.value").alias("value"))
+    rows = rows.withColumn("__new", F.lit(True))
     for _ in range(depth - 1):
-        level = F.flatten(
-            F.transform(
-                level,
-                lambda e: F.transform(
-                    _members(e["value"]),
-                    lambda c: F.struct(
-                        F.concat_ws(".", e["key"], c["key"]).alias("key"), c["value"].alias("value")
-                    ),
-                ),
-            )
+        itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), "value"))
+        brought = F.when(F.col("__new"), F.concat(itself, _members(F.col("value")))).otherwise(itself)
+        rows = rows.select(*map(quoted, names), "field", F.explode(brought).alias("entry")).select(
+            *map(quoted, names),
+            F.concat_ws(".", "field", "entry.key").alias("field"),
+            F.col("entry.value").alias("value"),
+            F.col("entry.key").isNotNull().alias("__new"),
         )
-        levels.append(level)
-    return F.concat(*levels)
+    return rows.drop("__new")
 
 
 def value_kind(value: Column) -> Column:
@@ -199,8 +201,7 @@ def infer_mapping(docs: DataFrame, doc: str = "doc", keys: tuple[str, ...] = (),
 
     One row per field and per `keys`; `strict` ignores the rules on field names.
     """
-    members = docs.select(*keys, F.explode(_members(quoted(doc))).alias("entry"))
-    entries = members.select(*keys, F.col("entry.key").alias("field"), F.col("entry.value").alias("value"))
+    entries = json_fields(docs, doc, tuple(map(quoted, keys)), depth=1)
     kept = entries.where(~F.col("field").isin(*BOOKKEEPING))
     return _with_name_rules(_field_types(kept, keys), strict)
 
@@ -232,8 +233,7 @@ def _index_type(dtype: T.DataType) -> str:
 
 def catalogue_of_documents(docs: DataFrame, doc: str = "doc", index: str = "_index", depth: int = 4) -> DataFrame:
     """Catalogue of schemaless documents: every dotted name found in any document."""
-    members = docs.select(quoted(index).alias("index"), F.explode(json_fields(quoted(doc), depth)).alias("entry"))
-    entries = members.select("index", F.col("entry.key").alias("field"), F.col("entry.value").alias("value"))
+    entries = json_fields(docs, doc, (quoted(index).alias("index"),), depth)
     pos = F.row_number().over(Window.partitionBy("index").orderBy("field")) - 1
     return _field_types(entries, ("index",)).select("index", "field", "type", pos.alias("pos"))
 
