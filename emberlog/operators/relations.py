@@ -63,8 +63,10 @@ def more_like_this(
         .where(F.col("freq") >= min_term_freq)
     )
     vocabulary = seed_terms.agg(F.collect_list("term").alias("terms")).scalar()
+    # Splitting is cheaper than extracting tokens; the empty string it may add is in no word list.
+    words = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
     doc_freq = (
-        df.select(F.explode(F.array_intersect(P.tokens(text), vocabulary)).alias("term"))
+        df.select(F.explode(F.array_intersect(words, vocabulary)).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= min_doc_freq)
@@ -80,7 +82,7 @@ def more_like_this(
     if not wanted:
         return df.where(P.never())
     needed = max(1, int(len(wanted) * minimum_should_match))
-    shared = F.size(F.array_intersect(P.tokens(text), F.array(*[F.lit(word) for word in wanted])))
+    shared = F.size(F.array_intersect(words, F.array(*[F.lit(word) for word in wanted])))
     return df.where(~key.isin(list(like)) & (shared >= needed))
 
 
