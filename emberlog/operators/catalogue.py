@@ -37,6 +37,11 @@ VIEW_TYPE_OF = {
     "boolean": "boolean", "date": "string", "object": "struct", "nested": "array",
 }
 
+# Warning texts.
+NO_DATE_FIELD = "No date field found in index '%s'. Time-based queries may not work correctly."
+NO_TIME_FIELD = "No timestamp field detected. Using default '@timestamp'."
+NO_FIELDS = "No fields found in index mapping. Index may be empty or misconfigured."
+
 # Settings of an index that belong to the cluster it came from.
 CLUSTER_SETTINGS = ("provided_name", "uid", "uuid", "version", "creation_date")
 
@@ -314,22 +319,11 @@ def time_column(catalogue: DataFrame) -> DataFrame:
 def index_health(catalogue: DataFrame) -> DataFrame:
     """Warnings per index, in a fixed order; an index without warnings has an empty list."""
     seen = inspect_indices(catalogue)
+    named = F.format_string(NO_DATE_FIELD, F.col("index"))
     checks = [
-        (
-            ~F.col("has_date"),
-            F.concat(
-                F.lit("No date field found in index '"), F.col("index"),
-                F.lit("'. Time-based queries may not work correctly."),
-            ),
-        ),
-        (
-            F.coalesce(F.col("time_field"), F.lit("")) == "",
-            F.lit("No timestamp field detected. Using default '@timestamp'."),
-        ),
-        (
-            F.col("field_count") == 0,
-            F.lit("No fields found in index mapping. Index may be empty or misconfigured."),
-        ),
+        (~F.col("has_date"), named),
+        (F.coalesce(F.col("time_field"), F.lit("")) == "", F.lit(NO_TIME_FIELD)),
+        (F.col("field_count") == 0, F.lit(NO_FIELDS)),
     ]
     warnings = F.array_compact(F.array(*[F.when(broken, text) for broken, text in checks]))
     return seen.select("index", warnings.alias("warnings"))

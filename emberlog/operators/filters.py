@@ -25,6 +25,10 @@ LOOKALIKE_WORDS = {
     "operation": ("operation",),
 }
 
+# Warning texts.
+NOT_APPLIED = "{origin} {entity} filter '{value}' cannot be applied - no suitable {entity} field found in {kind} logs"
+LOOKALIKES = ". Available similar fields: {fields}"
+
 
 def time_range(fields: Fields, time_field: str, frm=None, to=None) -> Column:
     """Both ends inclusive, either may be open."""
@@ -102,9 +106,6 @@ def filter_warnings(
     lines = []
     for entity, alike in unmapped_entities(names, mapping, wanted).items():
         origin = "OTEL" if entity in ("service", "operation") else "Kubernetes"
-        line = (
-            f"{origin} {entity} filter '{wanted[entity]}' cannot be applied"
-            f" - no suitable {entity} field found in {kind} logs"
-        )
-        lines.append(line + (f". Available similar fields: {', '.join(alike)}" if alike else ""))
+        line = NOT_APPLIED.format(origin=origin, entity=entity, value=wanted[entity], kind=kind)
+        lines.append(line + (LOOKALIKES.format(fields=", ".join(alike)) if alike else ""))
     return lines
