@@ -39,6 +39,7 @@ def _arguments() -> argparse.ArgumentParser:
         step.add_argument("--from", dest="frm")
         step.add_argument("--to")
         step.add_argument("--time-field")
+        step.add_argument("--date-partition", help="date column the index folders are partitioned by")
         step.add_argument("--text-fields", default="message")
         step.add_argument("--tie-break", default="")
         step.add_argument("--output", required=True)
@@ -72,7 +73,9 @@ def _selected(spark: SparkSession, args) -> LogTable:
     """The rows of the indices asked for, cut by time and entities."""
     df = indices.scan_folders(spark, args.root, args.index, args.input_format)
     text_fields = _names(args.text_fields)
-    table = LogTable(df, args.time_field, text_fields, _names(args.tie_break), name=args.index)
+    table = LogTable(
+        df, args.time_field, text_fields, _names(args.tie_break), name=args.index, date_partition=args.date_partition
+    )
     table = table.between(args.frm, args.to)
     wanted = {entity: getattr(args, entity) for entity in ENTITIES if getattr(args, entity)}
     for line in table.warnings(**wanted):

@@ -59,3 +59,16 @@ def test_sample_and_import(spark, root, tmp_path):
     (tmp_path / "one.json").write_text('[{"id": 5}]')
     run("import", "--samples", tmp_path / "one.json", "--root", tmp_path / "in", "--day", "2024-02-01")
     assert spark.read.json(str(tmp_path / "in")).first()["_index"] == "one-2024-02-01"
+
+
+def test_export_from_date_partitions(spark, tmp_path):
+    rows = spark.sql(
+        "SELECT id, 'm' AS message, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id) AS timestamp,"
+        " date_add(date'2024-01-01', CAST(id AS INT)) AS index_date FROM range(10)"
+    )
+    rows.write.partitionBy("index_date").parquet(str(tmp_path / "in" / "logs-1"))
+    run("export", "--root", tmp_path / "in", "--index", "logs-*", "--from", "2024-01-04", "--to", "2024-01-05",
+        "--date-partition", "index_date", "--fields", "id,_index", "--output", tmp_path / "out")
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "out")).select("id", "_index").orderBy("id").collect()] == [
+        (3, "logs-1"), (4, "logs-1"),
+    ]
