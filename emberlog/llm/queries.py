@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.llm.common import documents
+from emberlog.llm.decontaminate import benchmark_hits
 from emberlog.llm.lines import DEDUP_SQL, dedup_lines
 from emberlog.llm.packing import pack_documents
 from emberlog.llm.quality import quality
 from emberlog.llm.secrets import find_secrets
 from emberlog.llm.token_counts import token_counts
+from emberlog.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +51,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
+
+
+@query
+def op4_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op5_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text_key")
