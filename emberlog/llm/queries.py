@@ -11,6 +11,7 @@ from emberlog.llm.common import documents
 from emberlog.llm.decontaminate import benchmark_hits
 from emberlog.llm.lines import DEDUP_SQL, dedup_lines
 from emberlog.llm.packing import pack_documents
+from emberlog.llm.pii import find_pii
 from emberlog.llm.quality import quality
 from emberlog.llm.secrets import find_secrets
 from emberlog.llm.token_counts import token_counts
@@ -61,3 +62,8 @@ def op4_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text_key")
+
+
+@query
+def op3_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir)).drop("text_key")
