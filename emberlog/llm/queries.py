@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.llm.common import documents
 from emberlog.llm.decontaminate import benchmark_hits
+from emberlog.llm.html import main_text
 from emberlog.llm.lines import DEDUP_SQL, dedup_lines
 from emberlog.llm.packing import pack_documents
 from emberlog.llm.pii import find_pii
@@ -67,3 +68,8 @@ def op5_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir)).drop("text_key")
+
+
+@query
+def op8_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
