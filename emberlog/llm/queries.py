@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from emberlog.llm.common import documents
 from emberlog.llm.decontaminate import benchmark_hits
 from emberlog.llm.html import main_text
+from emberlog.llm.jaccard import near_duplicates
 from emberlog.llm.lines import DEDUP_SQL, dedup_lines
 from emberlog.llm.packing import pack_documents
 from emberlog.llm.pii import find_pii
@@ -73,3 +74,8 @@ def op3_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op10_count_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).drop("set")
