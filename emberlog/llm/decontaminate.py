@@ -186,5 +186,5 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
     """The rows of `docs` whose text isn't contaminated, with all columns as they are."""
     bad = contamination(docs, items, text, id, **options).where("contaminated").select(F.col(id).alias("bad_id"), F.col("text_key").alias("bad_key"))
-    same = docs[id].eqNullSafe(F.col("bad_id")) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col("bad_key"))
+    same = docs[id].eqNullSafe(bad["bad_id"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == bad["bad_key"])
     return docs.join(bad, same, "left_anti")
