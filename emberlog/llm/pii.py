@@ -120,9 +120,9 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, alpha: float = ALPHA,
     mentions = staged(known.groupBy("entity").agg(F.sum("n").alias("near_entity")), "mentions")
     often = known.where(F.col("texts") >= least_texts)
     totals = term_totals(docs, often.select("term").distinct())
-    all_near = mentions.agg(F.sum("near_entity").alias("all_near"))
-    told = often.join(totals, "term").join(mentions, "entity").join(F.broadcast(all_near))  # one row
-    own = -F.log2(F.col("near_entity") / F.col("all_near"))
+    all_near = mentions.agg(F.sum("near_entity")).first()[0] or 1  # one number
+    told = often.join(totals, "term").join(mentions, "entity")
+    own = -F.log2(F.col("near_entity") / F.lit(all_near))
     bits = F.log2(F.col("n") / F.greatest("total", "n")) + own
     return told.select("term", "entity", bits.alias("bits"), own.alias("own_bits")).where((F.col("own_bits") > 0) & (F.col("bits") >= F.col("own_bits") / alpha))
 

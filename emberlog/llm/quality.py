@@ -66,8 +66,8 @@ def fences(rows: DataFrame, least_docs: int = LEAST_DOCS, reach: float = REACH,
     documents takes its language's fences, and those of all documents if that has too few as well.
     Only documents that pass the base rules shape the sketches.
     """
-    sketch = {m: F.kll_sketch_agg_double(F.col(m), F.lit(k)) for m in MEASURES}
-    groups = staged(rows.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"), *(s.alias(m) for m, s in ((m, F.kll_sketch_agg_double(F.when(~F.col("base_failed"), F.col(m)), F.lit(k))) for m in sketch))), "sketches")
+    sketch = lambda m: F.kll_sketch_agg_double(F.when(~F.col("base_failed"), F.col(m)), F.lit(k)).alias(m)
+    groups = staged(rows.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"), *map(sketch, MEASURES)), "sketches")
     merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(m).alias(m) for m in MEASURES)]
 
     def cut(df: DataFrame, keys: list[str], to: str) -> DataFrame:
@@ -79,9 +79,9 @@ def fences(rows: DataFrame, least_docs: int = LEAST_DOCS, reach: float = REACH,
 
     own = cut(groups, ["lang", "source"], "own")
     by_lang = cut(groups.groupBy("lang").agg(*merged), ["lang"], "by_lang").withColumnRenamed("lang", "of_lang")
-    overall = cut(groups.groupBy(F.lit(1).alias("one")).agg(*merged), ["one"], "overall")
-    found = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang"))).withColumn("one", F.lit(1)).join(overall, "one")
-    pick = F.when(F.col("own.n") >= least_docs, F.col("own")).when(F.col("by_lang.n") >= least_docs, F.col("by_lang")).otherwise(F.col("overall"))
+    overall = cut(groups.agg(*merged), [], "overall").select("overall.*").first()  # one row of numbers
+    found = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")))
+    pick = F.when(F.col("own.n") >= least_docs, F.col("own")).when(F.col("by_lang.n") >= least_docs, F.col("by_lang")).otherwise(F.struct(F.lit(overall["n"]).cast("long").alias("n"), *(F.lit(overall[m]).cast("double").alias(m) for m in MEASURES)))
     return found.select("lang", "source", pick.alias("f")).select("lang", "source", *(F.col(f"f.{m}").alias(f"max_{m}") for m in MEASURES))
 
 
