@@ -91,7 +91,7 @@ def count_by_chunks(path: str, text: str, chunk: int = CHUNK, overlap: int = OVE
                 break
             width *= 2
         total += sum(floor <= t[0] < p for t in left)
-        start, floor = edge, p
+        start, floor = edge, max(floor, p)
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id", limit: int = 2048, huge: int = HUGE, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
