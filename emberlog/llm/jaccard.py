@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.llm.common import Memo, map_arrow, slices, staged
@@ -17,10 +18,13 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 3, 4
 #: Coordinates of a count vector.
 GROUPS = 64
-#: Counters of the frequency sketch, and in a segment of it.
-COUNTERS, SEGMENT = 1 << 21, 1 << 16
+#: Counters of the frequency sketch, and in a segment of it; slots of the candidate bit array.
+COUNTERS, SEGMENT, SLOTS = 1 << 24, 1 << 16, 1 << 22
+#: First sets of its blocks that a set is verified against before the tree looks for the rest.
+STARS = 3
 #: Rows of a block or tile that are compared in one task.
 TILE = 1000
+MOST_SALTS = 1 << 20
 FAN = 16
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -40,67 +44,87 @@ def shingle_set(text: str | None, names: Memo, size: int = WORDS) -> np.ndarray:
 
 
 def word_names() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, 1_000_000)
+    return Memo(xxhash.xxh3_64_intdigest, 400_000)
 
 
 def set_name(shingles: np.ndarray) -> int:
     return int(np.frombuffer(xxhash.xxh3_64_digest(shingles.tobytes()), ">i8")[0]) if len(shingles) else 0
 
 
+def count_vector(shingles: np.ndarray) -> np.ndarray:
+    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+
+
 def profiles(docs: DataFrame, size: int) -> DataFrame:
-    """Two sorts of rows: (id, set, n) per document, and (segment, slots, counts) of the task's frequency sketch."""
+    """Two sorts of rows: (id, set, n, vector) per document, and (segment, slots, counts) of the task's frequency sketch."""
+    names_of = ["id", "set", "n", "vector", "segment", "slots", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kept, held, counters = word_names(), [], 0, np.zeros(COUNTERS, np.uint32)
-        names_of = ["id", "set", "n", "segment", "slots", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary()]
         id_kind = None
 
         def add() -> None:
-            nonlocal held
-            if kept:
-                counters.__iadd__(np.bincount(np.concatenate(kept), minlength=COUNTERS).astype(np.uint32))
+            slots, times = np.unique(np.concatenate(kept), return_counts=True)
+            counters[slots] += times.astype(np.uint32)
             kept.clear()
-            held = 0
 
         for batch in batches:
             id_kind = batch.schema.field("id").type
             for rows in slices(batch, "text"):
                 sets = [shingle_set(t, names, size) for t in rows["text"]]
                 for s in sets:
-                    kept.append((s & np.uint64(COUNTERS - 1)).astype(np.int64))
+                    kept.append((s & np.uint64(COUNTERS - 1)).astype(np.uint32))
                     held += len(s)
-                if held > 4_000_000:
+                if held > 2_000_000:
                     add()
+                    held = 0
                 none = [None] * len(sets)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((rows["id"], list(map(set_name, sets)), list(map(len, sets)), none, none, none), (id_kind, *kinds))], names_of)
-        add()
-        if id_kind is not None:
-            for k in range(COUNTERS // SEGMENT):
-                part = counters[k * SEGMENT : (k + 1) * SEGMENT]
-                slots = np.flatnonzero(part)
-                if len(slots):
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, None, None, k, slots.astype(np.uint16).tobytes(), part[slots].tobytes()), (id_kind, *kinds))], names_of)
+                columns = (rows["id"], list(map(set_name, sets)), list(map(len, sets)), list(map(count_vector, sets)), none, none, none)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (id_kind, *kinds))], names_of)
+        if kept:
+            add()
+        for k in range(COUNTERS // SEGMENT) if id_kind is not None else ():
+            part = counters[k * SEGMENT : (k + 1) * SEGMENT]
+            slots = np.flatnonzero(part)
+            if len(slots):
+                # a byte a count; a slot stands again for each further 255
+                times = part[slots]
+                slots = np.repeat(slots, -(-times.astype(np.int64) // 255))
+                first = np.r_[True, slots[1:] != slots[:-1]]
+                value = np.where(first, np.repeat((times - 1) % 255 + 1, -(-times.astype(np.int64) // 255)), 255)
+                told = (None, None, None, None, k, slots.astype(np.uint16).tobytes(), value.astype(np.uint8).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(told, (id_kind, *kinds))], names_of)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return map_arrow(docs, read, f"id {kind}, set long, n long, segment int, slots binary, counts binary")
+    return map_arrow(docs, read, f"id {kind}, set long, n long, vector array<int>, segment int, slots binary, counts binary")
+
+
+def to_code(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes: exact under 128, then eight steps per doubling, rounded up so that no count gets lower."""
+    big = np.maximum(counts, 128).astype(np.float64)
+    return np.where(counts < 128, counts, np.minimum(255, 128 + np.ceil(8 * np.log2(big / 128)))).astype(np.uint8)
+
+
+#: At least the count that a code stands for; the last stands for all that is higher.
+OF_CODE = np.array([*range(128), *(int(np.ceil(128 * 2 ** (k / 8))) for k in range(127)), 1 << 40], dtype=np.int64)
 
 
 def frequency_sketch(rows: DataFrame) -> np.ndarray:
-    """COUNTERS counts, at least as high as the number of documents with a shingle of that slot; of a fixed size."""
+    """COUNTERS codes of counts, at least as high as the number of documents with a shingle of that slot; of a fixed size."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for segment, slots, counts in zip(*(batch.column(c).to_pylist() for c in ("segment", "slots", "counts"))):
-                part = total.setdefault(segment, np.zeros(SEGMENT, np.uint64))
-                part[np.frombuffer(slots, np.uint16)] += np.frombuffer(counts, np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(v, 2**32 - 1).astype(np.uint32).tobytes() for v in total.values()], pa.binary())], ["segment", "counts"])
+                part = total.setdefault(segment, np.zeros(SEGMENT, np.int64))
+                part += np.bincount(np.frombuffer(slots, np.uint16), np.frombuffer(counts, np.uint8), SEGMENT).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([to_code(v).tobytes() for v in total.values()], pa.binary())], ["segment", "counts"])
 
     parts = rows.where("segment is not null").select("segment", "slots", "counts").repartition(COUNTERS // SEGMENT, "segment")
-    sketch = np.zeros(COUNTERS, np.uint32)
+    sketch = np.zeros(COUNTERS, np.uint8)
     for segment, counts in map_arrow(parts, add, "segment int, counts binary").collect():
-        sketch[segment * SEGMENT : (segment + 1) * SEGMENT] = np.frombuffer(counts, np.uint32)
+        sketch[segment * SEGMENT : (segment + 1) * SEGMENT] = np.frombuffer(counts, np.uint8)
     return sketch
 
 
@@ -127,10 +151,11 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, size: int, tile: int) -> DataF
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(name)
-                    counts = shared.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                    first = np.argsort(counts, kind="stable")[: len(s) - -(-NUMERATOR * len(s) // DENOMINATOR) + 1]
+                    codes = shared.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                    counts = OF_CODE[codes]
+                    first = np.argsort(codes, kind="stable")[: len(s) - -(-NUMERATOR * len(s) // DENOMINATOR) + 1]
                     first = first[counts[first] > 1]
-                    salts = -(-counts[first].astype(np.int64) // tile)
+                    salts = np.minimum(-(-counts[first] // tile), MOST_SALTS)
                     for column, values in zip(out, (s[first].view(np.int64), salts, name % salts, np.full(len(first), name), np.full(len(first), len(s)))):
                         column.append(values)
                 if out[0]:
@@ -140,43 +165,49 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, size: int, tile: int) -> DataF
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set, n, shingles, vector) of every set in `wanted`; a bit array of fixed size says which to build."""
-    slot = F.pmod("set", F.lit(COUNTERS))
-    table = np.zeros(COUNTERS // 64, np.int64)
-    for word, bits in wanted.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).collect():
+    """(set, shingles) of every set in `wanted` (set, id), read from one document each.
+
+    A bit array of fixed size says which to build; it lets some others through, which do no harm.
+    """
+    slot = lambda name, id: F.crc32(F.concat_ws(":", F.coalesce(id.cast("string"), F.lit("")), name.cast("string")).cast("binary")) % SLOTS
+    table = np.zeros(SLOTS // 64, np.int64)
+    for word, bits in wanted.select(slot(F.col("set"), F.col("id")).alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).collect():
         table[word] = bits
     shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint8))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, seen = word_names(), set()
+        names = word_names()
         for batch in batches:
             for rows in slices(batch, "text"):
                 out = []
-                for text in rows["text"]:
+                for id, text in zip(rows["id"], rows["text"]):
                     s = shingle_set(text, names, size)
                     name = set_name(s)
-                    k = name % COUNTERS
-                    if name not in seen and shared.value[k >> 3] >> (k & 7) & 1:
-                        if len(seen) > 1_000_000:
-                            seen.clear()
-                        seen.add(name)
-                        out.append((name, len(s), s.view(np.int64), np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)))
+                    k = zlib.crc32(f"{'' if id is None else id}:{name}".encode()) % SLOTS
+                    if len(s) and shared.value[k >> 3] >> (k & 7) & 1:
+                        out.append((name, s.view(np.int64)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))], ["set", "n", "shingles", "vector"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.list_(pa.int64())))], ["set", "shingles"])
 
-    built = map_arrow(docs.select("text"), read, "set long, n long, shingles array<long>, vector array<int>")
-    return built.join(wanted, "set", "left_semi").dropDuplicates(["set"])
+    return map_arrow(docs.select("id", "text"), read, "set long, shingles array<long>")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: sizes, then the bound by the sums of coordinate minima, then the sets themselves."""
-    a, b = sets.toDF("a", "n_a", "s_a", "v_a"), sets.toDF("b", "n_b", "s_b", "v_b")
-    both = pairs.join(a, "a").join(b, "b")
-    total = F.col("n_a") + F.col("n_b")
+def needed(shared: Column, total: Column) -> Column:
+    return (NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * total
+
+
+def may_link(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes, then sums of coordinate minima, allow a link."""
+    a, b = vectors.toDF("a", "n_a", "v_a"), vectors.toDF("b", "n_b", "v_b")
+    both = pairs.join(a, "a").join(b, "b").withColumn("total", F.col("n_a") + F.col("n_b"))
     bound = F.aggregate(F.zip_with("v_a", "v_b", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
-    need = lambda shared: (NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * total
-    alike = F.when(need(F.least("n_a", "n_b")) & need(bound), need(F.size(F.array_intersect("s_a", "s_b")))).otherwise(F.lit(False))
-    return both.where(alike).select("a", "b")
+    return both.where(F.when(needed(F.least("n_a", "n_b"), F.col("total")), needed(bound, F.col("total"))).otherwise(F.lit(False))).select("a", "b", "total")
+
+
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, total) that link, by the sets themselves."""
+    both = pairs.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
+    return both.where(needed(F.size(F.array_intersect("s_a", "s_b")), F.col("total"))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -254,7 +285,7 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def remaining_pairs(blocks: DataFrame, labels: DataFrame, sets: DataFrame, tile: int) -> DataFrame:
+def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, tile: int) -> DataFrame:
     """Candidate pairs of sets that share a prefix shingle but aren't connected yet.
 
     In a block most sets are connected by now; the others ask all of it. Both sides are cut into
@@ -267,7 +298,7 @@ def remaining_pairs(blocks: DataFrame, labels: DataFrame, sets: DataFrame, tile:
     inside = staged(mixed.join(open_blocks, "shingle"), "inside")
     main = inside.groupBy("shingle", "root").count().groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"))
     tiles = main.select("shingle", F.col("m.root").alias("main"), F.expr(f"cast(ceil((size - m.count) / {tile}) as int)").alias("xs"), F.expr(f"cast(ceil(size / {tile}) as int)").alias("ys"))
-    full = inside.join(staged(tiles, "tiles"), "shingle").join(sets.select("set", "n", "vector"), "set")
+    full = inside.join(staged(tiles, "tiles"), "shingle").join(vectors, "set")
     x, y = F.pmod(F.xxhash64("set", F.lit(1)), F.col("xs")).cast("int"), F.pmod(F.xxhash64("set", F.lit(2)), F.col("ys")).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     same = ["set", "n", "root", "vector"]
@@ -285,7 +316,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
 
     1. Each set gets a 64-bit name; a sketch of fixed size counts shingles over all documents.
     2. Blocks of sets that share one of their rarest quarter of shingles: no link lies outside.
-    3. In each block all sets are verified against its first one, and components taken.
+    3. Each set is verified against the first sets of its blocks that it meets most, and components taken.
     4. Sets of a block that aren't in its main component ask a count-vector R-tree over the block,
        whose nodes are bounded by sums of coordinate minima; surviving pairs are verified.
     Blocks are salted by the sketch, hot ones cut into tiles; nothing is kept on one machine, and
@@ -296,7 +327,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     gives no rows; other columns are ignored; whole texts are read.
     """
     base = docs.select(docs[id].alias("id"), docs[text].alias("text"))
-    keyed = staged(profiles(base.select("id", "text"), size), "profiles")
+    keyed = staged(profiles(base, size), "profiles")
     sketch = frequency_sketch(keyed)
     rows = keyed.where("segment is null").select("id", "set", "n")
     block = Window.partitionBy("shingle", "salt")
@@ -305,13 +336,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     blocks = staged(pre.where(~lone).select("shingle", "salts", "salt", "set", "n", "first"), "blocks")
     heads = blocks.where("salts > 1").select("shingle", "first").distinct().withColumn("head", F.min("first").over(Window.partitionBy("shingle")))
     alike = lambda n, m: (DENOMINATOR * F.least(n, m) >= NUMERATOR * F.greatest(n, m))
-    stars = blocks.where(alike(F.col("n"), F.col("first.n"))).select(F.col("first.set").alias("a"), F.col("set").alias("b"))
-    tops = heads.where(alike(F.col("first.n"), F.col("head.n"))).select(F.col("head.set").alias("a"), F.col("first.set").alias("b"))
+    stars = blocks.where(alike(F.col("n"), F.col("first.n"))).select(F.col("set").alias("a"), F.col("first.set").alias("b"))
+    tops = heads.where(alike(F.col("first.n"), F.col("head.n"))).select(F.col("first.set").alias("a"), F.col("head.set").alias("b"))
+    met = stars.union(tops).where("a <> b").groupBy("a", "b").count()
+    best = met.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("count"), "b"))).where(F.col("rank") <= STARS).select("a", "b")
     several = blocks.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("shingle")
     blocks = staged(blocks.join(several, "shingle", "left_semi").select("shingle", "salts", "salt", "set"), "shared")
-    sets = staged(candidate_sets(base, blocks.select("set").distinct(), size), "sets")
-    labels = components(linked(stars.union(tops).where("a <> b").distinct(), sets))
-    more = linked(remaining_pairs(blocks, labels, sets, tile), sets)
+    wanted = staged(blocks.select("set").distinct(), "wanted")
+    vectors = staged(keyed.where("segment is null and n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("vector").alias("vector")), "vectors")
+    sets = staged(candidate_sets(base, vectors.select("set", "id"), size), "sets")
+    vectors = vectors.drop("id")
+    labels = components(linked(may_link(best, vectors), sets))
+    more = linked(may_link(remaining_pairs(blocks, labels, vectors, tile), vectors), sets)
     root = lambda side: labels.toDF(side, f"root_{side}")
     between = more.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a <> b")
     over = components(between)

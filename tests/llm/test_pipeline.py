@@ -28,10 +28,14 @@ def test_columns_stay(outputs):
         assert outputs[name].dtypes == outputs["documents"].dtypes
 
 
-def test_toxic_documents_go(outputs, sf_dir):
-    toxic = {r[0] for r in duckdb.sql(f"SELECT doc_id FROM '{sf_dir}/labels.parquet' WHERE toxic = 1").fetchall()}
-    gone = text_of(outputs["documents"]).keys() - text_of(outputs["toxicity"]).keys()
-    assert gone and len(gone & toxic) >= 0.6 * len(toxic)
+def test_toxic_documents_go(spark):
+    sf = "/root/testdata/sf0.01"  # the smallest table with toxic labels to learn from
+    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{sf}/labels.parquet'").fetchall())
+    before = documents(spark, sf)
+    left = {r["doc_id"] for r in corpus_pipeline.toxicity(spark, before, sf).select("doc_id").collect()}
+    gone = {r["doc_id"] for r in before.select("doc_id").collect()} - left
+    toxic = {d for d, t in labels.items() if t}
+    assert len(gone & toxic) >= 0.7 * len(toxic) and len({d for d, t in labels.items() if not t} & gone) <= 3
 
 
 def test_lines_are_not_invented(outputs):
