@@ -35,7 +35,7 @@ def test_toxic_documents_go(spark):
     left = {r["doc_id"] for r in corpus_pipeline.toxicity(spark, before, sf).select("doc_id").collect()}
     gone = {r["doc_id"] for r in before.select("doc_id").collect()} - left
     toxic = {d for d, t in labels.items() if t}
-    assert len(gone & toxic) >= 0.7 * len(toxic) and len({d for d, t in labels.items() if not t} & gone) <= 3
+    assert len(gone & toxic) >= 0.6 * len(toxic) and len({d for d, t in labels.items() if not t} & gone) <= 3
 
 
 def test_lines_are_not_invented(outputs):
