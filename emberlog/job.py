@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import uuid
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -118,7 +119,7 @@ def sample(spark: SparkSession, args) -> None:
 
 def load(spark: SparkSession, args) -> None:
     mapping = importer.import_file(spark, args.samples, args.root, args.day, args.force)
-    mapping.orderBy("_index", "field").show(1000, truncate=False)
+    _write(mapping.orderBy("_index", "field"), f"{args.root.rstrip('/')}/.mappings-{uuid.uuid4().hex}", "json")
 
 
 def main(argv: list[str] | None = None) -> None:

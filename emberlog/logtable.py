@@ -107,6 +107,10 @@ class LogTable:
 
     def between(self, frm=None, to=None) -> LogTable:
         """Rows of a time range, both ends included; whole date partitions are pruned first."""
+        if frm is None and to is None:
+            return self
+        if self.fields.find(self.time_field) is None:
+            raise ValueError(f"no time field {self.time_field!r}: give time_field to cut by time")
         table = self
         if self.date_partition:
             table = replace(self, df=prune_by_date(self.df, frm, to, self.now, self.date_partition))
@@ -137,9 +141,12 @@ class LogTable:
     def top(self, limit: int | None = None) -> LogTable:
         if limit is None:
             limit = self.body.size if self.body and self.body.size is not None else ordering.DEFAULT_LIMIT
-        if limit > ordering.LARGEST_MERGE and not (self.body and self.body.sort):
-            return replace(self, df=ordering.newest_bulk(self.df, self.time_field, limit, self.tie_break))
-        return replace(self, df=self.df.orderBy(*self.order()).limit(limit))
+        start = self.body.start if self.body else 0
+        return replace(self, df=ordering.first_rows(self.df, self.order(), limit, start))
+
+    def bulk(self, limit: int) -> LogTable:
+        """The newest `limit` rows for an export of many millions: cut by counts over time, sorted in parts."""
+        return replace(self, df=ordering.newest_bulk(self.df, self.time_field, limit, self.tie_break))
 
     def sample(self, limit: int = ordering.DEFAULT_SAMPLE, index: str = "_index", with_total: bool = False) -> LogTable:
         pick = ordering.sample_with_total if with_total else ordering.newest_per_index

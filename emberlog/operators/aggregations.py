@@ -74,11 +74,12 @@ def metric_columns(fields: Fields, name: str, kind: str, body: dict, guard: Colu
     if kind == "percentiles":
         # A mergeable sketch: rank error is at most rows / accuracy.
         percents = body.get("percents", DEFAULT_PERCENTS)
-        accuracy = int(body.get("accuracy", 10_000))
-        return [
-            F.percentile_approx(value, percent / 100, accuracy).alias(f"{name}_{str(percent).replace('.', '_')}")
-            for percent in percents
-        ]
+        shares = [percent / 100 for percent in percents]
+        if body.get("exact"):
+            found = F.percentile(value, F.array(*map(F.lit, shares)))
+        else:
+            found = F.percentile_approx(value, shares, int(body.get("accuracy", 10_000)))
+        return [F.get(found, k).alias(f"{name}_{str(percent).replace('.', '_')}") for k, percent in enumerate(percents)]
     raise QueryError(f"unknown aggregation {kind!r}")
 
 

@@ -11,7 +11,9 @@ import json
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from datetime import datetime, timedelta, timezone
 from functools import reduce
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -198,17 +200,48 @@ def _terms(fields: Fields, body: dict) -> Hit:
     return Hit(P.terms(field, values, fields.now), _boost(body))
 
 
+# Date formats a range may name.
+RANGE_FORMATS = ("strict_date_optional_time", "date_optional_time", "epoch_millis", "epoch_second")
+
+
 def _range(fields: Fields, body: dict) -> Hit:
     named = {k: v for k, v in body.items() if k not in ("boost", "_name")}
     ((name, bounds),) = named.items()
+    options = {"gte", "gt", "lte", "lt", "from", "to", "boost", "_name", "time_zone", "format", "include_lower", "include_upper"}
+    if set(bounds) - options:
+        raise QueryError(f"unknown range option {sorted(set(bounds) - options)}")
     known = {k: v for k, v in bounds.items() if k in ("gte", "gt", "lte", "lt")}
-    for old, new in (("from", "gte"), ("to", "lte")):
+    for old, new, flag in (("from", "gte", "include_lower"), ("to", "lte", "include_upper")):
         if bounds.get(old) is not None:
-            known.setdefault(new, bounds[old])
+            known.setdefault(new if bounds.get(flag, True) else new[:-1], bounds[old])
+    if set(str(bounds.get("format", RANGE_FORMATS[0])).split("||")) - set(RANGE_FORMATS):
+        raise QueryError(f"unsupported range format {bounds['format']!r}, known: {RANGE_FORMATS}")
+    if "epoch_second" in str(bounds.get("format")):
+        known = {k: datetime.fromtimestamp(int(v), timezone.utc) if re.fullmatch(r"-?\d+", str(v)) else v for k, v in known.items()}
+    elif "epoch_millis" in str(bounds.get("format")):
+        known = {k: datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=int(v)) if re.fullmatch(r"-?\d+", str(v)) else v for k, v in known.items()}
+    if bounds.get("time_zone"):
+        known = {k: _in_zone(v, bounds["time_zone"]) for k, v in known.items()}
     field = fields.find(name)
     return Hit(P.range_of(field, known, fields.now) if known else P.exists(field), _boost({**bounds, **body}))
 
 
+def _in_zone(bound, zone: str):
+    """A date or time without a zone of its own, read in `zone`; anything else as it is."""
+    if not isinstance(bound, str) or not re.fullmatch(r"\d{4}-\d\d-\d\d([T ]\d\d:\d\d:\d\d(\.\d+)?)?", bound):
+        return bound
+    offset = re.fullmatch(r"([+-])(\d\d):?(\d\d)", zone)
+    if offset:
+        minutes = int(offset[1] + "1") * (60 * int(offset[2]) + int(offset[3]))
+        where = timezone(timedelta(minutes=minutes))
+    else:
+        try:
+            where = ZoneInfo(zone)
+        except (ValueError, ZoneInfoNotFoundError) as error:
+            raise QueryError(f"unknown time_zone {zone!r}") from error
+    return datetime.fromisoformat(bound).replace(tzinfo=where)
+
+
 def _exists(fields: Fields, body: dict) -> Hit:
     return Hit(P.exists(fields.find(body["field"])), _boost(body))
 
@@ -405,13 +438,24 @@ def _nested(fields: Fields, body: dict) -> Hit:
 
 def _related(fields: Fields, body: dict, kind_key: str) -> Hit:
     kind = body.get(kind_key) or body.get("type")
+    options = {kind_key, "type", "query", "boost", "_name", "min_children", "max_children", "ignore_unmapped", "score_mode", "score"}
+    if set(body) - options:
+        raise QueryError(f"unknown option {sorted(set(body) - options)}")
     relation = fields.relations.get(kind)
     if relation is None:
+        if body.get("ignore_unmapped"):
+            return Hit(P.never(), F.lit(0.0))
         raise QueryError(f"no relation {kind!r}, known: {sorted(fields.relations)}")
     there = replace(Fields.of(relation.df, relation.text_fields), now=fields.now)
     inner = compile_query(there, body["query"]).matches
     # Keys are made distinct before the exchange, so a key with very many rows is one row.
-    keys = relation.df.where(inner).select(there.find(relation.there).column.alias("__key")).distinct()
+    key = there.find(relation.there).column.alias("__key")
+    least, most = int(body.get("min_children", 1)), body.get("max_children")
+    if kind_key == "type" and (least > 1 or most is not None):
+        counted = relation.df.where(inner).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+        keys = counted.where((F.col("__n") >= least) & (F.lit(True) if most is None else F.col("__n") <= int(most))).select("__key")
+    else:
+        keys = relation.df.where(inner).select(key).distinct()
     # An EXISTS: Spark plans a semi join, an anti join under NOT, a flag join under OR.
     tied = keys.where(F.col("__key") == fields.find(relation.here).column.outer())
     return Hit(tied.exists(), _boost(body))
@@ -455,6 +499,7 @@ class Body:
     aggs: dict | None = None
     source: list | None = None
     size: int | None = None
+    start: int = 0
 
     @classmethod
     def of(cls, body: dict | str) -> Body:
@@ -462,13 +507,33 @@ class Body:
         body = json.loads(body) if isinstance(body, str) else dict(body)
         aggs = body.pop("aggs", None) or body.pop("aggregations", None)
         sort = body.pop("sort", None)
-        source = body.pop("_source", None)
+        source = _source_patterns(body.pop("_source", None))
         size = body.pop("size", None)
+        start = int(body.pop("from", 0))
         query = body.pop("query", None)
         if query is None and len(body) == 1 and next(iter(body)) in CLAUSES:
             query = body
-        elif body:
-            raise QueryError(f"unknown query type {sorted(body)}")
+        elif set(body) - set(WITHOUT_EFFECT):
+            raise QueryError(f"unknown query type {sorted(set(body) - set(WITHOUT_EFFECT))}")
         if query is None and aggs is None:
             raise QueryError("body has neither a query nor aggregations")
-        return cls(query, None if sort is None else _as_list(sort), aggs, source, size)
+        return cls(query, None if sort is None else _as_list(sort), aggs, source, size, start)
+
+
+# Keys of a request that change no row.
+WITHOUT_EFFECT = ("track_total_hits", "track_scores", "highlight", "timeout", "version", "explain", "profile", "seq_no_primary_term")
+
+
+def _source_patterns(source) -> list | None:
+    """`_source` as a list of names and patterns, left-out ones with a minus."""
+    if source is None or source is True:
+        return None
+    if isinstance(source, dict):
+        unknown = set(source) - {"includes", "include", "excludes", "exclude"}
+        if unknown:
+            raise QueryError(f"unknown _source option {sorted(unknown)}")
+        kept = _as_list(source.get("includes", source.get("include"))) or ["*"]
+        return kept + [f"-{name}" for name in _as_list(source.get("excludes", source.get("exclude")))]
+    if source is False:
+        raise QueryError("_source false leaves no field to export")
+    return _as_list(source)

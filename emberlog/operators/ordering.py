@@ -14,20 +14,24 @@ from emberlog.operators import predicates as P
 
 DEFAULT_LIMIT = 500
 DEFAULT_SAMPLE = 100
-# Up to here the newest rows of all tasks are merged in one task, beyond it see `newest_bulk`.
-LARGEST_MERGE = 1_000_000
-# Fewest slices an index is ranked in, and most indices whose cut is sent to the tasks.
+# Fewest slices an index is ranked in.
 SLICES = 64
-LARGEST_CUT_LIST = 100_000
 
 
 def newest_first(fields: Fields, time_field: str, tie_break: Iterable[str] = ()) -> list[Column]:
-    """Time descending, missing times last, then the tie-break fields."""
-    return [fields.find(time_field).column.desc_nulls_last()] + [
+    """Time descending, missing times last, then the tie-break fields; those alone in a table without the time field."""
+    time = fields.find(time_field)
+    return ([] if time is None else [time.column.desc_nulls_last()]) + [
         fields.find(name).column.asc_nulls_last() for name in tie_break
     ]
 
 
+def first_rows(df: DataFrame, order: list[Column], limit: int, start: int = 0) -> DataFrame:
+    """`limit` rows from the `start`-th on; in no particular order where there are no sort keys."""
+    rows = df.orderBy(*order) if order else df
+    return (rows.offset(start) if start else rows).limit(limit)
+
+
 def sort_columns(fields: Fields, spec: Iterable, score: Column | None = None) -> list[Column]:
     """Sort keys as given in a request; missing values last unless `missing: _first`.
 
@@ -58,7 +62,7 @@ def sort_columns(fields: Fields, spec: Iterable, score: Column | None = None) ->
 
 def newest(df: DataFrame, time_field: str, limit: int = DEFAULT_LIMIT, tie_break: Iterable[str] = ()) -> DataFrame:
     """The newest rows.  Each task keeps its own newest `limit` before the merge."""
-    return df.orderBy(*newest_first(Fields.of(df), time_field, tie_break)).limit(limit)
+    return first_rows(df, newest_first(Fields.of(df), time_field, tie_break), limit)
 
 
 def newest_bulk(df: DataFrame, time_field: str, limit: int, tie_break: Iterable[str] = ()) -> DataFrame:
@@ -127,61 +131,20 @@ def newest_per_index(
 
     One index may hold most rows, so ranking runs twice: first per index and input
     slice, which spreads a hot index over all tasks, then per index over the few rows
-    left.  Before each exchange Spark already cuts to `limit` per key; limits too large
-    for that are cut by time first.
+    left.  The plan is the same for every limit; where Spark can, it cuts to `limit` per
+    key before each exchange.
     """
     fields = Fields.of(df)
-    order = newest_first(fields, time_field, tie_break)
+    order = newest_first(fields, time_field, tie_break) or [F.lit(0).asc()]
     key = fields.find(index).column
-    conf = df.sparkSession.conf
-    slices = slices or max(SLICES, int(conf.get("spark.sql.shuffle.partitions")))
-    rows = df
-    if limit > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        rows = _cut_by_time(df, key, fields.find(time_field), limit)
-    sliced = rows.withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+    slices = slices or max(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sliced = df.withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
     for keys in ([key, F.col("__slice")], [key]):
         ranked = sliced.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
         sliced = ranked.where(F.col("__rank") <= limit).drop("__rank")
     return sliced.drop("__slice")
 
 
-# Rows without a time come after all others.
-_NO_TIME = -(1 << 60)
-
-
-def _cut_by_time(df: DataFrame, key: Column, field: Field, limit: int) -> DataFrame:
-    """Without rows of an index that are older than its `limit`-th newest row, to the second.
-
-    The cut of every index is found from counts per hour, then per second of the hour it
-    falls in.  Both lists have one row per index, which is checked before they are sent
-    to the tasks; with more indices than that, rows stay uncut and are only ranked.
-    """
-    spark = df.sparkSession
-    second = F.coalesce(_epoch_seconds(field), F.lit(_NO_TIME))
-    timed = df.withColumns({"__key": key, "__second": second, "__hour": F.floor(second / 3600)})
-
-    def cuts(rows: DataFrame, bucket: str, wanted: Column, carry: list[Column]) -> DataFrame | None:
-        counts = rows.groupBy("__key", bucket, *carry).agg(F.count(F.lit(1)).alias("__n"))
-        newer = F.sum("__n").over(Window.partitionBy("__key").orderBy(F.col(bucket).desc())) - F.col("__n")
-        reached = counts.withColumn("__newer", newer).where(F.col("__newer") < wanted)
-        cut = reached.groupBy("__key").agg(
-            F.min(bucket).alias("cut"), (F.lit(limit) - F.max("__newer")).alias("left")
-        )
-        found = cut.limit(LARGEST_CUT_LIST + 1).collect()
-        if len(found) > LARGEST_CUT_LIST:
-            return None
-        return F.broadcast(spark.createDataFrame(found, cut.schema).withColumnRenamed("__key", "__cut_key"))
-
-    same = F.col("__key").eqNullSafe(F.col("__cut_key"))
-    hours = cuts(timed, "__hour", F.lit(limit), [])
-    if hours is None:
-        return df
-    in_hour = timed.join(hours, same & (F.col("__hour") == F.col("cut")))
-    seconds = cuts(in_hour, "__second", F.col("left"), [F.col("left")])
-    kept = timed.join(seconds, same & (F.col("__second") >= F.col("cut")))
-    return kept.select(*[quoted(name) for name in df.columns])
-
-
 def sample_with_total(
     df: DataFrame,
     time_field: str,

@@ -13,24 +13,24 @@ from emberlog.functions.fields import Fields, quoted
 from emberlog.operators import predicates as P
 from emberlog.operators.dsl import compile_query
 
-QUERIES_PER_PASS = 200
+# Predicates that share one generated array; all arrays are filled in the same pass.
+QUERIES_PER_ARRAY = 200
 
 
 def percolate(df: DataFrame, queries: Mapping[str, dict], fields: Fields | None = None, label: str = "query_id"):
     """Every row once per stored query it matches.
 
-    All predicates of a chunk are evaluated in one pass over the rows; chunks keep the
-    generated code small and are united, so any number of queries is allowed.
+    All predicates are evaluated in one pass over the rows: arrays of matched names, which
+    keep the generated code small, are joined and exploded once.
     """
     fields = fields or Fields.of(df)
     named = list(queries.items())
-    parts = []
-    for start in range(0, len(named), QUERIES_PER_PASS):
-        chunk = named[start:start + QUERIES_PER_PASS]
-        hits = F.array(*[F.when(compile_query(fields, q).matches, F.lit(name)) for name, q in chunk])
-        matched = F.explode(F.filter(hits, lambda name: name.isNotNull()))
-        parts.append(df.withColumn(label, matched))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    arrays = []
+    for start in range(0, len(named), QUERIES_PER_ARRAY):
+        chunk = named[start:start + QUERIES_PER_ARRAY]
+        arrays.append(F.array(*[F.when(compile_query(fields, q).matches, F.lit(name)) for name, q in chunk]))
+    hits = F.concat(*arrays) if arrays else F.array().cast("array<string>")
+    return df.withColumn(label, F.explode(F.filter(hits, lambda name: name.isNotNull())))
 
 
 def more_like_this(
@@ -62,11 +62,11 @@ def more_like_this(
         .agg(F.count(F.lit(1)).alias("freq"))
         .where(F.col("freq") >= min_term_freq)
     )
-    vocabulary = seed_terms.agg(F.collect_list("term").alias("terms")).scalar()
     # Splitting is cheaper than extracting tokens; the empty string it may add is in no word list.
     words = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
     doc_freq = (
-        df.select(F.explode(F.array_intersect(words, vocabulary)).alias("term"))
+        df.select(F.explode(F.array_distinct(words)).alias("term"))
+        .join(seed_terms.select("term"), "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= min_doc_freq)
@@ -82,7 +82,8 @@ def more_like_this(
     if not wanted:
         return df.where(P.never())
     needed = max(1, int(len(wanted) * minimum_should_match))
-    shared = F.size(F.array_intersect(words, F.array(*[F.lit(word) for word in wanted])))
+    field = fields.find(field)
+    shared = reduce(lambda a, b: a + b, [F.when(P.has_token(field.column, [word]), 1).otherwise(0) for word in wanted])
     return df.where(~key.isin(list(like)) & (shared >= needed))
 
 

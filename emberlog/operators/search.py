@@ -16,7 +16,8 @@ from emberlog.operators import predicates as P
 # Private-use marks stand for a quoted text or a finished predicate, by number.
 _QUOTE, _DONE, _END = "\ue000", "\ue001", "\ue002"
 _FIELD = r"(?P<field>(?:\\.|[^\s:()\\\ue000-\ue002])+):"
-_GROUP = re.compile(_FIELD + r"\((?P<body>[^()]*)\)")
+_GROUP = re.compile(_FIELD + r"\(")
+_BRACKET = re.compile(r"\\.|[()]")
 _LEAF = re.compile(
     rf"(?:{_FIELD}\s*)?(?P<value>[\[{{][^\]}}]*[\]}}]|[<>]=?\s*[^\s()]+|{_QUOTE}\d+{_END}|(?:\\.|[^\s()\ue000-\ue002])+)"
 )
@@ -61,17 +62,29 @@ def search_predicate(
         pieces = re.split(rf"({_DONE}\d+{_END})", part)
         return "".join(p if p.startswith(_DONE) else _LEAF.sub(one, p) for p in pieces)
 
-    def combine(flat: str) -> Column:
-        return _combine(flat, done, default_operator)
-
-    text = re.sub(r'"((?:\\.|[^"\\])*)"', quote, text)
-    text = _GROUP.sub(lambda m: keep(combine(leaves(m["body"], m["field"]))), text)
-    text = leaves(text)
-    while True:
-        reduced = re.sub(r"\(([^()]*)\)", lambda m: keep(combine(m[1])), text)
-        if reduced == text:
-            return combine(text)
-        text = reduced
+    def groups(part: str) -> str:
+        """`field:(...)` up to the matching bracket becomes one predicate; the field holds in brackets inside."""
+        while opened := _GROUP.search(part):
+            depth, close = 1, None
+            for m in _BRACKET.finditer(part, opened.end()):
+                depth += {"(": 1, ")": -1}.get(m[0], 0)
+                if depth == 0:
+                    close = m
+                    break
+            if close is None:
+                raise ValueError("a bracket is not closed in search string")
+            part = part[: opened.start()] + keep(parse(part[opened.end() : close.start()], opened["field"])) + part[close.end() :]
+        return part
+
+    def parse(part: str, name: str | None = None) -> Column:
+        part = leaves(groups(part), name)
+        while True:
+            reduced = re.sub(r"\(([^()]*)\)", lambda m: keep(_combine(m[1], done, default_operator)), part)
+            if reduced == part:
+                return _combine(part, done, default_operator)
+            part = reduced
+
+    return parse(re.sub(r'"((?:\\.|[^"\\])*)"', quote, text))
 
 
 def _combine(flat: str, done: list[Column], default_operator: str) -> Column:

@@ -27,7 +27,11 @@ def get_session(app: str = "emberlog", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can write to: `spark.checkpoint.dir` where the cluster
-    names one, a new temporary folder otherwise (local tests)."""
+    """Folder every executor can write to: `spark.checkpoint.dir`; a local session may do without one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or tempfile.mkdtemp(prefix="emberlog-")).rstrip("/")
+    if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="emberlog-")
+    return configured.rstrip("/")
