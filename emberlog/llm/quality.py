@@ -17,39 +17,43 @@ REACH = 4.0
 SALTS = 32
 
 
-def text_measures(text: Column) -> dict[str, Column]:
-    """Counts of one text. Windows found twice are neighbours after a sort, so no row leaves its task."""
-    t = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(t, SPACE, -1), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.regexp_replace(x, SPACE, "") != "")
+def text_measures(t: Column, words: Column, lines: Column) -> dict[str, Column]:
+    """Counts of one text, its words, and its lines that have a word."""
     return {
         "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(F.regexp_replace(t, SPACE, "")).cast("long"),
-        "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
+        "word_chars": (F.length(t) - F.regexp_count(t, F.lit("[\\x20\\x09-\\x0D]"))).cast("long"),
+        "n_symbols": F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_lines": F.size(lines).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_loud": (F.length(t) - F.length(F.translate(t, "!?", ""))).cast("long"),
+        "n_loud": F.regexp_count(t, F.lit("[!?]")).cast("long"),
     }
 
 
-def repeat_words(words: Column) -> Column:
-    """Words in three-word windows that the array has twice or more."""
-    three = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("w"), i.alias("i")))
-    return F.when(F.size(words) >= 3, F.array_sort(three)).otherwise(F.array().cast("array<struct<h:bigint,w:string,i:int>>"))
+def sorted_windows(words: Column) -> Column:
+    """Every three-word window of an array of words as (hash, place), sorted: equal windows become neighbours."""
+    three = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
+    return F.when(F.size(words) >= 3, F.array_sort(three)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
 
 
-def repeated_of(sorted_windows: Column) -> Column:
-    """From the sorted windows, how many words stand in one that has an equal neighbour."""
-    alike = lambda a, b: F.coalesce(a["w"] == b["w"], F.lit(False))
-    at = F.transform(sorted_windows, lambda x, k: F.when(alike(x, F.get(sorted_windows, k - 1)) | alike(x, F.get(sorted_windows, k + 1)), x["i"]))
+def repeated_words(words: Column, windows: Column) -> Column:
+    """How many words stand in a window that has an equal neighbour; equal hashes are compared word by word."""
+
+    def alike(a: Column, b: Column) -> Column:
+        same = a["h"] == b["h"]
+        for k in range(3):
+            same = same & (F.get(words, a["i"] + k) == F.get(words, b["i"] + k))
+        return F.coalesce(same, F.lit(False))
+
+    at = F.transform(windows, lambda x, k: F.when(alike(x, F.get(windows, k - 1)) | alike(x, F.get(windows, k + 1)), x["i"]))
     return F.size(F.array_distinct(F.flatten(F.transform(F.filter(at, lambda i: i.isNotNull()), lambda i: F.array(i, i + 1, i + 2))))).cast("long")
 
 
 def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     base = docs.select(docs[id].alias("id"), docs[lang].alias("lang"), docs[source].alias("source"), F.coalesce(docs[text], F.lit("")).alias("t"))
-    counted = base.select("id", "lang", "source", *(c.alias(n) for n, c in text_measures(F.col("t")).items()), F.filter(F.split("t", SPACE, -1), lambda w: w != "").alias("words"))
-    windows = counted.withColumn("windows", repeat_words(F.col("words"))).drop("words")
-    return windows.withColumn("n_repeat_words", repeated_of(F.col("windows"))).drop("windows").withColumns({
+    split = base.withColumn("words", F.filter(F.split("t", SPACE, -1), lambda w: w != "")).withColumn("lines", F.filter(F.split("t", "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
+    counted = split.select("id", "lang", "source", "words", *(c.alias(n) for n, c in text_measures(F.col("t"), F.col("words"), F.col("lines")).items()))
+    windows = counted.withColumn("windows", sorted_windows(F.col("words")))
+    return windows.withColumn("n_repeat_words", repeated_words(F.col("words"), F.col("windows"))).drop("words", "windows").withColumns({
         "symbol_share": F.col("n_symbols") / F.greatest("word_chars", F.lit(1)),
         "dup_line_share": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
         "repeat_share": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
