@@ -11,40 +11,94 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import Memo, map_arrow, slices, staged
+from emberlog.llm.common import map_arrow, slices, staged
 
 WORDS = 5
 #: Links from NUMERATOR / DENOMINATOR of the union on.
 NUMERATOR, DENOMINATOR = 3, 4
 #: Coordinates of a count vector.
-GROUPS = 64
+GROUPS = 128
+#: Counts from here on are cut to this and bound nothing.
+MOST = 32000
 #: Counters of the frequency sketch, and in a segment of it; slots of the candidate bit array.
 COUNTERS, SEGMENT, SLOTS = 1 << 24, 1 << 16, 1 << 22
 #: First sets of its blocks that a set is verified against before the tree looks for the rest.
 STARS = 3
+#: Nearest sets of each tile that are verified first, so that most components are whole before all are asked.
+NEAREST = 2
 #: Rows of a block or tile that are compared in one task.
 TILE = 1000
 MOST_SALTS = 1 << 20
 FAN = 16
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
+#: Bytes to random odd numbers, and the base of the rolling hash with its inverse modulo 2 ** 64.
+BYTES = np.random.default_rng(20240131).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 2**64)
+#: Words that are hashed at once.
+STRETCH = 1 << 18
 
 
-def shingle_set(text: str | None, names: Memo, size: int = WORDS) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct runs of `size` words; of the whole sequence if it is shorter."""
-    words = text.encode().lower().split() if text else []  # bytes: A-Z alone change, and ASCII white space alone splits
-    if not words:
-        return np.empty(0, np.uint64)
-    ids = np.fromiter(map(names.__getitem__, words), np.uint64, len(words))
-    width = min(size, len(ids))
-    total = np.full(len(ids) - width + 1, width, np.uint64)
-    for k in range(width):
-        total += ids[k : len(ids) - width + 1 + k] * FACTORS[k % len(FACTORS)]
-        total ^= total >> np.uint64(29)
-    return np.unique(total)
+class Powers:
+    """BASE ** k and its inverse for k up to what was asked for so far."""
 
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
 
-def word_names() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, 400_000)
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 1 << 17)
+            self.up, self.down = (np.concatenate(([np.uint64(1)], np.multiply.accumulate(np.full(size, b, np.uint64)))) for b in (BASE, INVERSE))
+        return self.up[:n], self.down[:n]
+
+
+def run_hashes(words: list[bytes], width: int, powers: Powers) -> np.ndarray:
+    """A 64-bit hash of every run of `width` words, joined by blanks: a polynomial by differences of running sums.
+
+    It doesn't depend on where a run stands.
+    """
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    up, down = powers.upto(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTES[data] * up[:-1], out=sums[1:])
+    blanks = np.flatnonzero(data == 32)
+    starts, ends = np.r_[0, blanks + 1], np.r_[blanks, len(data)]
+    first = starts[: len(words) - width + 1]
+    h = (sums[ends[width - 1 :]] - sums[first]) * down[first]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def shingle_sets(texts: list[str | None], powers: Powers, size: int = WORDS) -> list[np.ndarray]:
+    """For each text the sorted hashes of its distinct runs of `size` words; of the whole sequence if it is shorter.
+
+    Texts are hashed together; a very long one goes by itself, stretch by stretch.
+    """
+    sets: list[np.ndarray] = [np.empty(0, np.uint64)] * len(texts)
+    words: list[bytes] = []
+    of: list[tuple[int, int]] = []  # which text, and where its words start
+    for k, text in enumerate(texts):
+        own = text.encode().lower().split() if text else []  # bytes: A-Z alone change, and ASCII white space alone splits
+        if len(own) > STRETCH:
+            runs = [run_hashes(own[i : i + STRETCH + size - 1], size, powers) for i in range(0, len(own) - size + 1, STRETCH)]
+            sets[k] = np.unique(np.concatenate(runs))
+        elif len(own) >= size:
+            of.append((k, len(words)))
+            words += own
+        elif own:
+            sets[k] = run_hashes(own, len(own), powers)
+    if of:
+        starts = np.array([at for _, at in of])
+        owner = np.repeat(np.arange(len(of)), np.diff(np.r_[starts, len(words)]))
+        h = run_hashes(words, size, powers)
+        inside = owner[: len(h)] == owner[size - 1 :]
+        h, owner = h[inside], owner[: len(h)][inside]
+        order = np.lexsort((h, owner))
+        h, owner = h[order], owner[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])]
+        h, owner = h[new], owner[new]
+        for (k, _), part in zip(of, np.split(h, np.searchsorted(owner, np.arange(1, len(of))))):
+            sets[k] = part
+    return sets
 
 
 def set_name(shingles: np.ndarray) -> int:
@@ -52,7 +106,7 @@ def set_name(shingles: np.ndarray) -> int:
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(np.bincount((shingles >> np.uint64(57)).astype(np.int64), minlength=GROUPS), MOST).astype(np.int16)
 
 
 def profiles(docs: DataFrame, size: int) -> DataFrame:
@@ -60,8 +114,8 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
     names_of = ["id", "set", "n", "vector", "segment", "slots", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kept, held, counters = word_names(), [], 0, np.zeros(COUNTERS, np.uint32)
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary()]
+        powers, kept, held, counters = Powers(), [], 0, np.zeros(COUNTERS, np.uint32)
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.int32(), pa.binary(), pa.binary()]
         id_kind = None
 
         def add() -> None:
@@ -72,7 +126,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             id_kind = batch.schema.field("id").type
             for rows in slices(batch, "text"):
-                sets = [shingle_set(t, names, size) for t in rows["text"]]
+                sets = shingle_sets(rows["text"], powers, size)
                 for s in sets:
                     kept.append((s & np.uint64(COUNTERS - 1)).astype(np.uint32))
                     held += len(s)
@@ -97,7 +151,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(told, (id_kind, *kinds))], names_of)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return map_arrow(docs, read, f"id {kind}, set long, n long, vector array<int>, segment int, slots binary, counts binary")
+    return map_arrow(docs, read, f"id {kind}, set long, n long, vector array<smallint>, segment int, slots binary, counts binary")
 
 
 def to_code(counts: np.ndarray) -> np.ndarray:
@@ -139,12 +193,11 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, size: int, tile: int) -> DataF
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, seen = word_names(), set()
+        powers, seen = Powers(), set()
         for batch in batches:
             for rows in slices(batch, "text"):
                 out: list[list[np.ndarray]] = [[], [], [], [], []]
-                for text in rows["text"]:
-                    s = shingle_set(text, names, size)
+                for s in shingle_sets(rows["text"], powers, size):
                     name = set_name(s)
                     if not len(s) or name in seen:
                         continue
@@ -176,12 +229,11 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint8))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = word_names()
+        powers = Powers()
         for batch in batches:
             for rows in slices(batch, "text"):
                 out = []
-                for id, text in zip(rows["id"], rows["text"]):
-                    s = shingle_set(text, names, size)
+                for id, s in zip(rows["id"], shingle_sets(rows["text"], powers, size)):
                     name = set_name(s)
                     k = zlib.crc32(f"{'' if id is None else id}:{name}".encode()) % SLOTS
                     if len(s) and shared.value[k >> 3] >> (k & 7) & 1:
@@ -200,7 +252,7 @@ def may_link(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes, then sums of coordinate minima, allow a link."""
     a, b = vectors.toDF("a", "n_a", "v_a"), vectors.toDF("b", "n_b", "v_b")
     both = pairs.join(a, "a").join(b, "b").withColumn("total", F.col("n_a") + F.col("n_b"))
-    bound = F.aggregate(F.zip_with("v_a", "v_b", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+    bound = F.aggregate(F.zip_with("v_a", "v_b", lambda x, y: F.when(F.least(x, y) >= MOST, 1 << 24).otherwise(F.least(x, y).cast("int"))), F.lit(0), lambda t, x: t + x)
     return both.where(F.when(needed(F.least("n_a", "n_b"), F.col("total")), needed(bound, F.col("total"))).otherwise(F.lit(False))).select("a", "b", "total")
 
 
@@ -237,38 +289,47 @@ class CountTree:
             level = tuple(f.reduceat(x, at, axis=0) for f, x in zip((np.maximum, np.minimum, np.maximum, np.minimum, np.maximum), level))
             self.levels.append(level)
 
-    def near(self, vector: np.ndarray, size: int, kind: int) -> np.ndarray:
-        """Places of points of another class whose bound allows a link."""
+    def near(self, vector: np.ndarray, size: int, kind: int, top: int | None = None) -> np.ndarray:
+        """Places of points of another class whose bound allows a link; the `top` with the highest share alone if given."""
         at = np.zeros(1, np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
             tops, least, most, low, high = (x[at] for x in self.levels[depth])
             fits = (DENOMINATOR * most >= NUMERATOR * size) & (NUMERATOR * least <= DENOMINATOR * size) & ((low != kind) | (high != kind))
-            fits &= (NUMERATOR + DENOMINATOR) * np.minimum(tops, vector).sum(axis=1) >= NUMERATOR * (size + least)
-            at = at[fits]
+            minima = np.minimum(tops, vector)
+            bound = minima.sum(axis=1, dtype=np.int64) + (minima >= MOST).any(axis=1) * np.int64(1 << 24)
+            fits &= (NUMERATOR + DENOMINATOR) * bound >= NUMERATOR * (size + least)
+            at, bound = at[fits], bound[fits]
             if depth and len(at):
                 at = (at[:, None] * FAN + np.arange(FAN)).ravel()
                 at = at[at < len(self.levels[depth - 1][1])]
+        if top is not None and len(at) > top:
+            at = at[np.argsort(-bound / (size + self.levels[0][1][at]), kind="stable")[:top]]
         return self.order[at]
 
 
-def tile_pairs(rows: DataFrame) -> DataFrame:
+def tile_pairs(rows: DataFrame, top: int | None) -> DataFrame:
     """(a, b): in each unit, pairs of an asking set and another of a different class that the tree lets through."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, told = None, [], set()
 
         def pairs_of() -> pa.RecordBatch:
             asks, sets, sizes, classes = (np.array(x) for x in zip(*((r[0], r[1], r[2], r[3]) for r in held)))
-            vectors = np.array([r[4] for r in held])
-            found_a, found_b = [], []
+            vectors = np.array([r[4] for r in held], np.int16)
+            found = []
+            if len(told) > 500_000:
+                told.clear()
             if (~asks).any():
                 kept = np.flatnonzero(~asks)
                 tree = CountTree(vectors[kept], sizes[kept], classes[kept])
                 for q in np.flatnonzero(asks):
-                    at = kept[tree.near(vectors[q], int(sizes[q]), int(classes[q]))]
-                    found_a += [int(sets[q])] * len(at)
-                    found_b += sets[at].tolist()
-            return pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
+                    own = int(sets[q])
+                    for other in sets[kept[tree.near(vectors[q], int(sizes[q]), int(classes[q]), top)]].tolist():
+                        pair = (own, other) if own < other else (other, own)
+                        if pair not in told:  # blocks of the same sets mostly meet in one task
+                            told.add(pair)
+                            found.append(pair)
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("shingle", "x", "y", "asks", "set", "n", "root", "vector")]
@@ -281,30 +342,40 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
         if held:
             yield pairs_of()
 
-    found = map_arrow(rows.repartition("shingle", "x", "y").sortWithinPartitions("shingle", "x", "y"), join, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = map_arrow(rows.repartition("lead", "x", "y").sortWithinPartitions("lead", "shingle", "x", "y"), join, "a long, b long")
+    return found.distinct()
 
 
-def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, tile: int) -> DataFrame:
+def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, tile: int, top: int | None = None) -> DataFrame:
     """Candidate pairs of sets that share a prefix shingle but aren't connected yet.
 
     In a block most sets are connected by now; the others ask all of it. Both sides are cut into
-    tiles, and a tree over one tile answers the asking tile. Blocks with the same sets are done once.
+    tiles, and a tree over one tile answers the asking tile, with its `top` nearest alone if given.
+    Blocks with the same sets are done once.
     """
     named = blocks.join(labels.toDF("set", "root"), "set", "left").select("shingle", "salts", "salt", "set", F.coalesce("root", "set").alias("root")).distinct()
     mixed = staged(named, "named")
     whole = mixed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("size"), F.max("salts").alias("tiles"))
     open_blocks = whole.where("low <> high").dropDuplicates(["sum", "size"]).select("shingle", "size")
     inside = staged(mixed.join(open_blocks, "shingle"), "inside")
-    main = inside.groupBy("shingle", "root").count().groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"))
-    tiles = main.select("shingle", F.col("m.root").alias("main"), F.expr(f"cast(ceil((size - m.count) / {tile}) as int)").alias("xs"), F.expr(f"cast(ceil(size / {tile}) as int)").alias("ys"))
+    main = inside.groupBy("shingle", "root").agg(F.count("*").alias("count"), F.min("set").alias("lead")).groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"), F.min("lead").alias("lead"))
+    tiles = main.select("shingle", "lead", F.col("m.root").alias("main"), F.expr(f"cast(ceil((size - m.count) / {tile}) as int)").alias("xs"), F.expr(f"cast(ceil(size / {tile}) as int)").alias("ys"))
     full = inside.join(staged(tiles, "tiles"), "shingle").join(vectors, "set")
     x, y = F.pmod(F.xxhash64("set", F.lit(1)), F.col("xs")).cast("int"), F.pmod(F.xxhash64("set", F.lit(2)), F.col("ys")).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    same = ["set", "n", "root", "vector"]
+    same = ["lead", "set", "n", "root", "vector"]
     asking = full.where("root <> main").select("shingle", x.alias("x"), upto("ys").alias("y"), F.lit(True).alias("asks"), *same)
     asked = full.select("shingle", upto("xs").alias("x"), y.alias("y"), F.lit(False).alias("asks"), *same)
-    return tile_pairs(asking.unionByName(asked))
+    return tile_pairs(asking.unionByName(asked), top)
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, root) with components that further links (a, b) join."""
+    root = lambda side: labels.toDF(side, f"root_{side}")
+    between = links.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a <> b")
+    over = components(between)
+    risen = labels.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return staged(risen.unionByName(over.join(labels.select("node"), "node", "left_anti").select("node", "root")), "roots")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = WORDS, tile: int = TILE) -> DataFrame:
@@ -318,7 +389,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     2. Blocks of sets that share one of their rarest quarter of shingles: no link lies outside.
     3. Each set is verified against the first sets of its blocks that it meets most, and components taken.
     4. Sets of a block that aren't in its main component ask a count-vector R-tree over the block,
-       whose nodes are bounded by sums of coordinate minima; surviving pairs are verified.
+       whose nodes are bounded by sums of coordinate minima; surviving pairs are verified. The
+       nearest alone go first, which joins most components, then all that is left.
     Blocks are salted by the sketch, hot ones cut into tiles; nothing is kept on one machine, and
     only fixed-size arrays reach the driver.
 
@@ -346,14 +418,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     vectors = staged(keyed.where("segment is null and n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("vector").alias("vector")), "vectors")
     sets = staged(candidate_sets(base, vectors.select("set", "id"), size), "sets")
     vectors = vectors.drop("id")
-    labels = components(linked(may_link(best, vectors), sets))
-    more = linked(may_link(remaining_pairs(blocks, labels, vectors, tile), vectors), sets)
-    root = lambda side: labels.toDF(side, f"root_{side}")
-    between = more.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a <> b")
-    over = components(between)
-    final = labels.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    lifted = over.join(labels, over["node"] == labels["node"], "left_anti").select("node", "root")  # joined only in the last step
-    roots = final.unionByName(lifted).toDF("set", "root")
+    roots = components(linked(may_link(best, vectors), sets))
+    for top in (NEAREST, None):
+        roots = joined(roots, linked(may_link(remaining_pairs(blocks, roots, vectors, tile, top), vectors), sets))
+    roots = roots.toDF("set", "root")
     per_set = rows.where("n > 0").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("copies")).join(roots, "set", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "set"))
     lowest = per_set.groupBy("root").agg(F.min("low").alias("component_id"))
     of_set = staged(per_set.join(lowest, "root").select("set", "component_id"), "components")
