@@ -11,7 +11,6 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-import uuid
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -36,7 +35,7 @@ def _arguments() -> argparse.ArgumentParser:
         step = steps.add_parser(name)
         step.add_argument("--root", required=True, help="folder that holds one folder per index")
         step.add_argument("--index", required=True, help="index name or pattern")
-        step.add_argument("--input-format", default="parquet")
+        step.add_argument("--input-format", default="parquet", help="parquet, json, ..., or imported for what `import` wrote")
         step.add_argument("--from", dest="frm")
         step.add_argument("--to")
         step.add_argument("--time-field")
@@ -72,7 +71,10 @@ def _names(text: str) -> tuple[str, ...]:
 
 def _selected(spark: SparkSession, args) -> LogTable:
     """The rows of the indices asked for, cut by time and entities."""
-    df = indices.scan_folders(spark, args.root, args.index, args.input_format)
+    if args.input_format == "imported":
+        df = importer.scan_imported(spark, args.root, args.index)
+    else:
+        df = indices.scan_folders(spark, args.root, args.index, args.input_format)
     text_fields = _names(args.text_fields)
     table = LogTable(
         df, args.time_field, text_fields, _names(args.tie_break), name=args.index, date_partition=args.date_partition
@@ -113,13 +115,14 @@ def sample(spark: SparkSession, args) -> None:
     table = _selected(spark, args)
     described = {"pattern": args.index, "from": args.frm or "", "to": args.to or ""}
     sinks.write_sample(
-        table.df, args.output, table.time_field, args.sample_size, table.tie_break, metadata=described
+        table.df, args.output, table.time_field, args.sample_size, table.tie_break, metadata=described, text_fields=table.text_fields
     )
 
 
 def load(spark: SparkSession, args) -> None:
     mapping = importer.import_file(spark, args.samples, args.root, args.day, args.force)
-    _write(mapping.orderBy("_index", "field"), f"{args.root.rstrip('/')}/.mappings-{uuid.uuid4().hex}", "json")
+    for row in mapping.groupBy("_index").count().orderBy("_index").toLocalIterator():
+        print(f"{row['_index']}: {row['count']} fields, in {args.root.rstrip('/')}/{importer.MAPPINGS}")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -316,14 +316,20 @@ def time_column(catalogue: DataFrame) -> DataFrame:
     return inspect_indices(catalogue).select("index", "kind", "time_field", "has_date")
 
 
-def index_health(catalogue: DataFrame) -> DataFrame:
-    """Warnings per index, in a fixed order; an index without warnings has an empty list."""
+def index_health(catalogue: DataFrame, indices: DataFrame | None = None) -> DataFrame:
+    """Warnings per index, in a fixed order; an index without warnings has an empty list.
+
+    `indices`, a table with a column `index`, names indices that may have no field at all.
+    """
     seen = inspect_indices(catalogue)
+    if indices is not None:
+        seen = indices.select("index").distinct().join(seen, "index", "left")
     named = F.format_string(NO_DATE_FIELD, F.col("index"))
+    dated = F.coalesce("has_date", F.lit(False))
     checks = [
-        (~F.col("has_date"), named),
-        (F.coalesce(F.col("time_field"), F.lit("")) == "", F.lit(NO_TIME_FIELD)),
-        (F.col("field_count") == 0, F.lit(NO_FIELDS)),
+        (~dated, named),
+        (~dated, F.lit(NO_TIME_FIELD)),
+        (F.coalesce("field_count", F.lit(0)) == 0, F.lit(NO_FIELDS)),
     ]
     warnings = F.array_compact(F.array(*[F.when(broken, text) for broken, text in checks]))
     return seen.select("index", warnings.alias("warnings"))
@@ -383,9 +389,15 @@ def similar_fields(catalogue: DataFrame, entities=ENTITIES) -> DataFrame:
     )
 
 
+def title_case(text: Column) -> Column:
+    """Every run of letters, digits and underscores with a capital first; the rest of it as it is."""
+    runs = F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substring(run, F.lit(2), F.length(run)))), "")
+
+
 def field_label(field: Column) -> Column:
     """Last part of the name, underscores as spaces, in title case."""
-    return F.initcap(F.replace(F.element_at(F.split(field, r"\."), -1), F.lit("_"), F.lit(" ")))
+    return title_case(F.replace(F.element_at(F.split(field, r"\."), -1), F.lit("_"), F.lit(" ")))
 
 
 def is_trace_field(field: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.operators.catalogue import _any, field_label, field_role, map_types
+from emberlog.operators.catalogue import _any, field_label, field_role, map_types, title_case
 
 # Fixed values.  Rules are tried in order: (how, words, result).  `how` is equals,
 # contains or starts; a result that starts with "-" is the name without that prefix.
@@ -97,8 +97,8 @@ def field_view(catalogue: DataFrame) -> DataFrame:
     """One view column per catalogue row: role, label, view type, format, colour rule."""
     field, view_type, role = F.col("field"), F.col("view_type"), F.col("role")
     typed = map_types(catalogue).withColumn("role", field_role(field))
-    whole_name = F.initcap(F.replace(field, F.lit("_"), F.lit(" ")))
-    rpc = F.concat(F.lit("RPC "), F.initcap(F.replace(field.substr(F.lit(5), F.length(field)), F.lit("_"), F.lit(" "))))
+    whole_name = title_case(F.replace(field, F.lit("_"), F.lit(" ")))
+    rpc = F.concat(F.lit("RPC "), title_case(F.replace(field.substr(F.lit(5), F.length(field)), F.lit("_"), F.lit(" "))))
     label = (
         F.when(role == "kubernetes", _label(field, KUBERNETES_LABELS).otherwise(field_label(field)))
         .when(

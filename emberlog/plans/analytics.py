@@ -184,34 +184,34 @@ def agg_sub_terms(spark, d):
 # ------------------------------------------------------------ order and limits
 
 
-@query("SELECT event_id, ts FROM events WHERE event_type = 'error' ORDER BY ts DESC NULLS LAST, event_id")
+@query("SELECT event_id, ts FROM events ORDER BY ts DESC NULLS LAST, event_id")
 def sort_default(spark, d):
-    events = LogTable(table(spark, d, "events").where("event_type = 'error'"), "ts", tie_break=("event_id",))
+    events = LogTable(table(spark, d, "events"), "ts", tie_break=("event_id",))
     return events.df.orderBy(*events.order()).select("event_id", "ts")
 
 
 @query("""
 SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders
-ORDER BY o_orderpriority, o_totalprice DESC NULLS LAST, o_orderkey LIMIT 200
+ORDER BY o_orderpriority, o_totalprice DESC NULLS LAST, o_orderkey
 """)
 def sort_custom(spark, d):
-    body = Body.of({"query": {"match_all": {}}, "size": 200, "sort": ["o_orderpriority", {"o_totalprice": {"order": "desc"}}]})
+    body = Body.of({"query": {"match_all": {}}, "sort": ["o_orderpriority", {"o_totalprice": {"order": "desc"}}]})
     orders = LogTable(table(spark, d, "orders"), "o_orderdate", tie_break=("o_orderkey",), body=body)
-    return orders.top().df.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return orders.df.orderBy(*orders.order()).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
 @query("""
 SELECT _index, id FROM (
   SELECT 'events' AS _index, event_id AS id, ts AS "time", value FROM events
   UNION ALL SELECT 'orders', o_orderkey, o_orderdate, NULL FROM orders)
-ORDER BY value DESC NULLS LAST, "time" DESC NULLS LAST, _index, id LIMIT 500
+ORDER BY value DESC NULLS LAST, "time" DESC NULLS LAST, _index, id
 """)
 def sort_unmapped(spark, d):
     events = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("time"), "value")
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("time"))
     both = indices.scan_pattern({"events": events, "orders": orders}, "*")
     spec = [{"startTimeMillis": {"order": "desc", "unmapped_type": "boolean"}}, {"value": "desc"}, {"time": "desc"}, "_index", "id"]
-    return both.orderBy(*ordering.sort_columns(Fields.of(both), spec)).limit(ordering.DEFAULT_LIMIT).select("_index", "id")
+    return both.orderBy(*ordering.sort_columns(Fields.of(both), spec)).select("_index", "id")
 
 
 @query("SELECT event_id, ts, value FROM events ORDER BY ts DESC NULLS LAST, event_id LIMIT 500")
@@ -251,17 +251,18 @@ def sample_filtered(spark, d):
     return found.df.select("_index", "id", "service")
 
 
-@query("""
-SELECT 'event_id' AS field, count(event_id) AS docs FROM events UNION ALL SELECT 'event_type', count(event_type) FROM events
-UNION ALL SELECT 'value', count(value) FROM events UNION ALL SELECT 'o_orderkey', count(o_orderkey) FROM orders
-UNION ALL SELECT 'o_orderstatus', count(o_orderstatus) FROM orders
-""")
+_UNION_FIELDS = {
+    "events": "event_id ts user_id event_type value props",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS field, count({name}) AS docs FROM {of}" for of, names in _UNION_FIELDS.items() for name in names.split()
+))
 def fields_union(spark, d):
     """All fields of two indices and how many documents have each."""
-    frames = {
-        "events": table(spark, d, "events").select("event_id", "event_type", "value"),
-        "orders": table(spark, d, "orders").select("o_orderkey", "o_orderstatus"),
-    }
+    frames = {name: table(spark, d, name) for name in ("events", "orders")}
     counted = [frame.agg(*[F.count(c).alias(c) for c in frame.columns]) for frame in frames.values()]
     listed = [
         counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("docs")) for c in counts.columns])))

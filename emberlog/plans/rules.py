@@ -14,6 +14,22 @@ from emberlog.plans.adapters import (
 from emberlog.plans.registry import query, table
 
 
+# What the classes are expected to be, apart from what the operators hold.
+WANT_SEVERITY = {
+    "red": "ERROR|FATAL|CRITICAL", "yellow": "WARN|WARNING", "green": "INFO|INFORMATION|SUCCESS", "blue": "DEBUG|TRACE",
+    "gray": "UNKNOWN",
+}
+WANT_SYSLOG = {
+    "red": "ERROR|ALERT|EMERG|CRIT", "yellow": "WARNING", "green": "NOTICE", "blue": "DEBUG|INFO", "gray": "UNKNOWN",
+}
+WANT_SPAN_KIND = {"blue": "CLIENT", "green": "SERVER", "yellow": "PRODUCER", "orange": "CONSUMER", "purple": "INTERNAL"}
+WANT_TIME_FIELDS = {
+    "kubernetes": "@timestamp timestamp time date created_at",
+    "jaeger": "startTimeMillis startTime @timestamp timestamp time date",
+    "generic": "@timestamp timestamp time date created_at log_time event_time",
+}
+
+
 def _words(column: str, options) -> str:
     whens = "".join(
         f" WHEN {column} IN ({', '.join(repr(w) for w in rule.split('|'))}) THEN '{color}'" for color, rule in options.items()
@@ -62,12 +78,12 @@ def format_display(spark, d):
 # -------------------------------------------------------------------- classes
 
 
-@query(f"WITH {SQL_EVENTS_LOG} SELECT id, level, {_words('level', C.SEVERITY)} AS color FROM events_log")
+@query(f"WITH {SQL_EVENTS_LOG} SELECT id, level, {_words('level', WANT_SEVERITY)} AS color FROM events_log")
 def classify_severity(spark, d):
     return events_log(spark, d).select("id", "level", C.color_class(F.col("level"), C.SEVERITY).alias("color"))
 
 
-@query(f"WITH {SQL_EVENTS_LOG} SELECT id, level, {_words('level', C.SYSLOG_SEVERITY)} AS color FROM events_log")
+@query(f"WITH {SQL_EVENTS_LOG} SELECT id, level, {_words('level', WANT_SYSLOG)} AS color FROM events_log")
 def classify_syslog(spark, d):
     return events_log(spark, d).select("id", "level", C.color_class(F.col("level"), C.SYSLOG_SEVERITY).alias("color"))
 
@@ -130,7 +146,7 @@ def classify_status(spark, d):
 
 
 @query(f"""
-SELECT conv_id, turn, {_words(f"({sql_case('role', SPAN_KIND)})", C.SPAN_KIND)} AS color FROM conversations
+SELECT conv_id, turn, {_words(f"({sql_case('role', SPAN_KIND)})", WANT_SPAN_KIND)} AS color FROM conversations
 """)
 def classify_span_kind(spark, d):
     kind = mapped(F.col("role"), SPAN_KIND)
@@ -157,7 +173,7 @@ kinds AS (
       ELSE 'generic' END AS kind
   FROM catalogue GROUP BY index),
 candidates(kind, field, rank) AS (VALUES
-  {', '.join(f"('{kind}', '{name}', {i})" for kind, names in cat.TIME_FIELDS.items() for i, name in enumerate(names))}),
+  {', '.join(f"('{kind}', '{name}', {i})" for kind, names in WANT_TIME_FIELDS.items() for i, name in enumerate(names.split()))}),
 times AS (
   SELECT k.index, k.kind, arg_min(c.field, coalesce(r.rank, 1000 + c.pos)) AS found
   FROM kinds k LEFT JOIN catalogue c ON c.index = k.index
@@ -191,11 +207,19 @@ def inspect(spark, d):
 @query(f"""
 WITH {_SQL_KIND}
 SELECT index, CASE WHEN has_date THEN ''
-  ELSE 'No date field found in index ''' || index || '''. Time-based queries may not work correctly.' END AS warnings
+  ELSE 'No date field found in index ''' || index || '''. Time-based queries may not work correctly.; '
+    || 'No timestamp field detected. Using default ''@timestamp''.' END AS warnings
 FROM profiled
+UNION ALL
+SELECT 'empty-' || lower(r_name), 'No date field found in index ''empty-' || lower(r_name)
+  || '''. Time-based queries may not work correctly.; No timestamp field detected. Using default ''@timestamp''.; '
+  || 'No fields found in index mapping. Index may be empty or misconfigured.' FROM region
 """)
 def index_health(spark, d):
-    found = cat.index_health(catalogue(spark, d))
+    """Indices with fields, and one per region that has none."""
+    fields = catalogue(spark, d)
+    empty = table(spark, d, "region").select(F.concat(F.lit("empty-"), F.lower("r_name")).alias("index"))
+    found = cat.index_health(fields, fields.select("index").union(empty))
     return found.select("index", F.array_join("warnings", "; ").alias("warnings"))
 
 
@@ -296,10 +320,10 @@ def similar_fields(spark, d):
     return found.select("index", "entity", F.array_join("similar", ",").alias("similar"))
 
 
-@query(f"""
+@query(rf"""
 WITH {SQL_CATALOGUE}, last AS (SELECT index, field, pos, replace(list_last(string_split(field, '.')), '_', ' ') AS part FROM catalogue)
-SELECT index, field, pos, array_to_string(list_transform(string_split(part, ' '),
-  lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS label
+SELECT index, field, pos, array_to_string(list_transform(regexp_extract_all(part, '[\pL\pN_]+|[^\pL\pN_]+'),
+  lambda w: upper(left(w, 1)) || substr(w, 2)), '') AS label
 FROM last
 """)
 def field_labels(spark, d):

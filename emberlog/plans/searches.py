@@ -51,9 +51,13 @@ def search_bool(spark, d):
     return _search(table(spark, d, "orders"), text).select("o_orderkey")
 
 
-@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_orderpriority NOT IN ('3-MEDIUM')")
+@query("""
+SELECT o_orderkey, o_orderstatus FROM orders
+WHERE o_orderstatus IN ('F', 'P') AND o_orderpriority NOT IN ('3-MEDIUM')
+  AND (o_custkey = 7 OR (o_custkey > 8 AND NOT (o_custkey = 10 OR o_custkey = 11)))
+""")
 def search_group(spark, d):
-    text = "o_orderstatus:(F OR P) AND NOT o_orderpriority:(3-MEDIUM)"
+    text = "o_orderstatus:(F OR P) AND NOT o_orderpriority:(3-MEDIUM) AND o_custkey:(7 OR (>8 AND NOT (10 OR 11)))"
     return _search(table(spark, d, "orders"), text).select("o_orderkey", "o_orderstatus")
 
 

@@ -129,21 +129,11 @@ def scan_limit_bulk(spark, d):
     return newest_bulk(events, "ts", events.count() * 2 // 3, ["event_id"])
 
 
-_SAMPLE_SQL = """
-WITH {events_log}
-SELECT _index, id, event_type, value FROM events_log
-QUALIFY row_number() OVER (PARTITION BY _index ORDER BY "@timestamp" DESC NULLS LAST, id) <= 5
-""".format(events_log=SQL_EVENTS_LOG)
+_ALL_SQL = f"WITH {SQL_EVENTS_LOG} SELECT _index, id, event_type, value FROM events_log"
 
 
-@query(_SAMPLE_SQL)
-def import_bundle(spark, d):
-    """A bundle with the newest five documents of every index, written and read back."""
-    log = events_log(spark, d).select("_index", "@timestamp", "id", "event_type", "value", F.lit("x").alias("uid"))
-    path = _folder(spark, "bundle")
-    sinks.write_bundle(log, path, "@timestamp", 5, ["id"])
-    documents = importer.bundle_documents(importer.read_bundle(spark, path, whole_file=False))
-    doc = importer.clean_document(F.col("doc"))
+def _told(documents):
+    doc = F.col("doc")
     return documents.select(
         "_index",
         F.try_variant_get(doc, "$.id", "bigint").alias("id"),
@@ -152,18 +142,45 @@ def import_bundle(spark, d):
     )
 
 
-@query("SELECT event_id, event_type, value FROM events")
+@query(_ALL_SQL)
+def import_bundle(spark, d):
+    """All documents of every index as bundle lines, written and read back."""
+    log = events_log(spark, d).select("_index", "@timestamp", "id", "event_type", "value", F.lit("x").alias("uid"))
+    path = _folder(spark, "bundle")
+    sinks.write_bundle(log, path, "@timestamp", 2_000_000_000, ["id"])
+    return _told(importer.documents_of(spark, path, "2024-01-31"))
+
+
+@query("SELECT 'arrays-2024-01-31' AS _index, event_id AS id, event_type, value FROM events")
 def import_array(spark, d):
-    """Documents in JSON arrays of a thousand, written and read back."""
-    events = table(spark, d, "events")
+    """Documents in JSON arrays of about a thousand, written and imported by their file's name."""
+    events = table(spark, d, "events").select(F.col("event_id").alias("id"), "event_type", "value")
     # Row numbers within a task, so no array can grow past a thousand whatever the ids are.
     batch = F.floor(F.monotonically_increasing_id() / 1000)
-    batches = events.select(batch.alias("batch"), F.struct("event_id", "event_type", "value").alias("doc")).groupBy(
+    batches = events.select(batch.alias("batch"), F.struct("id", "event_type", "value").alias("doc")).groupBy(
         "batch"
     ).agg(F.collect_list("doc").alias("docs"))
     path = _folder(spark, "array")
     batches.select(F.to_json("docs").alias("value")).write.text(path)
-    return importer.read_documents(spark, path).select("event_id", "event_type", "value")
+    return _told(importer.documents_of(spark, path, "2024-01-31")).withColumn("_index", F.lit("arrays-2024-01-31"))
+
+
+@query("SELECT event_id AS id, event_type, value FROM events")
+def import_jsonl(spark, d):
+    """What the JSON sink writes, imported."""
+    path = _folder(spark, "lines")
+    sinks.write_json(table(spark, d, "events").select(F.col("event_id").alias("id"), "event_type", "value"), path)
+    return _told(importer.documents_of(spark, path, "2024-01-31")).drop("_index")
+
+
+@query(f"WITH {SQL_EVENTS_LOG} SELECT _index, id, CAST(id AS VARCHAR) AS code, event_type, value FROM events_log")
+def sample_import_roundtrip(spark, d):
+    """A sample of everything, imported and scanned as a table; the code stays a keyword."""
+    log = events_log(spark, d).select("_index", "@timestamp", "id", F.col("id").cast("string").alias("code"), "event_type", "value")
+    path, root = _folder(spark, "sample"), _folder(spark, "imported")
+    sinks.write_sample(log, path, "@timestamp", 2_000_000_000, ["id"])
+    importer.import_file(spark, path, root, "2024-01-31")
+    return importer.scan_imported(spark, root, "*").select("_index", "id", "code", "event_type", "value")
 
 
 @query("SELECT e.event_id, r.r_name AS _index FROM events e, region r WHERE r.r_name <> 'ASIA'")
@@ -172,17 +189,17 @@ def import_fanout(spark, d):
     return fan_out(table(spark, d, "events").select("event_id"), targets)
 
 
-@query("SELECT event_id, event_type, value FROM events")
+@query("SELECT * FROM events")
 def sink_append(spark, d):
-    events, path = table(spark, d, "events").select("event_id", "event_type", "value"), _folder(spark, "append")
+    events, path = table(spark, d, "events"), _folder(spark, "append")
     sinks.write_index(events.where("event_type <> 'error'"), path)
     sinks.write_index(events.where("event_type = 'error'"), path)
     return spark.read.parquet(path)
 
 
-@query("SELECT event_id, event_type, value FROM events WHERE event_type = 'error'")
+@query("SELECT * FROM events WHERE event_type = 'error'")
 def sink_overwrite(spark, d):
-    events, path = table(spark, d, "events").select("event_id", "event_type", "value"), _folder(spark, "overwrite")
+    events, path = table(spark, d, "events"), _folder(spark, "overwrite")
     sinks.write_index(events.where("event_type <> 'error'"), path)
     sinks.write_index(events.where("event_type = 'error'"), path, force=True)
     return spark.read.parquet(path)

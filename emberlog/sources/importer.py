@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog.operators.catalogue import clean_properties, clean_settings, infer_mapping
 from emberlog.operators.reshape import BOOKKEEPING
+from emberlog.sources.indices import index_matches, is_visible
 
 _INDEX = (
     "struct<name:string,settings:map<string,variant>,mappings:map<string,variant>,"
@@ -87,32 +88,115 @@ def with_file_index(df: DataFrame, day: str) -> DataFrame:
     return df.withColumn("_index", index_name_from_file(F.input_file_name(), day))
 
 
+def read_entries(spark: SparkSession, path: str) -> DataFrame:
+    """What the files of a path hold: `file` and one JSON value (`doc`) per entry, arrays as their members.
+
+    Each file is judged by itself: if every line is JSON it is read line by line, else as one
+    document, which one task reads.  A file that is neither raises an error.
+    """
+    source = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file")
+
+    def values(paths, whole: bool) -> DataFrame:
+        text = spark.read.text(paths, wholetext=whole, recursiveFileLookup=True).select(source, "value")
+        return text.where(F.trim(F.translate("value", "\r\n\t", "   ")) != "").withColumn("doc", F.try_parse_json("value"))
+
+    # One row per file, as in the listing that the driver holds anyway.
+    judged = values(path, False).groupBy("file").agg(F.count_if(F.col("doc").isNull()).alias("broken")).collect()
+    by_line = [row.file for row in judged if not row.broken]
+    by_file = [row.file for row in judged if row.broken]
+    if not judged:
+        raise ValueError(f"nothing to import in {path}")
+    unread = [r.file for r in values(by_file, True).where("doc is null").select("file").collect()] if by_file else []
+    if unread:
+        raise ValueError(f"not JSON: {', '.join(sorted(unread))}")
+    parts = [values(paths, whole) for paths, whole in ((by_line, False), (by_file, True)) if paths]
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    members = F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))
+    return both.select("file", F.explode(members).alias("doc"))
+
+
+_SAMPLE_INDEX = r"/_index=([^/]+)/"
+
+
+def _split_entries(entries: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    """Documents (`_index`, `doc`), and what is said of indices (`_index`, `definition`)."""
+    indices = F.try_variant_get("doc", "$.indices", "map<string,variant>")
+    told = entries.select("file", "doc", indices.alias("indices"))
+    named = F.regexp_extract("file", _SAMPLE_INDEX, 1)
+    described = F.col("file").rlike("/metadata/part-[^/]*$")
+    plain = told.where(F.col("indices").isNull() & ~described).select(
+        F.when(named != "", F.url_decode(F.replace(named, F.lit("+"), F.lit("%2B")))).otherwise(index_name_from_file(F.col("file"), day)).alias("_index"), "doc"
+    )
+    bundles = told.where(F.col("indices").isNotNull())
+    definitions = bundles.select(F.explode("indices").alias("_index", "definition"))
+    own = definitions.select("_index", F.explode(F.try_variant_get("definition", "$.documents", "array<variant>")).alias("doc"))
+    shared = bundles.select(F.map_keys("indices").alias("names"), F.explode(F.try_variant_get("doc", "$.data", "array<variant>")).alias("doc")).select(F.explode("names").alias("_index"), "doc")
+    sampled = told.where(described).select(F.try_variant_get("doc", "$.name", "string").alias("_index"), F.col("doc").alias("definition"))
+    return plain.unionByName(own).unionByName(shared), definitions.unionByName(sampled)
 
 
 def documents_of(spark: SparkSession, path: str, day: str) -> DataFrame:
-    """Cleaned documents of a file and the index each belongs to: `_index`, `doc`.
+    """Cleaned documents of a file or folder and the index each belongs to: `_index`, `doc`.
 
-    A bundle brings its indices, and its top-level data goes to all of them; any other
-    file holds plain documents for the index named after the file.
+    Bundles bring their indices, and their top-level data goes to all of them; samples keep an
+    index per folder; any other file holds plain documents for the index named after the file.
     """
-    bundles = read_bundle(spark, path)
-    if not bundles.isEmpty():
-        found = bundle_documents(bundles).unionByName(bundle_data(bundles))
-    else:
-        text = spark.read.option("wholetext", True).text(path)
-        listed = F.from_json("value", "array<variant>")
-        found = text.select(index_name_from_file(F.input_file_name(), day).alias("_index"), F.explode(listed).alias("doc"))
+    found, _ = _split_entries(read_entries(spark, path), day)
     return found.select("_index", clean_document(F.col("doc")).alias("doc"))
 
 
+def mappings_of(definitions: DataFrame) -> DataFrame:
+    """`_index`, `field`, `type`, `format` of the mappings that come with indices, bookkeeping left out."""
+    properties = F.try_variant_get("definition", "$.mappings.properties", "map<string,variant>")
+    fields = definitions.select("_index", F.explode(clean_properties(properties)).alias("field", "its"))
+    return fields.select(
+        "_index", "field", F.coalesce(F.try_variant_get("its", "$.type", "string"), F.lit("object")).alias("type"),
+        F.try_variant_get("its", "$.format", "string").alias("format"),
+    ).distinct()
+
+
 def import_file(spark: SparkSession, path: str, root: str, day: str, force: bool = False) -> DataFrame:
-    """Loads a file into its indices under `root`; returns the inferred mapping per index.
+    """Loads a file or folder into its indices under `root`; returns the mapping per index.
 
-    Documents are kept as JSON Lines, one partition per index.  `force` replaces the
-    indices of the file and leaves all others alone.
+    Documents are kept as JSON Lines, one partition per index, next to the mappings that came with
+    them, which `scan_imported` applies; indices without one get an inferred mapping.  `force`
+    replaces the indices of the file and leaves all others alone.
     """
-    documents = documents_of(spark, path, day)
+    found, definitions = _split_entries(read_entries(spark, path), day)
+    documents = found.select("_index", clean_document(F.col("doc")).alias("doc"))
     lines = documents.select("_index", F.to_json("doc").alias("value")).hint("rebalance", "_index")
     writer = lines.write.mode("overwrite" if force else "append").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("_index").text(root)
-    return infer_mapping(documents, keys=("_index",))
+    given = mappings_of(definitions)
+    inferred = infer_mapping(documents, keys=("_index",)).select("_index", "field", "type", "format")
+    mapping = given.unionByName(inferred.join(given.select("_index").distinct(), "_index", "left_anti"))
+    mapping.write.mode("append").json(f"{root.rstrip('/')}/{MAPPINGS}")
+    return mapping
+
+
+# Starts with a dot: file listings of the indices leave it out.
+MAPPINGS = ".mappings"
+
+_COLUMN_TYPES = {
+    "long": "bigint", "integer": "bigint", "short": "bigint", "byte": "bigint", "double": "double", "float": "double",
+    "half_float": "double", "scaled_float": "double", "boolean": "boolean", "object": "variant", "nested": "variant",
+}
+
+
+def scan_imported(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """Imported indices as one table: `_index` and a column per mapped field, typed by the mappings.
+
+    A field that has two types in two indices takes the one that holds both, text at last.
+    """
+    mapping = spark.read.schema("_index string, field string, type string").json(f"{root.rstrip('/')}/{MAPPINGS}")
+    wanted = mapping.where(index_matches(F.col("_index"), pattern) & is_visible(F.col("_index")))
+    kinds: dict[str, set[str]] = {}
+    for row in wanted.select("field", "type").distinct().collect():  # as many rows as a schema has
+        kinds.setdefault(row.field, set()).add(_COLUMN_TYPES.get(row.type, "string"))
+    if not kinds:
+        raise ValueError(f"no imported index matches {pattern!r}")
+    widest = {name: next(iter(k)) if len(k) == 1 else "double" if k == {"bigint", "double"} else "string" for name, k in kinds.items()}
+    schema = ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in sorted(widest.items()))
+    lines = spark.read.option("basePath", root).text(f"{root.rstrip('/')}/_index=*")
+    chosen = lines.where(index_matches(F.col("_index").cast("string"), pattern) & is_visible(F.col("_index").cast("string")))
+    return chosen.select(F.col("_index").cast("string"), F.from_json("value", schema).alias("doc")).select("_index", "doc.*")

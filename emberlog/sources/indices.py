@@ -59,7 +59,8 @@ def scan_folders(spark: SparkSession, root: str, pattern: str, file_format: str
     depth = len([part for part in re.sub(host, "", root).split("/") if part])
     path = F.regexp_replace(F.col("_metadata.file_path"), host, "")
     folder = F.element_at(F.filter(F.split(path, "/"), lambda part: part != ""), depth + 1)
-    return df.withColumn("_index", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+    named = df.withColumn("_index", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+    return named.where(is_visible(F.col("_index"))) if "*" in pattern else named
 
 
 def index_matches(index: Column, pattern: str) -> Column:

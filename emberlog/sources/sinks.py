@@ -14,8 +14,8 @@ from emberlog.operators.catalogue import mapping_of
 from emberlog.operators.ordering import DEFAULT_SAMPLE, newest_per_index, sample_with_total
 from emberlog.operators.reshape import flatten
 
-# Fixed value: the most documents one plain search returns.
-LARGEST_BUNDLE_SAMPLE = 10_000
+# Documents in one line of a bundle; larger samples take several lines per index.
+LINE_DOCUMENTS = 1_000
 
 # Text files keep microseconds; pass the same options when reading them back.
 TEXT_TIMES = {
@@ -69,33 +69,38 @@ def write_related(df: DataFrame, name: str, key: str, buckets: int, path: str |
 
 def write_sample(
     df: DataFrame, path: str, time_field: str, limit: int = DEFAULT_SAMPLE, tie_break=(), index: str = "_index",
-    metadata: Mapping[str, str] | None = None,
+    metadata: Mapping[str, str] | None = None, text_fields: Sequence[str] = (),
 ) -> None:
-    """A sample of any size: documents per index as JSON Lines, and one metadata row per index."""
+    """A sample of any size: documents per index as JSON Lines, and one metadata row per index.
+
+    The metadata holds the mapping and settings of the index, so that an import restores its types.
+    """
     key = Fields.of(df).find(index).column
     sample = newest_per_index(df, time_field, limit, tie_break, index)
     sample.write.options(**TEXT_TIMES).partitionBy(index).json(f"{path}/documents")
     totals = df.groupBy(key.alias("name")).agg(F.count(F.lit(1)).alias("count"))
     described = {"sample_size": F.lit(limit), "exported_at": F.current_timestamp()}
     described.update({name: F.lit(value) for name, value in (metadata or {}).items()})
-    totals.withColumns(described).write.options(**TEXT_TIMES).json(f"{path}/metadata")
+    kept = T.StructType([f for f in df.schema.fields if f.name != index])
+    described["mappings"] = F.parse_json(F.lit(json.dumps(mapping_of(kept, text_fields))))
+    described["settings"] = F.struct(F.struct().alias("index"))
+    line = F.struct("name", "count", *[column.alias(name) for name, column in described.items()])
+    totals.select(F.to_json(line, dict(TEXT_TIMES)).alias("value")).write.text(f"{path}/metadata")
 
 
 def write_bundle(
     df: DataFrame, path: str, time_field: str, limit: int = DEFAULT_SAMPLE, tie_break=(), index: str = "_index",
     metadata: Mapping[str, str] | None = None, text_fields: Sequence[str] = (),
 ) -> None:
-    """A sample as bundle lines, one line per index with its mapping, documents and row count.
+    """A sample as bundle lines with the mapping, documents and row count of an index.
 
-    A line holds all documents of its sample, so the sample size is limited; larger
-    samples go through `write_sample`.
+    A line holds about `LINE_DOCUMENTS` documents, so a large sample takes several lines of its index.
     """
-    if limit > LARGEST_BUNDLE_SAMPLE:
-        raise ValueError(f"a bundle holds at most {LARGEST_BUNDLE_SAMPLE} documents per index, asked for {limit}")
     sample = sample_with_total(df, time_field, limit, tie_break, index, total="__total")
     key = Fields.of(sample).find(index).column
     content = [quoted(name) for name in df.columns if name != index]
-    per_index = sample.groupBy(key.alias("name")).agg(
+    lines = F.pmod(F.xxhash64(*[F.to_json(F.struct(*content))]), F.lit(-(-limit // LINE_DOCUMENTS)))
+    per_index = sample.groupBy(key.alias("name"), lines.alias("__line")).agg(
         F.collect_list(F.struct(*content)).alias("documents"), F.max("__total").alias("count")
     )
     kept = T.StructType([f for f in df.schema.fields if f.name != index])

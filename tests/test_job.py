@@ -61,6 +61,31 @@ def test_sample_and_import(spark, root, tmp_path):
     assert spark.read.json(str(tmp_path / "in")).first()["_index"] == "one-2024-02-01"
 
 
+def test_sample_import_export(spark, root, tmp_path):
+    run("sample", "--root", root, "--index", "app-*", "--sample-size", 7, "--output", tmp_path / "s")
+    run("import", "--samples", tmp_path / "s", "--root", tmp_path / "in", "--force")
+    run("export", "--root", tmp_path / "in", "--index", "app-*", "--input-format", "imported", "--time-field", "timestamp",
+        "--fields", "id,level,_index", "--output", tmp_path / "out")
+    got = spark.read.json(str(tmp_path / "out"))
+    assert got.count() == 21 and got.select("_index").distinct().count() == 3
+
+
+def test_files_are_judged_one_by_one(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.json").write_text('[\n {"id": 1},\n {"id": 2}\n]')
+    (folder / "b.json").write_text('{"id": 3}\n\n{"id": 4}\n')
+    (folder / "c.json").write_text(json.dumps({"indices": {"x": {"documents": [{"id": 5}], "mappings": {"properties": {"id": {"type": "keyword"}}}}}, "data": [{"id": 6}]}))
+    run("import", "--samples", folder, "--root", tmp_path / "in", "--day", "2024-02-01")
+    from emberlog.sources.importer import scan_imported
+
+    got = {(r._index, r.id) for r in scan_imported(spark, str(tmp_path / "in"), "*").collect()}
+    assert got == {("a-2024-02-01", "1"), ("a-2024-02-01", "2"), ("b-2024-02-01", "3"), ("b-2024-02-01", "4"), ("x", "5"), ("x", "6")}
+    (folder / "d.json").write_text('{"id": ')
+    with pytest.raises(ValueError, match="d.json"):
+        run("import", "--samples", folder, "--root", tmp_path / "in2")
+
+
 def test_export_from_date_partitions(spark, tmp_path):
     rows = spark.sql(
         "SELECT id, 'm' AS message, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id) AS timestamp,"
