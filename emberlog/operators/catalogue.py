@@ -5,6 +5,8 @@ A catalogue has one row per field of an index: `index`, `field`, `type`, `pos`.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,12 +114,27 @@ _OBJECT = "map<string,variant>"
 
 
 def _members(value: Column) -> Column:
-    """Entries of a JSON object; none for any other value."""
+    """Entries of a JSON object, or of the objects in an array; none for any other value."""
     entries = F.map_entries(F.try_variant_get(value, "$", _OBJECT))
-    return F.coalesce(entries, F.array().cast("array<struct<key:string,value:variant>>"))
+    none = F.array().cast("array<struct<key:string,value:variant>>")
+    inside = F.transform(
+        F.try_variant_get(value, "$", "array<variant>"),
+        lambda x: F.coalesce(F.map_entries(F.try_variant_get(x, "$", _OBJECT)), none),
+    )
+    return F.coalesce(entries, F.flatten(inside), none)
+
+
+def nesting(docs: DataFrame, doc: str) -> int:
+    """How deep objects are nested in any document: one schema, merged on the map side, reaches the driver."""
+    schema = docs.agg(F.schema_of_variant_agg(quoted(doc))).first()[0] or ""
+    depth = deepest = 0
+    for token in re.findall(r"`(?:[^`]|``)*`|<|>", schema):  # arrays count too: a level too many finds nothing new
+        depth += {"<": 1, ">": -1}.get(token, 0)
+        deepest = max(deepest, depth)
+    return max(1, deepest)
 
 
-def json_fields(docs: DataFrame, doc: str, keys: tuple[Column, ...] = (), depth: int = 4) -> DataFrame:
+def json_fields(docs: DataFrame, doc: str, keys: tuple[Column, ...] = (), depth: int = 1) -> DataFrame:
     """Dotted names and values found in JSON documents (variants), objects before their members.
 
     Every level is one more explode, which stays inside generated code: a row keeps
@@ -139,16 +156,20 @@ def json_fields(docs: DataFrame, doc: str, keys: tuple[Column, ...] = (), depth:
     return rows.drop("__new")
 
 
-def value_kind(value: Column) -> Column:
-    """What a JSON value is: STRING, BIGINT, DECIMAL, OBJECT, ..., and PROSE for long text."""
-    kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z_]+", 0)
+def value_kind(value: Column, nested: bool = False) -> Column:
+    """What a JSON value is: STRING, BIGINT, DECIMAL, OBJECT, ..., PROSE for long text, and
+    NESTED for an array of objects if asked for."""
+    schema = F.schema_of_variant(value)
+    kind = F.regexp_extract(schema, "^[A-Z_]+", 0)
+    if nested:
+        kind = F.when(schema.startswith("ARRAY<OBJECT<"), "NESTED").otherwise(kind)
     return F.when(kind != "STRING", kind).when(_prose(F.try_variant_get(value, "$", "string")), "PROSE").otherwise(kind)
 
 
 # JSON value kind -> index type; anything else is a keyword.
 TYPE_OF_KIND = {
     "PROSE": "text", "STRING": "keyword", "BIGINT": "long", "DECIMAL": "double", "DOUBLE": "double",
-    "FLOAT": "double", "BOOLEAN": "boolean", "OBJECT": "object", "TIMESTAMP": "date", "TIMESTAMP_NTZ": "date",
+    "FLOAT": "double", "BOOLEAN": "boolean", "OBJECT": "object", "NESTED": "nested", "TIMESTAMP": "date", "TIMESTAMP_NTZ": "date",
     "DATE": "date",
 }
 
@@ -166,7 +187,7 @@ def _prose(text: Column) -> Column:
 
 
 # Mixed types of one field: the one furthest left holds every value of the others.
-TYPE_ORDER = ("text", "keyword", "object", "date", "double", "long", "boolean")
+TYPE_ORDER = ("text", "keyword", "nested", "object", "date", "double", "long", "boolean")
 
 
 def _widest(kind: Column) -> Column:
@@ -184,13 +205,13 @@ def name_rule(field: Column) -> Column:
     )
 
 
-def _field_types(entries: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def _field_types(entries: DataFrame, keys: tuple[str, ...], nested: bool = False) -> DataFrame:
     """One type per `keys` and field from (keys, field, value) rows.
 
     Rows are first counted down to the kinds seen per field, on the map side, so the
     exchanges carry a few rows per field whatever the number of documents.
     """
-    seen = entries.select(*keys, "field", value_kind(F.col("value")).alias("kind")).groupBy(*keys, "field", "kind").count()
+    seen = entries.select(*keys, "field", value_kind(F.col("value"), nested).alias("kind")).groupBy(*keys, "field", "kind").count()
     typed = seen.withColumn("type", F.when(F.col("kind") != "VOID", _type_of_kind(F.col("kind"))))
     return typed.groupBy(*keys, "field").agg(F.coalesce(_widest(F.col("type")), F.lit("keyword")).alias("type"))
 
@@ -236,11 +257,11 @@ def _index_type(dtype: T.DataType) -> str:
     return "keyword" if isinstance(dtype, T.ArrayType) else INDEX_TYPES.get(type(dtype), "keyword")
 
 
-def catalogue_of_documents(docs: DataFrame, doc: str = "doc", index: str = "_index", depth: int = 4) -> DataFrame:
-    """Catalogue of schemaless documents: every dotted name found in any document."""
-    entries = json_fields(docs, doc, (quoted(index).alias("index"),), depth)
+def catalogue_of_documents(docs: DataFrame, doc: str = "doc", index: str = "_index") -> DataFrame:
+    """Catalogue of schemaless documents: every dotted name found in any document, members of arrays of objects too."""
+    entries = json_fields(docs, doc, (quoted(index).alias("index"),), nesting(docs, doc))
     pos = F.row_number().over(Window.partitionBy("index").orderBy("field")) - 1
-    return _field_types(entries, ("index",)).select("index", "field", "type", pos.alias("pos"))
+    return _field_types(entries, ("index",), nested=True).select("index", "field", "type", pos.alias("pos"))
 
 
 # ------------------------------------------------------------- index profiles

@@ -242,6 +242,8 @@ def infer_mapping(spark, d):
 
 _SQL_JSON_FIELDS = [
     ("level", "keyword"), ("msg", "text"), ("user", "object"), ("user.id", "long"), ("user.vip", "boolean"), ("value", "double"),
+    ("a", "object"), ("a.b", "object"), ("a.b.c", "object"), ("a.b.c.d", "object"), ("a.b.c.d.e", "object"), ("a.b.c.d.e.f", "long"),
+    ("items", "nested"), ("items.sku", "keyword"), ("items.n", "long"),
 ]
 
 
@@ -253,8 +255,12 @@ WHERE f.field <> 'user.vip' OR e.event_type IN ('purchase', 'signup')
 def fields_catalogue(spark, d):
     """Fields found in schemaless documents, per index."""
     vip = F.when(F.col("event_type").isin("purchase", "signup"), F.col("user_id") > 50)
+    deep = F.col("event_id").alias("f")
+    for name in "edcba":
+        deep = F.struct(deep).alias(name)
+    items = F.array(F.struct(F.lit("s").alias("sku"), F.lit(None).cast("bigint").alias("n")), F.struct(F.lit("t").alias("sku"), F.col("user_id").alias("n")))
     document = F.struct(
-        F.upper("event_type").alias("level"), F.concat(F.lit("user did "), "event_type").alias("msg"),
+        deep, items.alias("items"), F.upper("event_type").alias("level"), F.concat(F.lit("user did "), "event_type").alias("msg"),
         F.struct(F.col("user_id").alias("id"), vip.alias("vip")).alias("user"), (F.col("value") + 0.001).alias("value"),
     )
     docs = table(spark, d, "events").select(

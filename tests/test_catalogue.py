@@ -137,9 +137,12 @@ def test_mapping_of_a_table(spark):
 
 
 def test_catalogue_of_nested_documents(spark):
-    df = spark.sql("SELECT 'i' AS _index, parse_json('{\"a\":{\"b\":{\"c\":1}},\"d\":[{\"x\":1}]}') AS doc")
+    df = spark.sql("SELECT 'i' AS _index, parse_json('{\"a\":{\"b\":{\"c\":{\"e\":{\"f\":1}}}},\"d\":[{\"x\":1},{\"y\":{\"z\":true}}]}') AS doc")
     found = {r.field: r.type for r in cat.catalogue_of_documents(df).collect()}
-    assert found == {"a": "object", "a.b": "object", "a.b.c": "long", "d": "keyword"}
+    assert found == {
+        "a": "object", "a.b": "object", "a.b.c": "object", "a.b.c.e": "object", "a.b.c.e.f": "long",
+        "d": "nested", "d.x": "long", "d.y": "object", "d.y.z": "boolean",
+    }
 
 
 def test_catalogue_of_tables(spark):
