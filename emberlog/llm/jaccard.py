@@ -353,7 +353,7 @@ def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, ti
     tiles, and a tree over one tile answers the asking tile, with its `top` nearest alone if given.
     Blocks with the same sets are done once.
     """
-    named = blocks.join(labels.toDF("set", "root"), "set", "left").select("shingle", "salts", "salt", "set", F.coalesce("root", "set").alias("root")).distinct()
+    named = blocks.join(labels.toDF("set", "root"), "set", "left").select("shingle", "salts", "salt", "set", F.coalesce("root", "set").alias("root"))
     mixed = staged(named, "named")
     whole = mixed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("size"), F.max("salts").alias("tiles"))
     open_blocks = whole.where("low <> high").dropDuplicates(["sum", "size"]).select("shingle", "size")
@@ -403,17 +403,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     sketch = frequency_sketch(keyed)
     rows = keyed.where("segment is null").select("id", "set", "n")
     block = Window.partitionBy("shingle", "salt")
-    pre = prefixes(base, sketch, size, tile).withColumn("first", F.min(F.struct("set", "n")).over(block)).withColumn("last", F.max("set").over(block))
-    lone = (F.col("salts") == 1) & (F.col("first.set") == F.col("last"))
-    blocks = staged(pre.where(~lone).select("shingle", "salts", "salt", "set", "n", "first"), "blocks")
-    heads = blocks.where("salts > 1").select("shingle", "first").distinct().withColumn("head", F.min("first").over(Window.partitionBy("shingle")))
+    by_size = block.orderBy("n", "set")
     alike = lambda n, m: (DENOMINATOR * F.least(n, m) >= NUMERATOR * F.greatest(n, m))
+    pre = prefixes(base, sketch, size, tile).withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size)).withColumn("first", F.min(F.struct("set", "n")).over(block))
+    # in a block that isn't cut, a set without a neighbour of a like size links with none in it
+    met = (F.col("salts") > 1) | F.coalesce(alike(F.col("n"), F.col("smaller")), F.lit(False)) | F.coalesce(alike(F.col("n"), F.col("larger")), F.lit(False))
+    blocks = staged(pre.where(met).select("shingle", "salts", "salt", "set", "n", "first"), "blocks")
+    heads = blocks.where("salts > 1").select("shingle", "first").distinct().withColumn("head", F.min("first").over(Window.partitionBy("shingle")))
     stars = blocks.where(alike(F.col("n"), F.col("first.n"))).select(F.col("set").alias("a"), F.col("first.set").alias("b"))
     tops = heads.where(alike(F.col("first.n"), F.col("head.n"))).select(F.col("first.set").alias("a"), F.col("head.set").alias("b"))
     met = stars.union(tops).where("a <> b").groupBy("a", "b").count()
     best = met.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("count"), "b"))).where(F.col("rank") <= STARS).select("a", "b")
     several = blocks.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("shingle")
-    blocks = staged(blocks.join(several, "shingle", "left_semi").select("shingle", "salts", "salt", "set"), "shared")
+    blocks = staged(blocks.join(several, "shingle", "left_semi").select("shingle", "salts", "salt", "set").distinct(), "shared")
     wanted = staged(blocks.select("set").distinct(), "wanted")
     vectors = staged(keyed.where("segment is null and n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("vector").alias("vector")), "vectors")
     sets = staged(candidate_sets(base, vectors.select("set", "id"), size), "sets")
