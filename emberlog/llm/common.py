@@ -33,9 +33,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once as Parquet in the shared folder and read back: its lineage ends here."""
+def staged(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """`df` written once as Parquet in the shared folder and read back: its lineage ends here.
+
+    With `narrow`, for tables that are small next to the corpus, a task takes several shuffle
+    partitions, two tasks per core of the cluster, and so many files are written.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if narrow:
+        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

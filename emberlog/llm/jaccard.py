@@ -264,13 +264,13 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root): root is the smallest node that links (a, b) reach. Labels sink along links and jump to their own label's label."""
-    edges = staged(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = staged(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "labels")
+    edges = staged(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges", narrow=True)
+    labels = staged(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "labels", narrow=True)
     while True:
         near = edges.join(labels.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near")).toDF("node", "near")
         lower = labels.join(near, "node").select("node", F.least("root", "near").alias("lower"), "root")
         jump = labels.toDF("lower", "jump")
-        moved = staged(lower.join(jump, "lower", "left").select("node", F.least("lower", F.coalesce("jump", "lower")).alias("root"), F.col("root").alias("was")), "labels")
+        moved = staged(lower.join(jump, "lower", "left").select("node", F.least("lower", F.coalesce("jump", "lower")).alias("root"), F.col("root").alias("was")), "labels", narrow=True)
         labels = moved.select("node", "root")
         if moved.where("root <> was").isEmpty():
             return labels
@@ -354,13 +354,13 @@ def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, ti
     Blocks with the same sets are done once.
     """
     named = blocks.join(labels.toDF("set", "root"), "set", "left").select("shingle", "salts", "salt", "set", F.coalesce("root", "set").alias("root"))
-    mixed = staged(named, "named")
+    mixed = staged(named, "named", narrow=True)
     whole = mixed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("size"), F.max("salts").alias("tiles"))
     open_blocks = whole.where("low <> high").dropDuplicates(["sum", "size"]).select("shingle", "size")
-    inside = staged(mixed.join(open_blocks, "shingle"), "inside")
+    inside = staged(mixed.join(open_blocks, "shingle"), "inside", narrow=True)
     main = inside.groupBy("shingle", "root").agg(F.count("*").alias("count"), F.min("set").alias("lead")).groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"), F.min("lead").alias("lead"))
     tiles = main.select("shingle", "lead", F.col("m.root").alias("main"), F.expr(f"cast(ceil((size - m.count) / {tile}) as int)").alias("xs"), F.expr(f"cast(ceil(size / {tile}) as int)").alias("ys"))
-    full = inside.join(staged(tiles, "tiles"), "shingle").join(vectors, "set")
+    full = inside.join(staged(tiles, "tiles", narrow=True), "shingle").join(vectors, "set")
     x, y = F.pmod(F.xxhash64("set", F.lit(1)), F.col("xs")).cast("int"), F.pmod(F.xxhash64("set", F.lit(2)), F.col("ys")).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     same = ["lead", "set", "n", "root", "vector"]
@@ -375,7 +375,7 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     between = links.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a <> b")
     over = components(between)
     risen = labels.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    return staged(risen.unionByName(over.join(labels.select("node"), "node", "left_anti").select("node", "root")), "roots")
+    return staged(risen.unionByName(over.join(labels.select("node"), "node", "left_anti").select("node", "root")), "roots", narrow=True)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = WORDS, tile: int = TILE) -> DataFrame:
@@ -416,7 +416,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     best = met.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("count"), "b"))).where(F.col("rank") <= STARS).select("a", "b")
     several = blocks.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("shingle")
     blocks = staged(blocks.join(several, "shingle", "left_semi").select("shingle", "salts", "salt", "set").distinct(), "shared")
-    wanted = staged(blocks.select("set").distinct(), "wanted")
+    wanted = staged(blocks.select("set").distinct(), "wanted", narrow=True)
     vectors = staged(keyed.where("segment is null and n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("vector").alias("vector")), "vectors")
     sets = staged(candidate_sets(base, vectors.select("set", "id"), size), "sets")
     vectors = vectors.drop("id")
@@ -426,7 +426,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     roots = roots.toDF("set", "root")
     per_set = rows.where("n > 0").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("copies")).join(roots, "set", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "set"))
     lowest = per_set.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_set = staged(per_set.join(lowest, "root").select("set", "component_id"), "components")
+    of_set = staged(per_set.join(lowest, "root").select("set", "component_id"), "components", narrow=True)
     found = rows.join(of_set, "set", "left")
     return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"), "set")
 
