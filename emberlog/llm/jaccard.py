@@ -21,7 +21,9 @@ GROUPS = 128
 #: Counts from here on are cut to this and bound nothing.
 MOST = 32000
 #: Counters of the frequency sketch, and in a segment of it; slots of the candidate bit array.
-COUNTERS, SEGMENT, SLOTS = 1 << 24, 1 << 16, 1 << 22
+COUNTERS, SEGMENT, SLOTS = 1 << 27, 1 << 16, 1 << 22
+#: A fine counter is kept as one of four classes, up to these counts and above; coarse ones tell how far above.
+CLASSES, COARSE = (1, 8, 64), 1 << 20
 #: First sets of its blocks that a set is verified against before the tree looks for the rest.
 STARS = 3
 #: Nearest sets of each tile that are verified first, so that most components are whole before all are asked.
@@ -114,14 +116,21 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
     names_of = ["id", "set", "n", "vector", "segment", "slots", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, kept, held, counters = Powers(), [], 0, np.zeros(COUNTERS, np.uint32)
+        powers, kept, held = Powers(), [], 0
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.int32(), pa.binary(), pa.binary()]
         id_kind = None
 
-        def add() -> None:
+        def counted() -> pa.RecordBatch:
+            """The counters of what is held, a row per segment: slots, and a byte each; a slot stands again for each further 255."""
             slots, times = np.unique(np.concatenate(kept), return_counts=True)
-            counters[slots] += times.astype(np.uint32)
-            kept.clear()
+            again = -(-times // 255)
+            first = np.r_[True, np.repeat(slots, again)[1:] != np.repeat(slots, again)[:-1]]
+            value = np.where(first, np.repeat((times - 1) % 255 + 1, again), 255).astype(np.uint8)
+            slots = np.repeat(slots, again)
+            edges = np.searchsorted(slots, np.arange(0, COUNTERS + 1, SEGMENT))
+            rows = [(k, slots[i:j].astype(np.uint16).tobytes(), value[i:j].tobytes()) for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
+            none = [None] * len(rows)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((none, none, none, none, *zip(*rows)), (id_kind, *kinds))], names_of)
 
         for batch in batches:
             id_kind = batch.schema.field("id").type
@@ -130,25 +139,15 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
                 for s in sets:
                     kept.append((s & np.uint64(COUNTERS - 1)).astype(np.uint32))
                     held += len(s)
-                if held > 2_000_000:
-                    add()
+                if held > 4_000_000:
+                    yield counted()
+                    kept.clear()
                     held = 0
                 none = [None] * len(sets)
                 columns = (rows["id"], list(map(set_name, sets)), list(map(len, sets)), list(map(count_vector, sets)), none, none, none)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (id_kind, *kinds))], names_of)
-        if kept:
-            add()
-        for k in range(COUNTERS // SEGMENT) if id_kind is not None else ():
-            part = counters[k * SEGMENT : (k + 1) * SEGMENT]
-            slots = np.flatnonzero(part)
-            if len(slots):
-                # a byte a count; a slot stands again for each further 255
-                times = part[slots]
-                slots = np.repeat(slots, -(-times.astype(np.int64) // 255))
-                first = np.r_[True, slots[1:] != slots[:-1]]
-                value = np.where(first, np.repeat((times - 1) % 255 + 1, -(-times.astype(np.int64) // 255)), 255)
-                told = (None, None, None, None, k, slots.astype(np.uint16).tobytes(), value.astype(np.uint8).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(told, (id_kind, *kinds))], names_of)
+        if held:
+            yield counted()
 
     kind = docs.schema["id"].dataType.simpleString()
     return map_arrow(docs, read, f"id {kind}, set long, n long, vector array<smallint>, segment int, slots binary, counts binary")
@@ -164,25 +163,57 @@ def to_code(counts: np.ndarray) -> np.ndarray:
 OF_CODE = np.array([*range(128), *(int(np.ceil(128 * 2 ** (k / 8))) for k in range(127)), 1 << 40], dtype=np.int64)
 
 
-def frequency_sketch(rows: DataFrame) -> np.ndarray:
-    """COUNTERS codes of counts, at least as high as the number of documents with a shingle of that slot; of a fixed size."""
+class Sketch:
+    """For a shingle, a class of how many documents have it and a count that isn't too low; of a fixed size.
+
+    Fine counters tell rare shingles apart, two bits each; a coarse one has the highest code of all
+    fine counters that share it, and says how often common ones are.
+    """
+
+    def __init__(self):
+        self.fine, self.coarse = np.zeros(COUNTERS // 4, np.uint8), np.zeros(COARSE, np.uint8)
+
+    def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        slots = (shingles & np.uint64(COUNTERS - 1)).astype(np.int64)
+        classes = self.fine[slots >> 2] >> (2 * (slots & 3)).astype(np.uint8) & 3
+        codes = self.coarse[slots & (COARSE - 1)]
+        counts = np.where(classes < 3, np.array([*CLASSES, 0], np.int64)[classes], OF_CODE[codes])
+        return classes.astype(np.int64) << 8 | np.where(classes < 3, 0, codes), counts
+
+
+def frequency_sketch(rows: DataFrame) -> Sketch:
+    """The counters of all tasks added up, segment by segment."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        now, total = None, np.zeros(SEGMENT, np.int64)
+
+        def told() -> pa.RecordBatch:
+            classes = np.searchsorted(CLASSES, total).astype(np.uint8).reshape(-1, 4)
+            fine = classes[:, 0] | classes[:, 1] << 2 | classes[:, 2] << 4 | classes[:, 3] << 6
+            common = np.flatnonzero(total > CLASSES[-1])
+            columns = ([now], [fine.astype(np.uint8).tobytes()], [common.astype(np.uint16).tobytes()], [to_code(total[common]).tobytes()])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["segment", "fine", "common", "codes"])
+
         for batch in batches:
             for segment, slots, counts in zip(*(batch.column(c).to_pylist() for c in ("segment", "slots", "counts"))):
-                part = total.setdefault(segment, np.zeros(SEGMENT, np.int64))
-                part += np.bincount(np.frombuffer(slots, np.uint16), np.frombuffer(counts, np.uint8), SEGMENT).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([to_code(v).tobytes() for v in total.values()], pa.binary())], ["segment", "counts"])
-
-    parts = rows.where("segment is not null").select("segment", "slots", "counts").repartition(COUNTERS // SEGMENT, "segment")
-    sketch = np.zeros(COUNTERS, np.uint8)
-    for segment, counts in map_arrow(parts, add, "segment int, counts binary").collect():
-        sketch[segment * SEGMENT : (segment + 1) * SEGMENT] = np.frombuffer(counts, np.uint8)
+                if segment != now:
+                    if now is not None:
+                        yield told()
+                    now, total = segment, np.zeros(SEGMENT, np.int64)
+                total += np.bincount(np.frombuffer(slots, np.uint16), np.frombuffer(counts, np.uint8), SEGMENT).astype(np.int64)
+        if now is not None:
+            yield told()
+
+    parts = rows.where("segment is not null").select("segment", "slots", "counts").repartition("segment").sortWithinPartitions("segment")
+    sketch = Sketch()
+    for segment, fine, common, codes in map_arrow(parts, add, "segment int, fine binary, common binary, codes binary").collect():
+        sketch.fine[segment * SEGMENT // 4 : (segment + 1) * SEGMENT // 4] = np.frombuffer(fine, np.uint8)
+        at = (segment * SEGMENT + np.frombuffer(common, np.uint16).astype(np.int64)) & (COARSE - 1)
+        np.maximum.at(sketch.coarse, at, np.frombuffer(codes, np.uint8))
     return sketch
 
 
-def prefixes(docs: DataFrame, sketch: np.ndarray, size: int, tile: int) -> DataFrame:
+def prefixes(docs: DataFrame, sketch: Sketch, size: int, tile: int) -> DataFrame:
     """(shingle, salts, salt, set, n): the rarest shingles of each set, of which linked sets share at least one.
 
     Any order of shingles that is the same for all sets does; rare ones come first, by the sketch.
@@ -204,9 +235,8 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, size: int, tile: int) -> DataF
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(name)
-                    codes = shared.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                    counts = OF_CODE[codes]
-                    first = np.argsort(codes, kind="stable")[: len(s) - -(-NUMERATOR * len(s) // DENOMINATOR) + 1]
+                    ranks, counts = shared.value.of(s)
+                    first = np.argsort(ranks, kind="stable")[: len(s) - -(-NUMERATOR * len(s) // DENOMINATOR) + 1]
                     first = first[counts[first] > 1]
                     salts = np.minimum(-(-counts[first] // tile), MOST_SALTS)
                     for column, values in zip(out, (s[first].view(np.int64), salts, name % salts, np.full(len(first), name), np.full(len(first), len(s)))):
