@@ -26,10 +26,10 @@ HEADLINE = (
     "dsl_has_child dsl_has_parent dsl_percolate dsl_more_like_this dsl_function_score "
     # aggregations, order and samples
     "agg_terms agg_stats agg_cardinality agg_percentiles agg_histogram agg_date_histogram agg_range agg_sub_terms "
-    "sort_default scan_limit_large sample_per_index sample_with_total "
+    "sort_default scan_limit_large scan_limit_bulk sample_per_index sample_with_total "
     # reshaping, profiling, sinks
     "canonical_coalesce envelope view_otel view_combined normalize_time classify_severity infer_mapping "
-    "fields_catalogue inspect entity_mapping sink_json import_array"
+    "fields_catalogue inspect entity_mapping sink_json import_array import_bundle stream_search"
 ).split()
 
 
