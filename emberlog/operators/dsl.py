@@ -525,7 +525,7 @@ WITHOUT_EFFECT = ("track_total_hits", "track_scores", "highlight", "timeout", "v
 
 
 def _source_patterns(source) -> list | None:
-    """`_source` as a list of names and patterns, left-out ones with a minus."""
+    """`_source` as a list of names and patterns, left-out ones with a `!`."""
     if source is None or source is True:
         return None
     if isinstance(source, dict):
@@ -533,7 +533,7 @@ def _source_patterns(source) -> list | None:
         if unknown:
             raise QueryError(f"unknown _source option {sorted(unknown)}")
         kept = _as_list(source.get("includes", source.get("include"))) or ["*"]
-        return kept + [f"-{name}" for name in _as_list(source.get("excludes", source.get("exclude")))]
+        return kept + [f"!{name}" for name in _as_list(source.get("excludes", source.get("exclude")))]
     if source is False:
         raise QueryError("_source false leaves no field to export")
     return _as_list(source)

@@ -51,3 +51,32 @@ def test_stored_queries(spark):
     many = {f"q{i}": {"term": {"v": "a" if i % 2 else "zzz"}} for i in range(450)}
     found = LogTable(df, "ts").percolate(many).df
     assert found.count() == 225 and {r.id for r in found.select("id").distinct().collect()} == {1}
+
+
+def test_options_of_a_request(spark):
+    df = spark.sql(
+        "SELECT id, timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS at, concat('u', id % 3) AS user_id, id AS secret FROM range(48)"
+    )
+    logs = LogTable(df, "at", (), ("id",))
+    ids = lambda clause: sorted(r.id for r in logs.search(clause).df.collect())
+    day = {"gte": "2024-01-02", "lt": "2024-01-03"}
+    assert ids({"range": {"at": day}}) == list(range(24, 48))
+    assert ids({"range": {"at": {**day, "time_zone": "+02:00"}}}) == list(range(22, 46))
+    assert ids({"range": {"at": {**day, "time_zone": "America/New_York"}}}) == list(range(29, 48))
+    assert ids({"range": {"at": {"gte": 1704150000, "format": "epoch_second"}}}) == list(range(23, 48))
+    for wrong in ({"gtee": 5}, {"gte": 1, "format": "dd/MM"}, {"gte": "2024-01-01", "time_zone": "Nowhere/Land"}):
+        with pytest.raises(QueryError):
+            logs.search({"range": {"at": wrong}})
+    page = logs.search({"query": {"match_all": {}}, "size": 3, "from": 2, "track_total_hits": True})
+    assert [r.id for r in page.top().df.collect()] == [45, 44, 43]
+    for source, columns in (("id", ["id"]), (["id", "at"], ["id", "at"]), ({"excludes": ["secret"]}, ["id", "at", "user_id"])):
+        assert logs.search({"query": {"match_all": {}}, "_source": source}).export().columns == columns
+
+
+def test_tables_without_a_time_field(spark):
+    logs = LogTable(spark.sql("SELECT id, 'i' AS _index FROM range(20)"), tie_break=("id",))
+    assert [r.id for r in logs.top(3).df.collect()] == [0, 1, 2]
+    assert sorted(r.id for r in logs.sample(2).df.collect()) == [0, 1]
+    with pytest.raises(ValueError, match="no time field"):
+        logs.between("2024-01-01")
+    assert logs.between().df.count() == 20

@@ -226,5 +226,10 @@ def test_related_tables(spark):
     assert match(parents, has, relations=related) == [1]
     assert match(parents, {"bool": {"must_not": has}}, relations=related) == [2, 3]
     assert match(parents, {"bool": {"should": [has, {"term": {"name": "c"}}]}}, relations=related) == [1, 3]
+    anything = {"type": "child", "query": {"match_all": {}}}
+    assert match(parents, {"has_child": {**anything, "min_children": 2}}, relations=related) == [1]
+    assert match(parents, {"has_child": {**anything, "max_children": 1}}, relations=related) == [2]
+    with pytest.raises(QueryError):
+        match(parents, {"has_child": {**anything, "least": 2}}, relations=related)
     listed = spark.createDataFrame([("a",), ("a",), ("zz",)], "v string")
     assert match(parents, {"terms": {"name": listed}}) == [1]
