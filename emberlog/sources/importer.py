@@ -159,7 +159,7 @@ def import_file(spark: SparkSession, path: str, root: str, day: str, force: bool
     """Loads a file or folder into its indices under `root`; returns the mapping per index.
 
     Documents are kept as JSON Lines, one partition per index, next to the mappings that came with
-    them, which `scan_imported` applies; indices without one get an inferred mapping.  `force`
+    them, which `scan_imported` applies; fields without one get an inferred type.  `force`
     replaces the indices of the file and leaves all others alone.
     """
     found, definitions = _split_entries(read_entries(spark, path), day)
@@ -169,7 +169,7 @@ def import_file(spark: SparkSession, path: str, root: str, day: str, force: bool
     writer.partitionBy("_index").text(root)
     given = mappings_of(definitions)
     inferred = infer_mapping(documents, keys=("_index",)).select("_index", "field", "type", "format")
-    mapping = given.unionByName(inferred.join(given.select("_index").distinct(), "_index", "left_anti"))
+    mapping = given.unionByName(inferred.join(given.select("_index", "field").distinct(), ["_index", "field"], "left_anti"))
     mapping.write.mode("append").json(f"{root.rstrip('/')}/{MAPPINGS}")
     return mapping
 

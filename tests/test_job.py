@@ -86,6 +86,15 @@ def test_files_are_judged_one_by_one(spark, tmp_path):
         run("import", "--samples", folder, "--root", tmp_path / "in2")
 
 
+def test_fields_that_a_given_mapping_leaves_out_stay(spark, tmp_path):
+    doc = {"id": 5, "level": "INFO", "took": 1.5}
+    (tmp_path / "b.json").write_text(json.dumps({"indices": {"x": {"documents": [doc], "mappings": {"properties": {"id": {"type": "keyword"}}}}}}))
+    run("import", "--samples", tmp_path / "b.json", "--root", tmp_path / "in", "--day", "2024-02-01")
+    from emberlog.sources.importer import scan_imported
+
+    assert scan_imported(spark, str(tmp_path / "in"), "x").first().asDict() == {"_index": "x", "id": "5", "level": "INFO", "took": 1.5}
+
+
 def test_export_from_date_partitions(spark, tmp_path):
     rows = spark.sql(
         "SELECT id, 'm' AS message, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id) AS timestamp,"
