@@ -16,15 +16,18 @@ SALTS = 32
 
 
 def item_words(items: DataFrame, id: str, text: str) -> DataFrame:
-    """(item, words) of every test text that has a word."""
+    """(item, item_id, words) of every different test text that has a word; item is a key of the id and the text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
                 words = [[w.decode() for w in ascii_lower_words(x)] for x in rows["text"]]
-                yield pa.RecordBatch.from_arrays([pa.array(rows["item"], pa.string()), pa.array(words, pa.list_(pa.string()))], ["item", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows["item"], pa.string()), pa.array(rows["item_id"], pa.string()), pa.array(words, pa.list_(pa.string()))], ["item", "item_id", "words"])
 
-    return map_arrow(items.select(items[id].cast("string").alias("item"), items[text].alias("text")), cut, "item string, words array<string>").where("size(words) > 0")
+    told = items.select(items[id].cast("string").alias("item_id"), items[text].alias("text")).distinct()
+    # the length keeps id and text apart, a null id has none
+    key = F.sha2(F.concat(F.coalesce(F.length("item_id"), F.lit(-1)).cast("string"), F.lit(":"), F.coalesce("item_id", F.lit("")), F.coalesce("text", F.lit(""))), 256)
+    return map_arrow(told.select(key.alias("item"), "item_id", "text"), cut, "item string, item_id string, words array<string>").where("size(words) > 0")
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -51,7 +54,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def anchors(words: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item, at, term, before, after, size, short): the places of each item to look up in the index.
+    """(item, item_id, at, term, before, after, short): the places of each item to look up in the index.
 
     Every window takes the place of its rarest term, the first of equals; neighbouring windows mostly
     share it. A window with a term that no training text has needs no place. before and after are
@@ -61,9 +64,9 @@ def anchors(words: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFr
     near = Window.partitionBy("item").orderBy("at").rowsBetween(0, window - 1)
     best = flat.withColumn("best", F.min(F.struct("n", "at")).over(near)).join(words, "item")
     chosen = best.where((F.col("at") == 0) | (F.col("at") + window <= F.size("words"))).where("best.n > 0")
-    place = chosen.select("item", F.col("best.at").alias("at"), "words").dropDuplicates(["item", "at"])
+    place = chosen.select("item", "item_id", F.col("best.at").alias("at"), "words").dropDuplicates(["item", "at"])
     return place.select(
-        "item", F.get("words", F.col("at")).alias("term"),
+        "item", "item_id", F.get("words", F.col("at")).alias("term"),
         *_around("words", F.col("at"), window), (F.size("words") < window).alias("short"),
     )
 
@@ -108,17 +111,17 @@ def _alike(a: str, b: str) -> Column:
 
 
 def matches(index: DataFrame, places: DataFrame, window: int = WINDOW, salts: int = SALTS) -> DataFrame:
-    """(id, text_key, item, from, to): training words from..to-1 that are a run of windows of the item.
+    """(id, text_key, item_id, from, to): training words from..to-1 that are a run of windows of the item.
 
     Lists of one term meet in a join on the term; a term that stands in very many documents is
     spread over `salts` by document. Offset-adjusted, both sides then show the words around the
     term, nearest first, and agree on the longest run; runs shorter than a window go.
     """
-    spread = places.select("item", "term", F.col("before").alias("left"), F.col("after").alias("right"), "short", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    spread = places.select("item_id", "term", F.col("before").alias("left"), F.col("after").alias("right"), "short", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     found = index.where("term is not null").withColumn("salt", F.pmod(F.xxhash64("text_key", "at"), F.lit(salts)).cast("int")).join(spread, ["term", "salt"])
     run = found.withColumn("l", _alike("before", "left")).withColumn("r", _alike("after", "right"))
     whole = F.when(F.col("short"), (F.col("l") == F.size("left")) & (F.col("r") == F.size("right"))).otherwise(F.col("l") + F.col("r") + 1 >= window)
-    return run.where(whole).select("id", "text_key", "item", (F.col("at") - F.col("l")).alias("from"), (F.col("at") + F.col("r") + 1).alias("to"))
+    return run.where(whole).select("id", "text_key", "item_id", (F.col("at") - F.col("l")).alias("from"), (F.col("at") + F.col("r") + 1).alias("to"))
 
 
 def proximity(docs: DataFrame, phrase: list[str], slop: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -154,7 +157,8 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", id: str
 
     Null and empty texts have no words and aren't contaminated; items without words are never found;
     rows alike in id and text give one row with n_copies; a null id stays; without documents there are
-    no rows, without items no hits; other columns are ignored. Words are not cut, a long text has all.
+    no rows, without items no hits; other columns are ignored. All texts of a repeated item_id count and
+    it is one item; texts with a null item_id count as one item more, which items_sha256 leaves out. Words are not cut, a long text has all.
     """
     base = docs.select(docs[id].alias("id"), docs[text].alias("text")).withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     words = staged(item_words(items, item_id, item_text), "items")
@@ -166,13 +170,13 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", id: str
     order = Window.partitionBy("id", "text_key").orderBy("from", "to")
     runs = hits.select("id", "text_key", "from", "to").distinct().withColumn("seen", F.coalesce(F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     n_hit = runs.groupBy("id", "text_key").agg(F.sum(F.greatest(F.lit(0), F.col("to") - F.greatest("from", "seen"))).alias("n_hit"))
-    found = hits.select("id", "text_key", "item").distinct().groupBy("id", "text_key").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    both = n_hit.alias("h").join(found.alias("f"), F.col("h.id").eqNullSafe(F.col("f.id")) & (F.col("h.text_key") == F.col("f.text_key"))).select("h.id", "h.text_key", "n_hit", "items")
+    found = hits.select("id", "text_key", "item_id").distinct().groupBy("id", "text_key").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.count("*").alias("n_items"))
+    both = n_hit.alias("h").join(found.alias("f"), F.col("h.id").eqNullSafe(F.col("f.id")) & (F.col("h.text_key") == F.col("f.text_key"))).select("h.id", "h.text_key", "n_hit", "items", "n_items")
     sizes = index.where("term is null").groupBy("id", "text_key").agg(F.max("n_words").alias("n_words"), F.count("*").alias("n_copies"))
     all_rows = sizes.alias("s").join(both.alias("b"), F.col("s.id").eqNullSafe(F.col("b.id")) & (F.col("s.text_key") == F.col("b.text_key")), "left")
     n, none = F.coalesce("n_hit", F.lit(0)), F.array().cast("array<string>")
     return all_rows.select(
-        F.col("s.id").alias(id), "s.text_key", "n_copies", "n_words", n.alias("n_hit"), F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
+        F.col("s.id").alias(id), "s.text_key", "n_copies", "n_words", n.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"), ((n > 0) & (20 * n >= F.col("n_words"))).alias("contaminated"),
     )
 

@@ -182,6 +182,15 @@ def test_contamination(spark, sf_dir, odd, none, texts):
     assert kept.columns == odd.columns and kept.count() == sum(not x[-1] for v in got.values() for x in v)
 
 
+def test_items_without_an_id_or_with_the_same_one(spark):
+    words = lambda mark: " ".join(f"{mark}{k}" for k in range(20))
+    bench = spark.createDataFrame([(None, words("a")), ("x", words("b")), ("x", words("c")), ("x", words("c")), (None, words("d"))], "item_id string, text string")
+    docs = spark.createDataFrame([(k, words(m)) for k, m in enumerate("abcde")] + [(9, f"{words('a')} {words('b')} {words('c')} {words('d')}")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in decontaminate.benchmark_hits(docs, bench).collect()}
+    assert got == {0: (20, 1, True), 1: (20, 1, True), 2: (20, 1, True), 3: (20, 1, True), 4: (0, 0, False), 9: (80, 2, True)}
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()] == [4]
+
+
 def test_phrase_in_proximity(spark):
     docs = spark.createDataFrame([(1, "the quick sly brown fox"), (2, "quick brown fox"), (3, "fox brown quick"), (4, "quick a b c d brown fox"), (5, None)], "doc_id long, text string")
     got = {(r["doc_id"], r["from"], r["to"]) for r in decontaminate.proximity(docs, ["quick", "brown", "fox"], 1).collect()}
