@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import map_arrow, slices, staged
+from emberlog.llm.common import map_arrow, slices, staged, text_key
 
 WORDS = 5
 #: Links from NUMERATOR / DENOMINATOR of the union on.
@@ -112,12 +112,12 @@ def count_vector(shingles: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, size: int) -> DataFrame:
-    """Two sorts of rows: (id, set, n, vector) per document, and (segment, slots, counts) of the task's frequency sketch."""
-    names_of = ["id", "set", "n", "vector", "segment", "slots", "counts"]
+    """Two sorts of rows: (id, text_key, set, n, vector) per document, and (segment, slots, counts) of the task's frequency sketch."""
+    names_of = ["id", "text_key", "set", "n", "vector", "segment", "slots", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, kept, held = Powers(), [], 0
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.int32(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.int32(), pa.binary(), pa.binary()]
         id_kind = None
 
         def counted() -> pa.RecordBatch:
@@ -130,7 +130,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
             edges = np.searchsorted(slots, np.arange(0, COUNTERS + 1, SEGMENT))
             rows = [(k, slots[i:j].astype(np.uint16).tobytes(), value[i:j].tobytes()) for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
             none = [None] * len(rows)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((none, none, none, none, *zip(*rows)), (id_kind, *kinds))], names_of)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((none, none, none, none, none, *zip(*rows)), (id_kind, *kinds))], names_of)
 
         for batch in batches:
             id_kind = batch.schema.field("id").type
@@ -144,13 +144,13 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
                     kept.clear()
                     held = 0
                 none = [None] * len(sets)
-                columns = (rows["id"], list(map(set_name, sets)), list(map(len, sets)), list(map(count_vector, sets)), none, none, none)
+                columns = (rows["id"], rows["text_key"], list(map(set_name, sets)), list(map(len, sets)), list(map(count_vector, sets)), none, none, none)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (id_kind, *kinds))], names_of)
         if held:
             yield counted()
 
     kind = docs.schema["id"].dataType.simpleString()
-    return map_arrow(docs, read, f"id {kind}, set long, n long, vector array<smallint>, segment int, slots binary, counts binary")
+    return map_arrow(docs, read, f"id {kind}, text_key long, set long, n long, vector array<smallint>, segment int, slots binary, counts binary")
 
 
 def to_code(counts: np.ndarray) -> np.ndarray:
@@ -409,7 +409,12 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = WORDS, tile: int = TILE) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, set (the name of its shingle set).
+    """One row per document: id, n_shingles, component_id, set (the name of its shingle set); see `grouped`."""
+    return grouped(docs, text, id, size, tile).select(F.col("id").alias(id), "n_shingles", "component_id", "set")
+
+
+def grouped(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = WORDS, tile: int = TILE) -> DataFrame:
+    """One row per document: id, text_key, n_shingles, component_id, set, root (the name of a set, one per component).
 
     Documents link when their sets of distinct `size`-word shingles share 3/4 of their union or more;
     component_id is the smallest id that links reach. All links between different sets that could
@@ -428,10 +433,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     shingle; rows alike get a result each; null ids are left out of the smallest id; an empty table
     gives no rows; other columns are ignored; whole texts are read.
     """
-    base = docs.select(docs[id].alias("id"), docs[text].alias("text"))
+    base = docs.select(docs[id].alias("id"), docs[text].alias("text")).withColumn("text_key", text_key())
     keyed = staged(profiles(base, size), "profiles")
     sketch = frequency_sketch(keyed)
-    rows = keyed.where("segment is null").select("id", "set", "n")
+    rows = keyed.where("segment is null").select("id", "text_key", "set", "n")
     block = Window.partitionBy("shingle", "salt")
     by_size = block.orderBy("n", "set")
     alike = lambda n, m: (DENOMINATOR * F.least(n, m) >= NUMERATOR * F.greatest(n, m))
@@ -456,19 +461,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", siz
     roots = roots.toDF("set", "root")
     per_set = rows.where("n > 0").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("copies")).join(roots, "set", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "set"))
     lowest = per_set.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_set = staged(per_set.join(lowest, "root").select("set", "component_id"), "components", narrow=True)
+    of_set = staged(per_set.join(lowest, "root").select("set", "root", "component_id"), "components", narrow=True)
     found = rows.join(of_set, "set", "left")
-    return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"), "set")
+    component = F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))
+    return found.select("id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), "set", F.coalesce("root", "set").alias("root"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = WORDS, tile: int = TILE) -> DataFrame:
     """The rows of `docs` less near duplicates: of each component the row with the smallest id stays.
 
-    Of rows alike in id the first by text stays; documents without words all stay.
+    Null ids come last; of a component's rows alike in id the first by text stays, whatever other
+    components have that id; documents without words all stay. Tasks choose on their own first.
     """
-    kept = near_duplicates(docs, text, id, size, tile).where((F.col("n_shingles") == 0) | F.col(id).eqNullSafe(F.col("component_id")))
-    ids = staged(kept.select(F.col(id).alias("kept_id"), (F.col("n_shingles") == 0).alias("empty")).distinct(), "kept")
+    lowest = grouped(docs, text, id, size, tile).where((F.col("n_shingles") > 0) & F.col("id").eqNullSafe(F.col("component_id")))
+    kept = staged(lowest.select(F.col("id").alias("kept_id"), F.col("text_key").alias("kept_key"), "root").distinct(), "kept")
     empty = F.trim(F.translate(F.coalesce(docs[text], F.lit("")), "\t\n\x0b\x0c\r", "     ")) == ""
-    rows = docs.join(ids, docs[id].eqNullSafe(ids["kept_id"]) & (ids["empty"] == empty), "left_semi")
-    ranked = rows.withColumn("rank of equals", F.when(empty, 1).otherwise(F.row_number().over(Window.partitionBy(id, empty).orderBy(F.col(text).asc_nulls_first()))))
-    return ranked.where("`rank of equals` = 1").drop("rank of equals")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    worded = docs.where(~empty).select(own.alias("row"), docs[id].alias("id"), docs[text].alias("text")).withColumn("text_key", text_key())
+    left = worded.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")))
+    return left.groupBy("root").agg(F.min_by("row", "text").alias("row")).select("row.*").unionByName(docs.where(empty))

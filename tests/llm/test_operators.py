@@ -341,6 +341,13 @@ def test_components(spark, sf_dir, odd, none, texts):
     assert kept.count() == odd.count() - 3
 
 
+def test_one_row_per_component_whatever_the_ids(spark):
+    words = lambda mark: " ".join(f"{mark}{k}" for k in range(30))
+    rows = [(None, words("a")), (None, words("b")), (None, words("b")), (5, words("c")), (5, words("d")), (5, words("d") + " end"), (4, words("d")), (None, words("c")), (None, None), (None, "")]
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == Counter([(None, words("a")), (None, words("b")), (5, words("c")), (4, words("d")), (None, None), (None, "")])
+
+
 @pytest.mark.parametrize("tile", [3, 1000])
 def test_chained_and_hot_groups(spark, tile):
     rng = random.Random(4)
