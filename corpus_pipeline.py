@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from emberlog.llm.common import documents, staged
 from emberlog.llm.decontaminate import drop_contaminated
 from emberlog.llm.jaccard import keep_one
-from emberlog.llm.lines import dedup_lines
+from emberlog.llm.lines import PASSAGE, dedup_lines
 from emberlog.llm.packing import pack_documents
 from emberlog.llm.toxicity import drop_toxic
 
@@ -23,7 +23,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go out of the texts; a document goes if it had words and all of them were repeated."""
-    done = dedup_lines(docs.withColumn("n_chars", F.length("text").cast("long")))
+    done = dedup_lines(docs.withColumn("n_chars", F.length("text").cast("long")), passage=PASSAGE)
     words = F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")) != ""
     changed = F.col("n_removed_lines") > 0
     kept = done.where(~changed | words).withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -10,6 +10,11 @@ from emberlog.llm.common import staged
 LONG_LINE = 50
 EVERY = 2
 SALTS = 16
+#: Words from which a run of lines is a passage, whatever its line breaks.
+PASSAGE = 50
+#: The most frequent repeated runs, which are broadcast; any other has less than this share of all rows.
+HOT = 1000
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def line_hash(line: Column) -> Column:
@@ -46,12 +51,46 @@ def _chunk_rows(docs: DataFrame, every: int, long_line: int) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", id: str = "doc_id", every: int = EVERY, long_line: int = LONG_LINE, salts: int = SALTS) -> DataFrame:
+def _runs(docs: DataFrame, passage: int) -> DataFrame:
+    """(id, text_key, start, size, a, b): from and up to each line with words the shortest run of lines of `passage` words, with its hashes.
+
+    These cover each run of that many words or more, whatever stands around it.
+    """
+    told = docs.withColumn("lines", F.split("t", "\n", -1))
+    told = told.withColumn("of_word", F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i, F.regexp_count(x, F.lit(WORD)))))).withColumn("total", F.size("of_word"))
+    told = told.where(F.col("total") >= passage).select("id", "text_key", "of_word", "total", F.transform("lines", lambda x: F.xxhash64(x)).alias("a"), F.transform("lines", lambda x: F.xxhash64(F.lit(1), x)).alias("b"))
+    line = lambda at: F.get("of_word", at)
+    run = lambda first, last: F.shiftleft(line(first).cast("long"), 32) + line(last)
+    begins = F.filter(F.sequence(F.lit(0), F.col("total") - passage), lambda at: (at == 0) | (line(at) != line(at - 1)))
+    ends = F.filter(F.sequence(F.lit(passage - 1), F.col("total") - 1), lambda at: (at == F.col("total") - 1) | (line(at) != line(at + 1)))
+    both = F.array_union(F.transform(begins, lambda at: run(at, at + (passage - 1))), F.transform(ends, lambda at: run(at - (passage - 1), at)))
+    start = lambda r: F.shiftright(r, 32).cast("int")
+    size = lambda r: (r - F.shiftleft(F.shiftright(r, 32), 32)).cast("int") - start(r) + 1
+    named = lambda r: F.struct(start(r).alias("start"), size(r).alias("size"), F.xxhash64(F.slice("a", start(r) + 1, size(r))).alias("a"), F.xxhash64(F.lit(1), F.slice("b", start(r) + 1, size(r))).alias("b"))
+    return told.withColumn("runs", both).select("id", "text_key", F.explode(F.transform("runs", named)).alias("r")).select("id", "text_key", "r.*")
+
+
+def _repeated_runs(docs: DataFrame, passage: int) -> DataFrame:
+    """(id, text_key, start, size) of the runs of `passage` words that stand at a smaller (id, text hash, line) too."""
+    place = F.struct("id", "text_key", "start")
+    repeats = staged(_runs(docs, passage).groupBy("a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "run_repeats")
+    hot = F.broadcast(repeats.orderBy(F.desc("n"), "a", "b").limit(HOT).select("a", "b", F.col("first").alias("hot")))
+    known = _runs(docs, passage).join(hot, ["a", "b"], "left")
+    # rows whose first is known are spread by place and meet nothing
+    keyed = known.withColumn("key", F.when(F.col("hot").isNull(), F.col("a")).otherwise(F.xxhash64("text_key", "start"))).withColumn("b", F.when(F.col("hot").isNull(), F.col("b")))
+    found = keyed.join(repeats.select(F.col("a").alias("key"), "b", "first"), ["key", "b"], "left")
+    return found.where(~place.eqNullSafe(F.coalesce("hot", "first", place))).select("id", "text_key", "start", "size")
+
+
+def dedup_lines(docs: DataFrame, text: str = "text", id: str = "doc_id", every: int = EVERY, long_line: int = LONG_LINE, salts: int = SALTS, passage: int | None = None) -> DataFrame:
     """All columns of `docs` with the text less its repeated chunks, plus n_lines and n_removed_lines.
 
     Of chunks with equal bytes the one of the smallest (id, text hash, place) stays and all others
     go, within a document too. Single short lines stay. Hashes only say which chunks to compare:
     chunks go when their bytes equal the first one's.
+    With `passage`, each run of lines of that many words or more that stands at a smaller place goes
+    as well, however it is cut into lines and chunks and whatever stands around it, also where it
+    overlaps its first; such runs are compared by two 64-bit hashes of each line.
     The first pass shuffles hashes alone; chunk texts travel only for hashes found twice, spread over
     `salts` by document, as is the first occurrence of each.
     A null text stays null with 0 lines; empty lines count as lines; rows alike in id and text are
@@ -67,7 +106,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", id: str = "doc_id", every:
     found = staged(rows.join(repeats.select("hash", "first", spread), ["hash", "salt"]).withColumn("is_first", place.eqNullSafe(F.col("first"))), "found")
     firsts = found.where("is_first").dropDuplicates(["hash"]).select("hash", F.col("chunk").alias("first_chunk"), spread)
     gone = found.where("not is_first").join(firsts, ["hash", "salt"]).where("chunk = first_chunk")
-    per_doc = gone.groupBy("id", "text_key").agg(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("size") - 1))).alias("gone"))
+    gone = gone.select("id", "text_key", "start", "size")
+    if passage is not None:
+        gone = gone.unionByName(_repeated_runs(base, passage))
+    spans = F.collect_set(F.struct("start", "size"))
+    per_doc = gone.groupBy("id", "text_key").agg(F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["start"] + s["size"] - 1))).alias("gone"))
 
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     whole = docs.select(own.alias("row"), docs[id].alias("id"), docs[text].alias("t")).withColumn("text_key", F.xxhash64(F.coalesce("t", F.lit("")))).alias("a")

@@ -256,6 +256,23 @@ def test_line_dedup_of_odd_rows(spark, odd, none):
     assert by[0] == [(None, "x")] and len(by[6]) == 3 and lines.dedup_lines(none).count() == 0
 
 
+def test_repeated_runs_by_brute_force(spark):
+    rng = random.Random(8)
+    pool = [" ".join(f"p{k}w{j}" for j in range(rng.randint(3, 40))) for k in range(12)]
+    docs = {k: [*(rng.choice(pool) if rng.random() < 0.9 else f"own {k} {j}" for j in range(rng.randint(1, 14))), f"end {k}"] for k in range(40)}
+    first, want = {}, {}
+    for k, own in docs.items():
+        gone = set()
+        for i in range(len(own)):
+            for j in range(i, len(own)):
+                if len(" ".join(own[i : j + 1]).split()) >= 50 and first.setdefault(tuple(own[i : j + 1]), (k, i)) != (k, i):
+                    gone.update(range(i, j + 1))
+        want[k] = "\n".join(x for i, x in enumerate(own) if i not in gone)
+    df = spark.createDataFrame([(k, "\n".join(own)) for k, own in docs.items()], "doc_id long, text string")
+    done = lines.dedup_lines(df, every=1 << 40, long_line=10**6, passage=50)  # the chunks are whole documents, which differ
+    assert {r["doc_id"]: r["text"] for r in done.collect()} == want
+
+
 # 7: secrets
 
 

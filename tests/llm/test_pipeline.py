@@ -44,6 +44,18 @@ def test_lines_are_not_invented(outputs):
         assert set((text or "").split("\n")) <= set((before[doc] or "").split("\n"))
 
 
+def test_passages_go_whatever_their_lines(spark, sf_dir):
+    rows, want = [], {}
+    for n in (2, 3, 5):
+        for group in range(4):
+            passage = "\n".join(" ".join(f"g{group}n{n}l{i}w{j}" for j in range(60 // n)) for i in range(n))
+            for k in range(100 * n + 10 * group, 100 * n + 10 * group + 3):
+                rows.append((k, f"own {k}\n{passage}\nend {k}", None))
+                want[k] = rows[-1][1] if k % 10 == 0 else f"own {k}\nend {k}"
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    assert text_of(corpus_pipeline.line_dedup(spark, docs, sf_dir)) == want
+
+
 def test_one_of_each_group_stays(outputs):
     before = text_of(outputs["line_dedup"])
     want = {d for d, (n, c) in brute.components(before).items() if not n or d == c}
