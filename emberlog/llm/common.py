@@ -33,19 +33,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own inside the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """`df` written once as Parquet in the shared folder and read back: its lineage ends here.
 
     With `narrow`, for tables that are small next to the corpus, a task takes several shuffle
     partitions, two tasks per core of the cluster, and so many files are written.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession, name)
     if narrow:
         df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstaged(df: DataFrame) -> None:
+    """Removes the files of a frame that `staged` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow whose workers find this package where the driver found it."""
     environment = df.sparkSession.sparkContext.environment

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlog.llm.common import documents
+from emberlog.llm.common import documents, stage_path
 from emberlog.llm.decontaminate import benchmark_hits
 from emberlog.llm.html import main_text
 from emberlog.llm.jaccard import near_duplicates
@@ -17,6 +17,7 @@ from emberlog.llm.pii import find_pii
 from emberlog.llm.quality import quality
 from emberlog.llm.secrets import find_secrets
 from emberlog.llm.token_counts import token_counts
+from emberlog.llm.token_files import read_token_files, write_token_files
 from emberlog.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,10 @@ def op8_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_count_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).drop("set")
+
+
+@query
+def op13_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = stage_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), folder, end_id=1)
+    return read_token_files(spark, folder)
