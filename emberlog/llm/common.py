@@ -59,11 +59,16 @@ def unstaged(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow whose workers find this package where the driver found it."""
-    environment = df.sparkSession.sparkContext.environment
+def workers_find_package(spark: SparkSession) -> None:
+    """Workers started from now on find this package where the driver found it."""
+    environment = spark.sparkContext.environment
     if ROOT not in environment.get("PYTHONPATH", ""):
         environment["PYTHONPATH"] = f"{ROOT}:{environment.get('PYTHONPATH', '')}".rstrip(":")
+
+
+def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow whose workers find this package where the driver found it."""
+    workers_find_package(df.sparkSession)
     return df.mapInArrow(make, schema)
 
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.llm.common import documents, stage_path
+from emberlog.llm.conversations import repair
 from emberlog.llm.decontaminate import benchmark_hits
 from emberlog.llm.html import main_text
 from emberlog.llm.jaccard import near_duplicates
@@ -19,6 +20,7 @@ from emberlog.llm.secrets import find_secrets
 from emberlog.llm.token_counts import token_counts
 from emberlog.llm.token_files import read_token_files, write_token_files
 from emberlog.llm.toxicity import toxicity
+from emberlog.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +84,16 @@ def op10_count_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).drop("set")
 
 
+@query
+def op11_persistent_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op12_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op13_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = stage_path(spark, "token-files")
