@@ -55,10 +55,14 @@ class Fields:
     relations: Mapping[str, Relation] = field(default_factory=dict)
     root: Column | None = None
     prefix: str = ""
+    # For clauses that look at the whole table: the table, what names its rows, stored word counts.
+    rows: DataFrame | None = None
+    id_field: str | None = None
+    statistics: DataFrame | None = None
 
     @classmethod
     def of(cls, df: DataFrame, text_fields: Iterable[str] = (), **kwargs) -> Fields:
-        return cls(df.schema, frozenset(text_fields), **kwargs)
+        return cls(df.schema, frozenset(text_fields), rows=df, **kwargs)
 
     def find(self, name: str) -> Field | None:
         """The field called `name`, or None where the index has no such field."""
@@ -73,7 +77,7 @@ class Fields:
 
     def inside(self, path: str, element: Column, schema: T.StructType) -> Fields:
         """The same query context within one element of the nested array `path`."""
-        return replace(self, schema=schema, root=element, prefix=f"{path}.", relations={})
+        return replace(self, schema=schema, root=element, prefix=f"{path}.", relations={}, rows=None)
 
     def text(self) -> list[Field]:
         """Fields a bare word is looked up in: the text fields, else every string column."""

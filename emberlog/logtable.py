@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from emberlog.functions.fields import Fields, Relation
 from emberlog.operators import aggregations, filters, ordering, reshape
 from emberlog.operators.catalogue import DEFAULT_TIME_FIELD, INDEX_TYPES, TIME_FIELDS, kind_of
-from emberlog.operators.dsl import Body, QueryError, compile_query
-from emberlog.operators.relations import more_like_this as similar_rows
+from emberlog.operators.dsl import Body, compile_query
 from emberlog.operators.relations import percolate as percolate_rows
 from emberlog.operators.search import search_predicate
 from emberlog.operators.views import View, view_named
@@ -49,6 +48,8 @@ class LogTable:
     date_partition: str | None = None
     name: str = ""
     body: Body | None = None
+    # Word counts kept by `similar.write_term_statistics`, for more_like_this.
+    statistics: DataFrame | None = None
 
     def __post_init__(self):
         if self.time_field is None:
@@ -61,7 +62,8 @@ class LogTable:
 
     @property
     def fields(self) -> Fields:
-        return Fields.of(self.df, self.text_fields, now=self.now, relations=self.relations)
+        names = [*self.tie_break, "_id"]
+        return Fields.of(self.df, self.text_fields, now=self.now, relations=self.relations, id_field=names[0], statistics=self.statistics)
 
     def _where(self, predicate: Column) -> LogTable:
         return replace(self, df=self.df.where(predicate))
@@ -74,9 +76,7 @@ class LogTable:
             return self._where(search_predicate(self.fields, query))
         body = Body.of(query)
         table = replace(self, body=body)
-        if body.query is not None and "more_like_this" in body.query:
-            table = replace(table, df=self._more_like_this(body.query["more_like_this"]))
-        elif body.query is not None:
+        if body.query is not None:
             hit = compile_query(self.fields, body.query)
             matched = self.df.where(hit.matches)
             if with_score or any("_score" in (s if isinstance(s, dict) else [s]) for s in body.sort or []):
@@ -84,23 +84,6 @@ class LogTable:
             table = replace(table, df=matched)
         return table
 
-    def _more_like_this(self, clause: dict) -> DataFrame:
-        """The clause as a whole query; rows are named by the first tie-break field."""
-        like = clause["like"] if isinstance(clause["like"], list) else [clause["like"]]
-        (name,) = clause.get("fields") or self.text_fields
-        settings = ("max_query_terms", "min_term_freq", "min_doc_freq")
-        share = str(clause.get("minimum_should_match", "30%"))
-        if not share.endswith("%"):
-            raise QueryError("more_like_this takes minimum_should_match as a percentage")
-        return similar_rows(
-            self.df, name,
-            like=[item["_id"] for item in like if isinstance(item, dict)],
-            like_text=[item for item in like if isinstance(item, str)],
-            id_field=self.tie_break[0],
-            minimum_should_match=int(share[:-1]) / 100,
-            **{key: int(clause[key]) for key in settings if key in clause},
-        )
-
     def percolate(self, queries: Mapping[str, dict], label: str = "query_id") -> LogTable:
         """Every row once per stored query it matches."""
         return replace(self, df=percolate_rows(self.df, queries, self.fields, label))

@@ -5,8 +5,6 @@ A catalogue has one row per field of an index: `index`, `field`, `type`, `pos`.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,45 +122,16 @@ def _members(value: Column) -> Column:
     return F.coalesce(entries, F.flatten(inside), none)
 
 
-def nesting(docs: DataFrame, doc: str) -> int:
-    """How deep objects are nested in any document: one schema, merged on the map side, reaches the driver."""
-    schema = docs.agg(F.schema_of_variant_agg(quoted(doc))).first()[0] or ""
-    depth = deepest = 0
-    for token in re.findall(r"`(?:[^`]|``)*`|<|>", schema):  # arrays count too: a level too many finds nothing new
-        depth += {"<": 1, ">": -1}.get(token, 0)
-        deepest = max(deepest, depth)
-    return max(1, deepest)
-
-
-def json_fields(docs: DataFrame, doc: str, keys: tuple[Column, ...] = (), depth: int = 1) -> DataFrame:
-    """Dotted names and values found in JSON documents (variants), objects before their members.
-
-    Every level is one more explode, which stays inside generated code: a row keeps
-    itself and, if it is new at this level, brings its members along.
-    """
+def json_fields(docs: DataFrame, doc: str, keys: tuple[Column, ...] = ()) -> DataFrame:
+    """Names and values of the top-level fields of JSON documents (variants)."""
     rows = docs.select(*keys, F.explode(_members(quoted(doc))).alias("entry"))
     names = rows.columns[:-1]
-    rows = rows.select(*map(quoted, names), F.col("entry.key").alias("field"), F.col("entry.value").alias("value"))
-    rows = rows.withColumn("__new", F.lit(True))
-    for _ in range(depth - 1):
-        itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), "value"))
-        brought = F.when(F.col("__new"), F.concat(itself, _members(F.col("value")))).otherwise(itself)
-        rows = rows.select(*map(quoted, names), "field", F.explode(brought).alias("entry")).select(
-            *map(quoted, names),
-            F.concat_ws(".", "field", "entry.key").alias("field"),
-            F.col("entry.value").alias("value"),
-            F.col("entry.key").isNotNull().alias("__new"),
-        )
-    return rows.drop("__new")
+    return rows.select(*map(quoted, names), F.col("entry.key").alias("field"), F.col("entry.value").alias("value"))
 
 
-def value_kind(value: Column, nested: bool = False) -> Column:
-    """What a JSON value is: STRING, BIGINT, DECIMAL, OBJECT, ..., PROSE for long text, and
-    NESTED for an array of objects if asked for."""
-    schema = F.schema_of_variant(value)
-    kind = F.regexp_extract(schema, "^[A-Z_]+", 0)
-    if nested:
-        kind = F.when(schema.startswith("ARRAY<OBJECT<"), "NESTED").otherwise(kind)
+def value_kind(value: Column) -> Column:
+    """What a JSON value is: STRING, BIGINT, DECIMAL, OBJECT, ..., and PROSE for long text."""
+    kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z_]+", 0)
     return F.when(kind != "STRING", kind).when(_prose(F.try_variant_get(value, "$", "string")), "PROSE").otherwise(kind)
 
 
@@ -205,13 +174,17 @@ def name_rule(field: Column) -> Column:
     )
 
 
-def _field_types(entries: DataFrame, keys: tuple[str, ...], nested: bool = False) -> DataFrame:
+def _field_types(entries: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """One type per `keys` and field from (keys, field, value) rows.
 
     Rows are first counted down to the kinds seen per field, on the map side, so the
     exchanges carry a few rows per field whatever the number of documents.
     """
-    seen = entries.select(*keys, "field", value_kind(F.col("value"), nested).alias("kind")).groupBy(*keys, "field", "kind").count()
+    return _types_of_kinds(entries.select(*keys, "field", value_kind(F.col("value")).alias("kind")).distinct(), keys)
+
+
+def _types_of_kinds(seen: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The type that holds every kind seen of a field."""
     typed = seen.withColumn("type", F.when(F.col("kind") != "VOID", _type_of_kind(F.col("kind"))))
     return typed.groupBy(*keys, "field").agg(F.coalesce(_widest(F.col("type")), F.lit("keyword")).alias("type"))
 
@@ -227,7 +200,7 @@ def infer_mapping(docs: DataFrame, doc: str = "doc", keys: tuple[str, ...] = (),
 
     One row per field and per `keys`; `strict` ignores the rules on field names.
     """
-    entries = json_fields(docs, doc, tuple(map(quoted, keys)), depth=1)
+    entries = json_fields(docs, doc, tuple(map(quoted, keys)))
     kept = entries.where(~F.col("field").isin(*BOOKKEEPING))
     return _with_name_rules(_field_types(kept, keys), strict)
 
@@ -257,11 +230,103 @@ def _index_type(dtype: T.DataType) -> str:
     return "keyword" if isinstance(dtype, T.ArrayType) else INDEX_TYPES.get(type(dtype), "keyword")
 
 
+# Bytes that UTF-8 never has, as characters: an escaped quote, an escaped backslash, the kind that follows a key.
+_QUOTE, _BACKSLASH, _KIND = "\u00c1", "\u00f5", "\u00c0"
+# A key and its colon; no closing quote opens one, as what follows it is one of the characters left out.
+_KEY = rf'"(?![\s,:}}\]])([^"{_KIND}]*+)"\s*:\s*'
+_SHORT = r'"(?:[^" \\]|\\u[0-9a-fA-F]{4}|\\[^u]){0,50}+"'
+# Strings and arrays get their kind after the key: beside other values of the field they would hide its members or its type.
+_MARKS = (
+    (_KEY + _SHORT, f'"$1{_KIND}s":""'),
+    (_KEY + '"[^"]++"', f'"$1{_KIND}p":""'),
+    (_KEY + r"(?=\[)", f'"$1{_KIND}a":'),
+)
+
+
+def _document_shapes(docs: DataFrame, doc: str, index: Column) -> DataFrame:
+    """(index, shape, dated): the distinct shapes of the documents, counted down on the map side.
+
+    A shape is the schema of a document whose keys carry the kind of their value, so that unlike values
+    of one field in an array don't merge, and prose differs from other strings; it is written in
+    UTF-8 bytes, a character each, as lengths count bytes. `dated` is the schema of a document with dates and
+    times, which its JSON text doesn't show.
+    """
+    value, dated = quoted(doc), F.lit(None).cast("string")
+    if isinstance(docs.schema[doc].dataType, T.VariantType):
+        text = F.to_json(value)
+        schema = F.schema_of_variant(value)
+        dated = F.when(schema.rlike(r"\b(TIMESTAMP|TIMESTAMP_NTZ|DATE)\b"), schema)
+    else:
+        text = F.when(value.contains("\\u"), F.to_json(F.try_parse_json(value))).otherwise(value)
+    marked = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    marked = F.replace(F.replace(marked, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    for pattern, marks in _MARKS:
+        marked = F.regexp_replace(marked, pattern, marks)
+    marked = F.replace(F.replace(marked, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    shapes = docs.select(index.alias("index"), F.schema_of_variant(F.try_parse_json(marked)).alias("shape"), dated.alias("dated"))
+    return shapes.distinct()
+
+
+_NAME = "`((?:[^`]|``)*)`"
+_SHAPE_TOKEN = rf"(?:{_NAME}: |\w+: )?(?:ARRAY<)*(?:OBJECT<|[A-Z_]+(?:\([0-9, ]*\))?)|>"
+
+
+def _shape_fields(shape: Column) -> Column:
+    """The fields a schema text of a variant names, as an array of (field, kind) with dotted names.
+
+    A fold over its tokens keeps the name of every bracket that is open.
+    """
+    state = "struct<open:array<string>,fields:array<struct<field:string,kind:string>>>"
+    tokens = F.regexp_extract_all(shape, F.lit(f"({_SHAPE_TOKEN})"), F.lit(1))
+
+    def step(s: Column, token: Column) -> Column:
+        opened, fields = s["open"], s["fields"]
+        quoted_name = F.regexp_extract(token, f"^{_NAME}: ", 1)
+        plain = F.regexp_extract(token, r"^(\w+): ", 1)
+        name = F.when(plain != "", plain).otherwise(F.replace(quoted_name, F.lit("``"), F.lit("`")))
+        named = token.startswith("`") | (plain != "")
+        kind_at = F.instr(name, _KIND)
+        label = F.when(kind_at > 0, F.substring(name, F.lit(1), kind_at - 1)).otherwise(name)
+        above = F.coalesce(F.try_element_at(opened, F.lit(-1)), F.lit(""))
+        path = F.when(~named, above).when(above == "", label).otherwise(F.concat(above, F.lit("."), label))
+        type_text = F.regexp_extract(token, r"((?:ARRAY<)*(?:OBJECT<|[A-Z_]+)(?:\([0-9, ]*\))?)$", 1)
+        kind = (
+            F.when(name.endswith(_KIND + "p"), "PROSE").when(type_text.startswith("ARRAY<OBJECT<"), "NESTED")
+            .when(type_text.rlike("^(ARRAY<)+VOID$"), "VOID")  # an empty array tells nothing
+            .when(type_text.startswith("ARRAY<"), "ARRAY").otherwise(F.regexp_extract(type_text, "^[A-Z_]+", 0))
+        )
+        depth = F.length(type_text) - F.length(F.replace(type_text, F.lit("<"), F.lit("")))
+        pushed = F.concat(opened, F.array_repeat(path, depth))
+        told = F.when(named, F.concat(fields, F.array(F.struct(path.alias("field"), kind.alias("kind"))))).otherwise(fields)
+        closed = token == ">"
+        return F.struct(
+            F.when(closed, F.slice(opened, F.lit(1), F.greatest(F.size(opened) - 1, F.lit(0)))).otherwise(pushed).alias("open"),
+            F.when(closed, fields).otherwise(told).alias("fields"),
+        ).cast(state)
+
+    start = F.struct(F.array().cast("array<string>").alias("open"), F.array().cast("array<struct<field:string,kind:string>>").alias("fields"))
+    return F.aggregate(tokens, start.cast(state), step, lambda s: s["fields"])
+
+
 def catalogue_of_documents(docs: DataFrame, doc: str = "doc", index: str = "_index") -> DataFrame:
-    """Catalogue of schemaless documents: every dotted name found in any document, members of arrays of objects too."""
-    entries = json_fields(docs, doc, (quoted(index).alias("index"),), nesting(docs, doc))
+    """Catalogue of schemaless documents, JSON texts or variants: every dotted name found in any, members of arrays of objects too.
+
+    One pass: documents become shapes, of which a few are left after counting on the map side, and the
+    shapes are read as tables of fields. No schema reaches the driver. Texts that aren't JSON are
+    left out. Arrays that mix objects and other values, which no index takes, count as keywords without members;
+    so does prose under a name that starts with white space or one of `,:}]`.
+    """
+    shapes = _document_shapes(docs, doc, quoted(index))
+    dates = F.filter(_shape_fields(F.coalesce("dated", F.lit(""))), lambda f: f["kind"].isin("TIMESTAMP", "TIMESTAMP_NTZ", "DATE"))
+    fields = F.transform(
+        _shape_fields(F.coalesce("shape", F.lit(""))),
+        lambda f: F.struct(F.decode(F.encode(f["field"], "ISO-8859-1"), "UTF-8").alias("field"), f["kind"].alias("kind")),
+    )
+    named = shapes.select("index", fields.alias("fields"), dates.alias("dates"))
+    known = F.filter("fields", lambda f: ~F.exists("dates", lambda d: d["field"] == f["field"]))
+    found = named.select("index", F.inline(F.concat(known, "dates"))).distinct()
     pos = F.row_number().over(Window.partitionBy("index").orderBy("field")) - 1
-    return _field_types(entries, ("index",), nested=True).select("index", "field", "type", pos.alias("pos"))
+    return _types_of_kinds(found, ("index",)).select("index", "field", "type", pos.alias("pos"))
 
 
 # ------------------------------------------------------------- index profiles

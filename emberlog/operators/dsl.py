@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from emberlog.functions.fields import Fields
 from emberlog.operators import predicates as P
 from emberlog.operators.search import search_predicate
+from emberlog.operators.similar import Terms, similar
 
 
 @dataclass(frozen=True)
@@ -170,8 +171,29 @@ def _simple_query_string(fields: Fields, body: dict) -> Hit:
     return Hit(P.never() if result is None else result, _boost(body))
 
 
+_TERM_SETTINGS = ("max_query_terms", "min_term_freq", "min_doc_freq", "max_doc_freq", "min_word_length", "max_word_length")
+
+
 def _more_like_this(fields: Fields, body: dict) -> Hit:
-    raise QueryError("more_like_this reads the whole table: use relations.more_like_this(df, ...)")
+    unknown = set(body) - {"fields", "like", "unlike", "minimum_should_match", "stop_words", "include", "boost", "_name", *_TERM_SETTINGS}
+    if unknown:
+        raise QueryError(f"unknown more_like_this option {sorted(unknown)}")
+    if fields.rows is None:
+        raise QueryError("more_like_this reads the whole table: it can't stand within a nested query")
+    names = [n for n, _ in _expand(fields, body.get("fields"))] or [f.name for f in fields.text()]
+    like, unlike = _as_list(body.get("like")), _as_list(body.get("unlike"))
+    ids = [item["_id"] for item in like if isinstance(item, dict)]
+    if not like or any(isinstance(item, dict) for item in unlike):
+        raise QueryError("more_like_this takes texts or documents by _id as like, and texts as unlike")
+    if ids and (fields.id_field is None or fields.find(fields.id_field) is None):
+        raise QueryError("more_like_this names documents, but the table has no field that names its rows (tie_break)")
+    settings = {key: int(body[key]) for key in _TERM_SETTINGS if key in body}
+    matches, shared = similar(
+        fields, names, ids, [x for x in like if isinstance(x, str)], unlike,
+        Terms(stop_words=tuple(_as_list(body.get("stop_words"))), minimum_should_match=body.get("minimum_should_match", "30%"), **settings),
+        bool(body.get("include", False)),
+    )
+    return Hit(matches, shared * _boost(body))
 
 
 def _percolate(fields: Fields, body: dict) -> Hit:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from emberlog.functions.fields import Fields, quoted
 from emberlog.operators import predicates as P
 from emberlog.operators.dsl import compile_query
+from emberlog.operators.similar import Terms, similar
 
 # Predicates that share one generated array; all arrays are filled in the same pass.
 QUERIES_PER_ARRAY = 200
@@ -33,58 +34,11 @@ def percolate(df: DataFrame, queries: Mapping[str, dict], fields: Fields | None
     return df.withColumn(label, F.explode(F.filter(hits, lambda name: name.isNotNull())))
 
 
-def more_like_this(
-    df: DataFrame,
-    field: str,
-    like: Sequence,
-    id_field: str,
-    max_query_terms: int = 25,
-    min_term_freq: int = 2,
-    min_doc_freq: int = 5,
-    minimum_should_match: float = 0.3,
-    like_text: Sequence[str] = (),
-) -> DataFrame:
-    """Rows that share enough of the most telling terms of the rows called `like` and of `like_text`.
-
-    Terms are ranked by frequency in the seed rows times log(rows / rows with the term).
-    The ranking runs at once and brings at most `max_query_terms` words to the driver;
-    the search for similar rows is then a plain filter.  The table is never shuffled,
-    only its counts for the words of the seed rows are.
-    """
-    fields = Fields.of(df)
-    text, key = fields.find(field).column, fields.find(id_field).column
-    seeds = df.where(key.isin(list(like))).select(text.alias("text"))
-    for given in like_text:
-        seeds = seeds.unionByName(df.sparkSession.range(1).select(F.lit(given).alias("text")))
-    seed_terms = (
-        seeds.select(F.explode(P.tokens(F.col("text"))).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("freq"))
-        .where(F.col("freq") >= min_term_freq)
-    )
-    # Splitting is cheaper than extracting tokens; the empty string it may add is in no word list.
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
-    doc_freq = (
-        df.select(F.explode(F.array_distinct(words)).alias("term"))
-        .join(seed_terms.select("term"), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .where(F.col("docs") >= min_doc_freq)
-    )
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    ranked = (
-        seed_terms.join(doc_freq, "term")
-        .withColumn("weight", F.round(F.col("freq") * F.ln(total / F.col("docs")), 9))
-        .orderBy(F.col("weight").desc(), F.col("term"))
-        .limit(max_query_terms)
-    )
-    wanted = [row.term for row in ranked.select("term").collect()]
-    if not wanted:
-        return df.where(P.never())
-    needed = max(1, int(len(wanted) * minimum_should_match))
-    field = fields.find(field)
-    shared = reduce(lambda a, b: a + b, [F.when(P.has_token(field.column, [word]), 1).otherwise(0) for word in wanted])
-    return df.where(~key.isin(list(like)) & (shared >= needed))
+def more_like_this(df: DataFrame, field: str | Sequence[str], like: Sequence, id_field: str, like_text: Sequence[str] = (), **settings) -> DataFrame:
+    """Rows that share enough of the most telling words of the rows called `like` and of `like_text`."""
+    names = [field] if isinstance(field, str) else list(field)
+    matches, _ = similar(Fields.of(df, id_field=id_field), names, like, like_text, settings=Terms(**settings))
+    return df.where(matches)
 
 
 def fan_out(df: DataFrame, indices: Sequence[str] | DataFrame) -> DataFrame:

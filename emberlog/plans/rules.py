@@ -12,6 +12,7 @@ from emberlog.plans.adapters import (
     SPAN_KIND, SQL_CATALOGUE, SQL_EVENTS_LOG, catalogue, events_log, mapped, sql_case,
 )
 from emberlog.plans.registry import query, table
+from emberlog.session import spread
 
 
 # What the classes are expected to be, apart from what the operators hold.
@@ -243,7 +244,8 @@ def infer_mapping(spark, d):
 _SQL_JSON_FIELDS = [
     ("level", "keyword"), ("msg", "text"), ("user", "object"), ("user.id", "long"), ("user.vip", "boolean"), ("value", "double"),
     ("a", "object"), ("a.b", "object"), ("a.b.c", "object"), ("a.b.c.d", "object"), ("a.b.c.d.e", "object"), ("a.b.c.d.e.f", "long"),
-    ("items", "nested"), ("items.sku", "keyword"), ("items.n", "long"),
+    ("items", "nested"), ("items.sku", "keyword"), ("items.n", "long"), ("grid", "keyword"), ("grid.x", "text"), ("k.v", "object"),
+    ("k.v.w.u", "boolean"),
 ]
 
 
@@ -262,9 +264,12 @@ def fields_catalogue(spark, d):
     document = F.struct(
         deep, items.alias("items"), F.upper("event_type").alias("level"), F.concat(F.lit("user did "), "event_type").alias("msg"),
         F.struct(F.col("user_id").alias("id"), vip.alias("vip")).alias("user"), (F.col("value") + 0.001).alias("value"),
+        # Arrays in arrays, with unlike values of one field, and names that hold dots.
+        F.array(F.array(F.struct(F.lit("x").alias("x")), F.struct(F.lit('a "b" c').alias("x"))), F.array(F.struct(F.lit("\\").alias("x")))).alias("grid"),
+        F.struct((F.col("value") > 50).alias("w.u")).alias("k.v"),
     )
-    docs = table(spark, d, "events").select(
-        F.col("event_type").alias("_index"), F.parse_json(F.to_json(document)).alias("doc")
+    docs = spread(table(spark, d, "events").select("event_id", "event_type", "user_id", "value")).select(
+        F.col("event_type").alias("_index"), F.to_json(document).alias("doc")
     )
     return cat.catalogue_of_documents(docs).select("index", "field", "type")
 

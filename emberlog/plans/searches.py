@@ -13,7 +13,9 @@ from emberlog.operators.search import search_predicate
 from emberlog.plans.adapters import (
     NOW, SQL_EVENTS_LOG, SQL_EVENTS_MILLIS, SQL_SPANS, events_log, events_millis, spans, sql_joined, sql_tokens,
 )
+from emberlog.operators.similar import read_term_statistics, write_term_statistics
 from emberlog.plans.registry import query, table
+from emberlog.session import folder, spread
 
 
 def _search(df, text, text_fields=()):
@@ -387,7 +389,38 @@ SELECT doc_id FROM (
 WHERE shared > 0 AND shared >= floor((SELECT count(*) FROM top) * 0.3)
 """)
 def dsl_more_like_this(spark, d):
-    return more_like_this(table(spark, d, "documents"), "text", [1, 3], "doc_id").select("doc_id")
+    return more_like_this(spread(table(spark, d, "documents").select("doc_id", "text")), "text", [1, 3], "doc_id").select("doc_id")
+
+
+@query(f"""
+WITH words AS (
+  SELECT 'p_name' AS field, p_partkey, unnest(list_distinct({sql_tokens('p_name')})) AS term FROM part
+  UNION ALL SELECT 'p_type', p_partkey, unnest(list_distinct({sql_tokens('p_type')})) FROM part),
+seed AS (
+  SELECT field, term, count(*) AS freq FROM (
+    SELECT 'p_name' AS field, unnest({sql_tokens('p_name')}) AS term FROM part WHERE p_partkey IN (3, 5)
+    UNION ALL SELECT 'p_type', unnest({sql_tokens('p_type')}) FROM part WHERE p_partkey IN (3, 5)
+    UNION ALL SELECT f, unnest(['red', 'ring', 'red']) FROM (VALUES ('p_name'), ('p_type')) t(f)) GROUP BY ALL),
+df AS (SELECT field, term, count(*) AS n FROM words GROUP BY ALL HAVING count(*) >= 2),
+top AS (SELECT field, term FROM seed JOIN df USING (field, term)
+        ORDER BY round(freq * ln((SELECT count(*) FROM part)::DOUBLE / n), 9) DESC, term, field LIMIT 5),
+hits AS (SELECT p_partkey, count(*) AS shared FROM words JOIN top USING (field, term) GROUP BY 1)
+SELECT p_partkey, 2.0::DOUBLE * shared AS _score FROM part JOIN hits USING (p_partkey)
+WHERE p_partkey NOT IN (3, 5) AND shared >= 2 AND p_brand <> 'Brand#1'
+""")
+def dsl_more_like_this_stored(spark, d):
+    """Two fields, rows and a text, inside a bool, with word counts that were kept in two steps."""
+    parts = table(spark, d, "part")
+    path = folder(spark, "terms")
+    write_term_statistics(parts.where("p_partkey % 3 > 0"), ["p_name", "p_type"], path)
+    write_term_statistics(parts.where("p_partkey % 3 = 0"), ["p_name", "p_type"], path, append=True)
+    clause = {"more_like_this": {
+        "fields": ["p_name", "p_type"], "like": [{"_id": 3}, {"_id": 5}, "Red ring, red"], "min_term_freq": 1, "min_doc_freq": 2,
+        "max_query_terms": 5, "minimum_should_match": 2, "boost": 2,
+    }}
+    body = {"query": {"bool": {"must": clause, "must_not": {"term": {"p_brand": "Brand#1"}}}}}
+    stored = LogTable(parts, "ts", ("p_name", "p_type"), ("p_partkey",), statistics=read_term_statistics(spark, path))
+    return stored.search(body, with_score=True).df.select("p_partkey", "_score")
 
 
 @query(f"""

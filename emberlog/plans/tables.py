@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from emberlog.operators.ordering import newest_bulk
 from emberlog.operators.relations import fan_out
 from emberlog.plans.adapters import INDEX_PREFIX, NOW, SQL_EVENTS_LOG, events_log, sql_case
 from emberlog.plans.registry import query, table
-from emberlog.session import shared_dir
+from emberlog.session import folder
 from emberlog.sources import importer, indices, sinks
 from emberlog.streaming import search as streams
 
 
-def _folder(spark, name: str) -> str:
-    """A new folder that every executor can reach."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @query("SELECT event_id, event_type, user_id FROM events")
 def scan_index(spark, d):
     return indices.scan_index(spark, f"{d}/events.parquet").select("event_id", "event_type", "user_id")
@@ -146,7 +139,7 @@ def _told(documents):
 def import_bundle(spark, d):
     """All documents of every index as bundle lines, written and read back."""
     log = events_log(spark, d).select("_index", "@timestamp", "id", "event_type", "value", F.lit("x").alias("uid"))
-    path = _folder(spark, "bundle")
+    path = folder(spark, "bundle")
     sinks.write_bundle(log, path, "@timestamp", 2_000_000_000, ["id"])
     return _told(importer.documents_of(spark, path, "2024-01-31"))
 
@@ -160,7 +153,7 @@ def import_array(spark, d):
     batches = events.select(batch.alias("batch"), F.struct("id", "event_type", "value").alias("doc")).groupBy(
         "batch"
     ).agg(F.collect_list("doc").alias("docs"))
-    path = _folder(spark, "array")
+    path = folder(spark, "array")
     batches.select(F.to_json("docs").alias("value")).write.text(path)
     return _told(importer.documents_of(spark, path, "2024-01-31")).withColumn("_index", F.lit("arrays-2024-01-31"))
 
@@ -168,7 +161,7 @@ def import_array(spark, d):
 @query("SELECT event_id AS id, event_type, value FROM events")
 def import_jsonl(spark, d):
     """What the JSON sink writes, imported."""
-    path = _folder(spark, "lines")
+    path = folder(spark, "lines")
     sinks.write_json(table(spark, d, "events").select(F.col("event_id").alias("id"), "event_type", "value"), path)
     return _told(importer.documents_of(spark, path, "2024-01-31")).drop("_index")
 
@@ -177,7 +170,7 @@ def import_jsonl(spark, d):
 def sample_import_roundtrip(spark, d):
     """A sample of everything, imported and scanned as a table; the code stays a keyword."""
     log = events_log(spark, d).select("_index", "@timestamp", "id", F.col("id").cast("string").alias("code"), "event_type", "value")
-    path, root = _folder(spark, "sample"), _folder(spark, "imported")
+    path, root = folder(spark, "sample"), folder(spark, "imported")
     sinks.write_sample(log, path, "@timestamp", 2_000_000_000, ["id"])
     importer.import_file(spark, path, root, "2024-01-31")
     return importer.scan_imported(spark, root, "*").select("_index", "id", "code", "event_type", "value")
@@ -191,7 +184,7 @@ def import_fanout(spark, d):
 
 @query("SELECT * FROM events")
 def sink_append(spark, d):
-    events, path = table(spark, d, "events"), _folder(spark, "append")
+    events, path = table(spark, d, "events"), folder(spark, "append")
     sinks.write_index(events.where("event_type <> 'error'"), path)
     sinks.write_index(events.where("event_type = 'error'"), path)
     return spark.read.parquet(path)
@@ -199,7 +192,7 @@ def sink_append(spark, d):
 
 @query("SELECT * FROM events WHERE event_type = 'error'")
 def sink_overwrite(spark, d):
-    events, path = table(spark, d, "events"), _folder(spark, "overwrite")
+    events, path = table(spark, d, "events"), folder(spark, "overwrite")
     sinks.write_index(events.where("event_type <> 'error'"), path)
     sinks.write_index(events.where("event_type = 'error'"), path, force=True)
     return spark.read.parquet(path)
@@ -214,7 +207,7 @@ JOIN totals t USING (_index)
 """.format(events_log=SQL_EVENTS_LOG))
 def sink_sample(spark, d):
     log = events_log(spark, d).select("_index", "@timestamp", "id", "event_type", "value")
-    path = _folder(spark, "sample")
+    path = folder(spark, "sample")
     sinks.write_sample(log, path, "@timestamp", 5, ["id"])
     documents = spark.read.schema("id bigint, event_type string, value double, _index string").json(f"{path}/documents")
     metadata = spark.read.schema("name string, count bigint").json(f"{path}/metadata")
@@ -224,14 +217,14 @@ def sink_sample(spark, d):
 
 @query("SELECT event_id, ts, event_type, value, props FROM events")
 def sink_json(spark, d):
-    events, path = table(spark, d, "events").select("event_id", "ts", "event_type", "value", "props"), _folder(spark, "json")
+    events, path = table(spark, d, "events").select("event_id", "ts", "event_type", "value", "props"), folder(spark, "json")
     sinks.write_json(events, path)
     return spark.read.schema(events.schema).options(**sinks.TEXT_TIMES).json(path)
 
 
 @query("SELECT event_id, ts, event_type, value, props FROM events")
 def sink_csv(spark, d):
-    events, path = table(spark, d, "events").select("event_id", "ts", "event_type", "value", "props"), _folder(spark, "csv")
+    events, path = table(spark, d, "events").select("event_id", "ts", "event_type", "value", "props"), folder(spark, "csv")
     sinks.write_csv(events, path)
     read = spark.read.schema(events.schema).options(**sinks.TEXT_TIMES)
     return read.option("header", True).option("escape", '"').csv(path)
@@ -254,6 +247,6 @@ def stream_search(spark, d):
     schema = table(spark, d, "events").schema
     stream = streams.read_index_stream(spark, d, schema, pathGlobFilter="events.parquet")
     found = streams.search_stream(stream, "event_type:error AND value:>50").select("event_id", "user_id", "value")
-    out, checkpoint = _folder(spark, "stream"), _folder(spark, "stream-checkpoint")
+    out, checkpoint = folder(spark, "stream"), folder(spark, "stream-checkpoint")
     streams.write_stream(found, out, checkpoint, available_now=True).awaitTermination()
     return spark.read.schema(found.schema).parquet(out)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "emberlog", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,3 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="emberlog-")
     return configured.rstrip("/")
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder that every executor can reach."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of fewer files than the cluster has cores dealt out over all of them, for work that costs far more than the shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df

@@ -145,6 +145,39 @@ def test_catalogue_of_nested_documents(spark):
     }
 
 
+def test_catalogue_of_odd_documents(spark):
+    docs = [
+        ("i", r'{"q\"u":"a","b\\":{"c":"two words"},"e\\\"":1,"dot.ted":{"x.y":null},"_":"\\"}'),
+        ("i", '{"q\\"u":5,"n":[],"m":[[{"z":1.5}],[{"z":"s"}]],"o":{},"p":[1,"two"],"q":[{"r":[{"s":true}]}]}'),
+        ("i", '{"n":[{"k":"' + "x" * 51 + '"},{"k":"x"}],"k":"' + "x" * 50 + '","esc":"' + "\\n" * 50 + '"}'),
+        ("j", '{"n":{"k":1}}'), ("j", '{"n":{"k":2.5}}'), ("j", "[1]"), ("j", "5"), ("j", "null"), ("j", "{}"),
+        ("j", '{"caf\\u00e9":"' + "é" * 26 + '","日本":{"é":"' + "é" * 25 + '"},",":"a b,",":n":"ends with ,","x":",{","t":[true,false]}'),
+    ]
+    texts = spark.createDataFrame(docs, "_index string, doc string")
+    spaced = texts.withColumn("doc", F.regexp_replace("doc", r'([{,\[:])(["{\[0-9])', "$1\n  $2"))
+    variants = texts.withColumn("doc", F.parse_json("doc"))
+    for df in (texts.union(spark.createDataFrame([("i", "{no json"), ("k", None)], texts.schema)), variants, spaced.where("doc NOT LIKE '%ends with%' AND _index = 'j'").union(texts.where("doc LIKE '%ends with%' OR _index = 'i'"))):
+        check_odd_documents(df)
+
+
+def check_odd_documents(df):
+    found = {(r["index"], r.field): r.type for r in cat.catalogue_of_documents(df).collect()}
+    assert found == {
+        ("i", 'q"u'): "keyword", ("i", "b\\"): "object", ("i", "b\\.c"): "text", ("i", 'e\\"'): "long", ("i", "dot.ted"): "object",
+        ("i", "dot.ted.x.y"): "keyword", ("i", "_"): "keyword", ("i", "n"): "nested", ("i", "n.k"): "text", ("i", "m"): "keyword",
+        ("i", "m.z"): "keyword", ("i", "o"): "object", ("i", "p"): "keyword", ("i", "q"): "nested", ("i", "q.r"): "nested",
+        ("i", "q.r.s"): "boolean", ("i", "k"): "keyword", ("i", "esc"): "keyword", ("j", "n"): "object", ("j", "n.k"): "double",
+        ("j", "café"): "text", ("j", "日本"): "object", ("j", "日本.é"): "keyword", ("j", ","): "keyword", ("j", ":n"): "keyword",
+        ("j", "x"): "keyword", ("j", "t"): "keyword",
+    }
+
+
+def test_catalogue_of_documents_with_dates(spark):
+    df = spark.sql("SELECT 'i' AS _index, to_variant_object(named_struct('at', timestamp'2024-01-01 00:00:00', 'day', array(named_struct('d', date'2024-01-01')), 's', 'x y')) AS doc")
+    found = {r.field: r.type for r in cat.catalogue_of_documents(df).collect()}
+    assert found == {"at": "date", "day": "nested", "day.d": "date", "s": "text"}
+
+
 def test_catalogue_of_tables(spark):
     df = spark.sql("SELECT 1 AS id, named_struct('name', 'x') AS pod, array(named_struct('k', 1L)) AS tags, current_timestamp() AS ts")
     found = [(r.field, r.type) for r in cat.catalogue_of_tables({"t": df}).orderBy("pos").collect()]

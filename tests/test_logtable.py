@@ -31,8 +31,30 @@ def test_similar_documents_as_a_query(spark, sf_dir):
     # A copy of the text in the table is similar to itself; the row called by id is left out.
     assert {r.doc_id for r in by_text.collect()} - {r.doc_id for r in by_id.collect()} == {1}
     assert documents.search({"more_like_this": {"like": "zzzz zzzz"}}).df.isEmpty()
-    with pytest.raises(QueryError):
-        documents.search({"bool": {"must": clause}})
+    either = documents.search({"bool": {"should": [clause, {"term": {"doc_id": 1}}]}})
+    assert sorted(r.doc_id for r in either.df.collect()) == sorted([1, *expected])
+    neither = documents.search({"bool": {"must_not": clause}})
+    assert neither.df.count() == documents.df.count() - len(expected)
+    nameless = LogTable(table(spark, sf_dir, "documents"), "ts", ("text",))
+    assert nameless.search({"more_like_this": {"like": seed}}).df.count() == by_text.count()
+    for bad in ({"like": [{"_id": 1}]}, {"like": "x", "slop": 1}, {}):
+        with pytest.raises(QueryError):
+            nameless.search({"more_like_this": bad})
+
+
+def test_similar_documents_by_several_fields_and_settings(spark):
+    rows = [(k, f"alpha beta {'gamma' if k % 2 else 'delta'}", "omega psi" if k < 4 else None) for k in range(8)]
+    logs = LogTable(spark.createDataFrame(rows, "id long, a string, b string"), "ts", ("a", "b"), ("id",))
+
+    def ids(**body):
+        body = {"like": "gamma OMEGA the the", "min_term_freq": 1, "min_doc_freq": 1, **body}
+        return sorted(r.id for r in logs.search({"more_like_this": body}).df.collect())
+
+    assert ids(minimum_should_match=1) == [0, 1, 2, 3, 5, 7] and ids(minimum_should_match=2) == [1, 3]
+    assert ids(fields=["a"]) == [1, 3, 5, 7] and ids(stop_words=["gamma"]) == [0, 1, 2, 3] == ids(unlike="gamma")
+    assert ids(min_word_length=6) == [] == ids(max_doc_freq=3) == ids(min_term_freq=2) and ids(max_word_length=4, like="psi gamma") == [0, 1, 2, 3]
+    assert ids(like=[{"_id": 0}], fields=["b"], include=True) == [0, 1, 2, 3] and ids(like=[{"_id": 0}], fields=["b"]) == [1, 2, 3]
+    assert ids(fields=["no such field"]) == []
 
 
 def test_scores_and_sort_of_a_request(spark):
