@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from emberlog.functions.fields import Fields
 from emberlog.operators import predicates as P
+from emberlog.operators import stored
 from emberlog.operators.search import search_predicate
 from emberlog.operators.similar import Terms, similar
 
@@ -197,7 +198,19 @@ def _more_like_this(fields: Fields, body: dict) -> Hit:
 
 
 def _percolate(fields: Fields, body: dict) -> Hit:
-    raise QueryError("percolate runs stored queries over a table: use relations.percolate(df, queries)")
+    """Rows whose stored query, JSON text in `field`, matches one of the given documents."""
+    unknown = set(body) - {"field", "document", "documents", "boost", "_name"}
+    documents = body.get("documents") or _as_list(body.get("document"))
+    if unknown or not documents or fields.rows is None:
+        raise QueryError(f"percolate takes a field and documents, not within a nested query, got {sorted(body)}")
+    field = fields.find(body["field"])
+    if field is None:
+        return Hit(P.never(), _boost(body))
+    queries = stored.queries_of(fields.rows.select(field.column.alias("name"), field.column.alias("body")).distinct(), "name", "body")
+    rows = stored.as_rows(fields.rows.sparkSession, documents)
+    there = Fields.of(rows, fields.text_fields, now=fields.now)
+    met = stored.percolate(rows, queries, there, "__stored", lambda f, q: compile_query(f, q).matches).select("__stored").distinct()
+    return Hit(met.where(F.col("__stored") == field.column.cast("string").outer()).exists(), _boost(body))
 
 
 # ------------------------------------------------------------- exact values

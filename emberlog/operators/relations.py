@@ -11,27 +11,17 @@ from pyspark.sql import functions as F
 
 from emberlog.functions.fields import Fields, quoted
 from emberlog.operators import predicates as P
+from emberlog.operators import stored
 from emberlog.operators.dsl import compile_query
 from emberlog.operators.similar import Terms, similar
 
-# Predicates that share one generated array; all arrays are filled in the same pass.
-QUERIES_PER_ARRAY = 200
 
-
-def percolate(df: DataFrame, queries: Mapping[str, dict], fields: Fields | None = None, label: str = "query_id"):
-    """Every row once per stored query it matches.
-
-    All predicates are evaluated in one pass over the rows: arrays of matched names, which
-    keep the generated code small, are joined and exploded once.
-    """
+def percolate(df: DataFrame, queries: Mapping[str, dict] | DataFrame, fields: Fields | None = None, label: str = "query_id") -> DataFrame:
+    """Every row once per stored query it matches; queries may be a table of names and bodies as JSON text."""
     fields = fields or Fields.of(df)
-    named = list(queries.items())
-    arrays = []
-    for start in range(0, len(named), QUERIES_PER_ARRAY):
-        chunk = named[start:start + QUERIES_PER_ARRAY]
-        arrays.append(F.array(*[F.when(compile_query(fields, q).matches, F.lit(name)) for name, q in chunk]))
-    hits = F.concat(*arrays) if arrays else F.array().cast("array<string>")
-    return df.withColumn(label, F.explode(F.filter(hits, lambda name: name.isNotNull())))
+    if isinstance(queries, DataFrame):
+        queries = stored.queries_of(queries, *queries.columns)
+    return stored.percolate(df, queries, fields, label, lambda f, q: compile_query(f, q).matches)
 
 
 def more_like_this(df: DataFrame, field: str | Sequence[str], like: Sequence, id_field: str, like_text: Sequence[str] = (), **settings) -> DataFrame:

@@ -376,6 +376,32 @@ def dsl_percolate(spark, d):
     return percolate(events, stored, Fields.of(events, now=NOW)).select("event_id", "query_id")
 
 
+@query("""
+WITH stored AS (SELECT o_orderkey % 5000 AS n, min(o_totalprice) AS lo, min(o_custkey) AS c FROM orders GROUP BY 1),
+events2 AS (SELECT event_id, user_id, event_type, value * 5000 AS price FROM events)
+SELECT e.event_id, s.n AS query_id FROM events2 e JOIN stored s ON
+  CASE s.n % 3 WHEN 0 THEN e.price >= s.lo AND e.price < s.lo + 500
+    WHEN 1 THEN e.user_id = s.c % 100 AND e.event_type <> 'view' AND e.price > s.lo
+    ELSE (e.event_type = 'error' OR e.user_id = 7) AND e.price BETWEEN s.lo AND s.lo + 250 END
+""")
+def dsl_percolate_table(spark, d):
+    """Thousands of stored queries from a table, as JSON text, over all events."""
+    n, low, least = F.col("n"), F.col("lo"), F.col("c") % 100
+    said = F.when(n % 3 == 0, F.format_string('{"range": {"price": {"gte": %s, "lt": %s}}}', low.cast("string"), (low + 500).cast("string"))).when(
+        n % 3 == 1,
+        F.format_string(
+            '{"bool": {"must": [{"term": {"user_id": %s}}, {"range": {"price": {"gt": %s}}}], "must_not": {"match": {"event_type": "view"}}}}',
+            least.cast("string"), low.cast("string"),
+        ),
+    ).otherwise(F.format_string(
+        '{"bool": {"should": [{"term": {"event_type": "error"}}, {"term": {"user_id": 7}}], "minimum_should_match": 1, "filter": {"range": {"price": {"gte": %s, "lte": %s}}}}}',
+        low.cast("string"), (low + 250).cast("string"),
+    ))
+    orders = table(spark, d, "orders").groupBy((F.col("o_orderkey") % 5000).alias("n")).agg(F.min("o_totalprice").alias("lo"), F.min("o_custkey").alias("c"))
+    events = spread(table(spark, d, "events").select("event_id", "user_id", "event_type", "value")).withColumn("price", F.col("value") * 5000).drop("value")
+    return percolate(events, orders.select(n.cast("string").alias("name"), said.alias("body"))).select("event_id", F.col("query_id").cast("bigint").alias("query_id"))
+
+
 @query(f"""
 WITH docs AS (SELECT doc_id, {sql_tokens('text')} AS tokens FROM documents),
 seed AS (SELECT term, count(*) AS freq FROM (SELECT unnest(tokens) AS term FROM docs WHERE doc_id IN (1, 3))
