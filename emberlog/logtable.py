@@ -113,13 +113,16 @@ class LogTable:
 
     # ------------------------------------------------------- order and limits
 
-    def order(self) -> list[Column]:
+    def keys(self) -> list[ordering.Key]:
         """The request's own sort, else newest first."""
         if self.body is not None and self.body.sort:
             score = F.col("_score") if "_score" in self.df.columns else None
-            keys = ordering.sort_columns(self.fields, self.body.sort, score)
-            return keys + [self.fields.find(n).column.asc_nulls_last() for n in self.tie_break]
-        return ordering.newest_first(self.fields, self.time_field, self.tie_break)
+            keys = ordering.sort_keys(self.fields, self.body.sort, score)
+            return keys + [ordering.Key(self.fields.find(n).column, False, False) for n in self.tie_break]
+        return ordering.newest_keys(self.fields, self.time_field, self.tie_break)
+
+    def order(self) -> list[Column]:
+        return [key.sorted() for key in self.keys()]
 
     def top(self, limit: int | None = None) -> LogTable:
         if limit is None:
@@ -128,8 +131,8 @@ class LogTable:
         return replace(self, df=ordering.first_rows(self.df, self.order(), limit, start))
 
     def bulk(self, limit: int) -> LogTable:
-        """The newest `limit` rows for an export of many millions: cut by counts over time, sorted in parts."""
-        return replace(self, df=ordering.newest_bulk(self.df, self.time_field, limit, self.tie_break))
+        """The first `limit` rows for an export of many millions: cut by counts over ranges of the order, sorted in parts."""
+        return replace(self, df=ordering.first_rows_spread(self.df, self.keys(), limit))
 
     def sample(self, limit: int = ordering.DEFAULT_SAMPLE, index: str = "_index", with_total: bool = False) -> LogTable:
         pick = ordering.sample_with_total if with_total else ordering.newest_per_index

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime, timedelta, timezone
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlog.functions.fields import Field, Fields, quoted
-from emberlog.operators import predicates as P
+from emberlog.functions.fields import Fields, quoted
 
 DEFAULT_LIMIT = 500
 DEFAULT_SAMPLE = 100
@@ -18,12 +17,28 @@ DEFAULT_SAMPLE = 100
 SLICES = 64
 
 
-def newest_first(fields: Fields, time_field: str, tie_break: Iterable[str] = ()) -> list[Column]:
+@dataclass(frozen=True)
+class Key:
+    """One key of an order."""
+
+    column: Column
+    descending: bool = False
+    nulls_first: bool = True
+
+    def sorted(self) -> Column:
+        if self.descending:
+            return self.column.desc_nulls_first() if self.nulls_first else self.column.desc_nulls_last()
+        return self.column.asc_nulls_first() if self.nulls_first else self.column.asc_nulls_last()
+
+
+def newest_keys(fields: Fields, time_field: str, tie_break: Iterable[str] = ()) -> list[Key]:
     """Time descending, missing times last, then the tie-break fields; those alone in a table without the time field."""
     time = fields.find(time_field)
-    return ([] if time is None else [time.column.desc_nulls_last()]) + [
-        fields.find(name).column.asc_nulls_last() for name in tie_break
-    ]
+    return ([] if time is None else [Key(time.column, True, False)]) + [Key(fields.find(name).column, False, False) for name in tie_break]
+
+
+def newest_first(fields: Fields, time_field: str, tie_break: Iterable[str] = ()) -> list[Column]:
+    return [key.sorted() for key in newest_keys(fields, time_field, tie_break)]
 
 
 def first_rows(df: DataFrame, order: list[Column], limit: int, start: int = 0) -> DataFrame:
@@ -33,6 +48,10 @@ def first_rows(df: DataFrame, order: list[Column], limit: int, start: int = 0) -
 
 
 def sort_columns(fields: Fields, spec: Iterable, score: Column | None = None) -> list[Column]:
+    return [key.sorted() for key in sort_keys(fields, spec, score)]
+
+
+def sort_keys(fields: Fields, spec: Iterable, score: Column | None = None) -> list[Key]:
     """Sort keys as given in a request; missing values last unless `missing: _first`.
 
     A key with `unmapped_type` is skipped where the field does not exist.
@@ -43,7 +62,8 @@ def sort_columns(fields: Fields, spec: Iterable, score: Column | None = None) ->
         options = {"order": options} if isinstance(options, str) else options
         if name == "_score":
             if score is not None:
-                keys.append(score.asc() if options.get("order") == "asc" else score.desc())
+                ascending = options.get("order") == "asc"
+                keys.append(Key(score, not ascending, ascending))
             continue
         field = fields.find(name)
         if field is None:
@@ -52,11 +72,7 @@ def sort_columns(fields: Fields, spec: Iterable, score: Column | None = None) ->
             raise ValueError(f"cannot sort by {name!r}: no such field")
         descending = options.get("order", "asc").lower() == "desc"
         first = options.get("missing", "_last") == "_first"
-        column = field.column
-        if descending:
-            keys.append(column.desc_nulls_first() if first else column.desc_nulls_last())
-        else:
-            keys.append(column.asc_nulls_first() if first else column.asc_nulls_last())
+        keys.append(Key(field.column, descending, first))
     return keys
 
 
@@ -66,57 +82,123 @@ def newest(df: DataFrame, time_field: str, limit: int = DEFAULT_LIMIT, tie_break
 
 
 def newest_bulk(df: DataFrame, time_field: str, limit: int, tie_break: Iterable[str] = ()) -> DataFrame:
-    """Exactly the newest `limit` rows for limits too large to merge in one task.
-
-    Two counts over the time column alone find the second the limit falls in.  Rows after
-    that second all belong to the result and need only the final distributed sort; rows
-    of that second, and rows without a time, are cut as in `newest`.
-    """
-    fields = Fields.of(df)
-    tie_break = list(tie_break)
-    field = fields.find(time_field)
-    seconds = _epoch_seconds(field)
-    timed = df.where(field.column.isNotNull())
-
-    # At most one row per day, then one per second of a day, reach the driver.
-    day, left = _bucket_of_row(timed, F.floor(seconds / _DAY), limit)
-    if day is None:
-        untimed = df.where(field.column.isNull())
-        found = timed.unionByName(newest(untimed, time_field, left, tie_break)) if left else timed
-    else:
-        of_day = timed.where(P.range_of(field, {"gte": _instant(day * _DAY), "lt": _instant((day + 1) * _DAY)}))
-        second, left = _bucket_of_row(of_day, seconds, left)
-        after = P.compare(field, "gte", _instant(second + 1))
-        within = P.compare(field, "gte", _instant(second)) & ~after
-        found = timed.where(after).unionByName(newest(timed.where(within), time_field, left, tie_break))
-    return found.orderBy(*newest_first(fields, time_field, tie_break))
+    """Exactly the newest `limit` rows, in order, for limits too large to merge in one task."""
+    return first_rows_spread(df, newest_keys(Fields.of(df), time_field, tie_break), limit)
 
 
-_DAY = 86_400
+# ------------------------------------------------------- first N for large N
 
+# Rows are dealt over this many ranges of the order less one, and this many rows are looked at to find them.
+RANGES = 1 << 8
+LOOKED_AT = 8 * RANGES
+# Limits up to this are merged in one task, or ranked per index.
+LARGE_LIMIT = 20_000
 
-def _epoch_seconds(field: Field) -> Column:
-    if field.epoch_millis and isinstance(field.dtype, T.IntegralType):
-        return F.floor(field.column / 1000)
-    return F.unix_seconds(field.column.cast("timestamp"))
 
+def first_rows_spread(df: DataFrame, keys: list[Key], limit: int) -> DataFrame:
+    """The first `limit` rows in the order of `keys`, sorted; nothing runs before the query does.
 
-def _instant(epoch_seconds: int) -> datetime:
-    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=epoch_seconds)
+    Rows are counted per range of the order, the range that holds the last row wanted is found from the counts, and only
+    the rows of that range are ranked. Which of the rows alike in all keys are taken is decided by their content.
+    """
+    ranged = _ranged(df, keys)
+    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    running = F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, 0))  # a row per range
+    over = counts.withColumn("__last", running).where(F.col("__last") > limit)
+    cut = over.agg(F.min_by(F.struct("__range", (limit - F.col("__last") + F.col("__n")).alias("left")), "__range").alias("cut")).scalar()
+    before = ranged.where(cut.isNull() | (F.col("__range") < cut["__range"])).select(*map(quoted, df.columns))
+    at = ranged.where(F.col("__range") == cut["__range"])
+    found = before.unionByName(_ranked(df, at, [], cut["left"]))
+    return found.orderBy(*[k.sorted() for k in keys]) if keys else found
+
+
+def first_rows_per_group(df: DataFrame, group: Column, keys: list[Key], limit: int) -> DataFrame:
+    """The first `limit` rows of every group; a group of any size is spread over the ranges of its rows."""
+    ranged = _ranged(df, [Key(group), *keys]).withColumn("__group", F.struct(group.alias("g")))
+    counts = ranged.groupBy("__group", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    running = F.sum("__n").over(Window.partitionBy("__group").orderBy("__range").rowsBetween(Window.unboundedPreceding, 0))
+    over = counts.withColumn("__last", running).where(F.col("__last") > limit)
+    # At most a row per group: its last range, and how many rows of that are wanted.
+    cuts = over.groupBy("__group").agg(F.min_by(F.struct("__range", (limit - F.col("__last") + F.col("__n")).alias("left")), "__range").alias("__cut"))
+    cut = ranged.join(cuts, "__group", "left")
+    before = cut.where(F.col("__cut").isNull() | (F.col("__range") < F.col("__cut.__range"))).select(*map(quoted, df.columns))
+    at = cut.where(F.col("__range") == F.col("__cut.__range"))
+    return before.unionByName(_ranked(df, at, ["__group"], F.col("__cut.left")))
+
+
+def _hashed(df: DataFrame) -> list[str]:
+    """Columns that have a hash and can be grouped by."""
+    whole = lambda t: not isinstance(t, (T.MapType, T.VariantType)) and all(
+        whole(x) for x in ([f.dataType for f in t.fields] if isinstance(t, T.StructType) else [t.elementType] if isinstance(t, T.ArrayType) else [])
+    )
+    return [f.name for f in df.schema.fields if whole(f.dataType)]
+
+
+def _ascending(key: Key, dtype: T.DataType) -> list[Column]:
+    """Values whose plain order, nulls first, is the order of the key."""
+    value = key.column
+    if not key.descending:
+        plain = value
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        plain = F.bitwise_not(F.unix_micros(value.cast("timestamp")))
+    elif isinstance(dtype, T.DateType):
+        plain = F.bitwise_not(F.unix_date(value))
+    elif isinstance(dtype, T.IntegralType):
+        plain = F.bitwise_not(value)
+    elif isinstance(dtype, T.BooleanType):
+        plain = ~value
+    elif isinstance(dtype, T.DecimalType):
+        plain = -value
+    elif isinstance(dtype, T.FractionalType):
+        plain = F.struct((~F.isnan(value)).alias("n"), (-value).alias("v"))  # no number is the largest
+    elif isinstance(dtype, (T.StringType, T.BinaryType)):
+        # The end sorts after every character, as a longer text comes first.
+        plain = F.concat(F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    else:
+        raise ValueError(f"cannot sort by {dtype.simpleString()}")
+    return [plain] if key.nulls_first and not key.descending else [value.isNull() != key.nulls_first, plain]
 
 
-def _bucket_of_row(df: DataFrame, bucket: Column, limit: int) -> tuple[int | None, int]:
-    """The bucket that holds the `limit`-th newest row, and how many of its rows are wanted.
+def _ranged(df: DataFrame, keys: list[Key]) -> DataFrame:
+    """Rows with their place in the order, `__order`, and the number of the range they lie in, `__range`.
 
-    None with the number of rows still missing where there are not that many rows.
+    The borders are rows with small hashes, so the same table has the same ones whenever they are computed, and they
+    travel as one array. Rows alike in all keys lie in ranges by their hash.
     """
-    left = limit
-    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("bucket").desc())
-    for row in counts.collect():
-        if row.n >= left:
-            return row.bucket, left
-        left -= row.n
-    return None, left
+    types = df.select(*[k.column for k in keys]).schema.fields if keys else []
+    parts = [part for key, field in zip(keys, types) for part in _ascending(key, field.dataType)]
+    tie = F.xxhash64(*[quoted(c) for c in _hashed(df)])
+    order = F.struct(*[part.alias(f"k{i}") for i, part in enumerate([*parts, tie])])
+    placed = df.withColumn("__order", order)
+    some = placed.select("__order").orderBy(F.xxhash64(F.col("__order")[f"k{len(parts)}"])).limit(LOOKED_AT)
+    chosen = some.withColumn("__at", F.row_number().over(Window.orderBy("__order"))).where(F.col("__at") % (LOOKED_AT // RANGES) == 0)
+    borders = chosen.agg(F.sort_array(F.collect_list("__order"))).scalar()
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.shiftright(s["low"] + s["high"], 1)
+        # The optimizer moves in here what is named once: the borders, which stay outside the rows, but not the row's place.
+        own = F.col("__order")
+        right = F.get(F.transform(F.array(F.get(F.col("__borders"), middle)), lambda b: F.coalesce(b < own, own < b, F.lit(False))), F.lit(0))
+        return F.when(right, F.struct((middle + 1).alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), middle.alias("high")))
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(RANGES - 1).alias("high"))
+    steps = F.array(*[F.lit(0)] * RANGES.bit_length())
+    found = F.aggregate(steps, start, halve, lambda s: s["low"])
+    return placed.withColumn("__borders", borders).select(*map(quoted, df.columns), "__order", found.alias("__range"))
+
+
+def _ranked(df: DataFrame, rows: DataFrame, group: list[str], wanted: Column) -> DataFrame:
+    """The first `wanted` rows of one range; rows alike in all columns are counted, not ranked."""
+    columns = [quoted(c) for c in df.columns]
+    rows = rows.withColumn("__wanted", wanted)
+    over = Window.partitionBy(*group, "__range").orderBy("__order")
+    if len(_hashed(df)) < len(df.columns):
+        return rows.withColumn("__rank", F.row_number().over(over)).where(F.col("__rank") <= F.col("__wanted")).select(*columns)
+    counted = rows.groupBy(*columns, *group, "__order", "__range", "__wanted").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = F.coalesce(F.sum("__n").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    taken = F.least(F.col("__n"), F.col("__wanted") - F.col("__earlier"))
+    some = counted.withColumn("__earlier", earlier).where(F.col("__earlier") < F.col("__wanted"))
+    return some.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), taken)).alias("__copy")).drop("__copy")
 
 
 def newest_per_index(
@@ -131,10 +213,12 @@ def newest_per_index(
 
     One index may hold most rows, so ranking runs twice: first per index and input
     slice, which spreads a hot index over all tasks, then per index over the few rows
-    left.  The plan is the same for every limit; where Spark can, it cuts to `limit` per
-    key before each exchange.
+    left; where Spark can, it cuts to `limit` per key before each exchange.  Beyond `LARGE_LIMIT` an index is
+    cut by counts over ranges of its rows instead, so no task ranks it.
     """
     fields = Fields.of(df)
+    if limit > LARGE_LIMIT:
+        return first_rows_per_group(df, fields.find(index).column, newest_keys(fields, time_field, tie_break), limit)
     order = newest_first(fields, time_field, tie_break) or [F.lit(0).asc()]
     key = fields.find(index).column
     slices = slices or max(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -12,6 +12,7 @@ from emberlog.operators import aggregations, catalogue, ordering
 from emberlog.operators.dsl import Body
 from emberlog.plans.adapters import SQL_EVENTS_LOG, events_log
 from emberlog.plans.registry import query, table
+from emberlog.session import spread
 from emberlog.sources import indices
 
 
@@ -214,6 +215,37 @@ def sort_unmapped(spark, d):
     return both.orderBy(*ordering.sort_columns(Fields.of(both), spec)).select("_index", "id")
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, l_returnflag FROM lineitem
+ORDER BY l_returnflag DESC NULLS LAST, CASE WHEN l_quantity > 10 THEN l_quantity END NULLS FIRST, l_shipdate, l_orderkey NULLS LAST,
+  l_linenumber NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST, l_extendedprice NULLS LAST
+LIMIT (SELECT count(*) // 2 FROM lineitem)
+""")
+def sort_bulk(spark, d):
+    """Half of all rows by a sort of the request, with few values of the first key and nulls in the second; no task merges them."""
+    lines = spread(table(spark, d, "lineitem")).withColumn("size", F.when(F.col("l_quantity") > 10, F.col("l_quantity")))
+    body = Body.of({"query": {"match_all": {}}, "sort": [{"l_returnflag": "desc"}, {"size": {"order": "asc", "missing": "_first"}}, "l_shipdate"]})
+    ties = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    found = LogTable(lines, "l_shipdate", tie_break=ties, body=body).bulk(lines.count() // 2)
+    return found.df.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_returnflag")
+
+
+@query("""
+WITH log AS (SELECT CASE WHEN event_id % 10 = 0 THEN 'small' WHEN event_id % 97 = 0 THEN NULL ELSE 'large' END AS _index,
+                    event_id, CASE WHEN event_id % 13 > 0 THEN date_trunc('hour', ts) END AS hour FROM events)
+SELECT _index, event_id, hour FROM log QUALIFY row_number() OVER (PARTITION BY _index ORDER BY hour DESC NULLS LAST, event_id)
+  <= (SELECT count(*) * 9 // 20 FROM events)
+""")
+def sample_large(spark, d):
+    """Half of an index that holds nine tenths of all rows, hours of many rows each, without a task that ranks it."""
+    events, n = table(spark, d, "events").select("event_id", "ts"), F.col("event_id")
+    name = F.when(n % 10 == 0, "small").when(n % 97 == 0, None).otherwise("large")
+    at = F.when(n % 13 > 0, F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    log = spread(events).select(name.alias("_index"), "event_id", at.alias("hour"))
+    keys = ordering.newest_keys(Fields.of(log), "hour", ["event_id"])
+    return ordering.first_rows_per_group(log, F.col("_index"), keys, events.count() * 9 // 20)
+
+
 @query("SELECT event_id, ts, value FROM events ORDER BY ts DESC NULLS LAST, event_id LIMIT 500")
 def topk(spark, d):
     return ordering.newest(table(spark, d, "events"), "ts", tie_break=["event_id"]).select("event_id", "ts", "value")

@@ -8,7 +8,7 @@ from emberlog.operators.ordering import newest_bulk
 from emberlog.operators.relations import fan_out
 from emberlog.plans.adapters import INDEX_PREFIX, NOW, SQL_EVENTS_LOG, events_log, sql_case
 from emberlog.plans.registry import query, table
-from emberlog.session import folder
+from emberlog.session import folder, spread
 from emberlog.sources import importer, indices, sinks
 from emberlog.streaming import search as streams
 
@@ -106,7 +106,7 @@ ORDER BY l_shipdate DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_supp
 LIMIT 50000
 """)
 def scan_limit_large(spark, d):
-    # The size of the export is the feature: one distributed scan, no paging.
+    # The size of the export is the feature: one distributed scan, no paging. Larger ones go through `bulk`.
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     lines = table(spark, d, "lineitem").select(*keys, "l_shipdate")
     return lines.orderBy(F.col("l_shipdate").desc_nulls_last(), *keys).limit(50_000)
@@ -118,7 +118,7 @@ LIMIT (SELECT count(*) * 2 // 3 FROM events)
 """)
 def scan_limit_bulk(spark, d):
     """Two thirds of all rows as one export, without a merge in one task."""
-    events = table(spark, d, "events").select("event_id", "ts", "event_type")
+    events = spread(table(spark, d, "events").select("event_id", "ts", "event_type"))
     return newest_bulk(events, "ts", events.count() * 2 // 3, ["event_id"])
 
 
@@ -176,6 +176,32 @@ def sample_import_roundtrip(spark, d):
     return importer.scan_imported(spark, root, "*").select("_index", "id", "code", "event_type", "value")
 
 
+@query("""
+SELECT 'events' AS _index, event_id AS id, CAST(user_id AS VARCHAR) AS code, NULL AS level FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'kept', event_id, CAST(user_id AS VARCHAR), event_type FROM events WHERE event_type <> 'error'
+""")
+def import_force_mapping(spark, d):
+    """A forced import replaces an index with its mapping; without force an index keeps its types and learns new fields.
+
+    `code` was a number at first: in `events` it comes back as the keyword of the second import, in `kept`, where it
+    stays a keyword though later values are numbers, as text.
+    """
+    events, n = table(spark, d, "events"), F.col("user_id")
+    root = folder(spark, "imported")
+
+    def load(rows, name, code, force, *more):
+        path = folder(spark, "bundle")
+        kept = rows.select(F.lit(name).alias("_index"), F.col("event_id").alias("id"), code.alias("code"), *more)
+        sinks.write_sample(kept, path, "no time", 2_000_000_000, ["id"])
+        importer.import_file(spark, path, root, "2024-01-31", force)
+
+    load(events, "events", n, False)
+    load(events.where("event_type <> 'error' AND event_id % 2 = 0"), "kept", n.cast("string"), False, F.col("event_type").alias("level"))
+    load(events.where("event_type <> 'error' AND event_id % 2 = 1"), "kept", n, False, F.col("event_type").alias("level"))
+    load(events.where("event_type = 'error'"), "events", n.cast("string"), True)
+    return importer.scan_imported(spark, root, "*").select("_index", "id", "code", "level")
+
+
 @query("SELECT e.event_id, r.r_name AS _index FROM events e, region r WHERE r.r_name <> 'ASIA'")
 def import_fanout(spark, d):
     targets = table(spark, d, "region").where("r_name <> 'ASIA'").select("r_name")

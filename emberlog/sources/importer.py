@@ -160,7 +160,8 @@ def import_file(spark: SparkSession, path: str, root: str, day: str, force: bool
 
     Documents are kept as JSON Lines, one partition per index, next to the mappings that came with
     them, which `scan_imported` applies; fields without one get an inferred type.  `force`
-    replaces the indices of the file and leaves all others alone.
+    replaces the indices of the file, their mappings too, and leaves all others alone; without it an index
+    that is there keeps the types of its fields and only learns new fields.
     """
     found, definitions = _split_entries(read_entries(spark, path), day)
     documents = found.select("_index", clean_document(F.col("doc")).alias("doc"))
@@ -170,8 +171,23 @@ def import_file(spark: SparkSession, path: str, root: str, day: str, force: bool
     given = mappings_of(definitions)
     inferred = infer_mapping(documents, keys=("_index",)).select("_index", "field", "type", "format")
     mapping = given.unionByName(inferred.join(given.select("_index", "field").distinct(), ["_index", "field"], "left_anti"))
-    mapping.write.mode("append").json(f"{root.rstrip('/')}/{MAPPINGS}")
-    return mapping
+    known = None if force else _kept_mappings(spark, root)
+    if known is not None:
+        mapping = mapping.join(known.select("_index", "field").distinct(), ["_index", "field"], "left_anti")
+    # An entry per index: the ones of this import replace those before, all others stay.
+    writer = mapping.repartition("_index").write.mode("overwrite" if force else "append").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_index").json(f"{root.rstrip('/')}/{MAPPINGS}")
+    wanted = mapping.select("_index").distinct() if known is None else documents.select("_index").union(given.select("_index")).distinct()
+    return _kept_mappings(spark, root).join(wanted, "_index", "left_semi")
+
+
+def _kept_mappings(spark: SparkSession, root: str) -> DataFrame | None:
+    """`_index`, `field`, `type`, `format` of all imported indices; None before the first import."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{MAPPINGS}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    kept = spark.read.schema("field string, type string, format string, _index string").json(f"{root.rstrip('/')}/{MAPPINGS}")
+    return kept.select("_index", "field", "type", "format")
 
 
 # Starts with a dot: file listings of the indices leave it out.
@@ -188,7 +204,9 @@ def scan_imported(spark: SparkSession, root: str, pattern: str) -> DataFrame:
 
     A field that has two types in two indices takes the one that holds both, text at last.
     """
-    mapping = spark.read.schema("_index string, field string, type string").json(f"{root.rstrip('/')}/{MAPPINGS}")
+    mapping = _kept_mappings(spark, root)
+    if mapping is None:
+        raise ValueError(f"nothing was imported into {root}")
     wanted = mapping.where(index_matches(F.col("_index"), pattern) & is_visible(F.col("_index")))
     kinds: dict[str, set[str]] = {}
     for row in wanted.select("field", "type").distinct().collect():  # as many rows as a schema has
