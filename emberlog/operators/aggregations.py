@@ -6,11 +6,15 @@ level of a body is one `groupBy().agg()` with map-side combining.
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlog.functions.fields import Fields, quoted
+from emberlog.functions.timeexpr import resolve_time, time_literal
 from emberlog.operators import predicates as P
 from emberlog.operators.dsl import QueryError, compile_query
 
@@ -32,9 +36,26 @@ def _kind(spec: dict) -> tuple[str, dict]:
     kinds = [k for k in spec if k not in ("aggs", "aggregations", "meta")]
     if len(kinds) != 1:
         raise QueryError(f"an aggregation has exactly one kind, got {kinds}")
+    _checked(kinds[0], spec[kinds[0]])
     return kinds[0], spec[kinds[0]]
 
 
+# Options of every kind; those after the bar change no bucket and no value.
+_OPTIONS = {
+    "terms": "field size order min_doc_count include exclude missing | shard_size shard_min_doc_count show_term_doc_count_error execution_hint collect_mode value_type",
+    "histogram": "field interval offset min_doc_count extended_bounds hard_bounds missing | keyed",
+    "date_histogram": "field calendar_interval fixed_interval interval time_zone offset min_doc_count extended_bounds hard_bounds missing | keyed format",
+    "range": "field ranges missing | keyed", "filters": "filters | keyed",
+    "cardinality": "field missing exact | precision_threshold", "percentiles": "field missing percents accuracy exact | keyed tdigest hdr",
+    **{kind: "field missing" for kind in ("avg", "sum", "min", "max", "value_count", "stats")},
+}
+
+
+def _checked(kind: str, body: dict) -> None:
+    if kind in _OPTIONS and set(body) - set(_OPTIONS[kind].replace("|", " ").split()):
+        raise QueryError(f"unknown option of {kind}: {sorted(set(body) - set(_OPTIONS[kind].split()))}")
+
+
 def _column(fields: Fields, body: dict) -> Column:
     field = fields.find(body["field"])
     if field is None:
@@ -113,19 +134,145 @@ def _bucket_key(fields: Fields, kind: str, body: dict) -> Column:
     raise QueryError(f"unknown aggregation {kind!r}")
 
 
-def _time_bucket(fields: Fields, body: dict) -> Column:
+_UNIT_MILLIS = {"second": 1000, "minute": 60_000, "hour": 3_600_000}
+
+
+def _millis(text: str) -> int:
+    """`6h`, `-1d`, `+30m`."""
+    found = re.fullmatch(r"([+-]?)(\d+)(ms|s|m|h|d)", str(text))
+    if not found:
+        raise QueryError(f"no interval: {text!r}")
+    return int(found[1] + found[2]) * _FIXED_MILLIS[found[3]]
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Buckets of a time: by calendar in a zone, or of a fixed width; `offset` milliseconds later than usual.
+
+    Days and more are cut in local time; hours and less in world time, at the zone's full hours, so that an
+    hour that comes twice has two buckets.
+    """
+
+    unit: str | None
+    step: int | None
+    zone: str
+    offset: int
+
+    @classmethod
+    def of(cls, body: dict) -> Buckets:
+        interval = body.get("calendar_interval") or body.get("fixed_interval") or body.get("interval")
+        unit = _CALENDAR.get(interval) if "fixed_interval" not in body else None
+        if interval is None or (unit is None and "calendar_interval" in body):
+            raise QueryError(f"unknown interval {interval!r}")
+        step = _UNIT_MILLIS.get(unit) if unit else _millis(interval)
+        return cls(None if step else unit, step, str(body.get("time_zone", "UTC")), _millis(body.get("offset", "0ms")))
+
+    def _local(self, at: Column) -> Column:
+        return at if self.zone == "UTC" else F.from_utc_timestamp(at, self.zone)
+
+    def _world(self, at: Column) -> Column:
+        return at if self.zone == "UTC" else F.to_utc_timestamp(at, self.zone)
+
+    def _moved(self, at: Column, millis: int) -> Column:
+        return at if not millis else F.timestamp_micros(F.unix_micros(at) + millis * 1000)
+
+    def key(self, at: Column) -> Column:
+        """The start of the bucket of a timestamp."""
+        if self.unit:
+            return self._world(self._moved(F.date_trunc(self.unit, self._moved(self._local(at), -self.offset)), self.offset))
+        into = F.pmod(F.unix_millis(self._local(at)) - self.offset, F.lit(self.step))
+        return F.timestamp_millis(F.unix_millis(at) - into)
+
+    def between(self, first: Column, last: Column) -> Column:
+        """The starts of all buckets from one to another."""
+        if self.unit:
+            low, high = (self._moved(self._local(x), -self.offset) for x in (first, last))
+            starts = F.sequence(low, high, F.expr("INTERVAL 3 MONTH" if self.unit == "quarter" else f"INTERVAL 1 {self.unit.upper()}"))
+            return F.array_distinct(F.transform(starts, lambda x: self._world(self._moved(x, self.offset))))
+        return F.transform(F.sequence(F.unix_millis(first), F.unix_millis(last), F.lit(self.step).cast("bigint")), F.timestamp_millis)
+
+
+def _instants(fields: Fields, body: dict) -> tuple[Column, T.DataType]:
     field = fields.find(body["field"])
-    at = F.timestamp_millis(field.column) if field.epoch_millis else field.column
-    interval = body.get("calendar_interval") or body.get("interval")
-    if interval in _CALENDAR:
-        bucket = F.date_trunc(_CALENDAR[interval], at)
+    at = F.timestamp_millis(field.column) if field.epoch_millis else field.column.cast("timestamp")
+    if "missing" in body:
+        at = F.coalesce(at, _instant(fields, body["missing"]))
+    return at, field.dtype
+
+
+def _instant(fields: Fields, value) -> Column:
+    return time_literal(resolve_time(value, fields.now), T.TimestampType())
+
+
+def _time_bucket(fields: Fields, body: dict) -> Column:
+    if fields.find(body["field"]) is None:
+        raise QueryError(f"no field {body['field']!r}")
+    at, dtype = _instants(fields, body)
+    bucket = Buckets.of(body).key(at)
+    return bucket.cast("timestamp_ntz") if isinstance(dtype, T.TimestampNTZType) else bucket
+
+
+def _within(fields: Fields, kind: str, body: dict) -> Column:
+    """Rows whose value lies in the `hard_bounds`, ends included."""
+    bounds = body.get("hard_bounds") or {}
+    if kind == "date_histogram":
+        value, bound = _instants(fields, body)[0], lambda v: _instant(fields, v)
     else:
-        interval = body.get("fixed_interval") or interval
-        digits = "".join(c for c in interval if c.isdigit())
-        step = int(digits) * _FIXED_MILLIS[interval[len(digits):]]
-        millis = F.unix_millis(at.cast("timestamp"))
-        bucket = F.timestamp_millis(millis - F.pmod(millis, F.lit(step)))
-    return bucket.cast("timestamp_ntz") if isinstance(field.dtype, T.TimestampNTZType) else bucket
+        value, bound = _column(fields, body), F.lit
+    tests = [value >= bound(bounds["min"])] if "min" in bounds else []
+    return P.all_of(tests + ([value <= bound(bounds["max"])] if "max" in bounds else []))
+
+
+def _listed_terms(key: Column, body: dict) -> Column:
+    """Terms that `include` lets in and `exclude` doesn't keep out: lists of values, or patterns for whole terms."""
+
+    def among(wanted) -> Column:
+        if isinstance(wanted, (list, tuple)):
+            return key.cast("string").isin(*[str(v).lower() if isinstance(v, bool) else str(v) for v in wanted]) if wanted else P.never()
+        if not isinstance(wanted, str):
+            raise QueryError(f"terms are let in by a list or a pattern, not {wanted!r}")
+        return key.cast("string").rlike(f"^(?:{wanted})$")
+
+    tests = [among(body["include"])] if "include" in body else []
+    return P.all_of(tests + ([~among(body["exclude"])] if "exclude" in body else []))
+
+
+def _dense(counted: DataFrame, fields: Fields, outer: list[str], name: str, kind: str, body: dict, zero: list[str]) -> DataFrame:
+    """Buckets without rows too, from the first to the last within each bucket of the level above, or between the `extended_bounds`."""
+    key, bounds = quoted(name), body.get("extended_bounds") or {}
+    low, high = F.min(key), F.max(key)
+    if kind == "histogram":
+        step, offset = body["interval"], body.get("offset", 0)
+        number = lambda v: F.floor((F.lit(v) - F.lit(offset)) / F.lit(step))
+        place = F.round((key - F.lit(offset)) / F.lit(step)).cast("bigint")
+        low, high = F.min(place), F.max(place)
+        if "min" in bounds:
+            low, high = F.least(low, number(bounds["min"])), F.greatest(high, number(bounds["max"]) if "max" in bounds else low)
+        elif "max" in bounds:
+            high = F.greatest(high, number(bounds["max"]))
+        ends = counted.groupBy(*map(quoted, outer)).agg(low.alias("__low"), high.alias("__high")).where("__low is not null")
+        starts = F.transform(F.sequence("__low", "__high"), lambda k: (k * F.lit(step) + F.lit(offset)).cast(counted.schema[name].dataType))
+    else:
+        buckets, dtype = Buckets.of(body), counted.schema[name].dataType
+        low, high = low.cast("timestamp"), high.cast("timestamp")
+        if "min" in bounds:
+            low = F.least(low, buckets.key(_instant(fields, bounds["min"])))
+        if "max" in bounds:
+            high = F.greatest(high, buckets.key(_instant(fields, bounds["max"])))
+        ends = counted.groupBy(*map(quoted, outer)).agg(low.alias("__low"), high.alias("__high")).where("__low <= __high")
+        starts = F.transform(buckets.between(F.col("__low"), F.col("__high")), lambda k: k.cast(dtype))
+    every = ends.select(*map(quoted, outer), F.explode(starts).alias(name))
+    full = every.join(counted, [*outer, name], "left")
+    return full.select(*[F.coalesce(quoted(c), F.lit(0)).alias(c) if c == "doc_count" or c in zero else quoted(c) for c in counted.columns])
+
+
+def _zero_columns(metrics: dict) -> list[str]:
+    """Metrics that are 0, not missing, where there are no rows."""
+    names = []
+    for name, spec in metrics.items():
+        kind, _ = _kind(spec)
+        names += [name] if kind in ("sum", "value_count", "cardinality") else [f"{name}_count", f"{name}_sum"] if kind == "stats" else []
+    return names
 
 
 def _labelled(fields: Fields, kind: str, body: dict) -> list[tuple[object, Column]]:
@@ -192,6 +339,8 @@ def _buckets(
         counted = counted.join(kept.select(*[quoted(k) for k in outer]), outer, "left_semi")
     if int(body.get("min_doc_count", 1)) > 1:
         counted = counted.where(F.col("doc_count") >= int(body["min_doc_count"]))
+    if kind in ("histogram", "date_histogram") and str(body.get("min_doc_count", 1)) == "0":
+        counted = _dense(counted, fields, outer, name, kind, body, _zero_columns(metrics))
     cut = _cut(counted, outer, name, kind, body)
     frames[">".join([*outer, name])] = cut
     if not below:
@@ -211,7 +360,10 @@ def _with_key(rows: DataFrame, fields: Fields, name: str, kind: str, body: dict)
     found = fields.find(body["field"])
     if kind == "terms" and found is not None and isinstance(found.dtype, T.ArrayType):
         key = F.explode(F.array_distinct(key))
-    return rows.withColumn(f"__{name}", key).where(_key(name).isNotNull())
+    if "hard_bounds" in body:
+        rows = rows.where(_within(fields, kind, body))
+    keyed = rows.withColumn(f"__{name}", key).where(_key(name).isNotNull())
+    return keyed.where(_listed_terms(_key(name), body)) if {"include", "exclude"} & set(body) else keyed
 
 
 def _metrics_of(fields: Fields, metrics: dict, guard: Column | None = None) -> list[Column]:

@@ -117,34 +117,62 @@ def _match_all(fields: Fields, body: dict) -> Hit:
     return Hit(P.always(), _boost(body or {}))
 
 
+def _known(name: str, options, allowed: str) -> None:
+    unknown = set(options) - set(allowed.split())
+    if unknown:
+        raise QueryError(f"unknown {name} option {sorted(unknown)}")
+
+
 def _match_phrase(fields: Fields, body: dict) -> Hit:
     name, value, options = _one_field("match_phrase", body, "query")
-    return Hit(P.match_phrase(fields.find(name), value, fields.now), _boost(options))
+    _known("match_phrase", options, "slop boost _name")
+    return Hit(P.match_phrase(fields.find(name), value, fields.now, slop=int(options.get("slop", 0))), _boost(options))
 
 
 def _match_phrase_prefix(fields: Fields, body: dict) -> Hit:
     name, value, options = _one_field("match_phrase_prefix", body, "query")
+    _known("match_phrase_prefix", options, "boost _name")
     return Hit(P.match_phrase(fields.find(name), value, fields.now, last_is_prefix=True), _boost(options))
 
 
 def _multi_match(fields: Fields, body: dict) -> Hit:
-    kind = body.get("type", "best_fields")
+    _known("multi_match", body, "query fields type operator tie_breaker minimum_should_match slop boost _name")
+    kind, operator = body.get("type", "best_fields"), str(body.get("operator", "or")).lower()
+    if kind not in ("best_fields", "most_fields", "cross_fields", "phrase", "phrase_prefix"):
+        raise QueryError(f"unknown multi_match type {kind!r}")
+    words = list(dict.fromkeys(P.analyze(body["query"])))
+    wanted = len(words) if operator == "and" else max(_minimum(body.get("minimum_should_match"), len(words), 1), 1)
+    named = [(fields.find(name), name, boost) for name, boost in _expand(fields, body["fields"])]
+    if kind == "cross_fields":
+        # Word by word: each may stand in another field.
+        held = _total([F.when(P.any_of(P.match(f, w, now=fields.now) for f, _, _ in named), 1).otherwise(0) for w in words])
+        return Hit(held >= wanted if words else P.never(), held.cast("double") * _boost(body))
     hits = []
-    for name, boost in _expand(fields, body["fields"]):
+    for field, name, boost in named:
         if kind in ("phrase", "phrase_prefix"):
-            matches = P.match_phrase(fields.find(name), body["query"], fields.now, kind == "phrase_prefix")
+            matches = P.match_phrase(field, body["query"], fields.now, kind == "phrase_prefix", int(body.get("slop", 0)))
             hits.append(Hit(matches, F.lit(boost)))
-        else:
-            hits.append(_scored_match(fields, name, body["query"], body.get("operator", "or"), boost))
+            continue
+        hit = _scored_match(fields, name, body["query"], operator, boost)
+        if operator != "and" and wanted > 1 and field is not None and field.text:
+            hit = Hit(P.match_count(field, body["query"]) >= wanted, hit.score)
+        hits.append(hit)
     return _best_of(hits, float(body.get("tie_breaker", 1.0 if kind == "most_fields" else 0.0)), _boost(body))
 
 
 def _query_string(fields: Fields, body) -> Hit:
     body = {"query": body} if isinstance(body, str) else body
+    _known("query_string", body, "query fields default_field default_operator minimum_should_match boost _name")
     names = [n for n, _ in _expand(fields, body.get("fields"))] or _as_list(body.get("default_field")) or None
     names = None if names == ["*"] else names
-    matches = search_predicate(fields, body["query"], names, body.get("default_operator", "OR"))
-    return Hit(matches, _boost(body))
+    operator = body.get("default_operator", "OR")
+    if "minimum_should_match" in body and operator.upper() == "OR":
+        words = body["query"].split()
+        if not all(re.fullmatch(r"\w+", w) for w in words) or {"AND", "OR", "NOT"} & set(words):
+            raise QueryError("minimum_should_match of query_string counts plain words")
+        held = _total([F.when(search_predicate(fields, w, names, operator), 1).otherwise(0) for w in words])
+        return Hit(held >= max(_minimum(body["minimum_should_match"], len(words), 1), 1) if words else P.never(), _boost(body))
+    return Hit(search_predicate(fields, body["query"], names, operator), _boost(body))
 
 
 _SIMPLE = re.compile(r'(?P<op>[+|])|(?P<neg>-?)(?:"(?P<phrase>[^"]*)"|(?P<word>[^\s+|"]+))')

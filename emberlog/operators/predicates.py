@@ -311,6 +311,45 @@ def has_phrase(column: Column, words: list[str], last_is_prefix: bool = False) -
     return all_of([lowered.contains(w) for w in _longest_first(words)] + [adjacent])
 
 
+def has_near(column: Column, words: list[str], slop: int) -> Column:
+    """`words` stand in order, or are moved by no more than `slop` places altogether; two moves let neighbours change places.
+
+    With the place of each word less its place in the phrase, a match has all of these within `slop`.
+    Token arrays are built only for rows that have all the words.
+    """
+    distinct = list(dict.fromkeys(words))
+    wanted = {w: [k for k, word in enumerate(words) if word == w] for w in distinct}
+
+    def places(text: Column, word: str) -> Column:
+        return F.filter(F.transform(text, lambda token, i: F.when(token == word, i)), lambda i: i.isNotNull())
+
+    def from_start(start: Column, at: Column) -> Column:
+        tests = []
+        for n, word in enumerate(distinct):
+            last = F.lit(-1)
+            for k in wanted[word]:  # a place serves one word of the phrase
+                last = F.array_min(_free(at[f"w{n}"], start + k, slop, last))
+            tests.append(last.isNotNull())
+        return all_of(tests)
+
+    def in_text(at: Column) -> Column:
+        starts = [F.transform(at[f"w{n}"], _less(k)) for n, word in enumerate(distinct) for k in wanted[word]]
+        return F.exists(F.array_distinct(F.concat(*starts)), lambda start: from_start(start, at))
+
+    near = F.exists(
+        F.transform(F.array(tokens(column)), lambda text: F.struct(*[places(text, w).alias(f"w{n}") for n, w in enumerate(distinct)])), in_text
+    )
+    return all_of([has_token(column, [w]) for w in _longest_first(words)] + [near])
+
+
+def _free(places: Column, first: Column, slop: int, last: Column) -> Column:
+    return F.filter(places, lambda i: (i > last) & (i >= first) & (i <= first + slop))
+
+
+def _less(k: int) -> Callable[[Column], Column]:
+    return lambda i: i - k
+
+
 def _longest_first(words: Iterable[str]) -> list[str]:
     """Long words are rare, so testing them first settles most rows at once."""
     return sorted(dict.fromkeys(words), key=len, reverse=True)
@@ -347,11 +386,13 @@ def match_count(field: Field | None, value) -> Column:
     return reduce(lambda a, b: a + b, found) if found else F.lit(0)
 
 
-def match_phrase(field: Field | None, value, now=None, last_is_prefix: bool = False) -> Column:
-    """Text: the tokens of `value` occur next to each other.  Otherwise equality."""
+def match_phrase(field: Field | None, value, now=None, last_is_prefix: bool = False, slop: int = 0) -> Column:
+    """Text: the tokens of `value` occur next to each other, or moved by `slop` places.  Otherwise equality."""
     if field is None or not field.text:
         return prefix(field, str(value)) if last_is_prefix else term(field, value, now=now)
     words = analyze(value)
     if not words:
         return never()
+    if slop:
+        return _each(field, lambda column, dtype: has_near(_string(column, dtype), words, slop))
     return _each(field, lambda column, dtype: has_phrase(_string(column, dtype), words, last_is_prefix))

@@ -143,6 +143,49 @@ def agg_fixed_histogram(spark, d):
     return found.select(F.date_format("at", "yyyy-MM-dd HH:mm").alias("at"), "doc_count")
 
 
+@query("""
+WITH local AS (SELECT event_type AS kinds, date_trunc('day', timezone('America/New_York', timezone('UTC', ts + INTERVAL 50 DAY)) - INTERVAL 6 HOUR) AS day, value
+               FROM events WHERE event_id % 150 = 1 AND event_type IN ('error', 'click')),
+days AS (SELECT kinds, unnest(generate_series(min(day), greatest(max(day), TIMESTAMP '2024-03-25'), INTERVAL 1 DAY)) AS day FROM local GROUP BY kinds)
+SELECT kinds, strftime(timezone('UTC', timezone('America/New_York', day + INTERVAL 6 HOUR)), '%Y-%m-%d %H:%M') AS day,
+       count(value) AS doc_count, round(coalesce(sum(value), 0), 4) AS total
+FROM days LEFT JOIN local USING (kinds, day) GROUP BY kinds, days.day
+""")
+def agg_dense_days(spark, d):
+    """Days of a zone, over the change of its clocks, from six in the morning; days without rows too, up to a given one."""
+    at = (F.col("ts") + F.expr("INTERVAL 50 DAY")).alias("at")
+    events = table(spark, d, "events").where("event_id % 150 = 1").select("event_type", at, "value")
+    day = {"date_histogram": {
+        "field": "at", "calendar_interval": "day", "time_zone": "America/New_York", "offset": "+6h", "min_doc_count": 0,
+        "extended_bounds": {"max": "2024-03-25T14:00:00Z"},
+    }, "aggs": {"total": {"sum": {"field": "value"}}}}
+    aggs = {"kinds": {"terms": {"field": "event_type", "include": "er.*|click|view", "exclude": ["view"]}, "aggs": {"day": day}}}
+    found = aggregations.aggregate(events, aggs)["kinds>day"]
+    return found.select("kinds", F.date_format("day", "yyyy-MM-dd HH:mm").alias("day"), "doc_count", F.round("total", 4).alias("total"))
+
+
+@query("""
+WITH wide AS (SELECT floor((l_quantity - 1) / 0.5) AS b FROM lineitem WHERE l_quantity IN (3, 7, 12) AND l_quantity >= 5),
+every AS (SELECT unnest(generate_series(8, 28)) AS b)
+SELECT every.b * 0.5::DOUBLE + 1 AS size, count(wide.b) AS doc_count FROM every LEFT JOIN wide USING (b) GROUP BY 1
+""")
+def agg_dense_histogram(spark, d):
+    sizes = table(spark, d, "lineitem").where("l_quantity IN (3, 7, 12)").select("l_quantity")
+    aggs = {"size": {"histogram": {
+        "field": "l_quantity", "interval": 0.5, "offset": 1, "min_doc_count": 0, "extended_bounds": {"min": 5, "max": 15}, "hard_bounds": {"min": 5},
+    }}}
+    return aggregations.aggregate(sizes, aggs)["size"].select(F.col("size").cast("double").alias("size"), "doc_count")
+
+
+@query("""
+SELECT coalesce(CASE WHEN event_id % 3 > 0 THEN event_type END, 'none') AS kinds, count(*) AS doc_count FROM events
+WHERE NOT coalesce(CASE WHEN event_id % 3 > 0 THEN event_type END, 'none') IN ('view') GROUP BY 1
+""")
+def agg_terms_missing(spark, d):
+    events = table(spark, d, "events").select(F.when(F.col("event_id") % 3 > 0, F.col("event_type")).alias("kind"))
+    return aggregations.aggregate(events, {"kinds": {"terms": {"field": "kind", "missing": "none", "exclude": "v.*"}}})["kinds"]
+
+
 @query("""
 SELECT label AS bands, count(*) AS doc_count FROM events,
   (VALUES ('low', NULL, 25.0), ('25.0-75.0', 25.0, 75.0), ('50.0-*', 50.0, NULL)) b(label, lo, hi)

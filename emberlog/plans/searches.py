@@ -132,6 +132,29 @@ def dsl_match_phrase(spark, d):
     return _match(table(spark, d, "documents"), {"match_phrase": {"text": "Of the"}}, ["text"]).select("doc_id")
 
 
+@query(f"""
+WITH docs AS (SELECT doc_id, {sql_tokens('text')} AS t FROM documents),
+places AS (SELECT doc_id, generate_subscripts(t, 1) AS i, unnest(t) AS w FROM docs),
+pairs AS (SELECT a.doc_id, abs((b.i - 1) - a.i) AS moved FROM places a JOIN places b ON a.doc_id = b.doc_id AND a.w = 'of' AND b.w = 'the' AND b.i BETWEEN a.i - 9 AND a.i + 9)
+SELECT doc_id, moves FROM (VALUES (0), (1), (3)) s(moves), docs WHERE EXISTS (SELECT 1 FROM pairs p WHERE p.doc_id = docs.doc_id AND p.moved <= moves)
+""")
+def dsl_match_phrase_slop(spark, d):
+    documents = spread(table(spark, d, "documents").select("doc_id", "text"))
+    found = [_match(documents, {"match_phrase": {"text": {"query": "of the", "slop": n}}}, ["text"]).select("doc_id", F.lit(n).alias("moves")) for n in (0, 1, 3)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query(f"""
+SELECT p_partkey, CAST(held AS DOUBLE) AS _score FROM (
+  SELECT p_partkey, CAST(list_contains(a || b, 'red') AS INT) + CAST(list_contains(a || b, 'economy') AS INT) + CAST(list_contains(a || b, 'ring') AS INT) AS held
+  FROM (SELECT p_partkey, {sql_tokens('p_name')} AS a, {sql_tokens('p_type')} AS b FROM part)) WHERE held >= 2
+""")
+def dsl_cross_fields(spark, d):
+    """Words of which each may stand in another field, two of three."""
+    clause = {"multi_match": {"query": "red economy ring", "fields": ["p_name", "p_type"], "type": "cross_fields", "minimum_should_match": 2}}
+    return _scored(table(spark, d, "part"), clause, ["p_name", "p_type"]).select("p_partkey", "_score")
+
+
 @query(f"SELECT doc_id FROM documents WHERE {sql_joined('text')} LIKE '% of th%'")
 def dsl_match_phrase_prefix(spark, d):
     return _match(table(spark, d, "documents"), {"match_phrase_prefix": {"text": "of th"}}, ["text"]).select("doc_id")
