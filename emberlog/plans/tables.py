@@ -42,6 +42,31 @@ def scan_pattern_union(spark, d):
     return found.select("_index", "id", "kind", "value", "price")
 
 
+@query("""
+SELECT CASE event_type WHEN 'error' THEN 'logs-a' WHEN 'click' THEN 'logs-b' ELSE 'logs+[c] 1' END AS _index, event_id AS id,
+       CASE WHEN event_type = 'click' THEN 'u' || user_id ELSE CAST(user_id AS VARCHAR) END AS code,
+       CASE WHEN event_type = 'error' THEN CAST(user_id AS DOUBLE) ELSE value END AS value,
+       CASE WHEN event_type = 'error' THEN user_id WHEN event_type <> 'click' THEN event_id END AS part_n,
+       CASE WHEN event_type NOT IN ('error', 'click') THEN 'x' END AS part_s
+FROM events WHERE event_type <> 'view'
+""")
+def scan_folders(spark, d):
+    """Folders that disagree on types, inside structs too, in one table; a system index and another name stay out."""
+    events, root = table(spark, d, "events"), folder(spark, "folders")
+    kind, n = F.col("event_type"), F.col("user_id")
+
+    def put(name, where, *columns):
+        sinks.write_index(events.where(where).select(F.col("event_id").alias("id"), *columns), f"{root}/{name}")
+
+    put("logs-a", kind == "error", n.alias("code"), n.cast("int").alias("value"), F.struct(n.cast("int").alias("n")).alias("part"))
+    put("logs-b", kind == "click", F.concat(F.lit("u"), n).alias("code"), "value")
+    put("logs+[c] 1", ~kind.isin("error", "click", "view"), n.cast("int").alias("CODE"), "value", F.struct(F.lit("x").alias("s"), F.col("event_id").alias("n")).alias("part"))
+    put(".logs", kind == "error", n.alias("code"))
+    put("web", kind == "view", F.array(n).alias("code"))
+    found = indices.scan_folders(spark, root, "*logs*")
+    return found.select("_index", "id", "code", "value", F.col("part.n").alias("part_n"), F.col("part.s").alias("part_s"))
+
+
 @query(f"""
 WITH {SQL_EVENTS_LOG}
 SELECT _index, id FROM (SELECT CASE WHEN user_id % 10 = 0 THEN '.sys' ELSE _index END AS _index, id FROM events_log)
