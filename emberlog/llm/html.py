@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
@@ -35,35 +36,48 @@ def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)}
 
 
-def is_noise(tag: str, its: dict[str, str]) -> bool:
-    """Whether an element is furniture: by its tag, role, or a word of its class or id."""
-    if tag in SKIPPED or "hidden" in its or its.get("aria-hidden") == "true" or its.get("role", "").lower() in NOISE_ROLES:
-        return True
+#: First words of class names that tell what a page has or lacks, not what the element is.
+MODIFIERS = frozenset("has have no not with without is are hide show".split())
+
+
+def is_noise(tag: str, its: dict[str, str]) -> str | None:
+    """Whether an element is furniture: "sure" by its tag, role or style, "likely" by a word of its class or id, or as a form."""
+    if (tag in SKIPPED and tag != "form") or "hidden" in its or its.get("aria-hidden") == "true" or its.get("role", "").lower() in NOISE_ROLES:
+        return "sure"
     if "display:none" in its.get("style", "").replace(" ", "").lower():
-        return True
+        return "sure"
+    if tag == "form":
+        return "likely"
     if tag in ("article", "main", "body", "html"):
-        return False
-    return any(w in NOISE_WORDS for w in re.split("[^a-z]+", re.sub("([a-z])([A-Z])", r"\1-\2", f"{its.get('class', '')} {its.get('id', '')}").lower()))
+        return None
+    for name in f"{its.get('class', '')} {its.get('id', '')}".split():
+        words = re.split("[^a-z]+", re.sub("([a-z])([A-Z])", r"\1-\2", name).lower())
+        if words[0] not in MODIFIERS and any(w in NOISE_WORDS for w in words):
+            return "likely"
+    return None
 
 
 def path_of(above: str, tag: str, its: dict[str, str], most: int = 12) -> str:
-    """A generalised path: tags with their first class, numbers as #; the last `most` steps, so deep pages stay small."""
+    """A generalised path: tags with their first class, numbers as #. Steps before the last `most` become a digest, so deep pages stay small."""
     first = (its.get("class") or "").split()
     path = above + ">" + tag + ("." + re.sub("[0-9]+", "#", first[0].replace(">", "")) if first else "")
-    return path if path.count(">") <= most else path[path.index(">", 1) :]
+    if path.count(">") <= most:
+        return path
+    digest, step, rest = path.split(">", 2)
+    return f"~{zlib.crc32(f'{digest}>{step}'.encode()):08x}>{rest}"
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "noise", "parts")
+    __slots__ = ("tag", "path", "parent", "noise", "likely", "parts")
 
-    def __init__(self, tag: str, path: str, parent, noise: bool):
-        self.tag, self.path, self.parent, self.noise = tag, path, parent, noise
+    def __init__(self, tag: str, path: str, parent, noise: str | None):
+        self.tag, self.path, self.parent, self.noise, self.likely = tag, path, parent, noise is not None, noise == "likely"
         self.parts: list = []  # texts and elements in order
 
 
 def parse(html: str) -> Node:
     """The tree of a page, errors mended: unclosed elements end with their parent, stray end tags are left out."""
-    root = now = Node("", "", None, False)
+    root = now = Node("", "", None, None)
     at, open_tags = 0, Counter()
 
     def close(holder: Node) -> Node:
@@ -111,9 +125,48 @@ def parse(html: str) -> Node:
             continue
         open_tags[tag] += 1
         now = node
+    settle(root)
     return root
 
 
+def settle(root: Node) -> None:
+    """Takes back what is only likely furniture where it holds the page's main part.
+
+    That is an element around `main`; one with half of the text and the only articles; and one with half of the text
+    on a page that has next to none elsewhere.
+    """
+    nodes, todo, some = [], [root], False
+    while todo:
+        node = todo.pop()
+        if not node.noise or node.likely:
+            nodes.append(node)
+            some = some or node.likely
+            todo += [p for p in node.parts if isinstance(p, Node)]
+    if not some:
+        return
+    text: dict[int, int] = {}
+    tags: dict[int, tuple[int, int]] = {}
+    rest, articles = 0, 0
+    inside: dict[int, bool] = {}
+    for node in nodes:  # parents first
+        inside[id(node)] = node.likely or (node.parent is not None and inside.get(id(node.parent), False))
+        articles += node.tag == "article" and not inside[id(node)]
+    for node in reversed(nodes):
+        own = sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+        rest += 0 if inside[id(node)] else own
+        below = [p for p in node.parts if isinstance(p, Node) and id(p) in text]
+        text[id(node)] = own + sum(text[id(p)] for p in below)
+        tags[id(node)] = ((node.tag == "main") + sum(tags[id(p)][0] for p in below), (node.tag == "article") + sum(tags[id(p)][1] for p in below))
+    whole = text[id(root)]
+    for node in nodes:
+        if node.likely:
+            half = 2 * text[id(node)] >= whole > 0
+            mains, own_articles = tags[id(node)]
+            node.noise = not (mains or half and (own_articles and not articles or 20 * rest < whole))
+
+
+
+
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks below a node, furniture left out, references decoded, white space as one blank."""
     out: list[str] = []
