@@ -317,13 +317,21 @@ def dsl_function_score(spark, d):
     return _scored(table(spark, d, "lineitem"), clause).select("l_orderkey", "l_linenumber", "l_partkey", "_score")
 
 
-@query()
+@query("""
+SELECT event_id, TRUE AS in_range, TRUE AS repeatable, TRUE AS seeds_differ FROM events WHERE event_type = 'error'
+""")
 def dsl_random_score(spark, d):
-    """Seeded random order; the hash has no SQL twin, so only rows are checked."""
-    clause = {"function_score": {
-        "query": {"term": {"event_type": "error"}}, "random_score": {"seed": 7, "field": "event_id"},
-    }}
-    return _scored(table(spark, d, "events"), clause).select("event_id", "_score")
+    """Seeded random scores have no SQL twin; what is known of them has: the rows, the range, the same again for a seed, another for another."""
+    events = table(spark, d, "events")
+    hits = [
+        compile_query(Fields.of(events), {"function_score": {
+            "query": {"term": {"event_type": "error"}}, "random_score": {"seed": seed, "field": "event_id"},
+        }})
+        for seed in (7, 7, 8)
+    ]
+    scored = events.where(hits[0].matches).select("event_id", *[hit.score.alias(f"s{k}") for k, hit in enumerate(hits)])
+    in_range = (F.col("s0") >= 0) & (F.col("s0") < 1)
+    return scored.select("event_id", in_range.alias("in_range"), (F.col("s0") == F.col("s1")).alias("repeatable"), (F.col("s0") != F.col("s2")).alias("seeds_differ"))
 
 
 @query("""
