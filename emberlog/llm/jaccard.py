@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from emberlog.llm.common import map_arrow, slices, staged, text_key
@@ -171,7 +172,12 @@ class Sketch:
     """
 
     def __init__(self):
-        self.fine, self.coarse = np.zeros(COUNTERS // 4, np.uint8), np.zeros(COARSE, np.uint8)
+        # a bytearray is pickled without a copy
+        self.bits, self.coarse = bytearray(COUNTERS // 4), np.zeros(COARSE, np.uint8)
+
+    @property
+    def fine(self) -> np.ndarray:
+        return np.frombuffer(self.bits, np.uint8)
 
     def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slots = (shingles & np.uint64(COUNTERS - 1)).astype(np.int64)
@@ -206,14 +212,15 @@ def frequency_sketch(rows: DataFrame) -> Sketch:
 
     parts = rows.where("segment is not null").select("segment", "slots", "counts").repartition("segment").sortWithinPartitions("segment")
     sketch = Sketch()
-    for segment, fine, common, codes in map_arrow(parts, add, "segment int, fine binary, common binary, codes binary").collect():
-        sketch.fine[segment * SEGMENT // 4 : (segment + 1) * SEGMENT // 4] = np.frombuffer(fine, np.uint8)
+    # one partition at a time: the driver holds the sketch alone, not all its rows as well
+    for segment, fine, common, codes in map_arrow(parts, add, "segment int, fine binary, common binary, codes binary").toLocalIterator():
+        sketch.bits[segment * SEGMENT // 4 : (segment + 1) * SEGMENT // 4] = fine
         at = (segment * SEGMENT + np.frombuffer(common, np.uint16).astype(np.int64)) & (COARSE - 1)
         np.maximum.at(sketch.coarse, at, np.frombuffer(codes, np.uint8))
     return sketch
 
 
-def prefixes(docs: DataFrame, sketch: Sketch, size: int, tile: int) -> DataFrame:
+def prefixes(docs: DataFrame, shared: Broadcast[Sketch], size: int, tile: int) -> DataFrame:
     """(shingle, salts, salt, set, n): the rarest shingles of each set, of which linked sets share at least one.
 
     Any order of shingles that is the same for all sets does; rare ones come first, by the sketch.
@@ -221,8 +228,6 @@ def prefixes(docs: DataFrame, sketch: Sketch, size: int, tile: int) -> DataFrame
     counts too low: a count of one means that no other set has the shingle, and `salts` parts hold
     about `tile` sets each at most.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen = Powers(), set()
         for batch in batches:
@@ -248,9 +253,10 @@ def prefixes(docs: DataFrame, sketch: Sketch, size: int, tile: int) -> DataFrame
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set, shingles) of every set in `wanted` (set, id), read from one document each.
+    """(set, shingles) of every set in `wanted` (set, id), read from one document each where ids are distinct.
 
-    A bit array of fixed size says which to build; it lets some others through, which do no harm.
+    A bit array of fixed size says which to build; it lets some others through, copies of one text
+    without an id among them. `linked` makes the rows distinct by set.
     """
     slot = lambda name, id: F.crc32(F.concat_ws(":", F.coalesce(id.cast("string"), F.lit("")), name.cast("string")).cast("binary")) % SLOTS
     table = np.zeros(SLOTS // 64, np.int64)
@@ -288,7 +294,9 @@ def may_link(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b, total) that link, by the sets themselves."""
-    both = pairs.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
+    # by the exchange that the joins need anyway, copies of a set become one row
+    one = sets.groupBy("set").agg(F.first("shingles").alias("shingles"))
+    both = pairs.join(one.toDF("a", "s_a"), "a").join(one.toDF("b", "s_b"), "b")
     return both.where(needed(F.size(F.array_intersect("s_a", "s_b")), F.col("total"))).select("a", "b")
 
 
@@ -300,9 +308,11 @@ def components(links: DataFrame) -> DataFrame:
         near = edges.join(labels.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near")).toDF("node", "near")
         lower = labels.join(near, "node").select("node", F.least("root", "near").alias("lower"), "root")
         jump = labels.toDF("lower", "jump")
-        moved = staged(lower.join(jump, "lower", "left").select("node", F.least("lower", F.coalesce("jump", "lower")).alias("root"), F.col("root").alias("was")), "labels", narrow=True)
-        labels = moved.select("node", "root")
-        if moved.where("root <> was").isEmpty():
+        moved = lower.join(jump, "lower", "left").select("node", F.least("lower", F.coalesce("jump", "lower")).alias("root"), F.col("root").alias("was"))
+        # counted while it is written
+        changes = Observation()
+        labels = staged(moved.observe(changes, F.count_if(F.col("root") != F.col("was")).alias("n")).select("node", "root"), "labels", narrow=True)
+        if not changes.get["n"]:
             return labels
 
 
@@ -356,7 +366,7 @@ def tile_pairs(rows: DataFrame, top: int | None) -> DataFrame:
                     own = int(sets[q])
                     for other in sets[kept[tree.near(vectors[q], int(sizes[q]), int(classes[q]), top)]].tolist():
                         pair = (own, other) if own < other else (other, own)
-                        if pair not in told:  # blocks of the same sets mostly meet in one task
+                        if pair not in told:  # blocks of one task share many pairs
                             told.add(pair)
                             found.append(pair)
             return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
@@ -372,7 +382,7 @@ def tile_pairs(rows: DataFrame, top: int | None) -> DataFrame:
         if held:
             yield pairs_of()
 
-    found = map_arrow(rows.repartition("lead", "x", "y").sortWithinPartitions("lead", "shingle", "x", "y"), join, "a long, b long")
+    found = map_arrow(rows.repartition("shingle", "x", "y").sortWithinPartitions("shingle", "x", "y"), join, "a long, b long")
     return found.distinct()
 
 
@@ -388,12 +398,12 @@ def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, ti
     whole = mixed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("size"), F.max("salts").alias("tiles"))
     open_blocks = whole.where("low <> high").dropDuplicates(["sum", "size"]).select("shingle", "size")
     inside = staged(mixed.join(open_blocks, "shingle"), "inside", narrow=True)
-    main = inside.groupBy("shingle", "root").agg(F.count("*").alias("count"), F.min("set").alias("lead")).groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"), F.min("lead").alias("lead"))
-    tiles = main.select("shingle", "lead", F.col("m.root").alias("main"), F.expr(f"cast(ceil((size - m.count) / {tile}) as int)").alias("xs"), F.expr(f"cast(ceil(size / {tile}) as int)").alias("ys"))
+    main = inside.groupBy("shingle", "root").agg(F.count("*").alias("count")).groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"))
+    tiles = main.select("shingle", F.col("m.root").alias("main"), F.expr(f"cast(ceil((size - m.count) / {tile}) as int)").alias("xs"), F.expr(f"cast(ceil(size / {tile}) as int)").alias("ys"))
     full = inside.join(staged(tiles, "tiles", narrow=True), "shingle").join(vectors, "set")
     x, y = F.pmod(F.xxhash64("set", F.lit(1)), F.col("xs")).cast("int"), F.pmod(F.xxhash64("set", F.lit(2)), F.col("ys")).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    same = ["lead", "set", "n", "root", "vector"]
+    same = ["set", "n", "root", "vector"]
     asking = full.where("root <> main").select("shingle", x.alias("x"), upto("ys").alias("y"), F.lit(True).alias("asks"), *same)
     asked = full.select("shingle", upto("xs").alias("x"), y.alias("y"), F.lit(False).alias("asks"), *same)
     return tile_pairs(asking.unionByName(asked), top)
@@ -435,7 +445,7 @@ def grouped(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int =
     """
     base = docs.select(docs[id].alias("id"), docs[text].alias("text")).withColumn("text_key", text_key())
     keyed = staged(profiles(base, size), "profiles")
-    sketch = frequency_sketch(keyed)
+    sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(keyed))
     rows = keyed.where("segment is null").select("id", "text_key", "set", "n")
     block = Window.partitionBy("shingle", "salt")
     by_size = block.orderBy("n", "set")
@@ -444,6 +454,7 @@ def grouped(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int =
     # in a block that isn't cut, a set without a neighbour of a like size links with none in it
     met = (F.col("salts") > 1) | F.coalesce(alike(F.col("n"), F.col("smaller")), F.lit(False)) | F.coalesce(alike(F.col("n"), F.col("larger")), F.lit(False))
     blocks = staged(pre.where(met).select("shingle", "salts", "salt", "set", "n", "first"), "blocks")
+    sketch.destroy()
     heads = blocks.where("salts > 1").select("shingle", "first").distinct().withColumn("head", F.min("first").over(Window.partitionBy("shingle")))
     stars = blocks.where(alike(F.col("n"), F.col("first.n"))).select(F.col("set").alias("a"), F.col("first.set").alias("b"))
     tops = heads.where(alike(F.col("first.n"), F.col("head.n"))).select(F.col("first.set").alias("a"), F.col("head.set").alias("b"))
