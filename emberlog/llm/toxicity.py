@@ -23,19 +23,26 @@ LEAST_RATIO, DOUBTFUL_RATIO = 60.0, 15.0
 SHORTEST, LONGEST = 3, 8
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 
-# Fixed word classes of the grammar, in the languages of the texts.
+# Fixed word classes of the grammar, in the languages of the texts: threats, targets (English ones apart), words
+# before an English verb, words that are a threat in English alone, negations, reports.
 CLASSES = {
-    "T": "kill hurt beat burn destroy stab shoot die tuer frapper brûler töten schlagen verbrennen matar golpear quemar",
-    "P": "you your yourself he she they him her them this that these those tu toi vous il elle du dich ihr sie tú usted ellos",
+    "T": "kill hurt beat burn destroy stab shoot tuer frapper brûler töten schlagen verbrennen matar golpear quemar",
+    "Q": "you your yourself he she they him her them this that these those",
+    "P": "tu te toi vous il elle du dich euch ihr sie tú usted ellos",
+    "E": "i we will would should shall must can may could ll gonna to please go and just",
+    "D": "die",
     "N": "not no never nobody isn aren wasn don doesn ne pas jamais nicht kein keine nie nunca jamás",
     "R": "said says say told claims claimed wrote called quoted reported dit disait écrit sagte sagt schrieb dijo dice escribió",
 }
 OTHER, STOP, INSULT, THREAT, TARGET, NEGATION, REPORT, DOUBTFUL = ".", "|", "I", "T", "P", "N", "R", "W"
-#: What the composed transducer writes: plain, targeted, negated, reported insults; targeted threats; doubtful words.
-FEATURES = ("I", "V", "i", "j", "U", "W")
+ENGLISH_TARGET, ENGLISH, ENGLISH_THREAT = "Q", "E", "D"
+#: What the composed transducer writes: plain, targeted, negated, reported insults; plain, targeted, negated, reported threats; doubtful words.
+FEATURES = ("I", "V", "i", "j", "T", "U", "t", "u", "W")
+#: Symbols that a clause needs to match at all.
+WEIGHED = (INSULT, THREAT, DOUBTFUL, ENGLISH_THREAT)
 LEVELS = 3
 #: log odds of the bias and of one level of each feature, where there are no labels to learn from
-DEFAULT_WEIGHTS = (-3.0, 4.0, 5.0, 1.0, 1.5, 4.0, 1.0)
+DEFAULT_WEIGHTS = (-3.0, 4.0, 5.0, 1.0, 1.5, 0.5, 4.0, 0.0, 0.5, 1.0)
 Stems = tuple[frozenset[str], frozenset[str]]
 
 
@@ -83,22 +90,36 @@ def marker(opener: str, reach: int | None, rewrite: dict[str, str]) -> Transduce
     return Transducer(0, step)
 
 
+def english() -> Transducer:
+    """Reads the English classes: an English threat counts right after an English target or a word that leads an English verb."""
+
+    def step(leads: bool, symbol: str) -> tuple[bool, str]:
+        written = {ENGLISH_TARGET: TARGET, ENGLISH: OTHER, ENGLISH_THREAT: THREAT if leads else OTHER}.get(symbol, symbol)
+        return symbol in (ENGLISH_TARGET, ENGLISH), written
+
+    return Transducer(False, step)
+
+
 def after_target(reach: int) -> Transducer:
-    """A target that follows a plain insult within `reach` tokens makes the insult a targeted one: writes V at the target."""
+    """A target within `reach` tokens after a plain insult or threat makes it a targeted one: V or U, written where the target stands."""
 
-    def step(left: int, symbol: str) -> tuple[int, str]:
+    def step(state: tuple[int, str], symbol: str) -> tuple[tuple[int, str], str]:
+        left, mark = state
         if symbol == TARGET and left:
-            return 0, "V"
-        return (reach if symbol == INSULT else 0 if symbol == STOP else max(0, left - 1)), symbol
+            return (0, ""), mark
+        if symbol in (INSULT, THREAT):
+            return (reach, "V" if symbol == INSULT else "U"), symbol
+        return ((left - 1, mark) if left > 1 and symbol != STOP else (0, "")), symbol
 
-    return Transducer(0, step)
+    return Transducer((0, ""), step)
 
 
 def grammar() -> list[dict[str, tuple[int, str]]]:
     negated = marker(NEGATION, 3, {INSULT: "i", THREAT: "t"})
     reported = marker(REPORT, None, {INSULT: "j", THREAT: "u"})
     targeted = marker(TARGET, 4, {INSULT: "V", THREAT: "U"})
-    return negated.then(reported).then(targeted).then(after_target(2)).table(OTHER + STOP + INSULT + THREAT + TARGET + NEGATION + REPORT + DOUBTFUL)
+    alphabet = OTHER + STOP + INSULT + THREAT + TARGET + NEGATION + REPORT + DOUBTFUL + ENGLISH_TARGET + ENGLISH + ENGLISH_THREAT
+    return english().then(negated).then(reported).then(targeted).then(after_target(2)).table(alphabet)
 
 
 def symbols_of(stems: Stems) -> Memo:
@@ -119,12 +140,12 @@ def symbols_of(stems: Stems) -> Memo:
 def clause_levels(text: str | None, symbols: Memo, table: list[dict[str, tuple[int, str]]]) -> tuple[tuple[int, ...], int]:
     """A level from 0 to LEVELS for each of FEATURES over the text's clauses, and how many clauses matched."""
     line = "".join(map(symbols.__getitem__, TOKEN.findall(text.lower()))) if text else ""
-    if INSULT not in line and THREAT not in line and DOUBTFUL not in line:
+    if not any(s in line for s in WEIGHED):
         return (0,) * len(FEATURES), 0
     found: Counter[str] = Counter()
     state, matched = 0, 0
     for clause in line.split(STOP):
-        if INSULT in clause or THREAT in clause or DOUBTFUL in clause:
+        if any(s in clause for s in WEIGHED):
             written = []
             for s in clause:
                 state, out = table[state][s]

@@ -206,6 +206,10 @@ def test_held_out_toxicity(spark):
     rows = [r for r in queries.op5_pattern_grammar(spark, sf).collect() if r["doc_id"] in labels]
     right = [r["predicted"] == labels[r["doc_id"]] for r in rows if r["held_out"]]
     assert sum(right) >= 0.9 * len(right) and all(0 <= r["score"] <= 1 for r in rows)
+    # a constant would be right as often: of the toxic rows most are found, and few others
+    toxic = [r["predicted"] for r in rows if labels[r["doc_id"]] == 1]
+    found = [labels[r["doc_id"]] for r in rows if r["predicted"] == 1]
+    assert sum(toxic) >= 0.6 * len(toxic) and sum(found) >= 0.8 * len(found)
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
 
 
@@ -228,7 +232,14 @@ def test_grammar_marks_clauses():
     assert level("he is not an idiot") in (some(i=1), some(V=1, i=1))
     assert level("she said an idiot came") == some(j=1)
     assert level("not good. vejutant") == some(I=1)
-    assert level("i will kill you") == some() and level("you will die") == some(U=1)
+    assert level("you will die") == some(U=1) and level("i shall die") == some(T=1)
+    # a target after the threat: the threat is read first, the target makes it a targeted one
+    for threat in ("i will kill you", "kill them all", "burn all those"):
+        assert level(threat) == some(T=1, U=1)
+    assert level("te voy a matar") == some(U=1) and level("ich werde dich töten") == some(U=1)
+    assert level("i will not kill you") == some(t=1) and level("police said they kill") == some(u=1)
+    # a German article is no threat
+    assert level("sie sah die tür") == level("du die") == level("die sie sah") == some()
     assert toxicity.clause_levels(None, symbols, table) == ((0,) * len(toxicity.FEATURES), 0)
 
 
@@ -365,6 +376,19 @@ def test_one_row_per_component_whatever_the_ids(spark):
     assert Counter(map(tuple, got.collect())) == Counter([(None, words("a")), (None, words("b")), (5, words("c")), (4, words("d")), (None, None), (None, "")])
 
 
+def test_copies_without_ids_join_once(spark):
+    words = [f"c{k}" for k in range(40)]
+    two = [" ".join(words), " ".join([*words[:39], "other"])]
+    docs = spark.createDataFrame([(None, t) for t in two for _ in range(500)], "doc_id long, text string")
+    names = [r["set"] for r in jaccard.near_duplicates(docs).select("set").distinct().collect()]
+    assert len(names) == 2
+    wanted = spark.createDataFrame([(n, None) for n in names], "set long, id long")
+    sets = jaccard.candidate_sets(docs.select(F.col("doc_id").alias("id"), "text"), wanted, jaccard.WORDS)
+    assert sets.count() > 2
+    pairs = spark.createDataFrame([(min(names), max(names), 72)], "a long, b long, total long")
+    assert jaccard.linked(pairs, sets).count() == 1
+
+
 @pytest.mark.parametrize("tile", [3, 1000])
 def test_chained_and_hot_groups(spark, tile):
     rng = random.Random(4)
