@@ -21,6 +21,8 @@ NUMERATOR, DENOMINATOR = 3, 4
 GROUPS = 128
 #: Counts from here on are cut to this and bound nothing.
 MOST = 32000
+#: Finer groups, of whose counts only the last bit is kept.
+FINE = 1024
 #: Counters of the frequency sketch, and in a segment of it; slots of the candidate bit array.
 COUNTERS, SEGMENT, SLOTS = 1 << 27, 1 << 16, 1 << 22
 #: A fine counter is kept as one of four classes, up to these counts and above; coarse ones tell how far above.
@@ -112,13 +114,19 @@ def count_vector(shingles: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((shingles >> np.uint64(57)).astype(np.int64), minlength=GROUPS), MOST).astype(np.int16)
 
 
+def odd_groups(shingles: np.ndarray) -> np.ndarray:
+    """A bit per finer group, set if its count is odd. Where two sets' bits differ, at least one shingle is in one set alone."""
+    counts = np.bincount((shingles >> np.uint64(40)).astype(np.int64) & (FINE - 1), minlength=FINE)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def profiles(docs: DataFrame, size: int) -> DataFrame:
-    """Two sorts of rows: (id, text_key, set, n, vector) per document, and (segment, slots, counts) of the task's frequency sketch."""
-    names_of = ["id", "text_key", "set", "n", "vector", "segment", "slots", "counts"]
+    """Two sorts of rows: (id, text_key, set, n) per document, and (segment, slots, counts) of the task's frequency sketch."""
+    names_of = ["id", "text_key", "set", "n", "segment", "slots", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, kept, held = Powers(), [], 0
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.int32(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
         id_kind = None
 
         def counted() -> pa.RecordBatch:
@@ -131,7 +139,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
             edges = np.searchsorted(slots, np.arange(0, COUNTERS + 1, SEGMENT))
             rows = [(k, slots[i:j].astype(np.uint16).tobytes(), value[i:j].tobytes()) for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
             none = [None] * len(rows)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((none, none, none, none, none, *zip(*rows)), (id_kind, *kinds))], names_of)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((none, none, none, none, *zip(*rows)), (id_kind, *kinds))], names_of)
 
         for batch in batches:
             id_kind = batch.schema.field("id").type
@@ -145,13 +153,13 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
                     kept.clear()
                     held = 0
                 none = [None] * len(sets)
-                columns = (rows["id"], rows["text_key"], list(map(set_name, sets)), list(map(len, sets)), list(map(count_vector, sets)), none, none, none)
+                columns = (rows["id"], rows["text_key"], list(map(set_name, sets)), list(map(len, sets)), none, none, none)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (id_kind, *kinds))], names_of)
         if held:
             yield counted()
 
     kind = docs.schema["id"].dataType.simpleString()
-    return map_arrow(docs, read, f"id {kind}, text_key long, set long, n long, vector array<smallint>, segment int, slots binary, counts binary")
+    return map_arrow(docs, read, f"id {kind}, text_key long, set long, n long, segment int, slots binary, counts binary")
 
 
 def to_code(counts: np.ndarray) -> np.ndarray:
@@ -253,10 +261,10 @@ def prefixes(docs: DataFrame, shared: Broadcast[Sketch], size: int, tile: int) -
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set, shingles) of every set in `wanted` (set, id), read from one document each where ids are distinct.
+    """(set, n, vector, odd, shingles) of every set in `wanted` (set, id), read from one document each where ids are distinct.
 
     A bit array of fixed size says which to build; it lets some others through, copies of one text
-    without an id among them. `linked` makes the rows distinct by set.
+    without an id among them. Users make the rows distinct by set.
     """
     slot = lambda name, id: F.crc32(F.concat_ws(":", F.coalesce(id.cast("string"), F.lit("")), name.cast("string")).cast("binary")) % SLOTS
     table = np.zeros(SLOTS // 64, np.int64)
@@ -273,11 +281,12 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     name = set_name(s)
                     k = zlib.crc32(f"{'' if id is None else id}:{name}".encode()) % SLOTS
                     if len(s) and shared.value[k >> 3] >> (k & 7) & 1:
-                        out.append((name, s.view(np.int64)))
+                        out.append((name, len(s), count_vector(s), odd_groups(s), s.view(np.int64)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.list_(pa.int64())))], ["set", "shingles"])
+                    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["set", "n", "vector", "odd", "shingles"])
 
-    return map_arrow(docs.select("id", "text"), read, "set long, shingles array<long>")
+    return map_arrow(docs.select("id", "text"), read, "set long, n long, vector array<smallint>, odd array<long>, shingles array<long>")
 
 
 def needed(shared: Column, total: Column) -> Column:
@@ -285,11 +294,13 @@ def needed(shared: Column, total: Column) -> Column:
 
 
 def may_link(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes, then sums of coordinate minima, allow a link."""
-    a, b = vectors.toDF("a", "n_a", "v_a"), vectors.toDF("b", "n_b", "v_b")
+    """The pairs (a, b) whose sizes, then sums of coordinate minima, then finer groups odd in one set alone, allow a link."""
+    a, b = vectors.toDF("a", "n_a", "v_a", "o_a"), vectors.toDF("b", "n_b", "v_b", "o_b")
     both = pairs.join(a, "a").join(b, "b").withColumn("total", F.col("n_a") + F.col("n_b"))
     bound = F.aggregate(F.zip_with("v_a", "v_b", lambda x, y: F.when(F.least(x, y) >= MOST, 1 << 24).otherwise(F.least(x, y).cast("int"))), F.lit(0), lambda t, x: t + x)
-    return both.where(F.when(needed(F.least("n_a", "n_b"), F.col("total")), needed(bound, F.col("total"))).otherwise(F.lit(False))).select("a", "b", "total")
+    differ = F.aggregate(F.zip_with("o_a", "o_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    fits = needed(bound, F.col("total")) & needed(F.col("total") - differ, 2 * F.col("total"))
+    return both.where(F.when(needed(F.least("n_a", "n_b"), F.col("total")), fits).otherwise(F.lit(False))).select("a", "b", "total")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -317,11 +328,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 class CountTree:
-    """A packed R-tree over count vectors. A node has the coordinate maxima and the size range of what is below it."""
+    """A packed R-tree over count vectors. A node has the coordinate maxima and the size range of what is below it; points have their odd groups too."""
 
-    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, classes: np.ndarray):
+    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, classes: np.ndarray, odd: np.ndarray):
         order = np.lexsort((vectors.argmax(axis=1), sizes))
-        self.order = order
+        self.order, self.odd = order, odd[order].view(np.uint64)  # bits of signed numbers aren't counted as they stand
         level = (vectors[order], sizes[order], sizes[order], classes[order], classes[order])
         self.levels = [level]
         while len(level[1]) > 1:
@@ -329,7 +340,7 @@ class CountTree:
             level = tuple(f.reduceat(x, at, axis=0) for f, x in zip((np.maximum, np.minimum, np.maximum, np.minimum, np.maximum), level))
             self.levels.append(level)
 
-    def near(self, vector: np.ndarray, size: int, kind: int, top: int | None = None) -> np.ndarray:
+    def near(self, vector: np.ndarray, size: int, kind: int, odd: np.ndarray, top: int | None = None) -> np.ndarray:
         """Places of points of another class whose bound allows a link; the `top` with the highest share alone if given."""
         at = np.zeros(1, np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
@@ -342,8 +353,12 @@ class CountTree:
             if depth and len(at):
                 at = (at[:, None] * FAN + np.arange(FAN)).ravel()
                 at = at[at < len(self.levels[depth - 1][1])]
+        total = size + self.levels[0][1][at]
+        same = total - np.bitwise_count(self.odd[at] ^ odd.view(np.uint64)).sum(axis=1, dtype=np.int64)  # twice the overlap at most
+        fits = (NUMERATOR + DENOMINATOR) * same >= 2 * NUMERATOR * total
+        at, share = at[fits], same[fits] / total[fits]
         if top is not None and len(at) > top:
-            at = at[np.argsort(-bound / (size + self.levels[0][1][at]), kind="stable")[:top]]
+            at = at[np.argsort(-share, kind="stable")[:top]]
         return self.order[at]
 
 
@@ -355,16 +370,16 @@ def tile_pairs(rows: DataFrame, top: int | None) -> DataFrame:
 
         def pairs_of() -> pa.RecordBatch:
             asks, sets, sizes, classes = (np.array(x) for x in zip(*((r[0], r[1], r[2], r[3]) for r in held)))
-            vectors = np.array([r[4] for r in held], np.int16)
+            vectors, odd = np.array([r[4] for r in held], np.int16), np.array([r[5] for r in held], np.int64)
             found = []
             if len(told) > 500_000:
                 told.clear()
             if (~asks).any():
                 kept = np.flatnonzero(~asks)
-                tree = CountTree(vectors[kept], sizes[kept], classes[kept])
+                tree = CountTree(vectors[kept], sizes[kept], classes[kept], odd[kept])
                 for q in np.flatnonzero(asks):
                     own = int(sets[q])
-                    for other in sets[kept[tree.near(vectors[q], int(sizes[q]), int(classes[q]), top)]].tolist():
+                    for other in sets[kept[tree.near(vectors[q], int(sizes[q]), int(classes[q]), odd[q], top)]].tolist():
                         pair = (own, other) if own < other else (other, own)
                         if pair not in told:  # blocks of one task share many pairs
                             told.add(pair)
@@ -372,7 +387,7 @@ def tile_pairs(rows: DataFrame, top: int | None) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("shingle", "x", "y", "asks", "set", "n", "root", "vector")]
+            columns = [batch.column(c).to_pylist() for c in ("shingle", "x", "y", "asks", "set", "n", "root", "vector", "odd")]
             for h, x, y, *row in zip(*columns):
                 if (h, x, y) != now:
                     if held:
@@ -403,7 +418,7 @@ def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, ti
     full = inside.join(staged(tiles, "tiles", narrow=True), "shingle").join(vectors, "set")
     x, y = F.pmod(F.xxhash64("set", F.lit(1)), F.col("xs")).cast("int"), F.pmod(F.xxhash64("set", F.lit(2)), F.col("ys")).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    same = ["set", "n", "root", "vector"]
+    same = ["set", "n", "root", "vector", "odd"]
     asking = full.where("root <> main").select("shingle", x.alias("x"), upto("ys").alias("y"), F.lit(True).alias("asks"), *same)
     asked = full.select("shingle", upto("xs").alias("x"), y.alias("y"), F.lit(False).alias("asks"), *same)
     return tile_pairs(asking.unionByName(asked), top)
@@ -434,8 +449,8 @@ def grouped(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int =
     2. Blocks of sets that share one of their rarest quarter of shingles: no link lies outside.
     3. Each set is verified against the first sets of its blocks that it meets most, and components taken.
     4. Sets of a block that aren't in its main component ask a count-vector R-tree over the block,
-       whose nodes are bounded by sums of coordinate minima; surviving pairs are verified. The
-       nearest alone go first, which joins most components, then all that is left.
+       whose nodes are bounded by sums of coordinate minima and whose points by the parity of finer
+       groups as well; surviving pairs are verified. The nearest alone go first, which joins most components, then all that is left.
     Blocks are salted by the sketch, hot ones cut into tiles; nothing is kept on one machine, and
     only fixed-size arrays reach the driver.
 
@@ -463,9 +478,9 @@ def grouped(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int =
     several = blocks.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("shingle")
     blocks = staged(blocks.join(several, "shingle", "left_semi").select("shingle", "salts", "salt", "set").distinct(), "shared")
     wanted = staged(blocks.select("set").distinct(), "wanted", narrow=True)
-    vectors = staged(keyed.where("segment is null and n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("vector").alias("vector")), "vectors")
-    sets = staged(candidate_sets(base, vectors.select("set", "id"), size), "sets")
-    vectors = vectors.drop("id")
+    holders = staged(keyed.where("segment is null and n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id")), "holders", narrow=True)
+    sets = staged(candidate_sets(base, holders, size), "sets")
+    vectors = staged(sets.select("set", "n", "vector", "odd").dropDuplicates(["set"]), "vectors")
     roots = components(linked(may_link(best, vectors), sets))
     for top in (NEAREST, None):
         roots = joined(roots, linked(may_link(remaining_pairs(blocks, roots, vectors, tile, top), vectors), sets))

@@ -410,11 +410,20 @@ def test_tree_loses_no_pair():
     import numpy as np
 
     rng = np.random.default_rng(6)
-    vectors = rng.poisson(2, (300, jaccard.GROUPS)) + 0
-    vectors[100:200] = vectors[:100] + rng.binomial(1, 0.05, (100, jaccard.GROUPS))
-    sizes, classes = vectors.sum(axis=1), np.arange(300)
-    tree = jaccard.CountTree(vectors, sizes, classes)
-    for q in range(300):
-        both = np.minimum(vectors, vectors[q]).sum(axis=1)
-        want = {k for k in range(300) if k != q and 7 * both[k] >= 3 * (sizes[k] + sizes[q])}
-        assert want <= set(tree.near(vectors[q], sizes[q], q).tolist())
+    pool = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, 200)) for _ in range(100)]
+    for k in range(200):
+        own = sets[k % 100]
+        sets.append(np.unique(np.r_[own[rng.integers(0, 60) :], rng.choice(pool, rng.integers(1, 30))]))
+    vectors, odd = np.array([jaccard.count_vector(x) for x in sets]), np.array([jaccard.odd_groups(x) for x in sets])
+    sizes = np.array([len(x) for x in sets])
+    tree = jaccard.CountTree(vectors, sizes, np.arange(300), odd)
+    links = near = 0
+    for q, own in enumerate(sets):
+        want = {k for k, x in enumerate(sets) if k != q and 7 * len(np.intersect1d(own, x)) >= 3 * (len(x) + len(own))}
+        got = set(tree.near(vectors[q], sizes[q], q, odd[q]).tolist())
+        assert want <= got
+        links, near = links + len(want), near + len(got)
+        best = tree.near(vectors[q], sizes[q], q, odd[q], 2)
+        assert len(best) == min(2, len(got)) and set(best.tolist()) <= got
+    assert 0 < links <= near <= 2 * links
