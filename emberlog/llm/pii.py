@@ -6,7 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +27,8 @@ DIGITS = re.compile("[^0-9]")
 REACH = 10
 #: A term may tell less than 1 / ALPHA of the bits that an entity's own mention tells.
 ALPHA = 1.25
+#: A disclosing term is removed from 1 / BETA of those bits on, as it is as good as the mention; below it is generalised.
+BETA = 1.02
 LEAST_TEXTS = 3
 
 
@@ -127,17 +129,20 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, alpha: float = ALPHA,
     return told.select("term", "entity", bits.alias("bits"), own.alias("own_bits")).where((F.col("own_bits") > 0) & (F.col("bits") >= F.col("own_bits") / alpha))
 
 
-def find_pii(docs: DataFrame, text: str = "text", id: str = "doc_id", reach: int = REACH, alpha: float = ALPHA, least_texts: int = LEAST_TEXTS) -> DataFrame:
-    """One row per document: id, text_key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms.
+def find_pii(docs: DataFrame, text: str = "text", id: str = "doc_id", reach: int = REACH, alpha: float = ALPHA, beta: float = BETA, least_texts: int = LEAST_TEXTS) -> DataFrame:
+    """One row per document: id, text_key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms, n_removed, sanitised.
 
     spans has all base spans, then every occurrence of a disclosing term (`disclosing_terms`) that
     lies outside them, as kind:start:end in code points. The set of disclosing terms travels as a bit
     array of fixed size; what it lets through by chance goes in a join on the term.
-    A null text counts as empty; repeated rows get a result each; a null id stays; an empty table
+    `sanitised` is the text with base spans generalised to their kind, and disclosing terms to their
+    form or, the n_removed that tell 1 / `beta` of an entity's own bits or more, removed.
+    A null text counts as empty and stays null in `sanitised`; repeated rows get a result each; a null id stays; an empty table
     gives no rows; other columns are ignored; whole texts are read.
     """
     base = docs.select(docs[id].alias("id"), docs[text].alias("text"))
-    terms = staged(disclosing_terms(base, reach, alpha, least_texts).select("term").distinct(), "terms")
+    told = disclosing_terms(base, reach, alpha, least_texts)
+    terms = staged(told.groupBy("term").agg((F.max(F.col("bits") / F.col("own_bits")) >= 1 / beta).alias("remove")), "terms")
     bits = TermBits(terms, "term")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,33 +150,71 @@ def find_pii(docs: DataFrame, text: str = "text", id: str = "doc_id", reach: int
         for batch in batches:
             for rows in slices(batch, "text"):
                 out = []
-                for doc, key, text in zip(rows["id"], rows["text_key"], rows["text"]):
-                    text = text or ""
+                for doc, key, whole in zip(rows["id"], rows["text_key"], rows["text"]):
+                    text = whole or ""
                     spans = base_spans(text)
                     n = Counter(k for k, _, _ in spans)
                     told = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
                     taken = [(a, b) for _, a, b in spans]
                     maybe = [m for m in WORD.finditer(text) if wanted[m[0]]] if any(map(wanted.__getitem__, WORD.findall(text))) else []
                     maybe = [(m[0].lower(), *m.span()) for m in maybe if not any(a < m.end() and m.start() < b for a, b in taken)]
-                    out.append((doc, key, *(n[k] for k in KINDS), hashlib.sha256(told.encode()).hexdigest(), told, [{"term": t, "start": a, "end": b} for t, a, b in maybe]))
-                kinds = (batch.schema.field("id").type, pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["id", "text_key", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "maybe"])
+                    out.append((doc, key, *(n[k] for k in KINDS), hashlib.sha256(told.encode()).hexdigest(), told, [{"term": t, "start": a, "end": b} for t, a, b in maybe], whole))
+                kinds = (batch.schema.field("id").type, pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["id", "text_key", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "maybe", "text"])
 
     kind = docs.schema[id].dataType.simpleString()
-    found = staged(map_arrow(base.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), find, f"id {kind}, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, maybe array<struct<term:string,start:long,end:long>>"), "spans")
+    found = staged(map_arrow(base.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), find, f"id {kind}, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, maybe array<struct<term:string,start:long,end:long>>, text string"), "spans")
     occurrences = found.where("size(maybe) > 0").select("id", "text_key", F.explode("maybe").alias("m")).select("id", "text_key", "m.*").distinct()
-    sure = occurrences.join(terms, "term", "left_semi").groupBy("id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+    sure = occurrences.join(terms, "term").groupBy("id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "remove"))).alias("terms"))
     told = F.transform("terms", lambda s: F.concat_ws(":", F.lit(TERM), s["start"], s["end"]))
     joined = found.alias("a").join(sure.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.text_key") == F.col("b.text_key")), "left")
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.array_join(told, ","))
-    return joined.select(F.col("a.id").alias(id), "a.text_key", *(f"n_{k}" for k in KINDS), "base_sha256", spans.alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_terms"))
+    many = lambda of: F.coalesce(F.size(of), F.lit(0)).cast("long")
+    removed = F.filter("terms", lambda t: t["remove"])
+    general = F.transform(F.filter("terms", lambda t: ~t["remove"]), lambda t: t["start"])
+    columns = (F.col("a.id"), "a.text_key", *(f"n_{k}" for k in KINDS), "base_sha256", spans.alias("spans"), many("terms").alias("n_terms"), many(removed).alias("n_removed"))
+    rows = joined.select(*columns, "text", F.coalesce(general, F.array().cast("array<long>")).alias("general"))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = {f.name: f.type for f in batch.schema if f.name not in ("text", "general")} | {"sanitised": pa.string()}
+            for part in slices(batch, "text"):
+                texts = zip(part.pop("text"), part["spans"], part.pop("general"))
+                part["sanitised"] = [x if not told else sanitise(x, told, general) for x, told, general in texts]
+                yield pa.RecordBatch.from_arrays([pa.array(part[c], t) for c, t in kinds.items()], list(kinds))
+
+    counts = ", ".join(f"n_{k} long" for k in KINDS)
+    return map_arrow(rows, clean, f"id {kind}, text_key long, {counts}, base_sha256 string, spans string, n_terms long, n_removed long, sanitised string").withColumnRenamed("id", id)
+
+
+def form(word: str) -> str:
+    """What a word is generalised to."""
+    if word.isdigit():
+        return "<number>"
+    if any(map(str.isdigit, word)):
+        return "<code>"
+    return "<name>" if word[:1].isupper() else "<word>"
 
 
-def sanitise(text: str, spans: str) -> str:
-    """The text with base spans generalised to their kind and disclosing terms removed."""
-    out, at = [], 0
-    for kind, start, end in sorted((s.split(":") for s in spans.split(",") if s), key=lambda s: int(s[1])):
-        if int(start) >= at:
-            out += [text[at : int(start)], "" if kind == TERM else f"<{kind}>"]
-            at = int(end)
+def sanitise(text: str, spans: str, general: Collection[int] = ()) -> str:
+    """The text with base spans generalised to their kind, terms that start at a place in `general` to their form, and other terms removed.
+
+    Of spans that overlap the first stays; what the next ones have beyond it goes, too.
+    """
+    out, at, general = [], 0, set(general)
+    for kind, start, end in sorted(((k, int(a), int(b)) for k, a, b in (s.split(":") for s in spans.split(",") if s)), key=lambda s: s[1:]):
+        if start >= at:
+            own = f"<{kind}>" if kind != TERM else form(text[start:end]) if start in general else ""
+            out += [text[at:start], own]
+        at = max(at, end)
     return "".join([*out, text[at:]])
+
+
+def sanitise_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
+    """All rows and columns of `docs` with the text as in `sanitised` of `find_pii`; cases as there."""
+    found = find_pii(docs, text, id, **options).select(F.col(id).alias("id"), "text_key", "sanitised").dropDuplicates(["id", "text_key"]).alias("f")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(own.alias("row"), docs[id].alias("id"), F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("text_key")).alias("d")
+    both = rows.join(found, F.col("d.id").eqNullSafe(F.col("f.id")) & (F.col("d.text_key") == F.col("f.text_key")))
+    cleaned = F.when(F.col("row").getField(text).isNotNull(), F.coalesce("sanitised", F.lit("")))
+    return both.select(*[cleaned.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -158,6 +158,20 @@ def test_terms_that_give_an_entity_away(spark):
     assert got[300]["spans"] == "term:5:16" and got[300]["n_terms"] == 1
     assert pii.sanitise(rows[-1][1], got[300]["spans"]) == "only  here, the end"
     assert all(got[k]["n_terms"] == 0 for k in range(10, 200))
+    assert got[300]["n_removed"] == 0 and got[300]["sanitised"] == "only <word> here, the end"
+    assert pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"), beta=pii.ALPHA).where("doc_id = 300").first()["sanitised"] == "only  here, the end"
+    # "wrote" and "from" stand with that address alone, the name once without
+    assert " <word>   <email> " in got[0]["sanitised"] and got[0]["n_removed"] == 2 and got[0]["n_terms"] == 3
+    assert pii.sanitise("a Bob b7 7 bob z", "term:2:5,term:6:8,term:9:10,term:11:14,email:0:1", [2, 6, 9]) == "<email> <name> <code> <number>  z"
+
+
+def test_sanitised_documents_keep_their_rows(spark):
+    long = "word " * 200_000
+    rows = [(1, "to a.b@c.de now", "x", "p"), (1, "to a.b@c.de now", "x", "q"), (None, None, None, None), (None, "", "y", None), (2, long + "1.2.3.4", "z", "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sanitised string, id string")
+    got = sorted(map(tuple, pii.sanitise_documents(docs).collect()), key=str)
+    assert got == sorted([(1, "to <email> now", "x", "p"), (1, "to <email> now", "x", "q"), (None, None, None, None), (None, "", "y", None), (2, long + "<ip>", "z", "r")], key=str)
+    assert pii.sanitise_documents(docs.limit(0)).count() == 0
 
 
 # 4: benchmark passages
