@@ -136,8 +136,9 @@ def find_pii(docs: DataFrame, text: str = "text", id: str = "doc_id", reach: int
     lies outside them, as kind:start:end in code points. The set of disclosing terms travels as a bit
     array of fixed size; what it lets through by chance goes in a join on the term.
     `sanitised` is the text with base spans generalised to their kind, and disclosing terms to their
-    form or, the n_removed that tell 1 / `beta` of an entity's own bits or more, removed.
-    A null text counts as empty and stays null in `sanitised`; repeated rows get a result each; a null id stays; an empty table
+    form or, the n_removed that tell 1 / `beta` of an entity's own bits or more, removed; it is null where
+    no span is found, as the text stays, so that such texts don't travel.
+    A null text counts as empty; repeated rows get a result each; a null id stays; an empty table
     gives no rows; other columns are ignored; whole texts are read.
     """
     base = docs.select(docs[id].alias("id"), docs[text].alias("text"))
@@ -158,7 +159,7 @@ def find_pii(docs: DataFrame, text: str = "text", id: str = "doc_id", reach: int
                     taken = [(a, b) for _, a, b in spans]
                     maybe = [m for m in WORD.finditer(text) if wanted[m[0]]] if any(map(wanted.__getitem__, WORD.findall(text))) else []
                     maybe = [(m[0].lower(), *m.span()) for m in maybe if not any(a < m.end() and m.start() < b for a, b in taken)]
-                    out.append((doc, key, *(n[k] for k in KINDS), hashlib.sha256(told.encode()).hexdigest(), told, [{"term": t, "start": a, "end": b} for t, a, b in maybe], whole))
+                    out.append((doc, key, *(n[k] for k in KINDS), hashlib.sha256(told.encode()).hexdigest(), told, [{"term": t, "start": a, "end": b} for t, a, b in maybe], whole if spans or maybe else None))
                 kinds = (batch.schema.field("id").type, pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["id", "text_key", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "maybe", "text"])
 
@@ -180,7 +181,7 @@ def find_pii(docs: DataFrame, text: str = "text", id: str = "doc_id", reach: int
             kinds = {f.name: f.type for f in batch.schema if f.name not in ("text", "general")} | {"sanitised": pa.string()}
             for part in slices(batch, "text"):
                 texts = zip(part.pop("text"), part["spans"], part.pop("general"))
-                part["sanitised"] = [x if not told else sanitise(x, told, general) for x, told, general in texts]
+                part["sanitised"] = [sanitise(x, told, general) if told else None for x, told, general in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(part[c], t) for c, t in kinds.items()], list(kinds))
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
@@ -216,5 +217,5 @@ def sanitise_documents(docs: DataFrame, text: str = "text", id: str = "doc_id",
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(own.alias("row"), docs[id].alias("id"), F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("text_key")).alias("d")
     both = rows.join(found, F.col("d.id").eqNullSafe(F.col("f.id")) & (F.col("d.text_key") == F.col("f.text_key")))
-    cleaned = F.when(F.col("row").getField(text).isNotNull(), F.coalesce("sanitised", F.lit("")))
+    cleaned = F.coalesce("sanitised", F.col("row").getField(text))
     return both.select(*[cleaned.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
