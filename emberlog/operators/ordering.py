@@ -174,17 +174,15 @@ def _ranged(df: DataFrame, keys: list[Key]) -> DataFrame:
     chosen = some.withColumn("__at", F.row_number().over(Window.orderBy("__order"))).where(F.col("__at") % (LOOKED_AT // RANGES) == 0)
     borders = chosen.agg(F.sort_array(F.collect_list("__order"))).scalar()
 
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.shiftright(s["low"] + s["high"], 1)
-        # The optimizer moves in here what is named once: the borders, which stay outside the rows, but not the row's place.
-        own = F.col("__order")
-        right = F.get(F.transform(F.array(F.get(F.col("__borders"), middle)), lambda b: F.coalesce(b < own, own < b, F.lit(False))), F.lit(0))
-        return F.when(right, F.struct((middle + 1).alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), middle.alias("high")))
-
-    start = F.struct(F.lit(0).alias("low"), F.lit(RANGES - 1).alias("high"))
-    steps = F.array(*[F.lit(0)] * RANGES.bit_length())
-    found = F.aggregate(steps, start, halve, lambda s: s["low"])
-    return placed.withColumn("__borders", borders).select(*map(quoted, df.columns), "__order", found.alias("__range"))
+    # A projection per halving: the generated code does a comparison each, and no step is copied into the next.
+    searched = placed.withColumn("__borders", borders).withColumn("__range", F.lit(0))
+    step = RANGES // 2
+    while step:
+        border = F.get(F.col("__borders"), F.col("__range") + (step - 1))
+        searched = searched.withColumn("__range", F.when(border < F.col("__order"), F.col("__range") + step).otherwise(F.col("__range")))
+        step //= 2
+    # Filters on generated columns stay above them; below, each would repeat the whole search twice per step.
+    return searched.select(*map(quoted, df.columns), "__order", F.explode(F.array("__range")).alias("__range"))
 
 
 def _ranked(df: DataFrame, rows: DataFrame, group: list[str], wanted: Column) -> DataFrame:

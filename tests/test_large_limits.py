@@ -90,3 +90,11 @@ def test_no_task_merges_the_rows_of_a_large_sample(spark, rows):
     found = ordering.newest_per_index(rows.withColumnRenamed("g", "_index"), "t", ordering.LARGE_LIMIT + 1)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "__range" in plan and found.count() == 1350
+
+
+def test_places_in_the_order_are_found_by_generated_code(spark, rows):
+    ranged = ordering._ranged(rows, [Key(F.col("n"), True, False)]).where("__range < 3")
+    plan = ranged._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and len(plan) < 100_000  # no search by lambdas, none copied into the filter
+    whole = ordering._ranged(rows, [Key(F.col("n"), True, False)]).orderBy("__order").select("__range").collect()
+    assert [r[0] for r in whole] == sorted(r[0] for r in whole) and len({r[0] for r in whole}) == 16
