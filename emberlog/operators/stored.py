@@ -2,7 +2,8 @@
 
 A query is taken apart into alternatives, each a list of conditions that all must hold. An alternative is found
 by that condition which the fewest queries share: a value or word a row must have, or the cells of a range its value must lie in. The
-conditions are rows of a table, so the plan is as small for ten thousand queries as for ten. What can't be taken apart
+conditions are rows of a table, so the plan is as small for ten thousand queries as for ten. A second condition with a value or
+a bounded range joins the first in the key, as a condition that few queries share may still hold for most rows. What can't be taken apart
 (patterns, fuzzy words, relations) is tested as before, a predicate per query.
 """
 
@@ -17,6 +18,7 @@ from datetime import datetime, timezone
 from functools import reduce
 from itertools import product
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +32,11 @@ MOST_ALTERNATIVES = 64
 #: Widths, as powers of two, of the cells that ranges are looked up by, and how many cells a range may take.
 CELL_BITS = tuple(range(0, 64, 4))
 MOST_CELLS = 33
+#: Keys that two conditions may make together, and what stands between their parts.
+MOST_PAIRS = 64
+AND = "\x1f"
 
 _INSTANTS = (T.TimestampType, T.TimestampNTZType)
-_ATOM = "struct<field:string,kind:string,word:string,low:double,high:double,first:bigint,last:bigint,negated:boolean>"
 
 
 @dataclass(frozen=True)
@@ -244,6 +248,17 @@ def keys_of(atom: Atom) -> list[tuple[str, str]]:
     return [(atom.field, c) for c in cells]
 
 
+def _single(fields: Fields, atom: Atom) -> bool:
+    """A row has at most one key of a width for the condition."""
+    return not fields.find(atom.field).text
+
+
+def _bounded(atom: Atom) -> bool:
+    if atom.kind == "double":
+        return math.isfinite(atom.low) and math.isfinite(atom.high)
+    return atom.kind != "long" or (atom.first > MIN_LONG and atom.last < MAX_LONG)
+
+
 def index_of(fields: Fields, queries: Mapping[str, dict]) -> tuple[list[tuple], dict[str, dict]]:
     """(id, alternative, field, key, atoms) rows of the queries that come apart, and those that don't."""
     found, whole = [], {}
@@ -257,24 +272,55 @@ def index_of(fields: Fields, queries: Mapping[str, dict]) -> tuple[list[tuple],
     used = Counter(key for _, _, atoms in keyed for _, keys in atoms for key in keys)
     rows = []
     for name, alternative, atoms in keyed:
-        keys = min(atoms, key=lambda ak: (max(used[k] for k in ak[1]), _SEARCHED.index(ak[0].kind)))[1] if atoms else [("", "")]
-        told = [tuple(a.__dict__.values()) for a in alternative]
+        ranked = sorted(atoms, key=lambda ak: (max(used[k] for k in ak[1]), _SEARCHED.index(ak[0].kind)))
+        keys = ranked[0][1] if ranked else [("", "")]
+        if ranked and _single(fields, ranked[0][0]):
+            others = [k for a, k in ranked[1:] if a.field != ranked[0][0].field and _single(fields, a) and _bounded(a) and len(k) * len(keys) <= MOST_PAIRS]
+            keys = [tuple(map(AND.join, zip(*sorted(pair)))) for pair in product(keys, others[0])] if others else keys
+        told = [dict(a.__dict__) for a in alternative]
         rows += [(name, field, key, told) for field, key in keys]
     return rows, whole
 
 
-INDEX = f"__query string, __field string, __key string, __atoms array<{_ATOM}>"
-
-
-def _row_keys(field: Field, text: bool, searched: set[str]) -> Column:
-    """The keys of a row's field that an index with such keys may have."""
-    value = field.column
+_INDEX = pa.schema([("__field", pa.string()), ("__key", pa.string()), ("__number", pa.int64())])
+_ALTERNATIVES = pa.schema([
+    ("__number", pa.int64()), ("__query", pa.string()),
+    ("__atoms", pa.list_(pa.struct([
+        ("field", pa.string()), ("kind", pa.string()), ("word", pa.string()), ("low", pa.float64()), ("high", pa.float64()),
+        ("first", pa.int64()), ("last", pa.int64()), ("negated", pa.bool_()),
+    ]))),
+])
+
+
+def _row_keys(named: Mapping[str, Field], name: str, searched: set[str]) -> Column:
+    """The keys of a row that an index has for a field, or for two fields together."""
+    if AND not in name:
+        field = named[name]
+        if field.text:
+            return F.array_distinct(F.concat(P.tokens(field.column), F.array(field.column)))
+        return F.array(*[_row_key(field, bits) for bits in _widths([field], searched)])
+    pair = [named[n] for n in name.split(AND)]
+    return F.array(*[F.concat(*[c for field, w in zip(pair, bits) for c in (_row_key(field, (w,)), F.lit(AND))][:-1]) for bits in _widths(pair, searched)])
+
+
+def _widths(fields: Sequence[Field], searched: set[str]) -> list[tuple[int | None, ...]]:
+    """The widths of cells that the keys have, one per field; None for a field of strings, which has none."""
+    text = [isinstance(f.dtype, T.StringType) for f in fields]
+    if all(text):
+        return [(None,) * len(fields)]
+    found = set()
+    for key in searched:
+        # The parts of numbers hold no separator; a string may.
+        parts = [key] if len(fields) == 1 else key.rsplit(AND, 1) if text[0] else key.split(AND, 1)
+        found.add(tuple(None if is_text else int(part.partition("/")[0]) for is_text, part in zip(text, parts)))
+    return sorted(found, key=str)
+
+
+def _row_key(field: Field, bits: tuple[int | None, ...]) -> Column:
     if isinstance(field.dtype, T.StringType):
-        keys = P.tokens(value) if text else F.array(value)
-        return F.array_distinct(F.concat(keys, F.array(value))) if text else keys
-    bits = sorted({int(k.partition("/")[0]) for k in searched})
-    number = _long(field) if not isinstance(field.dtype, T.FractionalType) else _ordered_column(value)
-    return F.array(*[F.concat(F.lit(f"{b}/"), F.shiftright(number, b).cast("string")) for b in bits])
+        return field.column
+    number = _long(field) if not isinstance(field.dtype, T.FractionalType) else _ordered_column(field.column)
+    return F.concat(F.lit(f"{bits[0]}/"), F.shiftright(number, bits[0]).cast("string"))
 
 
 def _long(field: Field) -> Column:
@@ -327,16 +373,20 @@ def by_index(df: DataFrame, fields: Fields, queries: Mapping[str, dict], label:
     spark = df.sparkSession
     if not rows:
         return df.where("false").withColumn(label, F.lit("")), whole
-    index = spark.createDataFrame(rows, INDEX)
+    told: dict[int, dict] = {}  # keys of one alternative share its list
+    numbers = [told.setdefault(id(r[3]), {"__number": len(told), "__query": r[0], "__atoms": r[3]})["__number"] for r in rows]
+    # Spark knows the size of an Arrow table, so rows need no shuffle to meet a small index.
+    index = spark.createDataFrame(pa.Table.from_pylist([{"__field": r[1], "__key": r[2], "__number": n} for r, n in zip(rows, numbers)], _INDEX))
+    whole_alternatives = spark.createDataFrame(pa.Table.from_pylist(list(told.values()), _ALTERNATIVES))
     numbered = df.withColumn("__row", F.monotonically_increasing_id())
     asked: dict[str, set[str]] = {}
     for _, field, key, _ in rows:
         asked.setdefault(field, set()).add(key)
-    named = {n: fields.find(n) for n in {a[0] for r in rows for a in r[3]}}
+    named = {n: fields.find(n) for n in {a["field"] for r in rows for a in r[3]}}
     keys = [F.array(F.struct(F.lit("").alias("f"), F.lit("").alias("k")))] if "" in asked else []
     columns = {}
     for n, (name, searched) in enumerate((n, s) for n, s in sorted(asked.items()) if n):
-        columns[f"__keys{n}"] = _row_keys(named[name], named[name].text, searched)
+        columns[f"__keys{n}"] = _row_keys(named, name, searched)
         keys.append(_pairs(F.col(f"__keys{n}"), name))
     values = {kind: [] for kind in ("words", "texts", "doubles", "longs", "there")}
     for name, field in sorted(named.items()):
@@ -354,10 +404,10 @@ def by_index(df: DataFrame, fields: Fields, queries: Mapping[str, dict], label:
     maps = {f"__{k}": (F.create_map(*[c for pair in v for c in pair]) if v else F.create_map()).cast(f"map<string,{typed[k]}>") for k, v in values.items()}
     # Only keys that some query asks for leave a row.
     met = numbered.withColumns(columns).withColumn("__met", F.explode(F.concat(*keys))).drop(*columns)
-    joined = met.join(index, (F.col("__met.f") == F.col("__field")) & (F.col("__met.k") == F.col("__key")))
+    joined = met.join(index, (F.col("__met.f") == F.col("__field")) & (F.col("__met.k") == F.col("__key"))).join(whole_alternatives, "__number")
     tested = joined.withColumns(maps).where(F.forall("__atoms", _holds))
     found = tested.select(*[quoted(c) for c in df.columns], "__row", F.col("__query").alias(label))
-    alone = len({(r[0], str(r[3])) for r in rows}) == len({r[0] for r in rows})  # an alternative meets a row once
+    alone = len(told) == len({r[0] for r in rows})  # an alternative meets a row once
     return (found if alone else found.dropDuplicates(["__row", label])).drop("__row"), whole
 
 

@@ -106,3 +106,16 @@ def test_percolate_in_a_body(spark):
     for bad in ({"field": "query"}, {"field": "query", "document": document, "index": "i"}):
         with pytest.raises(QueryError):
             logs.search({"percolate": bad})
+
+
+def test_conditions_that_most_rows_fulfil_are_joined_with_a_range(spark):
+    """Queries share a range so often that the kind of row seems rarer; rows of that kind must still not meet them all."""
+    rows = spark.range(2000).select("id", F.when(F.col("id") % 2 == 0, "error").otherwise("view").alias("kind"), F.col("id").cast("double").alias("price"))
+    queries = {f"q{k}": {"bool": {"filter": [{"term": {"kind": "error"}}, {"range": {"price": {"gte": 10 + k / 1000, "lt": 12}}}]}} for k in range(300)}
+    queries |= {f"r{k}": {"range": {"price": {"gte": 10 + k / 1000, "lt": 12}}} for k in range(300)}
+    fields = Fields.of(rows)
+    index, _ = stored.index_of(fields, queries)
+    assert {r[1] for r in index if r[0].startswith("q")} == {stored.AND.join(["kind", "price"])}
+    got = relations.percolate(rows, queries, fields)
+    # 11 meets the 300 ranges, 10 one of each sort.
+    assert got.count() == 302 and got.where("kind = 'error'").count() == 2
