@@ -99,7 +99,9 @@ def write_bundle(
     sample = sample_with_total(df, time_field, limit, tie_break, index, total="__total")
     key = Fields.of(sample).find(index).column
     content = [quoted(name) for name in df.columns if name != index]
-    lines = F.pmod(F.xxhash64(*[F.to_json(F.struct(*content))]), F.lit(-(-limit // LINE_DOCUMENTS)))
+    # as many lines as the index has documents for: a limit far above them would leave a line per document
+    needed = F.greatest(F.ceil(F.least(F.col("__total"), F.lit(limit).cast("bigint")) / LINE_DOCUMENTS), F.lit(1).cast("bigint"))
+    lines = F.pmod(F.xxhash64(*[F.to_json(F.struct(*content))]), needed)
     per_index = sample.groupBy(key.alias("name"), lines.alias("__line")).agg(
         F.collect_list(F.struct(*content)).alias("documents"), F.max("__total").alias("count")
     )

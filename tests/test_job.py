@@ -106,3 +106,14 @@ def test_export_from_date_partitions(spark, tmp_path):
     assert [tuple(r) for r in spark.read.json(str(tmp_path / "out")).select("id", "_index").orderBy("id").collect()] == [
         (3, "logs-1"), (4, "logs-1"),
     ]
+
+
+def test_a_line_of_a_bundle_holds_many_documents_whatever_the_limit(spark, tmp_path):
+    from emberlog.sources import importer, sinks
+
+    rows = spark.range(3000).selectExpr("'logs' as _index", "id", "timestamp_ntz'2024-01-01' as t")
+    sinks.write_bundle(rows, str(tmp_path / "bundle"), "t", 2_000_000_000, ["id"])
+    assert spark.read.text(str(tmp_path / "bundle")).count() <= 3
+    assert importer.documents_of(spark, str(tmp_path / "bundle"), "2024-01-31").count() == 3000
+    sinks.write_bundle(rows, str(tmp_path / "small"), "t", 10, ["id"])
+    assert importer.documents_of(spark, str(tmp_path / "small"), "2024-01-31").count() == 10
