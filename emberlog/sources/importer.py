@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,20 +166,36 @@ def import_file(spark: SparkSession, path: str, root: str, day: str, force: bool
     that is there keeps the types of its fields and only learns new fields.
     """
     found, definitions = _split_entries(read_entries(spark, path), day)
-    documents = found.select("_index", clean_document(F.col("doc")).alias("doc"))
+    cleaned = found.select("_index", clean_document(F.col("doc")).alias("doc"))
+    # Parsed and cleaned once, for the documents and for their types.
+    hidden = f"{root.rstrip('/')}/.cleaned-{uuid.uuid4().hex}"
+    cleaned.write.parquet(f"{hidden}/documents")
+    try:
+        documents = spark.read.schema(cleaned.schema).parquet(f"{hidden}/documents")
+        return _import_cleaned(spark, documents, mappings_of(definitions), root, force, f"{hidden}/mapping")
+    finally:
+        gone = spark._jvm.org.apache.hadoop.fs.Path(hidden)
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
+def _import_cleaned(spark: SparkSession, documents: DataFrame, given: DataFrame, root: str, force: bool, hidden: str) -> DataFrame:
+    """Writes cleaned documents (`_index`, `doc`) and the mapping of their indices; what it returns reads neither them nor `hidden`."""
     lines = documents.select("_index", F.to_json("doc").alias("value")).hint("rebalance", "_index")
     writer = lines.write.mode("overwrite" if force else "append").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("_index").text(root)
-    given = mappings_of(definitions)
     inferred = infer_mapping(documents, keys=("_index",)).select("_index", "field", "type", "format")
     mapping = given.unionByName(inferred.join(given.select("_index", "field").distinct(), ["_index", "field"], "left_anti"))
     known = None if force else _kept_mappings(spark, root)
     if known is not None:
         mapping = mapping.join(known.select("_index", "field").distinct(), ["_index", "field"], "left_anti")
+    mapping.write.parquet(hidden)
+    mapping = spark.read.schema(mapping.schema).parquet(hidden)
     # An entry per index: the ones of this import replace those before, all others stay.
     writer = mapping.repartition("_index").write.mode("overwrite" if force else "append").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("_index").json(f"{root.rstrip('/')}/{MAPPINGS}")
     wanted = mapping.select("_index").distinct() if known is None else documents.select("_index").union(given.select("_index")).distinct()
+    names = [[row[0]] for row in wanted.collect()]  # a name per index
+    wanted = spark.createDataFrame(names, "_index string")
     return _kept_mappings(spark, root).join(wanted, "_index", "left_semi")
 
 
