@@ -25,6 +25,8 @@ MOST = 32000
 FINE = 1024
 #: Counters of the frequency sketch, and in a segment of it; slots of the candidate bit array.
 COUNTERS, SEGMENT, SLOTS = 1 << 27, 1 << 16, 1 << 22
+#: Parts that the sketch reaches the driver in, each about a megabyte at most.
+FETCHES = 32
 #: A fine counter is kept as one of four classes, up to these counts and above; coarse ones tell how far above.
 CLASSES, COARSE = (1, 8, 64), 1 << 20
 #: First sets of its blocks that a set is verified against before the tree looks for the rest.
@@ -205,7 +207,7 @@ def frequency_sketch(rows: DataFrame) -> Sketch:
             classes = np.searchsorted(CLASSES, total).astype(np.uint8).reshape(-1, 4)
             fine = classes[:, 0] | classes[:, 1] << 2 | classes[:, 2] << 4 | classes[:, 3] << 6
             common = np.flatnonzero(total > CLASSES[-1])
-            columns = ([now], [fine.astype(np.uint8).tobytes()], [common.astype(np.uint16).tobytes()], [to_code(total[common]).tobytes()])
+            columns = ([now], [zlib.compress(fine.astype(np.uint8).tobytes(), 1)], [common.astype(np.uint16).tobytes()], [to_code(total[common]).tobytes()])
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["segment", "fine", "common", "codes"])
 
         for batch in batches:
@@ -219,10 +221,11 @@ def frequency_sketch(rows: DataFrame) -> Sketch:
             yield told()
 
     parts = rows.where("segment is not null").select("segment", "slots", "counts").repartition("segment").sortWithinPartitions("segment")
+    # added up by all tasks at once, then fetched a partition at a time; their number stands, as a small table would come as a single one
+    done = staged(map_arrow(parts, add, "segment int, fine binary, common binary, codes binary"), "segments", narrow=True)
     sketch = Sketch()
-    # one partition at a time: the driver holds the sketch alone, not all its rows as well
-    for segment, fine, common, codes in map_arrow(parts, add, "segment int, fine binary, common binary, codes binary").toLocalIterator():
-        sketch.bits[segment * SEGMENT // 4 : (segment + 1) * SEGMENT // 4] = fine
+    for segment, fine, common, codes in done.repartition(FETCHES, "segment").toLocalIterator():
+        sketch.bits[segment * SEGMENT // 4 : (segment + 1) * SEGMENT // 4] = zlib.decompress(fine)
         at = (segment * SEGMENT + np.frombuffer(common, np.uint16).astype(np.int64)) & (COARSE - 1)
         np.maximum.at(sketch.coarse, at, np.frombuffer(codes, np.uint8))
     return sketch
@@ -470,6 +473,7 @@ def grouped(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int =
     met = (F.col("salts") > 1) | F.coalesce(alike(F.col("n"), F.col("smaller")), F.lit(False)) | F.coalesce(alike(F.col("n"), F.col("larger")), F.lit(False))
     blocks = staged(pre.where(met).select("shingle", "salts", "salt", "set", "n", "first"), "blocks")
     sketch.destroy()
+    del sketch  # its value too
     heads = blocks.where("salts > 1").select("shingle", "first").distinct().withColumn("head", F.min("first").over(Window.partitionBy("shingle")))
     stars = blocks.where(alike(F.col("n"), F.col("first.n"))).select(F.col("set").alias("a"), F.col("first.set").alias("b"))
     tops = heads.where(alike(F.col("first.n"), F.col("head.n"))).select(F.col("first.set").alias("a"), F.col("head.set").alias("b"))

@@ -441,3 +441,19 @@ def test_tree_loses_no_pair():
         best = tree.near(vectors[q], sizes[q], q, odd[q], 2)
         assert len(best) == min(2, len(got)) and set(best.tolist()) <= got
     assert 0 < links <= near <= 2 * links
+
+
+def test_sketch_of_a_small_table_comes_in_parts(spark, monkeypatch):
+    import numpy as np
+
+    from emberlog.llm import jaccard
+
+    texts = [" ".join(f"w{(7 * k + j) % 50}" for j in range(20)) for k in range(40)]
+    base = spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "id long, text string, text_key long")
+    fetched, real = [], type(base).toLocalIterator
+    monkeypatch.setattr(type(base), "toLocalIterator", lambda self, *a, **k: (fetched.append(self.rdd.getNumPartitions()), real(self, *a, **k))[1])
+    sketch = jaccard.frequency_sketch(jaccard.profiles(base, 5))
+    assert fetched == [jaccard.FETCHES]
+    sets = jaccard.shingle_sets(texts, jaccard.Powers())
+    all_of, times = np.unique(np.concatenate(sets), return_counts=True)
+    assert (sketch.of(all_of)[1] >= times).all()
