@@ -117,3 +117,16 @@ def test_a_line_of_a_bundle_holds_many_documents_whatever_the_limit(spark, tmp_p
     assert importer.documents_of(spark, str(tmp_path / "bundle"), "2024-01-31").count() == 3000
     sinks.write_bundle(rows, str(tmp_path / "small"), "t", 10, ["id"])
     assert importer.documents_of(spark, str(tmp_path / "small"), "2024-01-31").count() == 10
+
+
+def test_an_import_reads_its_source_once_and_leaves_nothing_hidden(spark, tmp_path):
+    from emberlog.sources import importer
+
+    source, root = tmp_path / "logs.json", tmp_path / "root"
+    source.write_text('{"n": 1.0, "code": "a"}\n{"n": 2, "uid": "x"}\n')
+    for force in (False, False, True):
+        mapping = importer.import_file(spark, str(source), str(root), "2024-01-31", force)
+        # Before, the names of the indices were worked out again from the source whenever the mapping was read.
+        assert not [name for name in mapping.inputFiles() if name.endswith("/logs.json")]
+        assert sorted((r.field, r.type) for r in mapping.collect())[0] == ("code", "keyword")
+        assert not list(root.glob(".cleaned*"))
