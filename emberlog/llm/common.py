@@ -72,17 +72,22 @@ def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterable
     return df.mapInArrow(make, schema)
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[dict[str, list]]:
-    """The rows of a batch in runs of about `size` characters of one column, nulls as they are."""
+def cuts(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about `size` characters of one column."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, total = 0, 0
     for i, n in enumerate(lengths):
         total += n
         if total >= size or i + 1 == len(lengths):
-            yield batch.slice(start, i + 1 - start).to_pydict()
+            yield batch.slice(start, i + 1 - start)
             start, total = i + 1, 0
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[dict[str, list]]:
+    """The rows of a batch in runs of about `size` characters of one column, nulls as they are."""
+    return (rows.to_pydict() for rows in cuts(batch, column, size))
+
+
 class Memo(dict):
     """A value per key, computed once; emptied when it holds `limit` keys."""
 

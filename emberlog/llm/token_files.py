@@ -9,6 +9,7 @@ any other block.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from array import array
@@ -17,12 +18,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import Memo, map_arrow, slices, staged, unstaged
-from emberlog.llm.token_counts import tokenizer, words_of
+from emberlog.llm.common import Memo, cuts, map_arrow, staged, unstaged
+from emberlog.llm.token_counts import tokenizer
 
 #: Ids of a piece of a document, of a block (the piece that fills it may go beyond) and between checkpoints of a block.
 PIECE, BLOCK, CHECKPOINT = 1 << 14, 1 << 20, 1 << 19
@@ -165,56 +167,94 @@ def _power(length: int) -> int:
     return result
 
 
-#: Tokenizers of this form keep a run of letters together and in lower case, apart from punctuation beside it.
+#: Tokenizers of this form drop white space, lower the letters and cut the text by this pattern.
 PLAIN_FORM = ("NFC", "Replace", "Lowercase"), r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþßÿ")
-ENDS = ".,;:!?|()\"-*#"
-
-
-class WordIds(Memo):
-    """Ids of a word between white space, as little-endian numbers of `width` bytes, alike in every text.
-
-    Where the tokenizer has the known form, a word of plain letters with punctuation at its ends is
-    the punctuation before it, the letters in lower case, and the punctuation after it, each kept too.
+WHITE, LETTERS = r"\t-\r ", "a-zß-öø-ÿ"
+#: Neither letters nor numbers nor white space; no character here or above changes in NFC when none but these are around.
+SIGNS = r"!-/:-@\[-`{-~¡£§«°»¿–—‘-‚“-„•…€"
+PLAIN = f"{LETTERS}A-ZÀ-ÖØ-Þ0-9{SIGNS}"
+#: What PLAIN_FORM cuts off letters, in lower case, where a text has none but plain characters and white space.
+CUTS = f"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[{SIGNS}]+"
+RUNS = re.compile(f"[{LETTERS}]+|{CUTS}")
+ODD = f"[^{PLAIN}{WHITE}]"
+#: Bytes of text whose ids are made at once.
+SLICE = 1 << 22
+
+
+class Recent(Memo):
+    """A memo that, when full, sets its values aside and takes back those asked for again, so frequent keys are made once."""
+
+    aside: dict = {}
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.aside = dict(self)
+            self.clear()
+        value = self.aside.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
+class TextIds:
+    """Ids of texts, as unsigned numbers of `width` bytes.
+
+    Words between white space have the same ids in every text. Where the tokenizer has the known form, plain
+    texts are lowered and cut by its pattern in Arrow, each distinct run of letters or signs of a slice is looked
+    up once, and numpy puts the ids in place. Other texts are cut into words, and those with an odd character go to the library.
     """
 
     def __init__(self, path: str, width: int):
-        super().__init__(self.of_word, 600_000)
-        self.tokenizer, self.kind = tokenizer(path), {2: "H", 4: "I"}[width]
+        self.tokenizer, self.type, self.kind = tokenizer(path), np.dtype(f"<u{width}"), {2: "H", 4: "I"}[width]
+        self.model = self.tokenizer.model
+        self.odd = "|".join([ODD, *(re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values())])
+        self.has_odd = re.compile(self.odd).search
         with open(path, encoding="utf-8") as file:
             said = json.load(file)
         normal, pre = said["normalizer"] or {}, said["pre_tokenizer"] or {}
         form = tuple(x["type"] for x in normal.get("normalizers", ())), (pre.get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
         self.plain = form == PLAIN_FORM and said["model"]["type"] == "BPE"
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.byte = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
-        self.runs = Memo(self.of_letters, 400_000)
-        self.signs = Memo(self.encode, 10_000)
-
-    def encode(self, text: str) -> bytes:
-        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def of_letters(self, run: str) -> bytes:
-        return array(self.kind, [t.id for t in self.tokenizer.model.tokenize("".join(map(self.byte.__getitem__, run.encode())))]).tobytes()
+        signs = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.byte = {b: chr(b) for b in signs} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in signs)}
+        self.runs, self.words = Recent(self.of_run, 400_000), Recent(self.of_word, 200_000)
 
     def of_word(self, word: str) -> bytes:
-        if self.plain:
-            left = word.lstrip(ENDS)
-            run = left.rstrip(ENDS)
-            low = run.lower()
-            if run and LETTERS.issuperset(low):
-                before, after = word[: len(word) - len(left)], left[len(run) :]
-                ids = self.runs[low]
-                return (self.signs[before] if before else b"") + ids + (self.signs[after] if after else b"")
-        return self.encode(word)
-
-    def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, words_of(text)))
+        if self.plain and not self.has_odd(word):
+            return b"".join(map(self.runs.__getitem__, RUNS.findall(word.lower())))
+        return array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def of_run(self, run: str) -> bytes:
+        known = run if run.isascii() else "".join(map(self.byte.__getitem__, run.encode()))
+        return array(self.kind, [t.id for t in self.model.tokenize(known)]).tobytes()
+
+    def of_parts(self, texts: pa.Array, known: Recent) -> list[np.ndarray]:
+        """Ids of texts as those of their parts between white space, which `known` gives."""
+        parts = pc.ascii_split_whitespace(texts)
+        found = parts.flatten().dictionary_encode()
+        each = list(map(known.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
+        ids = np.frombuffer(b"".join(each), self.type)
+        lengths = np.fromiter(map(len, each), np.int64, len(each)) // self.type.itemsize
+        starts, at = np.cumsum(lengths) - lengths, found.indices.to_numpy()
+        n = lengths[at]
+        ends = np.cumsum(n)
+        places = np.repeat(starts[at] - ends + n, n)
+        places += np.arange(len(places))
+        stops = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]
+        return np.split(ids[places], stops[:-1])
+
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False) if self.plain else np.ones(len(texts), dtype=bool)
+        apart = pc.replace_substring_regex(pc.utf8_lower(texts.filter(pa.array(~odd))), CUTS, r" \0 ")
+        plain = iter(self.of_parts(apart, self.runs) if len(apart) else ())
+        other = iter(self.of_parts(texts.filter(pa.array(odd)), self.words) if odd.any() else ())
+        return [next(other if x else plain) for x in odd]
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str, width: int) -> WordIds:
-    return WordIds(path, width)
+def text_ids(path: str, width: int) -> TextIds:
+    return TextIds(path, width)
 
 
 def id_pieces(docs: DataFrame, path: str, end_id: int, width: int, piece: int = PIECE) -> DataFrame:
@@ -223,10 +263,11 @@ def id_pieces(docs: DataFrame, path: str, end_id: int, width: int, piece: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in cuts(batch, "text", SLICE):
                 out: list[tuple] = []
-                for doc, tie, row, text in zip(rows["doc_id"], rows["tie"], rows["row"], rows["text"]):
-                    ids = word_ids(path, width).of(text or "") + end
+                found = text_ids(path, width).of(rows.column("text"))
+                for doc, tie, row, some in zip(*(rows.column(c).to_pylist() for c in ("doc_id", "tie", "row")), found):
+                    ids = some.tobytes() + end
                     n = -(-len(ids) // size)
                     out.extend((doc, tie, row, k, n, ids[k * size : (k + 1) * size]) for k in range(n))
                 columns = list(zip(*out)) or [()] * 6

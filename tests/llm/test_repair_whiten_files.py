@@ -12,6 +12,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -330,6 +331,47 @@ def test_token_files_of_odd_rows(spark, tmp_path):
     assert token_files.read_token_files(spark, str(tmp_path / "empty")).count() == 0
 
 
+MIXED = [
+    "ab", "Don't", "'S", "''s", "É", "e\u0301", "ß", "ẞ", "Ÿ", "×", "12", "²", "ª", "¿", "–", "‘x’", "…", " ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\x00",
+    "<|endoftext|>", "日本", "Σας", "🙂", "K", "İ", "_", "[", "\\", "^", "-", "«»", "'ve",
+]
+
+
+def test_ids_of_mixed_texts_are_the_librarys():
+    rng = random.Random(13)
+    texts = [None, "", " ", *("".join(rng.choices(rng.sample(MIXED, rng.randint(1, 9)), k=rng.randint(1, 14))) for _ in range(6000))]
+    for path, width in ((WORD_BPE, 2), (WORD_BPE, 4)):
+        ids = token_files.TextIds(path, width)
+        ids.runs.limit = ids.words.limit = 20  # full all the time
+        at = 0
+        while at < len(texts):
+            some = texts[at : at + rng.choice([1, 2, 700])]
+            at += len(some)
+            for text, got in zip(some, ids.of(pa.array(some)), strict=True):
+                assert got.tolist() == ids.tokenizer.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_plain_texts_are_encoded_run_by_run_not_word_by_word():
+    """Capitals and punctuation make new words, not new runs: what is looked up is bounded by the distinct runs of a slice."""
+    ids, asked = token_files.TextIds(WORD_BPE, 2), []
+    ids.runs.make = lambda run: asked.append(run) or ids.of_run(run)
+    texts = [f"{a}{word}{b}" for a in ("", "(", '"', "¿") for word in ("house", "House", "HOUSE", "straße", "STRAßE") for b in ("", ".", ",", "?!")]
+    assert [x.tolist() for x in ids.of(pa.array(texts))] == [ids.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    runs = ["", '"', "(", ",", ".", "?!", "house", "straße", "¿"]  # an empty one at the ends of texts
+    assert sorted(asked) == runs and not ids.words
+    ids.of(pa.array(["The house \u200b, the (House) 1\u0301"]))
+    assert sorted(asked) == sorted([*runs, "the", ")"]) and {"\u200b,", "1\u0301"} <= set(ids.words)
+
+
+def test_frequent_runs_outlast_a_full_memo():
+    made = []
+    memo = token_files.Recent(lambda key: made.append(key) or str(key), 10)
+    for k in range(100):
+        assert memo[k] == str(k) and memo["often"] == "often"
+        assert len(memo) <= 10 and len(memo.aside) <= 10
+    assert made.count("often") == 1 and len(made) == 101
+
+
 def some_table(ids):
     counts = np.bincount(ids)
     some = np.flatnonzero(counts)
