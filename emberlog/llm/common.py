@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -66,10 +67,28 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = f"{ROOT}:{environment.get('PYTHONPATH', '')}".rstrip(":")
 
 
+def give_back() -> None:
+    """Hands memory that this process has freed back to the system, where the C library can (glibc)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow whose workers find this package where the driver found it."""
+    """mapInArrow whose workers find this package where the driver found it.
+
+    Workers outlive their tasks, beside the executor's heap; at the end of a task they give back what it freed.
+    """
     workers_find_package(df.sparkSession)
-    return df.mapInArrow(make, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from make(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def cuts(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import re
+import sys
+from pathlib import Path
+
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from emberlog.llm.common import documents, staged
+from emberlog.llm.common import documents, map_arrow, staged
 from tests.llm import brute
 from tests.llm.test_operators import packed_ok
 
@@ -80,3 +86,19 @@ def test_empty_tables_and_run(spark, sf_dir, outputs):
         assert done.count() == 0
         docs = done if "text" in done.columns else docs
     assert corpus_pipeline.run(spark, sf_dir).count() == outputs["packing"].count()
+
+
+def test_workers_give_back_what_a_task_freed(spark):
+    def own_mb(pid):
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path(f"/proc/{pid}/smaps_rollup").read_text()))) >> 10
+
+    def make(batches):
+        for _ in batches:
+            blocks = [bytearray(1 << 16) for _ in range(4000)]
+            sys.stays = bytearray(1 << 16)  # above the blocks, so the heap can't just shrink
+            peak = own_mb(os.getpid())
+            blocks.clear()
+            yield pa.RecordBatch.from_pydict({"pid": pa.array([os.getpid()], pa.int64()), "mb": pa.array([peak], pa.int64())})
+
+    pid, peak = map_arrow(spark.range(0, 1, 1, 1), make, "pid long, mb long").collect()[0]
+    assert pid != os.getpid() and own_mb(pid) < peak / 2
