@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import map_arrow, slices, staged, text_key
+from emberlog.llm.common import map_arrow, slices, staged, text_key, unstaged
 
 WORDS = 5
 #: Links from NUMERATOR / DENOMINATOR of the union on.
@@ -23,7 +23,7 @@ GROUPS = 128
 MOST = 32000
 #: Finer groups, of whose counts only the last bit is kept.
 FINE = 1024
-#: Counters of the frequency sketch, and in a segment of it; slots of the candidate bit array.
+#: Counters of the frequency sketch, and in a segment of it; slots of a bit array of sets.
 COUNTERS, SEGMENT, SLOTS = 1 << 27, 1 << 16, 1 << 22
 #: Parts that the sketch reaches the driver in, each about a megabyte at most.
 FETCHES = 32
@@ -228,22 +228,24 @@ def frequency_sketch(rows: DataFrame) -> Sketch:
         sketch.bits[segment * SEGMENT // 4 : (segment + 1) * SEGMENT // 4] = zlib.decompress(fine)
         at = (segment * SEGMENT + np.frombuffer(common, np.uint16).astype(np.int64)) & (COARSE - 1)
         np.maximum.at(sketch.coarse, at, np.frombuffer(codes, np.uint8))
+    unstaged(done)
     return sketch
 
 
 def prefixes(docs: DataFrame, shared: Broadcast[Sketch], size: int, tile: int) -> DataFrame:
-    """(shingle, salts, salt, set, n): the rarest shingles of each set, of which linked sets share at least one.
+    """(shingle, salts, salt, set, n, most): the rarest shingles of each set, of which linked sets share at least one.
 
     Any order of shingles that is the same for all sets does; rare ones come first, by the sketch.
     Linked sets share 3/4 of the larger, so the first quarter and one are enough. The sketch never
     counts too low: a count of one means that no other set has the shingle, and `salts` parts hold
-    about `tile` sets each at most.
+    about `tile` sets each at most. `most` is the size of the largest set that may link with this one
+    if the shingle is the first in that order that both have: all they share is from there on.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen = Powers(), set()
         for batch in batches:
             for rows in slices(batch, "text"):
-                out: list[list[np.ndarray]] = [[], [], [], [], []]
+                out: list[list[np.ndarray]] = [[], [], [], [], [], []]
                 for s in shingle_sets(rows["text"], powers, size):
                     name = set_name(s)
                     if not len(s) or name in seen:
@@ -253,14 +255,23 @@ def prefixes(docs: DataFrame, shared: Broadcast[Sketch], size: int, tile: int) -
                     seen.add(name)
                     ranks, counts = shared.value.of(s)
                     first = np.argsort(ranks, kind="stable")[: len(s) - -(-NUMERATOR * len(s) // DENOMINATOR) + 1]
-                    first = first[counts[first] > 1]
+                    place = np.flatnonzero(counts[first] > 1)
+                    first, most = first[place], ((NUMERATOR + DENOMINATOR) * (len(s) - place) - NUMERATOR * len(s)) // NUMERATOR
                     salts = np.minimum(-(-counts[first] // tile), MOST_SALTS)
-                    for column, values in zip(out, (s[first].view(np.int64), salts, name % salts, np.full(len(first), name), np.full(len(first), len(s)))):
+                    for column, values in zip(out, (s[first].view(np.int64), salts, name % salts, np.full(len(first), name), np.full(len(first), len(s)), most)):
                         column.append(values)
                 if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["shingle", "salts", "salt", "set", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["shingle", "salts", "salt", "set", "n", "most"])
 
-    return map_arrow(docs.select("text"), read, "shingle long, salts long, salt long, set long, n long")
+    return map_arrow(docs.select("text"), read, "shingle long, salts long, salt long, set long, n long, most long")
+
+
+def slot_bits(slots: DataFrame) -> np.ndarray:
+    """A bit array of fixed size with the bits in column `slot` set."""
+    table = np.zeros(SLOTS // 64, np.int64)
+    for word, bits in slots.groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).collect():
+        table[word] = bits
+    return table.view(np.uint8)
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -270,10 +281,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     without an id among them. Users make the rows distinct by set.
     """
     slot = lambda name, id: F.crc32(F.concat_ws(":", F.coalesce(id.cast("string"), F.lit("")), name.cast("string")).cast("binary")) % SLOTS
-    table = np.zeros(SLOTS // 64, np.int64)
-    for word, bits in wanted.select(slot(F.col("set"), F.col("id")).alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).collect():
-        table[word] = bits
-    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint8))
+    shared = docs.sparkSession.sparkContext.broadcast(slot_bits(wanted.select(slot(F.col("set"), F.col("id")).alias("slot"))))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -306,10 +314,24 @@ def may_link(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return both.where(F.when(needed(F.least("n_a", "n_b"), F.col("total")), fits).otherwise(F.lit(False))).select("a", "b", "total")
 
 
+def sets_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set, shingles) of the sets in `pairs` (a, b), and of some others that their bit array lets through."""
+    slots = pairs.select(F.explode(F.array("a", "b")).alias("set")).select(F.expr(f"set & {SLOTS - 1}").alias("slot"))
+    shared = sets.sparkSession.sparkContext.broadcast(slot_bits(slots))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.column("set").to_numpy() & (SLOTS - 1)
+            yield batch.filter(pa.array((shared.value[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return map_arrow(sets.select("set", "shingles"), read, "set long, shingles array<long>")
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b, total) that link, by the sets themselves."""
+    """The pairs (a, b, total) that link, by the sets themselves; sets in no pair aren't dealt out."""
+    pairs = staged(pairs, "pairs", narrow=True)
     # by the exchange that the joins need anyway, copies of a set become one row
-    one = sets.groupBy("set").agg(F.first("shingles").alias("shingles"))
+    one = sets_of(pairs, sets).groupBy("set").agg(F.first("shingles").alias("shingles"))
     both = pairs.join(one.toDF("a", "s_a"), "a").join(one.toDF("b", "s_b"), "b")
     return both.where(needed(F.size(F.array_intersect("s_a", "s_b")), F.col("total"))).select("a", "b")
 
@@ -404,18 +426,23 @@ def tile_pairs(rows: DataFrame, top: int | None) -> DataFrame:
     return found.distinct()
 
 
-def remaining_pairs(blocks: DataFrame, labels: DataFrame, vectors: DataFrame, tile: int, top: int | None = None) -> DataFrame:
-    """Candidate pairs of sets that share a prefix shingle but aren't connected yet.
+def open_blocks(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of blocks whose sets aren't all connected yet, with the root of each; blocks with the same sets stand once."""
+    named = blocks.select("shingle", "salts", "set").join(labels.toDF("set", "root"), "set", "left").select("shingle", "salts", "set", F.coalesce("root", "set").alias("root"))
+    mixed = staged(named, "named", narrow=True)
+    whole = mixed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("size"))
+    several = whole.where("low <> high").dropDuplicates(["sum", "size"]).select("shingle")
+    inside = staged(mixed.join(several, "shingle"), "inside", narrow=True)
+    unstaged(mixed)
+    return inside
+
+
+def remaining_pairs(inside: DataFrame, vectors: DataFrame, tile: int, top: int | None = None) -> DataFrame:
+    """Candidate pairs of sets that share a prefix shingle but aren't connected yet, of `open_blocks`.
 
     In a block most sets are connected by now; the others ask all of it. Both sides are cut into
     tiles, and a tree over one tile answers the asking tile, with its `top` nearest alone if given.
-    Blocks with the same sets are done once.
     """
-    named = blocks.join(labels.toDF("set", "root"), "set", "left").select("shingle", "salts", "salt", "set", F.coalesce("root", "set").alias("root"))
-    mixed = staged(named, "named", narrow=True)
-    whole = mixed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("size"), F.max("salts").alias("tiles"))
-    open_blocks = whole.where("low <> high").dropDuplicates(["sum", "size"]).select("shingle", "size")
-    inside = staged(mixed.join(open_blocks, "shingle"), "inside", narrow=True)
     main = inside.groupBy("shingle", "root").agg(F.count("*").alias("count")).groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"))
     tiles = main.select("shingle", F.col("m.root").alias("main"), F.expr(f"cast(ceil((size - m.count) / {tile}) as int)").alias("xs"), F.expr(f"cast(ceil(size / {tile}) as int)").alias("ys"))
     full = inside.join(staged(tiles, "tiles", narrow=True), "shingle").join(vectors, "set")
@@ -464,30 +491,37 @@ def grouped(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int =
     base = docs.select(docs[id].alias("id"), docs[text].alias("text")).withColumn("text_key", text_key())
     keyed = staged(profiles(base, size), "profiles")
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(keyed))
-    rows = keyed.where("segment is null").select("id", "text_key", "set", "n")
+    rows = staged(keyed.where("segment is null").select("id", "text_key", "set", "n"), "names")
+    unstaged(keyed)  # the counters of all tasks, many times the rows
     block = Window.partitionBy("shingle", "salt")
     by_size = block.orderBy("n", "set")
-    alike = lambda n, m: (DENOMINATOR * F.least(n, m) >= NUMERATOR * F.greatest(n, m))
-    pre = prefixes(base, sketch, size, tile).withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size)).withColumn("first", F.min(F.struct("set", "n")).over(block))
-    # in a block that isn't cut, a set without a neighbour of a like size links with none in it
-    met = (F.col("salts") > 1) | F.coalesce(alike(F.col("n"), F.col("smaller")), F.lit(False)) | F.coalesce(alike(F.col("n"), F.col("larger")), F.lit(False))
-    blocks = staged(pre.where(met).select("shingle", "salts", "salt", "set", "n", "first"), "blocks")
+    smaller = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    # one exchange deals out blocks for all that follows: a set stands once in each, then meets the others
+    once = prefixes(base, sketch, size, tile).withColumn("before", F.lag("set").over(by_size)).where(F.col("before").isNull() | (F.col("before") != F.col("set"))).drop("before")
+    near = once.withColumn("larger", F.lead("n").over(by_size)).withColumn("reach", F.max("most").over(smaller)).withColumn("least", F.min("n").over(smaller))
+    # in a block that isn't cut, a set links with none if the next larger one is too large for it, and no smaller one reaches up to it or all are too large
+    met = (F.col("salts") > 1) | F.coalesce(F.col("larger") <= F.col("most"), F.lit(False)) | F.coalesce((F.col("reach") >= F.col("n")) & (F.col("least") <= F.col("most")), F.lit(False))
+    left = near.where(met).withColumn("low", F.min("set").over(block)).withColumn("high", F.max("set").over(block)).withColumn("first", F.min(F.struct("n", "set", "most")).over(block))
+    shared = staged(left.where("salts > 1 or low <> high").select("shingle", "salts", "salt", "set", "n", "most", "first"), "blocks")
     sketch.destroy()
     del sketch  # its value too
-    heads = blocks.where("salts > 1").select("shingle", "first").distinct().withColumn("head", F.min("first").over(Window.partitionBy("shingle")))
-    stars = blocks.where(alike(F.col("n"), F.col("first.n"))).select(F.col("set").alias("a"), F.col("first.set").alias("b"))
-    tops = heads.where(alike(F.col("first.n"), F.col("head.n"))).select(F.col("first.set").alias("a"), F.col("head.set").alias("b"))
+    fits = lambda n, most, other: (other["n"] <= most) & (n <= other["most"])
+    heads = shared.where("salts > 1").select("shingle", "first").distinct().withColumn("head", F.min("first").over(Window.partitionBy("shingle")))
+    stars = shared.where(fits(F.col("n"), F.col("most"), F.col("first"))).select(F.col("set").alias("a"), F.col("first.set").alias("b"))
+    tops = heads.where(fits(F.col("first.n"), F.col("first.most"), F.col("head"))).select(F.col("first.set").alias("a"), F.col("head.set").alias("b"))
     met = stars.union(tops).where("a <> b").groupBy("a", "b").count()
     best = met.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("count"), "b"))).where(F.col("rank") <= STARS).select("a", "b")
-    several = blocks.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("shingle")
-    blocks = staged(blocks.join(several, "shingle", "left_semi").select("shingle", "salts", "salt", "set").distinct(), "shared")
+    cut = shared.where("salts > 1").select("shingle", "salts", "set")
+    several = cut.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("shingle")
+    blocks = shared.where("salts = 1").select("shingle", "salts", "set").unionByName(staged(cut.join(several, "shingle", "left_semi"), "cut", narrow=True))
     wanted = staged(blocks.select("set").distinct(), "wanted", narrow=True)
-    holders = staged(keyed.where("segment is null and n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id")), "holders", narrow=True)
+    holders = staged(rows.where("n > 0").join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("id")), "holders", narrow=True)
     sets = staged(candidate_sets(base, holders, size), "sets")
     vectors = staged(sets.select("set", "n", "vector", "odd").dropDuplicates(["set"]), "vectors")
     roots = components(linked(may_link(best, vectors), sets))
     for top in (NEAREST, None):
-        roots = joined(roots, linked(may_link(remaining_pairs(blocks, roots, vectors, tile, top), vectors), sets))
+        blocks = open_blocks(blocks, roots)  # those left of the last turn alone are asked again
+        roots = joined(roots, linked(may_link(remaining_pairs(blocks, vectors, tile, top), vectors), sets))
     roots = roots.toDF("set", "root")
     per_set = rows.where("n > 0").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("copies")).join(roots, "set", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "set"))
     lowest = per_set.groupBy("root").agg(F.min("low").alias("component_id"))

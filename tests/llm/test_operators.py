@@ -420,6 +420,54 @@ def test_chained_and_hot_groups(spark, tile):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("tile", [3, 1000])
+def test_cuts_of_one_text(spark, tile):
+    rng = random.Random(7)
+    texts = {}
+    for k in range(160):
+        base = [f"b{k % 4}w{j}" for j in range(90)]
+        start, end = rng.randint(0, 15), rng.randint(60, 90)
+        words = base[start:end] + [f"n{k}e{j}" for j in range(rng.choice([0, 0, 3, 9, 15]))]
+        if rng.random() < 0.5:
+            words[rng.randrange(len(words))] = "other"
+        texts[k] = " ".join(words)
+    want = brute.components(texts)
+    got = jaccard.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), tile=tile)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
+    assert 4 < len({c for _, c in want.values()}) < 160
+
+
+def test_sets_that_link_with_none_are_not_dealt_out(spark, monkeypatch):
+    words = lambda mark, n: [f"{mark}x{j}" for j in range(n)]
+    texts = {}
+    for k in range(20):  # 30 of 36 shingles alike, 31 are needed
+        for side in (0, 1):
+            texts[2 * k + side] = " ".join(words(f"c{k}", 34) + words(f"o{k}{'ab'[side]}", 6))
+    for k in range(20):  # copies alone
+        texts |= {100 + 5 * k + j: " ".join(words(f"p{k}", 40)) for j in range(5)}
+    texts |= {300: " ".join(words("q", 40)), 301: " ".join([*words("q", 39), "end"])}
+    rows, real = Counter(), jaccard.staged
+
+    def counted(df, name, narrow=False):
+        done = real(df, name, narrow)
+        if name in ("blocks", "wanted", "sets", "pairs"):
+            rows[name] += done.count()
+        return done
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    order = sorted(texts, key=lambda k: (k % 5, k))  # copies come to several tasks
+    docs = spark.createDataFrame([(k, texts[k]) for k in order], "doc_id long, text string").repartitionByRange(5, F.col("doc_id") % 5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == brute.components(texts)
+    assert rows == {"blocks": 10, "wanted": 2, "sets": 2, "pairs": 1}
+
+
+def test_sets_in_no_pair_are_not_dealt_out(spark):
+    sets = spark.createDataFrame([(k, [k, k + 1]) for k in range(1000)], "set long, shingles array<long>")
+    pairs = spark.createDataFrame([(3, 700, 4), (3, 900, 4)], "a long, b long, total long")
+    assert {r["set"] for r in jaccard.sets_of(pairs, sets).collect()} == {3, 700, 900}
+
+
 def test_tree_loses_no_pair():
     import numpy as np
 
